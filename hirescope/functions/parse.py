@@ -158,8 +158,8 @@ def relative_posted_date(raw, scrape_date, fallback="scrape") -> Column:
            .when(s.rlike(r"(\d+)\s+day"), F.date_sub(sd, num("day")))
            .when(s.rlike(r"(\d+)\s+week"), F.date_sub(sd, num("week") * 7))
            .when(s.rlike(r"(\d+)\s+month"), F.date_sub(sd, num("month") * 30)))
-    absolute = F.coalesce(F.try_to_date(s, F.lit("yyyy-M-d")), F.try_to_date(s, F.lit("d/M/yyyy")),
-                          F.try_to_date(s, F.lit("M/d/yyyy")))
+    absolute = F.coalesce(F.try_to_date(s, "yyyy-M-d"), F.try_to_date(s, "d/M/yyyy"),
+                          F.try_to_date(s, "M/d/yyyy"))
     dflt = sd if fallback == "scrape" else F.lit(None).cast("date")
     return out.otherwise(F.coalesce(absolute, dflt))
 

@@ -12,14 +12,14 @@ from pyspark.sql import functions as F
 
 from hirescope.functions.keys import surrogate_key
 from hirescope.plans import star
-from hirescope.sources.tables import table
+from hirescope.sources.tables import spread, table
 
 URL_PREFIX = "https://wuzzuf.net/jobs/p/doc-"
 
 
 def doc_postings(spark: SparkSession, sf: str) -> DataFrame:
     """Staging-shaped projection of documents (only the columns marts need)."""
-    d = table(spark, sf, "documents").select("doc_id", "text")
+    d = spread(table(spark, sf, "documents").select("doc_id", "text"))
     url = F.concat(F.lit(URL_PREFIX), F.col("doc_id").cast("string"))
     return d.select(url.alias("job_url"), surrogate_key(url).alias("job_id"),
                     F.split(F.lower("text"), r"\s+").alias("skills"))
@@ -31,8 +31,8 @@ def skill_pairs(spark: SparkSession, sf: str) -> DataFrame:
 
 def mart_skill_metrics(spark: SparkSession, sf: str) -> DataFrame:
     """M10 over documents: demand / rarity / bucket per token."""
-    stg = doc_postings(spark, sf)
-    return star.skill_metrics(star.job_skill_pairs(stg), stg)
+    # the posting total is counted straight off the scan (metadata-only)
+    return star.skill_metrics(skill_pairs(spark, sf), table(spark, sf, "documents"))
 
 
 def dim_skills(spark: SparkSession, sf: str) -> DataFrame:

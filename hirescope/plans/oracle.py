@@ -71,3 +71,196 @@ ORACLE["skill_slice"] = f"""
 SELECT skill_name FROM (SELECT DISTINCT skill_name FROM ({DOC_PAIRS}))
 ORDER BY skill_name OFFSET 50 LIMIT 50
 """
+
+
+# ---------------------------------------------------------------- postings
+def strip(x: str) -> str:
+    return f"regexp_replace({x}, '^\\s+|\\s+$', '', 'g')"
+
+
+def lst(values) -> str:
+    return "[" + ", ".join(q(v) for v in values) + "]"
+
+
+def inlist(values) -> str:
+    return "(" + ", ".join(q(v) for v in values) + ")"
+
+
+def case_rules(x: str, rules, default: str) -> str:
+    arms = " ".join(f"WHEN {contains_any(x, kws)} THEN {q(label)}" for label, kws in rules)
+    return f"CASE {arms} ELSE {q(default)} END"
+
+
+def _postings_sql() -> str:
+    from hirescope.plans import postings as PT
+    k = "o_orderkey"
+    title = f"{lst(PT.TITLES)}[({k} % {len(PT.TITLES)}) + 1]"
+    company = f"{lst(PT.COMPANIES)}[(o_custkey % {len(PT.COMPANIES)}) + 1]"
+    location = f"{lst(PT.LOCATIONS)}[(({k} // 2) % {len(PT.LOCATIONS)}) + 1]"
+    tail = f"{lst(PT.POSTED_TAILS)}[((({k} // 3)) % {len(PT.POSTED_TAILS)}) + 1]"
+    n = len(PT.SKILL_POOL)
+    slug = f"trim(regexp_replace(lower({location}), '[^a-z0-9]+', '-', 'g'), '-')"
+    job_id = f"concat_ws('-', CAST({k} // 2 AS VARCHAR), {slug})"
+    raw = f"""
+    SELECT {k} AS pos, {title} AS title, {company} AS company, {location} AS location,
+      {lst(PT.JOB_TYPES)}[({k} % {len(PT.JOB_TYPES)}) + 1] AS job_type,
+      {lst(PT.EXPERIENCE)}[({k} % {len(PT.EXPERIENCE)}) + 1] AS experience,
+      list_slice({lst(PT.SKILL_POOL)}, ({k} % {n}) + 1, ({k} % {n}) + ({k} % 7)) AS skills,
+      CASE WHEN {k} % 3 = 0 THEN {tail}
+           ELSE concat_ws(chr(10), {title}, concat_ws(' - ', {company}, {location}), {tail}) END AS posted_raw,
+      {q(PT.HOST + '/jobs/p/')} || {job_id} AS url,
+      strftime(CAST(o_orderdate AS DATE) + CAST({k} % 5 AS INTEGER), '%Y-%m-%dT%H:%M:%S') || '+00:00' AS scraped_at,
+      {lst(PT.KEYWORDS)}[({k} % {len(PT.KEYWORDS)}) + 1] AS keyword
+    FROM orders"""
+    non_city = inlist(R.NON_CITY_PARTS)
+    city = f"""CASE WHEN location IS NULL OR location = '' OR location = 'Egypt' THEN {q(R.DEFAULT_CITY)}
+      ELSE coalesce(list_filter(list_transform(string_split(location, ','), lambda p: {strip('p')}),
+                                lambda p: lower(p) NOT IN {non_city})[1], {q(R.DEFAULT_CITY)}) END"""
+    combo = "lower(concat_ws(' ', location, job_type))"
+    work = f"CASE WHEN contains({combo}, 'remote') THEN 'Remote' WHEN contains({combo}, 'hybrid') THEN 'Hybrid' ELSE 'On-site' END"
+    norm = f"""
+    SELECT pos, regexp_replace({strip('title')}, '\\s+', ' ', 'g') AS job_title, company AS company_name,
+      job_type, experience AS experience_raw, skills AS skills_list, posted_raw, url AS job_url,
+      {city} AS city, {work} AS work_type, scraped_at
+    FROM ({raw})"""
+    kept = f"""
+    SELECT * FROM ({norm})
+    WHERE length(job_title) > 2
+      AND NOT {contains_any('lower(job_url)', R.NON_EGYPT_URL_PATTERNS)}
+      AND lower(city) NOT IN {inlist(R.NON_EGYPT_CITIES)}"""
+    s = f"lower({strip('experience_raw')})"
+    rng, plus = r"(\d+)\s*[-to]+\s*(\d+)", r"(\d+)\+|more than (\d+)"
+    mn = f"""CASE WHEN regexp_matches({s}, '{rng}') THEN TRY_CAST(regexp_extract({s}, '{rng}', 1) AS DOUBLE)
+      WHEN regexp_matches({s}, '{plus}') THEN TRY_CAST(coalesce(nullif(regexp_extract({s}, '{plus}', 1), ''),
+                                                              nullif(regexp_extract({s}, '{plus}', 2), '')) AS DOUBLE) END"""
+    mx = f"CASE WHEN regexp_matches({s}, '{rng}') THEN TRY_CAST(regexp_extract({s}, '{rng}', 2) AS DOUBLE) END"
+    t = "lower(job_title)"
+    lvl_arms = " ".join(f"WHEN {contains_any(t, kws)} THEN {q(label)}" for label, kws in R.LEVEL_TITLE_RULES)
+    yrs = " ".join(f"WHEN min_experience <= {b} THEN {q(l)}" for b, l in R.LEVEL_YEAR_BANDS)
+    level = f"""CASE {lvl_arms} {yrs} WHEN min_experience IS NOT NULL THEN {q(R.LEVEL_YEAR_TOP)}
+      WHEN {contains_any('lower(experience_raw)', R.LEVEL_RAW_JUNIOR_HINTS)} THEN 'junior' ELSE {q(R.LEVEL_DEFAULT)} END"""
+    p = f"lower({strip('posted_raw')})"
+
+    def n_of(unit):
+        return f"CAST(regexp_extract({p}, '(\\d+)\\s+{unit}', 1) AS INTEGER)"
+    posted = f"""CASE WHEN regexp_matches({p}, '(\\d+)\\s+hour') THEN sd
+      WHEN regexp_matches({p}, '(\\d+)\\s+day') THEN sd - {n_of('day')}
+      WHEN regexp_matches({p}, '(\\d+)\\s+week') THEN sd - {n_of('week')} * 7
+      WHEN regexp_matches({p}, '(\\d+)\\s+month') THEN sd - {n_of('month')} * 30
+      ELSE coalesce(CAST(coalesce(try_strptime({p}, '%Y-%m-%d'), try_strptime({p}, '%d/%m/%Y'),
+                                  try_strptime({p}, '%m/%d/%Y')) AS DATE), sd) END"""
+    words = " + ".join(f"CAST(contains(lower(x), {q(w)}) AS INTEGER)" for w in dict.fromkeys(R.SKILL_TITLE_WORDS))
+    skill_ok = (f"length(x) <= {R.SKILL_MAX_LEN} AND NOT {contains_any('x', R.SKILL_SENTENCE_MARKERS)} "
+                f"AND lower(x) NOT IN {inlist(R.SKILL_NOISE)} AND ({words}) < 2 "
+                f"AND {contains_any('lower(x)', R.TECH_SKILLS_VOCAB)}")
+    skills = (f"list_filter(list_transform(skills_list, lambda x: {strip(chr(99)+'oalesce(x, ' + q('None') + ')')}), "
+              f"lambda x: {skill_ok})")
+    cat = case_rules("lower(job_title)", R.CATEGORY_RULES, R.CATEGORY_DEFAULT)
+    ovr = " ".join(f"WHEN {q(a)} THEN {q(b)}" for a, b in R.COMPANY_OVERRIDES.items())
+    cn = "company_name"
+    score = " + ".join(f"CAST(contains(lower({cn}), {q(w)}) AS INTEGER)" for w in dict.fromkeys(R.STARTUP_KEYWORDS))
+    nwords = f"len(list_filter(regexp_split_to_array({strip(cn)}, '\\s+'), lambda w: w <> ''))"
+    ctype = f"""CASE WHEN {cn} IS NULL OR lower({strip(cn)}) IN {inlist(R.COMPANY_UNKNOWN_NAMES)} THEN 'Unknown'
+      WHEN {cn} IN {inlist(R.COMPANY_OVERRIDES)} THEN (CASE {cn} {ovr} END)
+      WHEN {contains_any(f'lower({cn})', R.KNOWN_MNCS)} THEN 'MNC'
+      WHEN {contains_any(f'lower({cn})', R.GOVERNMENT_KEYWORDS)} THEN 'Government'
+      WHEN ({score}) >= 2 THEN 'Startup'
+      WHEN ({score}) = 1 AND {nwords} <= 3 THEN 'Startup'
+      ELSE 'Corporate' END"""
+    return f"""
+    WITH kept AS ({kept}),
+    bat AS (SELECT CAST(left(arg_min(scraped_at, pos), 10) AS DATE) AS sd FROM kept WHERE scraped_at IS NOT NULL),
+    e AS (SELECT kept.*, {mn} AS min_experience, {mx} AS max_experience, bat.sd AS sd FROM kept, bat),
+    c AS (
+      SELECT pos, scraped_at, job_title, company_name, job_type, {skills} AS skills, {cat} AS job_category,
+             {posted} AS posted_date, job_url, city, work_type, min_experience, max_experience,
+             {level} AS experience_level, sd AS scrape_date, {ctype} AS company_type
+      FROM e),
+    d AS (SELECT *, row_number() OVER (PARTITION BY job_url ORDER BY scraped_at DESC, pos DESC) AS rn FROM c)
+    SELECT job_title, company_name, job_type, job_category, posted_date, job_url, city, work_type,
+           min_experience, max_experience, experience_level, scrape_date, company_type, skills
+    FROM d WHERE rn = 1"""
+
+
+POSTINGS = _postings_sql()
+ORACLE["cleaned_postings"] = f"""
+SELECT * EXCLUDE (skills), to_json(skills) AS skills_list FROM ({POSTINGS})
+"""
+
+STG = f"""
+SELECT {sk('job_url')} AS job_id, trim(job_title) AS job_title, trim(lower(job_category)) AS job_category,
+  trim(lower(experience_level)) AS experience_level, trim(job_type) AS job_type, trim(work_type) AS work_type,
+  job_url, skills, min_experience, max_experience,
+  CASE WHEN min_experience IS NOT NULL AND max_experience IS NOT NULL THEN max_experience - min_experience END AS experience_gap,
+  trim(company_name) AS company_name, trim(company_type) AS company_type, trim(city) AS city, 'Egypt' AS country,
+  posted_date, scrape_date, date_diff('day', posted_date, scrape_date) AS days_on_market
+FROM ({POSTINGS}) WHERE job_url IS NOT NULL
+"""
+ORACLE["stg_jobs"] = f"SELECT * EXCLUDE (skills), to_json(skills) AS skills FROM ({STG})"
+ORACLE["dim_job"] = f"SELECT job_id, job_title, job_category, experience_level, scrape_date FROM ({STG})"
+DIM_COMPANY = f"""
+SELECT {sk('company_name')} AS company_id, company_name, company_type FROM (
+  SELECT company_name, arg_max(company_type, struct_pack(d := scrape_date, t := company_type)) AS company_type
+  FROM ({STG}) WHERE company_name IS NOT NULL GROUP BY company_name)
+"""
+ORACLE["dim_company"] = DIM_COMPANY
+DIM_LOCATION = f"""
+SELECT {sk('city', 'country')} AS location_id, city, country
+FROM (SELECT DISTINCT city, country FROM ({STG}) WHERE city IS NOT NULL)
+"""
+ORACLE["dim_location"] = DIM_LOCATION
+DIM_DATE = f"""
+SELECT {sk('full_date')} AS date_id, full_date, day(full_date) AS day, month(full_date) AS month,
+  year(full_date) AS year, quarter(full_date) AS quarter, weekofyear(full_date) AS week_of_year,
+  dayofweek(full_date) AS day_of_week, monthname(full_date) AS month_name, dayname(full_date) AS day_name
+FROM (SELECT DISTINCT posted_date AS full_date FROM ({STG}) WHERE posted_date IS NOT NULL)
+"""
+ORACLE["dim_date"] = DIM_DATE
+FACT = f"""
+SELECT {sk('stg.job_url')} AS fact_id, stg.job_id, co.company_id, lo.location_id, da.date_id,
+  stg.min_experience, stg.max_experience, stg.job_type, stg.work_type, stg.job_url
+FROM ({STG}) stg
+LEFT JOIN ({DIM_COMPANY}) co ON stg.company_name = co.company_name
+LEFT JOIN ({DIM_LOCATION}) lo ON stg.city = lo.city
+LEFT JOIN ({DIM_DATE}) da ON stg.posted_date = da.full_date
+"""
+ORACLE["fact_jobs"] = FACT
+PAIRS = f"""
+SELECT DISTINCT job_id, skill_name FROM (
+  SELECT job_id, trim(lower(s)) AS skill_name FROM (SELECT job_id, unnest(skills) AS s FROM ({STG})))
+WHERE skill_name IS NOT NULL AND length(skill_name) > 1
+"""
+ORACLE["job_skill_metrics"] = f"""
+WITH t AS (SELECT count(*)::DOUBLE AS n FROM ({FACT})),
+per AS (SELECT skill_name, count(DISTINCT job_id) AS c FROM ({PAIRS}) GROUP BY skill_name)
+SELECT skill_name, c AS jobs_requiring_skill,
+  round(c::DOUBLE * 100.0 / (SELECT n FROM t), 2) AS skill_demand_score,
+  round(100 - c::DOUBLE * 100.0 / (SELECT n FROM t), 2) AS skill_rarity_score,
+  {demand_case("round(c::DOUBLE * 100.0 / (SELECT n FROM t), 2)")} AS demand_category
+FROM per
+"""
+ORACLE["category_metrics"] = f"""
+WITH f AS ({FACT}), t AS (SELECT count(*)::DOUBLE AS n FROM f)
+SELECT j.job_category, j.experience_level, count(f.job_id) AS job_count,
+  round(avg(f.min_experience), 1) AS avg_min_experience,
+  round(avg(CASE WHEN f.work_type = 'Remote' THEN 1.0 ELSE 0.0 END) * 100, 2) AS remote_ratio,
+  round(count(f.job_id)::DOUBLE * 100.0 / (SELECT n FROM t), 2) AS market_demand_index
+FROM f JOIN ({STG}) j ON f.job_id = j.job_id
+GROUP BY j.job_category, j.experience_level
+"""
+ORACLE["skill_count_per_job"] = f"""
+SELECT j.job_id, j.experience_level, j.job_category, count(DISTINCT p.skill_name) AS skill_count
+FROM ({STG}) j JOIN ({PAIRS}) p ON j.job_id = p.job_id
+GROUP BY j.job_id, j.experience_level, j.job_category
+"""
+ORACLE["skill_category_crosstab"] = f"""
+SELECT p.skill_name, j.job_category, count(*) AS n
+FROM ({PAIRS}) p JOIN ({STG}) j ON p.job_id = j.job_id GROUP BY 1, 2
+"""
+ORACLE["star_integrity"] = f"""
+WITH f AS ({FACT})
+SELECT 'company_id' AS relationship, count(*) AS failures FROM f WHERE company_id IS NOT NULL AND company_id NOT IN (SELECT company_id FROM ({DIM_COMPANY}))
+UNION ALL SELECT 'location_id', count(*) FROM f WHERE location_id IS NOT NULL AND location_id NOT IN (SELECT location_id FROM ({DIM_LOCATION}))
+UNION ALL SELECT 'date_id', count(*) FROM f WHERE date_id IS NOT NULL AND date_id NOT IN (SELECT date_id FROM ({DIM_DATE}))
+UNION ALL SELECT 'job_id', count(*) FROM f WHERE job_id IS NOT NULL AND job_id NOT IN (SELECT job_id FROM ({STG}))
+"""

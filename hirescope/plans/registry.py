@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from hirescope.plans import docs
+from hirescope.plans import docs, postings
 from hirescope.plans.oracle import ORACLE as _ORACLE
 
 QUERIES = {
@@ -11,6 +11,18 @@ QUERIES = {
     "bridge_job_skills": docs.bridge_job_skills,
     "top_skills": docs.top_skills,
     "skill_slice": docs.skill_slice,
+    "cleaned_postings": postings.cleaned_postings_report,
+    "stg_jobs": postings.stg_report,
+    "dim_job": postings.dim_job,
+    "dim_company": postings.dim_company,
+    "dim_location": postings.dim_location,
+    "dim_date": postings.dim_date,
+    "fact_jobs": postings.fact_jobs,
+    "job_skill_metrics": postings.skill_metrics,
+    "category_metrics": postings.category_metrics,
+    "skill_count_per_job": postings.skill_count,
+    "skill_category_crosstab": postings.skill_category,
+    "star_integrity": postings.integrity,
 }
 
 ORACLE = {k: v for k, v in _ORACLE.items() if k in QUERIES}

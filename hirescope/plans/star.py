@@ -95,7 +95,7 @@ def fact_jobs(stg: DataFrame, companies: DataFrame, locations: DataFrame, dates:
     """M8 (J1): left joins to the dims; dim_job shares the key, so it needs
     no join at all (fact.job_id = md5(job_url) = dim_job.job_id)."""
     f = (stg.join(companies.select("company_name", "company_id"), "company_name", "left")
-         .join(locations.select("city", "location_id").dropDuplicates(["city"]), "city", "left")
+         .join(locations.select("city", "location_id"), "city", "left")
          .join(dates.select(F.col("full_date").alias("posted_date"), "date_id"), "posted_date", "left"))
     return f.select(surrogate_key("job_url").alias("fact_id"), "job_id", "company_id", "location_id", "date_id",
                     "min_experience", "max_experience", "job_type", "work_type", "job_url")
