@@ -264,3 +264,151 @@ UNION ALL SELECT 'location_id', count(*) FROM f WHERE location_id IS NOT NULL AN
 UNION ALL SELECT 'date_id', count(*) FROM f WHERE date_id IS NOT NULL AND date_id NOT IN (SELECT date_id FROM ({DIM_DATE}))
 UNION ALL SELECT 'job_id', count(*) FROM f WHERE job_id IS NOT NULL AND job_id NOT IN (SELECT job_id FROM ({STG}))
 """
+
+# ------------------------------------------------------------------ events
+EV = "event_id, ts, user_id, event_type, value, props"
+ORACLE["latest_event_per_user"] = f"""
+SELECT user_id, event_id, ts, event_type, value, props FROM (
+  SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn FROM events) WHERE rn = 1
+"""
+ORACLE["first_event_per_user"] = f"""
+SELECT user_id, event_id, ts, event_type, value, props FROM (
+  SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS rn FROM events) WHERE rn = 1
+"""
+ORACLE["repeated_user_day_type"] = """
+SELECT event_id, user_id, event_type, day FROM (
+  SELECT event_id, user_id, event_type, CAST(ts AS DATE) AS day,
+         count(*) OVER (PARTITION BY user_id, CAST(ts AS DATE), event_type) AS c FROM events) WHERE c > 1
+"""
+ORACLE["duplicate_user_count"] = f"""
+SELECT count(*) - count(DISTINCT user_id) AS duplicates,
+  count(*) - (SELECT count(*) FROM (SELECT DISTINCT {EV} FROM events WHERE event_id IS NOT NULL AND ts IS NOT NULL
+     AND user_id IS NOT NULL AND event_type IS NOT NULL AND value IS NOT NULL AND props IS NOT NULL)) AS duplicate_rows
+FROM events
+"""
+ORACLE["user_event_sequence"] = """
+SELECT user_id, string_agg(event_type, ',' ORDER BY ft, fi) AS event_type_list FROM (
+  SELECT user_id, event_type, min(ts) AS ft, arg_min(event_id, struct_pack(t := ts, i := event_id)) AS fi
+  FROM events GROUP BY user_id, event_type) GROUP BY user_id
+"""
+ORACLE["first_type_per_user"] = """
+SELECT event_type, count(*) AS new_unique FROM (
+  SELECT user_id, event_type, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS rn FROM events)
+WHERE rn = 1 GROUP BY event_type
+"""
+ORACLE["event_props"] = """
+SELECT event_type, sum(TRY_CAST(json_extract_string(props, '$.k') AS BIGINT)) AS sum_k,
+       count(TRY_CAST(json_extract_string(props, '$.k') AS BIGINT)) AS n_k, count(*) AS n
+FROM events GROUP BY event_type
+"""
+ORACLE["incremental_events"] = f"""
+WITH src AS (SELECT {EV}, CAST(ts AS DATE) AS day FROM events),
+tgt AS (SELECT event_id, ts, user_id, event_type, 0.0::DOUBLE AS value, props, day, 'target' AS origin
+        FROM src WHERE ts < TIMESTAMP '2024-01-16'),
+inc AS (SELECT {EV}, day, 'increment' AS origin FROM src WHERE day >= (SELECT max(day) FROM tgt))
+SELECT * FROM tgt WHERE event_id NOT IN (SELECT event_id FROM inc)
+UNION ALL SELECT * FROM inc
+"""
+ORD = "o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority"
+UPS = f"""
+tgt AS (SELECT {ORD} FROM orders WHERE o_orderdate < TIMESTAMP '1998-01-01'),
+src AS (SELECT o_orderkey, o_custkey, 'U' AS o_orderstatus, o_totalprice + 1.0 AS o_totalprice, o_orderdate,
+               o_orderpriority FROM orders WHERE o_orderdate >= TIMESTAMP '1997-01-01')
+"""
+ORACLE["upsert_orders"] = f"""
+WITH {UPS}
+SELECT * FROM tgt WHERE o_orderkey NOT IN (SELECT o_orderkey FROM src) UNION ALL SELECT * FROM src
+"""
+ORACLE["upsert_order_counts"] = f"""
+WITH {UPS}
+SELECT (SELECT count(*) FROM tgt WHERE o_orderkey IN (SELECT o_orderkey FROM src)) AS updated_count,
+       (SELECT count(*) FROM src WHERE o_orderkey NOT IN (SELECT o_orderkey FROM tgt)) AS appended_count,
+       (SELECT count(*) FROM (SELECT o_orderkey FROM tgt UNION SELECT o_orderkey FROM src)) AS total_rows
+"""
+ORACLE["fieldwise_order_update"] = f"""
+WITH {UPS}
+SELECT coalesce(t.o_orderkey, s.o_orderkey) AS o_orderkey, t.o_custkey,
+       coalesce(s.o_orderstatus, t.o_orderstatus) AS o_orderstatus, t.o_totalprice, t.o_orderdate, t.o_orderpriority
+FROM tgt t FULL OUTER JOIN src s ON t.o_orderkey = s.o_orderkey
+"""
+
+# ----------------------------------------------------------------- reports
+ORACLE["segment_value_counts"] = """
+SELECT c_mktsegment, count(*) AS count,
+  round(count(*)::DOUBLE * 100.0 / (SELECT count(*) FROM customer WHERE c_mktsegment IS NOT NULL), 2) AS share_pct
+FROM customer WHERE c_mktsegment IS NOT NULL GROUP BY 1
+"""
+ORACLE["priority_status_counts"] = """
+SELECT o_orderpriority, o_orderstatus, count(*) AS count FROM orders
+WHERE o_orderpriority IS NOT NULL AND o_orderstatus IS NOT NULL GROUP BY 1, 2
+"""
+ORACLE["distinct_counts"] = """
+SELECT count(*) AS n_orders, count(DISTINCT o_custkey) AS n_customers, count(DISTINCT o_orderpriority) AS n_priorities,
+  CAST(min(o_orderdate) AS DATE) AS first_date, CAST(max(o_orderdate) AS DATE) AS last_date FROM orders
+"""
+PER_ORDER = """
+SELECT o.o_orderkey, o.o_orderpriority, o.o_custkey, p.skill_count FROM orders o JOIN
+  (SELECT l_orderkey, count(DISTINCT l_partkey) AS skill_count FROM lineitem GROUP BY 1) p ON o.o_orderkey = p.l_orderkey
+"""
+ORACLE["parts_per_order_anova"] = f"""
+WITH d AS ({PER_ORDER}), g AS (SELECT o_orderpriority, count(*) AS n, avg(skill_count) AS m FROM d GROUP BY 1),
+gm AS (SELECT avg(skill_count) AS mu, count(*) AS nn, (SELECT count(*) FROM g) AS k FROM d),
+ssb AS (SELECT sum(n * (m - (SELECT mu FROM gm)) ^ 2) AS v FROM g),
+ssw AS (SELECT sum((skill_count - g.m) ^ 2) AS v FROM d JOIN g USING (o_orderpriority))
+SELECT round(((SELECT v FROM ssb) / (k - 1)) / ((SELECT v FROM ssw) / (nn - k)), 6) AS f_stat,
+       k - 1 AS df_between, nn - k AS df_within, nn AS n FROM gm
+"""
+ORACLE["parts_per_order_by_level"] = f"""
+SELECT o_orderpriority, round(avg(skill_count), 6) AS mean, count(skill_count) AS count FROM ({PER_ORDER}) GROUP BY 1
+"""
+ORACLE["segment_correlation"] = f"""
+SELECT round(corr(posting_count, avg_skill_count), 6) AS r, count(*) AS n FROM (
+  SELECT c.c_mktsegment, count(*) AS posting_count, avg(d.skill_count) AS avg_skill_count
+  FROM ({PER_ORDER}) d JOIN customer c ON d.o_custkey = c.c_custkey GROUP BY 1)
+"""
+CELLS = """
+WITH pr AS (SELECT p.p_brand, o.o_orderpriority FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey
+            JOIN orders o ON l.l_orderkey = o.o_orderkey),
+top AS (SELECT p_brand FROM pr GROUP BY 1 ORDER BY count(*) DESC, p_brand LIMIT 20)
+SELECT p_brand, o_orderpriority, count(*) AS n FROM pr WHERE p_brand IN (SELECT p_brand FROM top) GROUP BY 1, 2
+"""
+ORACLE["brand_priority_crosstab"] = CELLS
+ORACLE["brand_priority_chi_square"] = f"""
+WITH c AS ({CELLS}), r AS (SELECT p_brand, sum(n) AS rs FROM c GROUP BY 1),
+k AS (SELECT o_orderpriority, sum(n) AS cs FROM c GROUP BY 1), t AS (SELECT sum(n) AS nn FROM c),
+allcells AS (SELECT r.p_brand, k.o_orderpriority, r.rs * k.cs / t.nn AS e, coalesce(c.n, 0) AS o
+             FROM r CROSS JOIN k CROSS JOIN t LEFT JOIN c ON c.p_brand = r.p_brand AND c.o_orderpriority = k.o_orderpriority)
+SELECT round(sum((o - e) ^ 2 / e), 4) AS chi2,
+       ((SELECT count(*) FROM r) - 1) * ((SELECT count(*) FROM k) - 1) AS dof, (SELECT nn FROM t) AS n FROM allcells
+"""
+ORACLE["weekly_velocity"] = """
+SELECT year(date_trunc('week', CAST(o_orderdate AS DATE))) AS week_year, weekofyear(CAST(o_orderdate AS DATE)) AS week_of_year,
+       count(*) AS postings FROM orders GROUP BY 1, 2
+"""
+ORACLE["monthly_share_change"] = """
+SELECT month, share_pct, postings, round(share_pct - lag(share_pct) OVER (ORDER BY month), 2) AS change_pct FROM (
+  SELECT CAST(date_trunc('month', o_orderdate) AS DATE) AS month,
+         round(avg(CASE WHEN o_orderstatus = 'F' THEN 1.0 ELSE 0.0 END) * 100, 2) AS share_pct, count(*) AS postings
+  FROM orders GROUP BY 1)
+"""
+ORACLE["days_to_ship"] = """
+SELECT date_diff('day', CAST(o.o_orderdate AS DATE), CAST(l.l_shipdate AS DATE)) AS days_on_market, count(*) AS n
+FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey GROUP BY 1
+"""
+ORACLE["top_customers"] = """
+SELECT c.c_name, p.postings FROM (SELECT o_custkey, count(*) AS postings FROM orders GROUP BY 1) p
+JOIN customer c ON p.o_custkey = c.c_custkey ORDER BY postings DESC, c_name LIMIT 10
+"""
+ORACLE["priority_funnel"] = """
+SELECT o_orderpriority, count(*) AS count,
+  round(count(*)::DOUBLE * 100.0 / (SELECT count(*) FROM orders WHERE o_orderpriority IS NOT NULL), 2) AS share_pct
+FROM orders WHERE o_orderpriority IS NOT NULL GROUP BY 1
+"""
+ORACLE["part_cooccurrence"] = """
+WITH b AS (SELECT DISTINCT l_orderkey, l_partkey FROM lineitem),
+f AS (SELECT l_partkey FROM b GROUP BY 1 HAVING count(*) >= 2),
+bb AS (SELECT * FROM b WHERE l_partkey IN (SELECT l_partkey FROM f))
+SELECT x.l_partkey AS part_a, y.l_partkey AS part_b, count(*) AS n_orders
+FROM bb x JOIN bb y ON x.l_orderkey = y.l_orderkey AND x.l_partkey < y.l_partkey
+GROUP BY 1, 2 HAVING count(*) >= 2
+"""

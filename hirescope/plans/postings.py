@@ -18,7 +18,7 @@ from hirescope.functions import parse as P
 from hirescope.functions.skills import clean_skills_list, list_to_text
 from hirescope.functions.text import collapse_ws, slugify
 from hirescope.operators.dedup import keep_last
-from hirescope.sources.tables import table
+from hirescope.sources.tables import spread, table
 
 HOST = "https://wuzzuf.net"
 
@@ -54,7 +54,7 @@ def _pick(values: list[str], idx) -> F.Column:
 
 def raw_postings(spark: SparkSession, sf: str) -> DataFrame:
     """Raw-shaped postings (the 11 scraper fields + a position column)."""
-    o = table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
+    o = spread(table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderdate"))
     k = F.col("o_orderkey")
     pair = F.floor(k / 2)
     title = _pick(TITLES, k)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from hirescope.plans import docs, postings
+from hirescope.plans import docs, events, postings, reports
 from hirescope.plans.oracle import ORACLE as _ORACLE
 
 QUERIES = {
@@ -23,6 +23,31 @@ QUERIES = {
     "skill_count_per_job": postings.skill_count,
     "skill_category_crosstab": postings.skill_category,
     "star_integrity": postings.integrity,
+    "latest_event_per_user": events.latest_event_per_user,
+    "first_event_per_user": events.first_event_per_user,
+    "repeated_user_day_type": events.repeated_user_day_type,
+    "duplicate_user_count": events.duplicate_user_count,
+    "user_event_sequence": events.user_event_sequence,
+    "first_type_per_user": events.first_type_per_user,
+    "event_props": events.event_props,
+    "incremental_events": events.incremental_events,
+    "upsert_orders": events.upsert_orders,
+    "upsert_order_counts": events.upsert_order_counts,
+    "fieldwise_order_update": events.fieldwise_order_update,
+    "segment_value_counts": reports.segment_value_counts,
+    "priority_status_counts": reports.priority_status_counts,
+    "distinct_counts": reports.distinct_counts,
+    "parts_per_order_anova": reports.parts_per_order_anova,
+    "parts_per_order_by_level": reports.parts_per_order_by_level,
+    "segment_correlation": reports.segment_correlation,
+    "brand_priority_crosstab": reports.brand_priority_cells,
+    "brand_priority_chi_square": reports.brand_priority_chi_square,
+    "weekly_velocity": reports.weekly_velocity,
+    "monthly_share_change": reports.monthly_share_change,
+    "days_to_ship": reports.days_to_ship,
+    "top_customers": reports.top_customers,
+    "priority_funnel": reports.priority_funnel,
+    "part_cooccurrence": reports.part_cooccurrence,
 }
 
 ORACLE = {k: v for k, v in _ORACLE.items() if k in QUERIES}
