@@ -52,7 +52,7 @@ def py_strip(c) -> Column:
 
 def collapse_ws(c) -> Column:
     """strip, then collapse every whitespace run to one blank."""
-    return F.regexp_replace(py_strip(c), r"\s+", " ")
+    return F.regexp_replace(py_strip(c), r"(?U)\s+", " ")
 
 
 def std_lower(c) -> Column:

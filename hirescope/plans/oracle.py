@@ -74,8 +74,12 @@ ORDER BY skill_name OFFSET 50 LIMIT 50
 
 
 # ---------------------------------------------------------------- postings
+# Unicode White_Space, as Java's (?U)\\s and Python's str.strip() see it.
+UWS = "[\\t\\n\\x0B\\f\\r \\x{85}\\x{A0}\\x{1680}\\x{2000}-\\x{200A}\\x{2028}\\x{2029}\\x{202F}\\x{205F}\\x{3000}]"
+
+
 def strip(x: str) -> str:
-    return f"regexp_replace({x}, '^\\s+|\\s+$', '', 'g')"
+    return f"regexp_replace({x}, '^{UWS}+|{UWS}+$', '', 'g')"
 
 
 def lst(values) -> str:
@@ -119,7 +123,7 @@ def _postings_sql() -> str:
     combo = "lower(concat_ws(' ', location, job_type))"
     work = f"CASE WHEN contains({combo}, 'remote') THEN 'Remote' WHEN contains({combo}, 'hybrid') THEN 'Hybrid' ELSE 'On-site' END"
     norm = f"""
-    SELECT pos, regexp_replace({strip('title')}, '\\s+', ' ', 'g') AS job_title, company AS company_name,
+    SELECT pos, regexp_replace({strip('title')}, '{UWS}+', ' ', 'g') AS job_title, company AS company_name,
       job_type, experience AS experience_raw, skills AS skills_list, posted_raw, url AS job_url,
       {city} AS city, {work} AS work_type, scraped_at
     FROM ({raw})"""
@@ -412,3 +416,86 @@ SELECT x.l_partkey AS part_a, y.l_partkey AS part_b, count(*) AS n_orders
 FROM bb x JOIN bb y ON x.l_orderkey = y.l_orderkey AND x.l_partkey < y.l_partkey
 GROUP BY 1, 2 HAVING count(*) >= 2
 """
+
+# ------------------------------------------------------------------- pages
+NOISE = r"(?is)<script.*?</script>|<style.*?</style>|<!--.*?-->"
+ANCHOR = r'(?is)<a\s+href="([^"]*)"[^>]*>(.*?)</a>'
+TAGRX = r"(?s)<[^>]*>"
+ASCII_WS = r"[ \t\n\x0B\f\r]"
+
+
+def _tag(x: str, tag: str) -> str:
+    inner = f"regexp_extract({x}, '(?is)<{tag}[^>]*>(.*?)</{tag}>', 1)"
+    return f"nullif(trim(regexp_replace({inner}, '{TAGRX}', '', 'g')), '')"
+
+
+ORACLE["page_fields"] = f"""
+SELECT page_id, {_tag('c', 'title')} AS title, {_tag('c', 'h1')} AS h1,
+  coalesce({_tag('c', 'h1')}, {_tag('c', 'title')}) AS headline,
+  len(regexp_extract_all(c, '{ANCHOR}', 1)) AS n_links,
+  regexp_extract_all(c, '{ANCHOR}', 1)[1] AS first_href,
+  regexp_matches(c, '(?i)<article') AS has_article,
+  len(regexp_extract_all(c, '{ANCHOR}', 1)) = 0 AND NOT regexp_matches(c, '(?i)<article') AS is_empty,
+  length(trim(regexp_replace(regexp_replace(c, '{TAGRX}', ' ', 'g'), '{ASCII_WS}+', ' ', 'g'))) AS text_len
+FROM (SELECT page_id, regexp_replace(html, '{NOISE}', '', 'g') AS c FROM pages)
+"""
+ORACLE["page_links"] = f"""
+SELECT page_id, CASE WHEN starts_with(h, 'http') THEN h ELSE host || h END AS href,
+       trim(regexp_replace(t, '{TAGRX}', '', 'g')) AS anchor_text
+FROM (SELECT page_id, regexp_extract(url, '^(https?://[^/?#]+)', 1) AS host,
+             unnest(regexp_extract_all(c, '{ANCHOR}', 1)) AS h, unnest(regexp_extract_all(c, '{ANCHOR}', 2)) AS t
+      FROM (SELECT page_id, url, regexp_replace(html, '{NOISE}', '', 'g') AS c FROM pages))
+"""
+ORACLE["page_url_parts"] = f"""
+SELECT page_id,
+  nullif(regexp_extract(url, '^([a-z]+)://', 1), '') AS scheme,
+  nullif(regexp_extract(url, '^https?://([^/?#]+)', 1), '') AS host,
+  nullif(regexp_extract(p, '^/([a-z]{{2}})(/|$)', 1), '') AS lang,
+  nullif(regexp_extract(p, '([^/]+)/*$', 1), '') AS path_id,
+  nullif(regexp_extract(url, '\\?([^#]*)', 1), '') AS query,
+  nullif(regexp_extract(url, '#(.*)$', 1), '') AS fragment,
+  trim(regexp_replace(lower(regexp_extract(url, '^https?://([^/?#]+)', 1)), '[^a-z0-9]+', '-', 'g'), '-') AS host_slug,
+  {contains_any('lower(url)', R.NON_EGYPT_URL_PATTERNS)} AS denied
+FROM (SELECT page_id, url, regexp_extract(url, '^https?://[^/?#]+([^?#]*)', 1) AS p FROM pages)
+"""
+
+
+def _last_line(x: str, prefix: str | None) -> str:
+    last = f"list_filter(list_transform(string_split({x}, chr(10)), lambda l: {strip('l')}), lambda l: l <> '')[-1]"
+    if prefix:
+        last = f"CASE WHEN starts_with(lower({last}), {q(prefix)}) THEN {last} ELSE {q(prefix)} || {last} END"
+    return f"CASE WHEN contains({x}, chr(10)) THEN {last} ELSE {x} END"
+
+
+ORACLE["doc_text_profile"] = f"""
+SELECT * FROM (
+  SELECT doc_id, trim(lower(lang)) AS lang,
+    length(regexp_replace({strip('text')}, '{UWS}+', ' ', 'g')) AS clean_len,
+    len(list_filter(string_split(text, chr(10)), lambda l: trim(l) <> '')) AS n_lines,
+    length({_last_line('text', None)}) AS last_line_len
+  FROM documents) WHERE clean_len > 2
+"""
+ORACLE["conversation_last_lines"] = f"""
+SELECT conv_id, turn, trim(lower(role)) AS role, {_last_line('text', 'posted ')} AS last_line FROM conversations
+"""
+ORACLE["doc_rule_labels"] = f"""
+SELECT lang, job_category, relevant, tech, count(*) AS n FROM (
+  SELECT lang, {case_rules("lower(coalesce(text, 'None'))", R.CATEGORY_RULES, R.CATEGORY_DEFAULT)} AS job_category,
+    coalesce({contains_any('lower(text)', R.TECH_TITLE_KEYWORDS)}, false) AS relevant,
+    coalesce({contains_any('lower(text)', R.TECH_SKILLS_VOCAB)}, false) AS tech
+  FROM documents) GROUP BY ALL
+"""
+_pn = "p_name"
+_score = " + ".join(f"CAST(contains(lower(coalesce({_pn}, '')), {q(w)}) AS INTEGER)" for w in dict.fromkeys(R.STARTUP_KEYWORDS))
+_ovr = " ".join(f"WHEN {q(a)} THEN {q(b)}" for a, b in R.COMPANY_OVERRIDES.items())
+ORACLE["part_company_types"] = f"""
+SELECT company_type, startup_score, count(*) AS n FROM (
+  SELECT CASE WHEN {_pn} IS NULL OR lower({strip(_pn)}) IN {inlist(R.COMPANY_UNKNOWN_NAMES)} THEN 'Unknown'
+    WHEN {_pn} IN {inlist(R.COMPANY_OVERRIDES)} THEN (CASE {_pn} {_ovr} END)
+    WHEN {contains_any(f'lower({_pn})', R.KNOWN_MNCS)} THEN 'MNC'
+    WHEN {contains_any(f'lower({_pn})', R.GOVERNMENT_KEYWORDS)} THEN 'Government'
+    WHEN ({_score}) >= 2 THEN 'Startup'
+    WHEN ({_score}) = 1 AND len(list_filter(regexp_split_to_array({strip(_pn)}, '{UWS}+'), lambda w: w <> '')) <= 3 THEN 'Startup'
+    ELSE 'Corporate' END AS company_type, ({_score}) AS startup_score
+  FROM part) GROUP BY ALL
+"""

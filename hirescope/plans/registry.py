@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from hirescope.plans import docs, events, postings, reports
+from hirescope.plans import docs, events, postings, reports, web
 from hirescope.plans.oracle import ORACLE as _ORACLE
 
 QUERIES = {
@@ -48,6 +48,13 @@ QUERIES = {
     "top_customers": reports.top_customers,
     "priority_funnel": reports.priority_funnel,
     "part_cooccurrence": reports.part_cooccurrence,
+    "page_fields": web.page_fields,
+    "page_links": web.page_links,
+    "page_url_parts": web.page_url_parts,
+    "doc_text_profile": web.doc_text_profile,
+    "conversation_last_lines": web.conversation_last_lines,
+    "doc_rule_labels": web.doc_rule_labels,
+    "part_company_types": web.part_company_types,
 }
 
 ORACLE = {k: v for k, v in _ORACLE.items() if k in QUERIES}
