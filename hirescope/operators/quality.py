@@ -32,3 +32,110 @@ def null_counts(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
     wide = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in cols])
     stack = ", ".join(f"'{c}', `{c}`" for c in cols)
     return wide.selectExpr(f"stack({len(cols)}, {stack}) AS (column_name, null_count)")
+
+
+def _stack(wide: DataFrame, names: Sequence[str], value_alias: str, name_alias: str = "check") -> DataFrame:
+    stack = ", ".join(f"'{n}', CAST(`{n}` AS BIGINT)" for n in names)
+    return wide.selectExpr(f"stack({len(names)}, {stack}) AS ({name_alias}, {value_alias})")
+
+
+def quality_gate(df: DataFrame, as_of, required: Sequence[str], critical: Sequence[str], key: str,
+                 accepted: Mapping[str, Sequence[str]], url_col: str, url_prefix: str,
+                 date_col: str, max_span_days: int, list_col: str, max_empty_pct: float,
+                 min_rows: int, max_rows: int) -> DataFrame:
+    """Q1-Q11: every check of the runtime gate in ONE aggregate pass.
+
+    Returns one row per check: ``check, failing, passed`` where ``failing``
+    counts offending rows (or the offending value for range checks).  Null
+    counts as invalid for accepted-value checks.  ``as_of`` is a Column
+    (literal or scalar subquery) so re-runs are reproducible.
+    """
+    missing = [c for c in required if c not in df.columns]
+    aggs = [F.count(F.lit(1)).alias("_rows")]
+    for c in critical:
+        aggs.append(F.count_if(F.col(c).isNull()).alias(f"not_null_{c}"))
+    aggs.append((F.count(F.lit(1)) - F.count_distinct(key)).alias(f"unique_{key}"))
+    for c, vals in accepted.items():
+        aggs.append(F.count_if(~F.coalesce(F.col(c).isin(list(vals)), F.lit(False))).alias(f"accepted_{c}"))
+    aggs.append(F.count_if(~F.coalesce(F.col(url_col).startswith(url_prefix), F.lit(False))).alias("url_prefix"))
+    aggs.append(F.datediff(as_of, F.min(date_col)).alias("_span"))
+    aggs.append(F.datediff(F.max(date_col), as_of).alias("_ahead"))
+    empty = F.coalesce(F.size(list_col), F.lit(0)) <= 0
+    aggs.append(F.count_if(empty).alias("_empty"))
+    a = df.agg(*aggs)
+    a = a.select("*",
+                 F.when((F.col("_rows") >= min_rows) & (F.col("_rows") <= max_rows), 0)
+                 .otherwise(F.col("_rows")).alias("row_count"),
+                 F.lit(len(missing)).alias("required_columns"),
+                 F.when(F.col("_span") > max_span_days, F.col("_span"))
+                 .when(F.col("_ahead") > 0, F.col("_ahead")).otherwise(0).alias("date_range"),
+                 F.when(F.col("_rows") == 0, 1)
+                 .when(F.col("_empty") * 100.0 / F.col("_rows") > max_empty_pct, F.col("_empty"))
+                 .otherwise(0).alias("empty_skills"))
+    names = (["row_count", "required_columns"] + [f"not_null_{c}" for c in critical] + [f"unique_{key}"]
+             + [f"accepted_{c}" for c in accepted] + ["url_prefix", "date_range", "empty_skills"])
+    return _stack(a, names, "failing").withColumn("passed", F.col("failing") == 0)
+
+
+def gate_summary(checks: DataFrame) -> DataFrame:
+    """Q11: passed / failed counts and overall status (one row)."""
+    return checks.agg(F.count_if("passed").alias("checks_passed"), F.count_if(~F.col("passed")).alias("checks_failed")) \
+        .withColumn("status", F.when(F.col("checks_failed") == 0, "PASSED").otherwise("FAILED"))
+
+
+def raw_completeness(raw: DataFrame, file_col: str, id_col: str, fields: Sequence[str],
+                     missing_tokens: Sequence[str], list_col: str) -> DataFrame:
+    """Per file: total, ids seen more than once, empty skill lists,
+    and missing count per field (null, '' or a placeholder)."""
+    def missing(c):
+        dt = dict(raw.dtypes)[c]
+        if dt.startswith("array"):
+            return F.col(c).isNull()
+        return F.col(c).isNull() | F.col(c).cast("string").isin(list(missing_tokens))
+    per = raw.groupBy(file_col).agg(
+        F.count(F.lit(1)).alias("total"),
+        F.count_if(F.coalesce(F.size(list_col), F.lit(0)) <= 0).alias("empty_skills"),
+        *[F.count_if(missing(c)).alias(f"missing_{c}") for c in fields])
+    ids = raw.groupBy(file_col, id_col).agg(F.count(F.lit(1)).alias("_n"))
+    dups = ids.groupBy(file_col).agg(F.count_if(F.col("_n") > 1).alias("duplicates"))
+    return per.join(dups, file_col)
+
+
+def top_values_per_group(df: DataFrame, group: str, col: str, k: int = 5) -> DataFrame:
+    """A17 top-k: most common values per group (ties by value), computed on
+    the (group, value) aggregate so the window is bounded by distinct values."""
+    from pyspark.sql import Window
+    c = df.groupBy(group, col).agg(F.count(F.lit(1)).alias("count"))
+    w = Window.partitionBy(group).orderBy(F.desc("count"), F.asc(col))
+    return c.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
+
+
+def model_tests(tables: Mapping[str, DataFrame], not_null: Sequence[tuple[str, str]],
+                unique: Sequence[tuple[str, str]], accepted: Sequence[tuple[str, str, Sequence[str]]],
+                relationships: Sequence[tuple[str, str, str, str]]) -> DataFrame:
+    """Q12: declarative model tests -> one row per test with its failing-row
+    count.  not_null / accepted per table share one aggregate; unique is a
+    grouped count; relationships are left-anti joins."""
+    rows = []
+    by_table: dict[str, list] = {}
+    for t, c in not_null:
+        by_table.setdefault(t, []).append((f"not_null_{t}_{c}", F.count_if(F.col(c).isNull())))
+    for t, c, vals in accepted:
+        by_table.setdefault(t, []).append(
+            (f"accepted_values_{t}_{c}", F.count_if(F.col(c).isNotNull() & ~F.col(c).isin(list(vals)))))
+    for t, specs in by_table.items():
+        wide = tables[t].agg(*[e.alias(n) for n, e in specs])
+        rows.append(_stack(wide, [n for n, _ in specs], "failures", "test"))
+    for t, c in unique:
+        d = (tables[t].filter(F.col(c).isNotNull()).groupBy(c).agg(F.count(F.lit(1)).alias("_n"))
+             .filter("_n > 1").agg(F.count(F.lit(1)).alias("failures")))
+        rows.append(d.select(F.lit(f"unique_{t}_{c}").alias("test"), "failures"))
+    for t, c, dim, pk in relationships:
+        o = (tables[t].select(F.col(c).alias("_k")).filter(F.col("_k").isNotNull())
+             .join(tables[dim].select(F.col(pk).alias("_k")), "_k", "left_anti")
+             .agg(F.count(F.lit(1)).alias("failures")))
+        rows.append(o.select(F.lit(f"relationships_{t}_{c}").alias("test"), "failures"))
+    out = rows[0]
+    for r in rows[1:]:
+        out = out.unionByName(r)
+    return out

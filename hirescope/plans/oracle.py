@@ -95,6 +95,9 @@ def case_rules(x: str, rules, default: str) -> str:
     return f"CASE {arms} ELSE {q(default)} END"
 
 
+RAW_SQL = ""
+
+
 def _postings_sql() -> str:
     from hirescope.plans import postings as PT
     k = "o_orderkey"
@@ -106,7 +109,7 @@ def _postings_sql() -> str:
     slug = f"trim(regexp_replace(lower({location}), '[^a-z0-9]+', '-', 'g'), '-')"
     job_id = f"concat_ws('-', CAST({k} // 2 AS VARCHAR), {slug})"
     raw = f"""
-    SELECT {k} AS pos, {title} AS title, {company} AS company, {location} AS location,
+    SELECT {k} AS pos, {job_id} AS job_id, {title} AS title, {company} AS company, {location} AS location,
       {lst(PT.JOB_TYPES)}[({k} % {len(PT.JOB_TYPES)}) + 1] AS job_type,
       {lst(PT.EXPERIENCE)}[({k} % {len(PT.EXPERIENCE)}) + 1] AS experience,
       list_slice({lst(PT.SKILL_POOL)}, ({k} % {n}) + 1, ({k} % {n}) + ({k} % 7)) AS skills,
@@ -116,6 +119,8 @@ def _postings_sql() -> str:
       strftime(CAST(o_orderdate AS DATE) + CAST({k} % 5 AS INTEGER), '%Y-%m-%dT%H:%M:%S') || '+00:00' AS scraped_at,
       {lst(PT.KEYWORDS)}[({k} % {len(PT.KEYWORDS)}) + 1] AS keyword
     FROM orders"""
+    global RAW_SQL
+    RAW_SQL = raw
     non_city = inlist(R.NON_CITY_PARTS)
     city = f"""CASE WHEN location IS NULL OR location = '' OR location = 'Egypt' THEN {q(R.DEFAULT_CITY)}
       ELSE coalesce(list_filter(list_transform(string_split(location, ','), lambda p: {strip('p')}),
@@ -499,3 +504,97 @@ SELECT company_type, startup_score, count(*) AS n FROM (
     ELSE 'Corporate' END AS company_type, ({_score}) AS startup_score
   FROM part) GROUP BY ALL
 """
+
+# ------------------------------------------------------- quality / reports
+_crit = [f"('not_null_{c}', count(*) FILTER ({c} IS NULL))" for c in R.GATE_CRITICAL_COLUMNS]
+_acc = [(c, v) for c, v in [("experience_level", R.VALID_EXPERIENCE_LEVELS), ("work_type", R.VALID_WORK_TYPES),
+                            ("company_type", R.VALID_COMPANY_TYPES)]]
+ORACLE["quality_checks"] = f"""
+WITH p AS ({POSTINGS}), a AS (SELECT max(scrape_date) AS as_of FROM p),
+g AS (SELECT count(*) AS n,
+        date_diff('day', min(posted_date), (SELECT as_of FROM a)) AS span,
+        date_diff('day', (SELECT as_of FROM a), max(posted_date)) AS ahead,
+        count(*) FILTER (coalesce(len(skills), 0) <= 0) AS empty FROM p),
+checks AS (
+  SELECT 'row_count' AS "check", CASE WHEN n BETWEEN {R.GATE_MIN_ROWS} AND {R.GATE_MAX_ROWS} THEN 0 ELSE n END AS failing FROM g
+  UNION ALL SELECT 'required_columns', 0
+  {''.join(f" UNION ALL SELECT 'not_null_{c}', count(*) FILTER ({c} IS NULL) FROM p" for c in R.GATE_CRITICAL_COLUMNS)}
+  UNION ALL SELECT 'unique_job_url', count(*) - count(DISTINCT job_url) FROM p
+  {''.join(f" UNION ALL SELECT 'accepted_{c}', count(*) FILTER (NOT coalesce({c} IN {inlist(v)}, false)) FROM p" for c, v in _acc)}
+  UNION ALL SELECT 'url_prefix', count(*) FILTER (NOT coalesce(starts_with(job_url, {q(R.GATE_URL_PREFIX)}), false)) FROM p
+  UNION ALL SELECT 'date_range', CASE WHEN span > {R.GATE_MAX_DATE_SPAN_DAYS} THEN span WHEN ahead > 0 THEN ahead ELSE 0 END FROM g
+  UNION ALL SELECT 'empty_skills', CASE WHEN n = 0 THEN 1 WHEN empty * 100.0 / n > {R.GATE_MAX_EMPTY_SKILLS_PCT} THEN empty ELSE 0 END FROM g)
+SELECT "check", CAST(failing AS BIGINT) AS failing, failing = 0 AS passed FROM checks
+"""
+_cols = ["job_title", "company_name", "job_type", "job_category", "posted_date", "job_url", "city", "work_type",
+         "min_experience", "max_experience", "experience_level", "scrape_date", "company_type", "skills_list"]
+ORACLE["null_profile"] = "WITH c AS (" + ORACLE["cleaned_postings"] + ")\n" + "\nUNION ALL ".join(
+    f"SELECT '{c}' AS column_name, count(*) FILTER ({c} IS NULL) AS null_count FROM c" for c in _cols)
+
+
+def _raw_missing(c: str, is_list: bool = False) -> str:
+    cond = f"{c} IS NULL" if is_list else f"{c} IS NULL OR CAST({c} AS VARCHAR) IN {inlist(R.RAW_MISSING_TOKENS)}"
+    return f"count(*) FILTER ({cond}) AS missing_{c}"
+
+
+_raw_cols = {"job_id": "job_id", "title": "title", "company": "company", "location": "location", "job_type": "job_type",
+             "experience": "experience", "skills": "skills", "posted_date": "posted_raw", "url": "url",
+             "scraped_at": "scraped_at"}
+ORACLE["raw_completeness"] = f"""
+WITH r AS (SELECT * EXCLUDE (posted_raw), posted_raw AS posted_date FROM ({RAW_SQL})),
+per AS (SELECT keyword, count(*) AS total, count(*) FILTER (coalesce(len(skills), 0) <= 0) AS empty_skills,
+   {', '.join(_raw_missing(c, c == 'skills') for c in R.RAW_REQUIRED_FIELDS)} FROM r GROUP BY keyword),
+d AS (SELECT keyword, count(*) FILTER (n > 1) AS duplicates FROM (SELECT keyword, job_id, count(*) AS n FROM r GROUP BY 1, 2) GROUP BY 1)
+SELECT per.*, d.duplicates FROM per JOIN d USING (keyword)
+"""
+ORACLE["raw_top_locations"] = f"""
+SELECT * FROM (SELECT keyword, location, count, row_number() OVER (PARTITION BY keyword ORDER BY count DESC, location) AS rank
+  FROM (SELECT keyword, location, count(*) AS count FROM ({RAW_SQL}) GROUP BY 1, 2)) WHERE rank <= 5
+"""
+MART = ORACLE["job_skill_metrics"]
+DIM_SKILLS = f"SELECT {sk('skill_name')} AS skill_id, skill_name FROM (SELECT DISTINCT skill_name FROM ({PAIRS}))"
+BRIDGE = f"SELECT job_id, {sk('skill_name')} AS skill_id FROM ({PAIRS})"
+_T = {"fact_jobs": FACT, "dim_job": f"SELECT job_id, experience_level FROM ({STG})", "dim_company": DIM_COMPANY,
+      "dim_location": DIM_LOCATION, "dim_date": DIM_DATE, "dim_skills": DIM_SKILLS, "bridge_job_skills": BRIDGE,
+      "mart_job_metrics": MART}
+_tests = []
+for t, c in [("fact_jobs", "fact_id"), ("fact_jobs", "job_id"), ("fact_jobs", "job_url"), ("dim_company", "company_id"),
+             ("dim_company", "company_name"), ("dim_location", "location_id"), ("dim_date", "date_id"),
+             ("dim_skills", "skill_id"), ("bridge_job_skills", "job_id"), ("bridge_job_skills", "skill_id"),
+             ("mart_job_metrics", "skill_name")]:
+    _tests.append(f"SELECT 'not_null_{t}_{c}' AS test, count(*) FILTER ({c} IS NULL) AS failures FROM ({_T[t]})")
+for t, c in [("fact_jobs", "fact_id"), ("dim_job", "job_id"), ("dim_company", "company_id"), ("dim_location", "location_id"),
+             ("dim_date", "date_id"), ("dim_skills", "skill_id"), ("dim_skills", "skill_name"), ("mart_job_metrics", "skill_name")]:
+    _tests.append(f"SELECT 'unique_{t}_{c}', count(*) FROM (SELECT {c} FROM ({_T[t]}) WHERE {c} IS NOT NULL GROUP BY 1 HAVING count(*) > 1)")
+for t, c, v in [("dim_job", "experience_level", R.VALID_EXPERIENCE_LEVELS), ("fact_jobs", "work_type", R.VALID_WORK_TYPES),
+                ("dim_company", "company_type", R.VALID_COMPANY_TYPES),
+                ("mart_job_metrics", "demand_category", ["High Demand", "Medium Demand", "Niche"])]:
+    _tests.append(f"SELECT 'accepted_values_{t}_{c}', count(*) FILTER ({c} IS NOT NULL AND {c} NOT IN {inlist(v)}) FROM ({_T[t]})")
+for t, c, d, pk in [("fact_jobs", "company_id", "dim_company", "company_id"), ("fact_jobs", "location_id", "dim_location", "location_id"),
+                    ("fact_jobs", "date_id", "dim_date", "date_id"), ("bridge_job_skills", "skill_id", "dim_skills", "skill_id")]:
+    _tests.append(f"SELECT 'relationships_{t}_{c}', count(*) FROM ({_T[t]}) x WHERE {c} IS NOT NULL AND {c} NOT IN (SELECT {pk} FROM ({_T[d]}))")
+ORACLE["model_tests"] = "\nUNION ALL ".join(_tests)
+ORACLE["kpis"] = f"""
+SELECT count(*) AS postings, count(DISTINCT company_name) AS companies, count(DISTINCT city) AS cities,
+  min(posted_date) AS first_posted, max(posted_date) AS last_posted,
+  (SELECT count(DISTINCT skill_name) FROM ({PAIRS})) AS skills, (SELECT count(*) FROM ({PAIRS})) AS job_skill_pairs
+FROM ({STG})
+"""
+for _c in ["company_type", "city", "job_category"]:
+    ORACLE[f"postings_by_{_c}"] = f"""
+SELECT {_c}, count(*) AS count,
+  round(count(*)::DOUBLE * 100.0 / (SELECT count(*) FROM ({STG}) WHERE {_c} IS NOT NULL), 2) AS share_pct
+FROM ({STG}) WHERE {_c} IS NOT NULL GROUP BY 1
+"""
+LEVEL_SKILL = f"""
+SELECT j.experience_level, p.skill_name, count(*) AS n_jobs FROM ({PAIRS}) p JOIN ({STG}) j ON p.job_id = j.job_id GROUP BY 1, 2
+"""
+ORACLE["top_skills_per_level"] = f"""
+SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY experience_level ORDER BY n_jobs DESC, skill_name) AS rank
+  FROM ({LEVEL_SKILL})) WHERE rank <= 3
+"""
+ORACLE["skill_roadmap"] = f"""
+SELECT s.experience_level, s.skill_name, s.n_jobs, l.level_jobs,
+  round(s.n_jobs::DOUBLE * 100.0 / l.level_jobs, 2) AS share_pct
+FROM ({LEVEL_SKILL}) s JOIN (SELECT experience_level, count(*) AS level_jobs FROM ({STG}) GROUP BY 1) l USING (experience_level)
+"""

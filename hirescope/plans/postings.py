@@ -201,3 +201,103 @@ def integrity(spark, sf):
         "date_id": (s["dim_date"], "date_id"),
         "job_id": (s["dim_job"], "job_id"),
     })
+
+
+# ---------------------------------------------------------- quality / reports
+def quality_checks(spark, sf):
+    """Q1-Q11 over the cleaned postings; as-of = the batch scrape date."""
+    from hirescope.functions import rules as R
+    from hirescope.operators.quality import quality_gate
+    c = cleaned_postings(spark, sf).withColumnRenamed("skills", "skills_list")
+    as_of = c.select(F.max("scrape_date")).scalar()
+    return quality_gate(
+        c, as_of, R.GATE_REQUIRED_COLUMNS, R.GATE_CRITICAL_COLUMNS, "job_url",
+        {"experience_level": R.VALID_EXPERIENCE_LEVELS, "work_type": R.VALID_WORK_TYPES,
+         "company_type": R.VALID_COMPANY_TYPES},
+        "job_url", R.GATE_URL_PREFIX, "posted_date", R.GATE_MAX_DATE_SPAN_DAYS, "skills_list",
+        R.GATE_MAX_EMPTY_SKILLS_PCT, R.GATE_MIN_ROWS, R.GATE_MAX_ROWS)
+
+
+def null_profile(spark, sf):
+    """A13 over the cleaned postings."""
+    from hirescope.operators.quality import null_counts
+    return null_counts(cleaned_postings_report(spark, sf))
+
+
+def raw_completeness(spark, sf):
+    """A17 / Q13 over the raw postings, one 'file' per search keyword."""
+    from hirescope.functions import rules as R
+    from hirescope.operators.quality import raw_completeness as rc
+    raw = raw_postings(spark, sf)
+    return rc(raw, "keyword", "job_id", R.RAW_REQUIRED_FIELDS, R.RAW_MISSING_TOKENS, "skills")
+
+
+def raw_top_locations(spark, sf):
+    """A17 top-5 locations per keyword file."""
+    from hirescope.operators.quality import top_values_per_group
+    return top_values_per_group(raw_postings(spark, sf), "keyword", "location", 5)
+
+
+def model_tests(spark, sf):
+    """Q12 over the star schema."""
+    from hirescope.functions import rules as R
+    from hirescope.operators.quality import model_tests as mt
+    s = _star(spark, sf)
+    return mt(s,
+              not_null=[("fact_jobs", "fact_id"), ("fact_jobs", "job_id"), ("fact_jobs", "job_url"),
+                        ("dim_company", "company_id"), ("dim_company", "company_name"),
+                        ("dim_location", "location_id"), ("dim_date", "date_id"), ("dim_skills", "skill_id"),
+                        ("bridge_job_skills", "job_id"), ("bridge_job_skills", "skill_id"),
+                        ("mart_job_metrics", "skill_name")],
+              unique=[("fact_jobs", "fact_id"), ("dim_job", "job_id"), ("dim_company", "company_id"),
+                      ("dim_location", "location_id"), ("dim_date", "date_id"), ("dim_skills", "skill_id"),
+                      ("dim_skills", "skill_name"), ("mart_job_metrics", "skill_name")],
+              accepted=[("dim_job", "experience_level", R.VALID_EXPERIENCE_LEVELS),
+                        ("fact_jobs", "work_type", R.VALID_WORK_TYPES),
+                        ("dim_company", "company_type", R.VALID_COMPANY_TYPES),
+                        ("mart_job_metrics", "demand_category", ["High Demand", "Medium Demand", "Niche"])],
+              relationships=[("fact_jobs", "company_id", "dim_company", "company_id"),
+                             ("fact_jobs", "location_id", "dim_location", "location_id"),
+                             ("fact_jobs", "date_id", "dim_date", "date_id"),
+                             ("bridge_job_skills", "skill_id", "dim_skills", "skill_id")])
+
+
+def kpis(spark, sf):
+    """B1: postings, companies, skills, job-skill pairs, cities, date range."""
+    s = _star(spark, sf)
+    f = s["stg_jobs"].agg(F.count(F.lit(1)).alias("postings"), F.count_distinct("company_name").alias("companies"),
+                          F.count_distinct("city").alias("cities"), F.min("posted_date").alias("first_posted"),
+                          F.max("posted_date").alias("last_posted"))
+    k = s["dim_skills"].agg(F.count(F.lit(1)).alias("skills"))
+    p = s["bridge_job_skills"].agg(F.count(F.lit(1)).alias("job_skill_pairs"))
+    return f.select("*", k.scalar().alias("skills"), p.scalar().alias("job_skill_pairs"))
+
+
+def postings_by(col):
+    def q(spark, sf):
+        """Postings per value with share."""
+        from hirescope.operators.metrics import value_counts
+        return value_counts(staged(spark, sf).select(col), col)
+    q.__name__ = f"postings_by_{col}"
+    return q
+
+
+def top_skills_per_level(spark, sf, k: int = 3):
+    """Top-k skills per seniority level."""
+    from hirescope.operators.metrics import top_k_per_group
+    s = _star(spark, sf)
+    per = (s["bridge_job_skills"].join(s["dim_skills"], "skill_id")
+           .join(s["dim_job"].select("job_id", "experience_level"), "job_id")
+           .groupBy("experience_level", "skill_name").agg(F.count(F.lit(1)).alias("n_jobs")))
+    return top_k_per_group(per, "experience_level", "skill_name", "n_jobs", k)
+
+
+def skill_roadmap(spark, sf):
+    """Share of a level's postings that ask for each skill."""
+    s = _star(spark, sf)
+    jobs = s["dim_job"].select("job_id", "experience_level")
+    lvl = jobs.groupBy("experience_level").agg(F.count(F.lit(1)).alias("level_jobs"))
+    per = (s["bridge_job_skills"].join(s["dim_skills"], "skill_id").join(jobs, "job_id")
+           .groupBy("experience_level", "skill_name").agg(F.count(F.lit(1)).alias("n_jobs")))
+    return (per.join(lvl, "experience_level")
+            .withColumn("share_pct", F.round(F.col("n_jobs").cast("double") * 100.0 / F.col("level_jobs"), 2)))

@@ -55,6 +55,17 @@ QUERIES = {
     "conversation_last_lines": web.conversation_last_lines,
     "doc_rule_labels": web.doc_rule_labels,
     "part_company_types": web.part_company_types,
+    "quality_checks": postings.quality_checks,
+    "null_profile": postings.null_profile,
+    "raw_completeness": postings.raw_completeness,
+    "raw_top_locations": postings.raw_top_locations,
+    "model_tests": postings.model_tests,
+    "kpis": postings.kpis,
+    "postings_by_company_type": postings.postings_by("company_type"),
+    "postings_by_city": postings.postings_by("city"),
+    "postings_by_job_category": postings.postings_by("job_category"),
+    "top_skills_per_level": postings.top_skills_per_level,
+    "skill_roadmap": postings.skill_roadmap,
 }
 
 ORACLE = {k: v for k, v in _ORACLE.items() if k in QUERIES}
