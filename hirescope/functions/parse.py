@@ -83,30 +83,36 @@ def parse_experience_years(raw) -> Column:
     return F.struct(mn.alias("min_experience"), mx.alias("max_experience"))
 
 
-def parse_experience_patterns(raw, patterns: list[tuple[str, str]]) -> Column:
-    """ordered (regex, kind) list; kind in {'range','plus','exact'}.
+def parse_experience_patterns(raw, patterns: list[tuple[str, str]], strip_bullet: bool = True) -> Column:
+    """ordered (regex, kind) list, kind in {'range','plus','exact'}.
 
-    Returns struct(min, max, plus) with integer years; the first pattern that
-    matches decides.
+    Case-sensitive as the originals.  Returns struct(min_experience,
+    max_experience, experience_level): a range is banded by F8, an open
+    range ('plus') is senior, a single number is banded as (x, x).
     """
-    s = F.lower(py_strip(F.regexp_replace(F.coalesce(_c(raw), F.lit("")), "·", "")))
-    mn = mx = plus = None
+    src = F.coalesce(_c(raw), F.lit(""))
+    s = py_strip(F.replace(src, F.lit("·"), F.lit("")) if strip_bullet else src)
+    mn = mx = lvl = None
     for rx, kind in patterns:
         hit = s.rlike(rx)
         a = F.regexp_extract(s, rx, 1).try_cast("int")
-        b = F.regexp_extract(s, rx, 2).try_cast("int") if kind == "range" else (a if kind == "exact" else F.lit(None).cast("int"))
-        p = F.lit(kind == "plus")
+        if kind == "range":
+            b = F.regexp_extract(s, rx, 2).try_cast("int")
+            lv = categorize_experience(a, b)
+        elif kind == "plus":
+            b, lv = F.lit(None).cast("int"), F.lit("senior")
+        else:
+            b, lv = a, categorize_experience(a, a)
         mn = F.when(hit, a) if mn is None else mn.when(hit, a)
         mx = F.when(hit, b) if mx is None else mx.when(hit, b)
-        plus = F.when(hit, p) if plus is None else plus.when(hit, p)
-    return F.struct(mn.alias("min_experience"), mx.alias("max_experience"),
-                    F.coalesce(plus.otherwise(False), F.lit(False)).alias("open_ended"))
+        lvl = F.when(hit, lv) if lvl is None else lvl.when(hit, lv)
+    return F.struct(mn.alias("min_experience"), mx.alias("max_experience"), lvl.alias("experience_level"))
 
 
-JSON_EXPERIENCE_PATTERNS = [(r"(\d+)\s*-\s*(\d+)\s*yrs?", "range"), (r"(\d+)\s*\+\s*yrs?", "plus"),
-                            (r"(\d+)\s*yrs?", "exact")]
-CSV_EXPERIENCE_PATTERNS = [(r"(\d+)\s*to\s*(\d+)\s*years?", "range"), (r"more than\s*(\d+)\s*years?", "plus"),
-                           (r"(\d+)\s*years?", "exact")]
+JSON_EXPERIENCE_PATTERNS = [(r"(\d+)\s*-\s*(\d+)\s*Yrs?", "range"), (r"(\d+)\+\s*Yrs?", "plus"),
+                            (r"(\d+)\s*Yrs?", "exact")]
+CSV_EXPERIENCE_PATTERNS = [(r"(\d+)\s*To\s*(\d+)\s*Years", "range"), (r"More Than (\d+) Years", "plus"),
+                           (r"(\d+)\s*Years", "exact")]
 
 
 def categorize_experience(mn, mx) -> Column:

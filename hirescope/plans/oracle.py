@@ -106,8 +106,11 @@ def _postings_sql() -> str:
     location = f"{lst(PT.LOCATIONS)}[(({k} // 2) % {len(PT.LOCATIONS)}) + 1]"
     tail = f"{lst(PT.POSTED_TAILS)}[((({k} // 3)) % {len(PT.POSTED_TAILS)}) + 1]"
     n = len(PT.SKILL_POOL)
-    slug = f"trim(regexp_replace(lower({location}), '[^a-z0-9]+', '-', 'g'), '-')"
-    job_id = f"concat_ws('-', CAST({k} // 2 AS VARCHAR), {slug})"
+    def slug(x):
+        return f"trim(regexp_replace(lower({x}), '[^a-z0-9]+', '-', 'g'), '-')"
+    t_pair = f"{lst(PT.TITLES)}[(({k} // 2) % {len(PT.TITLES)}) + 1]"
+    c_pair = f"{lst(PT.COMPANIES)}[(({k} // 2) % {len(PT.COMPANIES)}) + 1]"
+    job_id = f"concat_ws('-', CAST({k} // 2 AS VARCHAR), {slug(t_pair)}, {slug(c_pair)}, {slug(location)})"
     raw = f"""
     SELECT {k} AS pos, {job_id} AS job_id, {title} AS title, {company} AS company, {location} AS location,
       {lst(PT.JOB_TYPES)}[({k} % {len(PT.JOB_TYPES)}) + 1] AS job_type,
@@ -598,3 +601,113 @@ SELECT s.experience_level, s.skill_name, s.n_jobs, l.level_jobs,
   round(s.n_jobs::DOUBLE * 100.0 / l.level_jobs, 2) AS share_pct
 FROM ({LEVEL_SKILL}) s JOIN (SELECT experience_level, count(*) AS level_jobs FROM ({STG}) GROUP BY 1) l USING (experience_level)
 """
+
+# --------------------------------------------------------- notebook fields
+def initcap(x: str) -> str:
+    """Spark initcap: lower-case, then upper-case the first letter of each blank-separated word."""
+    return f"array_to_string(list_transform(string_split(lower({x}), ' '), lambda w: upper(left(w, 1)) || substr(w, 2)), ' ')"
+
+
+def band(a: str, b: str) -> str:
+    v = f"(CASE WHEN ({b}) IS NULL OR ({b}) = 0 THEN ({a}) ELSE (({a}) + ({b})) / 2 END)"
+    return f"CASE WHEN {v} IS NULL THEN NULL WHEN {v} <= 2 THEN 'junior' WHEN {v} <= 5 THEN 'mid' WHEN {v} <= 8 THEN 'senior' ELSE 'executive' END"
+
+
+def exp_fields(s: str, pats) -> tuple[str, str, str]:
+    mn, mx, lv = [], [], []
+    for rx, kind in pats:
+        a = f"TRY_CAST(regexp_extract({s}, '{rx}', 1) AS INTEGER)"
+        if kind == "range":
+            b = f"TRY_CAST(regexp_extract({s}, '{rx}', 2) AS INTEGER)"
+            lvl = band(a, b)
+        elif kind == "plus":
+            b, lvl = "CAST(NULL AS INTEGER)", "'senior'"
+        else:
+            b, lvl = a, band(a, a)
+        hit = f"regexp_matches({s}, '{rx}')"
+        mn.append(f"WHEN {hit} THEN {a}")
+        mx.append(f"WHEN {hit} THEN {b}")
+        lv.append(f"WHEN {hit} THEN {lvl}")
+    return tuple("CASE " + " ".join(x) + " END" for x in (mn, mx, lv))
+
+
+def _notebook_sql() -> str:
+    from hirescope.functions.parse import CSV_EXPERIENCE_PATTERNS, JSON_EXPERIENCE_PATTERNS
+    sj = strip("replace(coalesce(experience, ''), '·', '')")
+    sc = strip("coalesce(experience, '')")
+    jmn, jmx, jlv = exp_fields(sj, JSON_EXPERIENCE_PATTERNS)
+    cmn, cmx, clv = exp_fields(sc, CSV_EXPERIENCE_PATTERNS)
+    loc = f"coalesce({strip('location')}, '')"
+    parts = f"list_transform(string_split({loc}, ','), lambda p: {strip('p')})"
+    loc_city = f"CASE WHEN {loc} = '' THEN 'Unknown' ELSE {parts}[1] END"
+    loc_country = f"CASE WHEN {loc} = '' THEN 'Unknown' WHEN len({parts}) = 1 THEN 'Egypt' ELSE {parts}[-1] END"
+    company = f"""CASE WHEN company IS NULL OR lower({strip('company')}) IN ('', 'experienced', 'confidential') THEN 'Unknown'
+                  ELSE {strip('company')} END"""
+
+    def label(x, m, null):
+        arms = " ".join(f"WHEN {q(a)} THEN {q(b)}" for a, b in m.items())
+        return f"CASE WHEN {x} IS NULL THEN {q(null)} ELSE (CASE {strip(x)} {arms} ELSE {strip(x)} END) END"
+    tail = strip("string_split(location, ',')[-1]")
+    u = "lower(url)"
+
+    def first_city(cities, suffixes, names):
+        conds = " OR ".join(f"contains({u}, '-' || c || {q(sfx)})" for sfx in suffixes)
+        c = f"list_filter({lst(cities)}, lambda c: {conds})[1]"
+        arms = " ".join(f"WHEN {q(x)} THEN {q(names(x))}" for x in cities)
+        return f"(CASE {c} {arms} END)"
+
+    def eg_name(x):
+        t = x.replace("-", " ").title()
+        return R.URL_CITY_NAME_FIXES.get(t, R.URL_CITY_NAME_FIXES.get(" ".join(w[:1].upper() + w[1:] for w in x.replace('-', ' ').split(' ')), t))
+    eg = first_city(R.URL_EGYPT_CITIES, ["-egypt", ",-egypt"], eg_name)
+    sa = first_city(R.URL_SAUDI_CITIES, ["-saudi", "-sa"], lambda x: x.title())
+    ae = first_city(R.URL_UAE_CITIES, ["-uae", "-united"], lambda x: x.title())
+    is_sa = f"(contains({u}, '-saudi-arabia') OR contains({u}, '-sa'))"
+    is_ae = f"(contains({u}, '-united-arab-emirates') OR contains({u}, '-uae'))"
+    url_city = f"""CASE WHEN url IS NULL OR url = '' THEN 'Unknown'
+      WHEN contains({u}, '-egypt') THEN coalesce({eg}, 'Unknown')
+      WHEN {is_sa} THEN coalesce({sa}, 'Unknown') WHEN {is_ae} THEN coalesce({ae}, 'Unknown') ELSE 'Unknown' END"""
+    others = " ".join(f"WHEN contains({u}, {q(m)}) THEN {q(n)}" for m, n in R.URL_OTHER_COUNTRIES)
+    url_country = f"""CASE WHEN url IS NULL OR url = '' THEN 'Unknown' WHEN contains({u}, '-egypt') THEN 'Egypt'
+      WHEN {is_sa} THEN 'Saudi Arabia' WHEN {is_ae} THEN 'UAE' {others} ELSE 'Unknown' END"""
+    fixes = "x"
+    for a, b in R.COMPANY_WORD_FIXES:
+        fixes = f"replace({fixes}, {q(a)}, {q(b)})"
+    locs = lst(R.URL_LOCATION_TOKENS)
+    url_company = f"""(SELECT CASE WHEN url IS NULL OR url = '' OR NOT contains(url, 'wuzzuf.net') THEN 'Unknown'
+         WHEN len(comp) = 0 THEN 'Confidential'
+         ELSE (SELECT {fixes} FROM (SELECT array_to_string(list_transform(comp, lambda t: upper(left(t, 1)) || substr(t, 2)), ' ') AS x)) END
+      FROM (SELECT CASE WHEN pz IS NOT NULL THEN list_slice(rest, 1, pz - 1) ELSE rest END AS comp
+        FROM (SELECT rest, list_position(list_transform(rest, lambda t: list_contains({locs}, t)), true) AS pz
+          FROM (SELECT list_slice(parts, CASE WHEN fst IS NULL THEN 2 ELSE coalesce(nxt - 1, n) + 1 END, n) AS rest
+            FROM (SELECT parts, n, fst, list_min(list_filter(range(2, n + 1), lambda j: j > fst AND NOT list_contains(tp, parts[j]))) AS nxt
+              FROM (SELECT parts, n, tp, list_min(list_filter(range(2, n + 1), lambda j: list_contains(tp, parts[j]))) AS fst
+                FROM (SELECT parts, len(parts) AS n,
+                        string_split(trim(regexp_replace(lower(coalesce(title, 'None')), '[^a-z0-9]+', '-', 'g'), '-'), '-') AS tp
+                      FROM (SELECT string_split(lower(string_split(url, '/')[-1]), '-') AS parts))))))))"""
+    cur = strip(initcap(f"coalesce(({loc_city}), 'None')"))
+    dmap = " ".join(f"WHEN {q(a)} THEN {q(b)}" for a, b in R.DISTRICT_TO_CITY.items())
+    gov = f"(CASE {cur} {dmap} END)"
+    rw = ["remote", "work from home", "wfh"]
+    txt = "lower(concat_ws(' ', title, url))"
+    wt1 = f"CASE WHEN {contains_any(txt, rw)} THEN 'Remote' WHEN contains({txt}, 'hybrid') THEN 'Hybrid' ELSE 'On-site' END"
+    txt2 = "lower(concat_ws(' ', job_id, title, company, location, job_type, experience, posted_raw, url, scraped_at, keyword))"
+    wt2 = f"CASE WHEN {contains_any(txt2, rw + ['telecommute'])} THEN 'Remote' WHEN contains({txt2}, 'hybrid') THEN 'Hybrid' ELSE 'On-site' END"
+    tails = inlist(R.KNOWN_WORK_MODES + R.KNOWN_JOB_TYPES)
+    arr = "string_split(location, ',')"
+    idx = f"coalesce(list_max(list_filter(range(1, len({arr}) + 1), lambda i: NOT (lower({strip(arr + '[i]')}) IN {tails}))), 0)"
+    return f"""
+    SELECT pos, {jmn} AS json_min, {jmx} AS json_max, {jlv} AS json_level,
+      {cmn} AS csv_min, {cmx} AS csv_max, {clv} AS csv_level,
+      {loc_city} AS loc_city, {loc_country} AS loc_country, {company} AS company_clean,
+      {label('job_type', R.JOB_TYPE_MAP, R.JOB_TYPE_NULL)} AS job_type_label,
+      {label(tail, R.WORKPLACE_MAP, R.WORKPLACE_NULL)} AS workplace_label,
+      {url_city} AS url_city, {url_country} AS url_country, {url_company} AS url_company,
+      coalesce({gov}, {cur}) AS governorate, CASE WHEN {gov} IS NOT NULL THEN {cur} ELSE {q(R.DISTRICT_MAIN)} END AS district,
+      {wt1} AS work_type_title, {wt2} AS work_type_any,
+      array_to_string(CASE WHEN {idx} > 0 THEN list_slice({arr}, 1, {idx}) ELSE [] END, ',') AS peeled_location,
+      CASE WHEN len({arr}) > {idx} THEN {arr}[-1] END AS peeled_type
+    FROM ({RAW_SQL})"""
+
+
+ORACLE["notebook_fields"] = _notebook_sql()

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from hirescope.functions import parse as P
 from hirescope.functions.skills import clean_skills_list, list_to_text
-from hirescope.functions.text import collapse_ws, slugify
+from hirescope.functions.text import collapse_ws, py_strip, slugify
 from hirescope.operators.dedup import keep_last
 from hirescope.sources.tables import spread, table
 
@@ -65,7 +65,8 @@ def raw_postings(spark: SparkSession, sf: str) -> DataFrame:
         F.concat_ws("\n", title, F.concat_ws(" - ", company, location), tail))
     skills = F.slice(F.array(*[F.lit(s) for s in SKILL_POOL]), (k % len(SKILL_POOL)).cast("int") + 1,
                      (k % 7).cast("int"))
-    job_id = F.concat_ws("-", pair.cast("string"), slugify(location, "-"))
+    job_id = F.concat_ws("-", pair.cast("string"), slugify(_pick(TITLES, pair), "-"),
+                         slugify(_pick(COMPANIES, pair), "-"), slugify(location, "-"))
     scraped = F.concat(F.date_format(F.date_add(F.to_date("o_orderdate"), (k % 5).cast("int")),
                                      "yyyy-MM-dd'T'HH:mm:ss"), F.lit("+00:00"))
     return o.select(
@@ -77,6 +78,40 @@ def raw_postings(spark: SparkSession, sf: str) -> DataFrame:
         _pick(KEYWORDS, k).alias("keyword"))
 
 
+def notebook_fields(spark: SparkSession, sf: str) -> DataFrame:
+    """Notebook cleaning variants over the raw postings: F6/F7 experience
+    parsers with F8 banding, F26 location split, F27 company clean, F28 label
+    maps, F29 location from URL, F36 company from URL, F37 district lookup,
+    F41/F42 work type, F53 location-tail peeling."""
+    from hirescope.functions import rules as R
+    from hirescope.functions import slug as S
+    r = raw_postings(spark, sf)
+    ej = P.parse_experience_patterns("experience", P.JSON_EXPERIENCE_PATTERNS)
+    ec = P.parse_experience_patterns("experience", P.CSV_EXPERIENCE_PATTERNS, strip_bullet=False)
+    loc = P.split_location("location")
+    ul = S.location_from_url("url")
+    hier = S.location_hierarchy(loc["city"])
+    peel = P.peel_location_tail(F.split("location", ","))
+    tail = py_strip(F.element_at(F.split("location", ","), -1))
+    return r.select(
+        "pos",
+        ej["min_experience"].alias("json_min"), ej["max_experience"].alias("json_max"),
+        ej["experience_level"].alias("json_level"),
+        ec["min_experience"].alias("csv_min"), ec["max_experience"].alias("csv_max"),
+        ec["experience_level"].alias("csv_level"),
+        loc["city"].alias("loc_city"), loc["country"].alias("loc_country"),
+        P.clean_company("company").alias("company_clean"),
+        S.map_label("job_type", R.JOB_TYPE_MAP, R.JOB_TYPE_NULL).alias("job_type_label"),
+        S.map_label(tail, R.WORKPLACE_MAP, R.WORKPLACE_NULL).alias("workplace_label"),
+        ul["city"].alias("url_city"), ul["country"].alias("url_country"),
+        S.company_from_url("url", "title").alias("url_company"),
+        hier["governorate"].alias("governorate"), hier["district"].alias("district"),
+        P.work_type_from_text("title", "url").alias("work_type_title"),
+        P.work_type_from_text(*[c for c in r.columns if c not in ("pos", "skills")],
+                              remote_words=P.REMOTE_WORDS_EVERYWHERE).alias("work_type_any"),
+        F.array_join(peel["location"], ",").alias("peeled_location"), peel["job_type"].alias("peeled_type"))
+
+
 def normalize_raw(raw: DataFrame) -> DataFrame:
     """S1 mapping: raw field names -> pipeline names, city and work type derived."""
     return raw.select(

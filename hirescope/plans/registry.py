@@ -12,6 +12,7 @@ QUERIES = {
     "top_skills": docs.top_skills,
     "skill_slice": docs.skill_slice,
     "cleaned_postings": postings.cleaned_postings_report,
+    "notebook_fields": postings.notebook_fields,
     "stg_jobs": postings.stg_report,
     "dim_job": postings.dim_job,
     "dim_company": postings.dim_company,
