@@ -51,30 +51,45 @@ def location_from_url(url) -> Column:
     return F.struct(city.alias("city"), country.otherwise("Unknown").alias("country"))
 
 
-def company_from_url(url, title) -> Column:
-    """slug tokens after the title run, up to the first location token;
-    none -> Confidential; not a posting URL -> Unknown."""
-    u = _c(url)
-    parts = F.split(F.lower(F.element_at(F.split(u, "/"), -1)), "-")
-    tslug = F.regexp_replace(F.regexp_replace(F.lower(F.coalesce(_c(title).cast("string"), F.lit("None"))),
+def with_company_from_url(df, url: str, title: str, out: str = "url_company"):
+    """F36 as a DataFrame step: slug tokens after the (first) run of title
+    tokens, up to the first location token; none -> Confidential; not a
+    posting URL -> Unknown.
+
+    The token arrays are materialized once per row in their own projection
+    and every later step consumes them as lambda *inputs* (``zip_with``,
+    ``aggregate``) -- never as outer references inside a lambda, which would
+    re-evaluate them per element.
+    """
+    from pyspark.sql import DataFrame  # noqa: F401
+    u = F.col(url)
+    tslug = F.regexp_replace(F.regexp_replace(F.lower(F.coalesce(F.col(title).cast("string"), F.lit("None"))),
                                               "[^a-z0-9]+", "-"), "^-+|-+$", "")
-    tparts = F.split(tslug, "-")
-    n = F.size(parts)
-    idx = F.sequence(F.lit(2), F.greatest(n, F.lit(2)))
-    in_title = lambda j: (j <= n) & F.array_contains(tparts, F.element_at(parts, j))
-    first = F.array_min(F.filter(idx, in_title))
-    end = F.coalesce(F.array_min(F.filter(idx, lambda j: (j > first) & (j <= n) & ~in_title(j))) - 1, n)
-    start = F.when(first.isNull(), F.lit(2)).otherwise(end + 1)
-    rest = F.when(start <= n, F.slice(parts, start, F.greatest(n - start + 1, F.lit(1)))) \
-        .otherwise(F.array().cast("array<string>"))
+    d = df.withColumns({"_parts": F.split(F.lower(F.element_at(F.split(u, "/"), -1)), "-"),
+                        "_tparts": F.split(tslug, "-")})
+    d = d.withColumn("_flags", F.zip_with("_parts", F.array_repeat("_tparts", F.size("_parts")),
+                                          lambda t, tp: F.array_contains(tp, t)))
+    # fold over (flag, position): start moves past each title token of the first run
+    z = F.arrays_zip(F.col("_flags").alias("f"), F.sequence(F.lit(1), F.size("_parts")).alias("j"))
+    init = F.struct(F.lit(2).alias("start"), F.lit(False).alias("broke"))
+    d = d.withColumn("_start", F.aggregate(z, init, lambda acc, e: (
+        F.when((e["j"] < 2) | acc["broke"], acc)
+         .when(e["f"], F.struct((e["j"] + 1).alias("start"), F.lit(False).alias("broke")))
+         .when(acc["start"] > 2, F.struct(acc["start"].alias("start"), F.lit(True).alias("broke")))
+         .otherwise(acc)))["start"])
+    n = F.size("_parts")
+    d = d.withColumn("_rest", F.when(F.col("_start") <= n, F.slice("_parts", F.col("_start"), n - F.col("_start") + 1))
+                     .otherwise(F.array().cast("array<string>")))
     locs = F.array(*[F.lit(x) for x in R.URL_LOCATION_TOKENS])
-    pos = F.array_position(F.transform(rest, lambda t: F.array_contains(locs, t)), F.lit(True))
-    comp = F.when(pos > 0, F.slice(rest, 1, F.greatest(pos - 1, F.lit(0)))).otherwise(rest)
-    name = F.initcap(F.array_join(comp, " "))
+    d = d.withColumn("_pos", F.array_position(F.transform("_rest", lambda t: F.array_contains(locs, t)), F.lit(True)))
+    d = d.withColumn("_comp", F.when(F.col("_pos") > 0, F.slice("_rest", 1, F.greatest(F.col("_pos") - 1, F.lit(0))))
+                     .otherwise(F.col("_rest")))
+    name = F.initcap(F.array_join("_comp", " "))
     for a, b in R.COMPANY_WORD_FIXES:
         name = F.replace(name, F.lit(a), F.lit(b))
-    return (F.when(u.isNull() | (u == "") | ~u.contains("wuzzuf.net"), "Unknown")
-            .when(F.size(comp) == 0, "Confidential").otherwise(name))
+    res = (F.when(u.isNull() | (u == "") | ~u.contains("wuzzuf.net"), "Unknown")
+           .when(F.size("_comp") == 0, "Confidential").otherwise(name))
+    return d.withColumn(out, res).drop("_parts", "_tparts", "_flags", "_start", "_rest", "_pos", "_comp")
 
 
 def location_hierarchy(city) -> Column:

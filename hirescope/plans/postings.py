@@ -85,7 +85,7 @@ def notebook_fields(spark: SparkSession, sf: str) -> DataFrame:
     F41/F42 work type, F53 location-tail peeling."""
     from hirescope.functions import rules as R
     from hirescope.functions import slug as S
-    r = raw_postings(spark, sf)
+    r = S.with_company_from_url(raw_postings(spark, sf), "url", "title", "url_company")
     ej = P.parse_experience_patterns("experience", P.JSON_EXPERIENCE_PATTERNS)
     ec = P.parse_experience_patterns("experience", P.CSV_EXPERIENCE_PATTERNS, strip_bullet=False)
     loc = P.split_location("location")
@@ -104,10 +104,10 @@ def notebook_fields(spark: SparkSession, sf: str) -> DataFrame:
         S.map_label("job_type", R.JOB_TYPE_MAP, R.JOB_TYPE_NULL).alias("job_type_label"),
         S.map_label(tail, R.WORKPLACE_MAP, R.WORKPLACE_NULL).alias("workplace_label"),
         ul["city"].alias("url_city"), ul["country"].alias("url_country"),
-        S.company_from_url("url", "title").alias("url_company"),
+        "url_company",
         hier["governorate"].alias("governorate"), hier["district"].alias("district"),
         P.work_type_from_text("title", "url").alias("work_type_title"),
-        P.work_type_from_text(*[c for c in r.columns if c not in ("pos", "skills")],
+        P.work_type_from_text(*[c for c in r.columns if c not in ("pos", "skills", "url_company")],
                               remote_words=P.REMOTE_WORDS_EVERYWHERE).alias("work_type_any"),
         F.array_join(peel["location"], ",").alias("peeled_location"), peel["job_type"].alias("peeled_type"))
 

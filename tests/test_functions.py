@@ -122,7 +122,12 @@ def test_split_location_and_url(spark):
     assert (r["city"], r["country"]) == ("Alexandria", "Egypt")
     df = spark.createDataFrame([("https://wuzzuf.net/jobs/p/f3fi-middle-data-engineer-vertex-technologies-cairo-egypt",
                                  "Middle Data Engineer")], "u string, t string")
-    assert df.select(S.company_from_url("u", "t")).first()[0] == "Vertex Technologies"
+    assert S.with_company_from_url(df, "u", "t", "c").first()["c"] == "Vertex Technologies"
+    df = spark.createDataFrame([("https://wuzzuf.net/jobs/p/x-senior-the-acme-and-sons-of-cairo-x", "Senior"),
+                                ("https://wuzzuf.net/jobs/p/x-cairo-egypt", "Analyst"), ("https://x.com/a", "A")],
+                               "u string, t string")
+    assert [r["c"] for r in S.with_company_from_url(df, "u", "t", "c").collect()] == [
+        "Acme & Sons Of", "Confidential", "Unknown"]
 
 
 def test_helpers(spark):
