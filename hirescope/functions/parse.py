@@ -230,3 +230,21 @@ def egypt_only(url, city) -> Column:
     u = F.lower(F.coalesce(_c(url).cast("string"), F.lit("None")))
     c = F.lower(F.coalesce(_c(city).cast("string"), F.lit("None")))
     return ~contains_any(u, R.NON_EGYPT_URL_PATTERNS) & ~c.isin(R.NON_EGYPT_CITIES)
+
+
+def classify_category_wide(title) -> Column:
+    """wider keyword groups; the title itself when nothing matches."""
+    t = _c(title).cast("string")
+    return rule_chain(F.lower(F.coalesce(t, F.lit("None"))), R.CATEGORY_RULES_WIDE, F.coalesce(t, F.lit("None")))
+
+
+def collapse_category(cat) -> Column:
+    """anything outside the standard list -> other."""
+    return F.when(_c(cat).isin(R.STANDARD_CATEGORIES), _c(cat)).otherwise(F.lit(R.CATEGORY_DEFAULT))
+
+
+def reclassify_other(cat, title) -> Column:
+    """F24 + P14: second rule pass applied only where the category is 'other'."""
+    t = F.lower(F.coalesce(_c(title).cast("string"), F.lit("None")))
+    return F.when(_c(cat) == R.CATEGORY_DEFAULT,
+                  rule_chain(t, R.RECLASSIFY_OTHER_RULES, R.CATEGORY_DEFAULT)).otherwise(_c(cat))

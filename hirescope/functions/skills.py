@@ -28,7 +28,7 @@ def is_tech_skill(skill) -> Column:
 
 
 def clean_skills_list(arr, bullet: str = "drop", vocabulary: bool = True,
-                      markers=None, min_len: int = 0) -> Column:
+                      markers=None, min_len: int = 0, noise=None) -> Column:
     """F13 (and F18 via ``markers`` / ``vocabulary=False``).
 
     Per element: strip; drop if longer than 50, holding a sentence marker, a
@@ -36,6 +36,7 @@ def clean_skills_list(arr, bullet: str = "drop", vocabulary: bool = True,
     ``bullet='strip'`` removes a leading bullet instead of dropping the skill.
     """
     markers = R.SKILL_SENTENCE_MARKERS if markers is None else markers
+    noise = R.SKILL_NOISE if noise is None else noise
     s = F.transform(F.coalesce(_c(arr), F.array().cast("array<string>")),
                     lambda x: py_strip(F.coalesce(x, F.lit("None"))))
     if bullet == "strip":
@@ -46,7 +47,7 @@ def clean_skills_list(arr, bullet: str = "drop", vocabulary: bool = True,
         low = F.lower(x)
         ok = ((F.length(x) <= R.SKILL_MAX_LEN)
               & ~contains_any(x, markers)
-              & ~low.isin(R.SKILL_NOISE)
+              & ~low.isin(list(noise))
               & (count_contained(low, R.SKILL_TITLE_WORDS) < 2))
         if min_len:
             ok = ok & (F.length(x) >= min_len)
@@ -60,23 +61,27 @@ def clean_skills_list(arr, bullet: str = "drop", vocabulary: bool = True,
 def clean_skills_regex(arr, noise_patterns: list[str], min_len: int = 3) -> Column:
     """drop elements matching any noise regex (case-insensitive, anchored
     at the start) or shorter than ``min_len``; de-duplicate."""
-    rx = "(?i)^(" + "|".join(noise_patterns) + ")"
-    s = F.transform(F.coalesce(_c(arr), F.array().cast("array<string>")), lambda x: py_strip(x))
+    rx = "(?i)^(?:" + "|".join(noise_patterns) + ")"
+    s = F.filter(F.coalesce(_c(arr), F.array().cast("array<string>")), lambda x: x.isNotNull() & (x != ""))
+    s = F.transform(s, lambda x: py_strip(x))
     return F.array_distinct(F.filter(s, lambda x: ~x.rlike(rx) & (F.length(x) >= min_len)))
 
 
 def clean_skills_policy(arr, exact_drop: list[str], bullet: str = "drop", min_len: int = 2) -> Column:
-    """Exact-match drop set, bullet prefix dropped or stripped,
-    dash-suffixed dropped, shorter than ``min_len`` dropped; de-duplicated."""
-    s = F.transform(F.coalesce(_c(arr), F.array().cast("array<string>")), lambda x: py_strip(x))
+    """Case-sensitive exact-match drop set; a bullet-prefixed skill
+    is dropped (v2) or has its bullet removed (final: ``'· '`` -> rest as is,
+    ``'·'`` -> rest stripped); dash-suffixed and shorter than ``min_len``
+    dropped; empty / null skipped; de-duplicated."""
+    s = F.filter(F.coalesce(_c(arr), F.array().cast("array<string>")), lambda x: x.isNotNull() & (x != ""))
+    s = F.transform(s, lambda x: py_strip(x))
     if bullet == "strip":
-        s = F.transform(s, lambda x: py_strip(F.regexp_replace(x, r"^[·•]\s*", "")))
-    low_drop = [w.lower() for w in exact_drop]
+        s = F.transform(s, lambda x: F.when(x.startswith("· "), F.substring(x, 3, 1 << 30))
+                        .when(x.startswith("·"), py_strip(F.substring(x, 2, 1 << 30))).otherwise(x))
 
     def keep(x):
-        ok = ~F.lower(x).isin(low_drop) & ~x.endswith("-") & (F.length(x) >= min_len)
+        ok = ~x.isin(list(exact_drop)) & ~x.endswith("-") & (F.length(x) >= min_len)
         if bullet == "drop":
-            ok = ok & ~x.rlike(r"^[·•]")
+            ok = ok & ~x.startswith("·")
         return ok
 
     return F.array_distinct(F.filter(s, keep))

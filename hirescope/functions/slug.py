@@ -103,3 +103,36 @@ def location_hierarchy(city) -> Column:
 def seeded_flag(key, seed: int, probability: float) -> Column:
     """repeatable pseudo-random flag per key (same rows at any partitioning)."""
     return (F.pmod(F.xxhash64(_c(key), F.lit(seed)), F.lit(1000)) / 1000.0) < probability
+
+
+def governorate_from_url(current, url) -> Column:
+    """keep a known governorate; if 'Unknown', take the last slug token
+    before ``-egypt`` (title-cased), then apply the fix map."""
+    cur = F.coalesce(_c(current).cast("string"), F.lit("Unknown"))
+    m = F.regexp_extract(F.lower(F.coalesce(_c(url).cast("string"), F.lit("None"))), R.GOVERNORATE_URL_PATTERN, 1)
+    got = F.when(m != "", F.initcap(F.element_at(F.split(m, "-"), -1))).otherwise(cur)
+    val = F.when(cur != "Unknown", cur).otherwise(got)
+    return F.coalesce(F.try_element_at(_map(R.GOVERNORATE_FIXES), val), val)
+
+
+def district_from_url(url, current) -> Column:
+    """first listed district found in the URL (title-cased), else keep."""
+    u = F.lower(F.coalesce(_c(url).cast("string"), F.lit("None")))
+    hit = F.try_element_at(F.filter(F.array(*[F.lit(d) for d in R.URL_DISTRICTS]), lambda d: u.contains(d)), F.lit(1))
+    return F.coalesce(F.initcap(F.replace(hit, F.lit("-"), F.lit(" "))), _c(current))
+
+
+def city_from_district(district, city) -> Column:
+    """F39 (second half): a known district forces its city (P14 masked update)."""
+    fix = F.try_element_at(_map(R.DISTRICT_CITY_FIXES), _c(district))
+    return F.coalesce(fix, _c(city))
+
+
+def final_city_check(city, url) -> Column:
+    """Keep a valid governorate, else the first listed one found in
+    the URL, else the drop sentinel."""
+    c = py_strip(F.coalesce(_c(city).cast("string"), F.lit("None")))
+    u = F.lower(F.coalesce(_c(url).cast("string"), F.lit("None")))
+    hit = F.try_element_at(F.filter(F.array(*[F.lit(g) for g in R.EGYPT_GOVERNORATES]),
+                                    lambda g: u.contains(F.lower(g))), F.lit(1))
+    return F.when(c.isin(R.EGYPT_GOVERNORATES), c).otherwise(F.coalesce(hit, F.lit(R.CITY_DROP_SENTINEL)))

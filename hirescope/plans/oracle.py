@@ -711,3 +711,67 @@ def _notebook_sql() -> str:
 
 
 ORACLE["notebook_fields"] = _notebook_sql()
+
+# ------------------------------------------------- notebook categories/skills
+def _cat_chain(x: str, rules, default_expr: str) -> str:
+    arms = " ".join(f"WHEN {contains_any(x, kws)} THEN {q(label)}" for label, kws in rules)
+    return f"CASE {arms} ELSE {default_expr} END"
+
+
+def _notebook_cat_skills_sql() -> str:
+    t = "coalesce(title, 'None')"
+    wide = _cat_chain(f"lower({t})", R.CATEGORY_RULES_WIDE, t)
+    std = f"CASE WHEN ({wide}) IN {inlist(R.STANDARD_CATEGORIES)} THEN ({wide}) ELSE 'other' END"
+    final = f"CASE WHEN ({std}) = 'other' THEN {_cat_chain(f'lower({t})', R.RECLASSIFY_OTHER_RULES, q('other'))} ELSE ({std}) END"
+    base = f"list_transform(list_filter(skills, lambda x: x IS NOT NULL AND x <> ''), lambda x: {strip('x')})"
+    rx = "(?i)^(?:" + "|".join(R.SKILL_NOISE_PATTERNS_V1) + ")"
+    v1 = f"list_filter({base}, lambda x: NOT regexp_matches(x, {q(rx)}) AND length(x) >= 3)"
+    rm = inlist(R.SKILL_REMOVE_ITEMS)
+    v2 = f"list_filter({base}, lambda x: NOT (x IN {rm}) AND NOT ends_with(x, '-') AND length(x) >= 2 AND NOT starts_with(x, '·'))"
+    st = f"""list_transform({base}, lambda x: CASE WHEN starts_with(x, '· ') THEN substr(x, 3)
+             WHEN starts_with(x, '·') THEN {strip('substr(x, 2)')} ELSE x END)"""
+    fin = f"list_filter({st}, lambda x: NOT (x IN {rm}) AND NOT ends_with(x, '-') AND length(x) >= 2)"
+    words = " + ".join(f"CAST(contains(lower(x), {q(w)}) AS INTEGER)" for w in dict.fromkeys(R.SKILL_TITLE_WORDS))
+    late = (f"list_filter(list_transform(skills, lambda x: {strip(chr(99) + 'oalesce(x, ' + q('None') + ')')}), "
+            f"lambda x: length(x) <= {R.SKILL_MAX_LEN} AND NOT {contains_any('x', R.SKILL_MARKERS_LATE)} "
+            f"AND lower(x) NOT IN {inlist(R.SKILL_NOISE_LATE)} AND ({words}) < 2)")
+
+    def j(a):
+        return f"array_to_string(list_sort(list_distinct({a})), '|')"
+    return f"""
+    SELECT pos, {wide} AS category_wide, {std} AS category_std, {final} AS category_final,
+      {j(v1)} AS skills_v1, {j(v2)} AS skills_v2, {j(fin)} AS skills_final, array_to_string({late}, '|') AS skills_late
+    FROM ({RAW_SQL})"""
+
+
+ORACLE["notebook_categories_skills"] = _notebook_cat_skills_sql()
+
+
+def _notebook_location_sql() -> str:
+    loc = f"coalesce({strip('location')}, '')"
+    parts = f"list_transform(string_split({loc}, ','), lambda p: {strip('p')})"
+    loc_city = f"CASE WHEN {loc} = '' THEN 'Unknown' ELSE {parts}[1] END"
+    dmap = " ".join(f"WHEN {q(a)} THEN {q(b)}" for a, b in R.DISTRICT_TO_CITY.items())
+    gfix = " ".join(f"WHEN {q(a)} THEN {q(b)}" for a, b in R.GOVERNORATE_FIXES.items())
+    cfix = " ".join(f"WHEN {q(a)} THEN {q(b)}" for a, b in R.DISTRICT_CITY_FIXES.items())
+    u = "lower(coalesce(url, 'None'))"
+    dist_hit = f"list_filter({lst(R.URL_DISTRICTS)}, lambda d: contains({u}, d))[1]"
+    gov_hit = f"list_filter({lst(R.EGYPT_GOVERNORATES)}, lambda g: contains({u}, lower(g)))[1]"
+    return f"""
+    WITH a AS (SELECT pos, url, {strip(initcap(f"coalesce(({loc_city}), 'None')"))} AS cur FROM ({RAW_SQL})),
+    b AS (SELECT pos, url, coalesce((CASE cur {dmap} END), cur) AS governorate,
+                 CASE WHEN (CASE cur {dmap} END) IS NOT NULL THEN cur ELSE {q(R.DISTRICT_MAIN)} END AS district FROM a),
+    c AS (SELECT pos, url, district, coalesce(governorate, 'Unknown') AS g0,
+                 regexp_extract({u}, {q(R.GOVERNORATE_URL_PATTERN)}, 1) AS m FROM b),
+    d AS (SELECT pos, url, district,
+                 CASE WHEN g0 <> 'Unknown' THEN g0 WHEN m <> '' THEN {initcap("string_split(m, '-')[-1]")} ELSE g0 END AS v FROM c),
+    e AS (SELECT pos, url, CASE v {gfix} ELSE v END AS governorate,
+                 coalesce({initcap(f"replace({dist_hit}, '-', ' ')")}, district) AS district FROM d),
+    f AS (SELECT pos, url, governorate, district, coalesce((CASE district {cfix} END), governorate) AS city FROM e),
+    g AS (SELECT pos, governorate, district,
+                 CASE WHEN {strip("coalesce(city, 'None')")} IN {inlist(R.EGYPT_GOVERNORATES)} THEN {strip("coalesce(city, 'None')")}
+                      ELSE coalesce({gov_hit}, {q(R.CITY_DROP_SENTINEL)}) END AS city FROM f)
+    SELECT * FROM g WHERE city <> {q(R.CITY_DROP_SENTINEL)}"""
+
+
+ORACLE["notebook_location_refine"] = _notebook_location_sql()

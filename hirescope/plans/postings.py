@@ -336,3 +336,40 @@ def skill_roadmap(spark, sf):
            .groupBy("experience_level", "skill_name").agg(F.count(F.lit(1)).alias("n_jobs")))
     return (per.join(lvl, "experience_level")
             .withColumn("share_pct", F.round(F.col("n_jobs").cast("double") * 100.0 / F.col("level_jobs"), 2)))
+
+
+def notebook_categories_skills(spark, sf):
+    """F22 -> F23 -> F24 on titles; F15 / F16 / F17 / F18 skill cleaners on
+    the raw skill lists (sorted '|'-joined, since the originals return sets)."""
+    from hirescope.functions import rules as R
+    from hirescope.functions.skills import clean_skills_policy, clean_skills_regex, parse_list_literal
+    r = raw_postings(spark, sf)
+    wide = P.classify_category_wide("title")
+    std = P.collapse_category(wide)
+
+    def j(a):
+        return F.array_join(F.array_sort(a), "|")
+    late = clean_skills_list(parse_list_literal(F.to_json("skills")), vocabulary=False,
+                             markers=R.SKILL_MARKERS_LATE, noise=R.SKILL_NOISE_LATE)
+    return r.select(
+        "pos", wide.alias("category_wide"), std.alias("category_std"),
+        P.reclassify_other(std, "title").alias("category_final"),
+        j(clean_skills_regex("skills", R.SKILL_NOISE_PATTERNS_V1)).alias("skills_v1"),
+        j(clean_skills_policy("skills", R.SKILL_REMOVE_ITEMS, bullet="drop")).alias("skills_v2"),
+        j(clean_skills_policy("skills", R.SKILL_REMOVE_ITEMS, bullet="strip")).alias("skills_final"),
+        F.array_join(late, "|").alias("skills_late"))
+
+
+def notebook_location_refine(spark, sf):
+    """F26 -> F37 -> F38 -> F39 -> F40 -> P11: governorate / district from the
+    location text, refined from the URL, rows without an Egyptian city dropped."""
+    from hirescope.functions import slug as S
+    r = raw_postings(spark, sf)
+    loc = P.split_location("location")
+    hier = S.location_hierarchy(loc["city"])
+    t = r.select("pos", "url", hier["governorate"].alias("governorate"), hier["district"].alias("district"))
+    t = t.withColumn("governorate", S.governorate_from_url("governorate", "url"))
+    t = t.withColumn("district", S.district_from_url("url", "district"))
+    t = t.withColumn("city", S.city_from_district("district", "governorate"))
+    t = t.withColumn("city", S.final_city_check("city", "url"))
+    return t.filter(F.col("city") != "To Drop").select("pos", "governorate", "district", "city")

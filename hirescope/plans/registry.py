@@ -13,6 +13,8 @@ QUERIES = {
     "skill_slice": docs.skill_slice,
     "cleaned_postings": postings.cleaned_postings_report,
     "notebook_fields": postings.notebook_fields,
+    "notebook_categories_skills": postings.notebook_categories_skills,
+    "notebook_location_refine": postings.notebook_location_refine,
     "stg_jobs": postings.stg_report,
     "dim_job": postings.dim_job,
     "dim_company": postings.dim_company,
