@@ -139,3 +139,20 @@ def model_tests(tables: Mapping[str, DataFrame], not_null: Sequence[tuple[str, s
     for r in rows[1:]:
         out = out.unionByName(r)
     return out
+
+
+def audit_profile(df: DataFrame) -> DataFrame:
+    """Q14: per column -- type, nulls, distinct values, min / max as text --
+    from ONE aggregate pass (exact distinct; use approx_count_distinct at
+    very large cardinalities)."""
+    simple = [f for f in df.schema.fields if f.dataType.typeName() not in ("array", "map", "struct")]
+    aggs = []
+    for f in simple:
+        c = F.col(f"`{f.name}`")
+        aggs += [F.count_if(c.isNull()).alias(f"{f.name}__n"), F.count_distinct(c).alias(f"{f.name}__d"),
+                 F.min(c).cast("string").alias(f"{f.name}__lo"), F.max(c).cast("string").alias(f"{f.name}__hi")]
+    wide = df.agg(F.count(F.lit(1)).alias("__rows"), *aggs)
+    parts = ", ".join(f"'{f.name}', '{f.dataType.simpleString()}', `{f.name}__n`, `{f.name}__d`, `{f.name}__lo`, `{f.name}__hi`"
+                      for f in simple)
+    return wide.selectExpr("__rows AS row_count",
+                           f"stack({len(simple)}, {parts}) AS (column_name, data_type, null_count, distinct_count, min_value, max_value)")

@@ -99,3 +99,16 @@ def fieldwise_order_update(spark: SparkSession, sf: str) -> DataFrame:
     """Field-wise update -- new status where given, old price kept."""
     target, source = _upsert_sides(spark, sf)
     return upsert.fieldwise_update(target, source.select("o_orderkey", "o_orderstatus"), "o_orderkey")
+
+
+def new_vs_known_pairs(spark: SparkSession, sf: str) -> DataFrame:
+    """Within the last day's batch keep the first event of each
+    (user, type, hour) key, then keep only keys never seen before that day
+    (left-anti against the known history)."""
+    e = _events(spark, sf).withColumns({"day": F.to_date("ts"), "hour": F.hour("ts")})
+    last = e.select(F.max("day")).scalar()
+    keys = ["user_id", "event_type", "hour"]
+    batch = e.filter(F.col("day") == last)
+    known = e.filter(F.col("day") < last).select(*keys).distinct()
+    first = dedup.keep_first(batch.select(*keys, "ts", "event_id"), keys, ["ts", "event_id"])
+    return first.join(known, keys, "left_anti")

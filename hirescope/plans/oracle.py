@@ -775,3 +775,56 @@ def _notebook_location_sql() -> str:
 
 
 ORACLE["notebook_location_refine"] = _notebook_location_sql()
+
+# ------------------------------------------------------------- more checks
+_prof_cols = ["job_title", "company_name", "job_type", "job_category", "posted_date", "job_url", "city", "work_type",
+              "min_experience", "max_experience", "experience_level", "scrape_date", "company_type"]
+_types = {"posted_date": "date", "scrape_date": "date", "min_experience": "double", "max_experience": "double"}
+ORACLE["audit_profile"] = f"WITH p AS ({POSTINGS})\n" + "\nUNION ALL ".join(
+    f"SELECT (SELECT count(*) FROM p) AS row_count, '{c}' AS column_name, '{_types.get(c, 'string')}' AS data_type, "
+    f"count(*) FILTER ({c} IS NULL) AS null_count, count(DISTINCT {c}) AS distinct_count, "
+    f"CAST(min({c}) AS VARCHAR) AS min_value, CAST(max({c}) AS VARCHAR) AS max_value FROM p" for c in _prof_cols)
+
+
+def _level_before_after_sql() -> str:
+    from hirescope.functions.parse import JSON_EXPERIENCE_PATTERNS
+    sj = strip("replace(coalesce(experience, ''), '·', '')")
+    _, _, jlv = exp_fields(sj, JSON_EXPERIENCE_PATTERNS)
+    s = f"lower({strip('experience')})"
+    rng, plus = r"(\d+)\s*[-to]+\s*(\d+)", r"(\d+)\+|more than (\d+)"
+    mn = f"""CASE WHEN regexp_matches({s}, '{rng}') THEN TRY_CAST(regexp_extract({s}, '{rng}', 1) AS DOUBLE)
+      WHEN regexp_matches({s}, '{plus}') THEN TRY_CAST(coalesce(nullif(regexp_extract({s}, '{plus}', 1), ''),
+                                                              nullif(regexp_extract({s}, '{plus}', 2), '')) AS DOUBLE) END"""
+    t = f"lower({strip('title')})"
+    t = f"lower(regexp_replace({strip('title')}, '{UWS}+', ' ', 'g'))"
+    lvl_arms = " ".join(f"WHEN {contains_any('t', kws)} THEN {q(label)}" for label, kws in R.LEVEL_TITLE_RULES)
+    yrs = " ".join(f"WHEN m <= {b} THEN {q(l)}" for b, l in R.LEVEL_YEAR_BANDS)
+    after = f"""CASE {lvl_arms} {yrs} WHEN m IS NOT NULL THEN {q(R.LEVEL_YEAR_TOP)}
+      WHEN {contains_any('lower(experience)', R.LEVEL_RAW_JUNIOR_HINTS)} THEN 'junior' ELSE {q(R.LEVEL_DEFAULT)} END"""
+    return f"""
+    WITH r AS (SELECT *, {t} AS t, {mn} AS m FROM ({RAW_SQL})),
+    b AS (SELECT coalesce({jlv}, 'unbanded') AS experience_level, count(*) AS before FROM r GROUP BY 1),
+    a AS (SELECT {after} AS experience_level, count(*) AS after FROM r GROUP BY 1)
+    SELECT coalesce(b.experience_level, a.experience_level) AS experience_level, coalesce(b.before, 0) AS before,
+           coalesce(a.after, 0) AS after, coalesce(a.after, 0) - coalesce(b.before, 0) AS delta
+    FROM b FULL OUTER JOIN a ON b.experience_level = a.experience_level"""
+
+
+ORACLE["level_before_after"] = _level_before_after_sql()
+ORACLE["empty_skills_share"] = f"""
+SELECT job_category, round(avg(CASE WHEN coalesce(len(skills), 0) <= 0 THEN 1.0 ELSE 0.0 END) * 100.0, 2) AS empty_pct,
+       count(*) AS postings FROM ({POSTINGS}) GROUP BY 1
+"""
+ORACLE["warehouse_load_shape"] = "SELECT " + ", ".join(
+    f"CAST({c} AS VARCHAR) AS {c.upper()}" if c in ("posted_date", "scrape_date") else f"{c} AS {c.upper()}"
+    for c in ["job_title", "company_name", "job_type", "job_category", "posted_date", "job_url", "city", "work_type",
+              "min_experience", "max_experience", "experience_level", "scrape_date", "company_type", "skills_list"]
+) + f" FROM ({ORACLE['cleaned_postings']})"
+ORACLE["new_vs_known_pairs"] = """
+WITH e AS (SELECT *, CAST(ts AS DATE) AS day, hour(ts) AS hour FROM events),
+b AS (SELECT * FROM e WHERE day = (SELECT max(day) FROM e)),
+f AS (SELECT user_id, event_type, hour, ts, event_id FROM (
+        SELECT *, row_number() OVER (PARTITION BY user_id, event_type, hour ORDER BY ts, event_id) AS rn FROM b) WHERE rn = 1)
+SELECT * FROM f WHERE NOT EXISTS (SELECT 1 FROM e WHERE e.day < (SELECT max(day) FROM e)
+                                  AND e.user_id = f.user_id AND e.event_type = f.event_type AND e.hour = f.hour)
+"""

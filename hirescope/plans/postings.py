@@ -373,3 +373,45 @@ def notebook_location_refine(spark, sf):
     t = t.withColumn("city", S.city_from_district("district", "governorate"))
     t = t.withColumn("city", S.final_city_check("city", "url"))
     return t.filter(F.col("city") != "To Drop").select("pos", "governorate", "district", "city")
+
+
+def audit_profile(spark, sf):
+    """Q14 over the cleaned postings."""
+    from hirescope.operators.quality import audit_profile as ap
+    return ap(cleaned_postings(spark, sf).drop("skills"))
+
+
+def level_before_after(spark, sf):
+    """Q15: experience-level distribution from the years-only banding
+    versus the title-first classifier (F9), with the delta per level."""
+    from hirescope.operators.metrics import before_after
+    r = normalize_raw(raw_postings(spark, sf))
+    before = r.select(P.parse_experience_patterns("experience_raw", P.JSON_EXPERIENCE_PATTERNS)["experience_level"]
+                      .alias("experience_level"))
+    exp = P.parse_experience_years("experience_raw")
+    after = r.select(P.classify_experience_level("job_title", exp["min_experience"], "experience_raw")
+                     .alias("experience_level"))
+    return before_after(before.na.fill("unbanded"), after, "experience_level")
+
+
+def empty_skills_share(spark, sf):
+    """Percent of cleaned postings whose skill list is empty, per category."""
+    c = cleaned_postings(spark, sf)
+    e = F.when(F.coalesce(F.size("skills"), F.lit(0)) <= 0, 1.0).otherwise(0.0)
+    return c.groupBy("job_category").agg(F.round(F.avg(e) * 100.0, 2).alias("empty_pct"),
+                                         F.count(F.lit(1)).alias("postings"))
+
+
+def sample_postings(spark, sf, n: int = 25):
+    """A repeatable sample of n cleaned postings (seeded hash of the URL)."""
+    from hirescope.operators.metrics import repeatable_sample
+    return repeatable_sample(cleaned_postings_report(spark, sf), "job_url", n)
+
+
+def warehouse_load_shape(spark, sf):
+    """P5 / P6 / S13 input: the cleaned postings as loaded into the raw
+    warehouse table -- dates as text, upper-case column names."""
+    c = cleaned_postings_report(spark, sf)
+    c = c.withColumns({"posted_date": F.col("posted_date").cast("string"),
+                       "scrape_date": F.col("scrape_date").cast("string")})
+    return c.toDF(*[x.upper() for x in c.columns])

@@ -69,6 +69,12 @@ QUERIES = {
     "postings_by_job_category": postings.postings_by("job_category"),
     "top_skills_per_level": postings.top_skills_per_level,
     "skill_roadmap": postings.skill_roadmap,
+    "audit_profile": postings.audit_profile,
+    "level_before_after": postings.level_before_after,
+    "empty_skills_share": postings.empty_skills_share,
+    "sample_postings": postings.sample_postings,
+    "warehouse_load_shape": postings.warehouse_load_shape,
+    "new_vs_known_pairs": events.new_vs_known_pairs,
 }
 
 ORACLE = {k: v for k, v in _ORACLE.items() if k in QUERIES}
