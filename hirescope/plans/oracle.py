@@ -427,7 +427,8 @@ GROUP BY 1, 2 HAVING count(*) >= 2
 
 # ------------------------------------------------------------------- pages
 NOISE = r"(?is)<script.*?</script>|<style.*?</style>|<!--.*?-->"
-ANCHOR = r'(?is)<a\s+href="([^"]*)"[^>]*>(.*?)</a>'
+ANCHOR = r'(?is)<a\s[^>]*?href="([^"]*)"[^>]*>(.*?)</a>'
+ANCHOR_ATTRS = r'(?is)<a\s([^>]*)>(.*?)</a>'
 TAGRX = r"(?s)<[^>]*>"
 ASCII_WS = r"[ \t\n\x0B\f\r]"
 
@@ -828,3 +829,36 @@ f AS (SELECT user_id, event_type, hour, ts, event_id FROM (
 SELECT * FROM f WHERE NOT EXISTS (SELECT 1 FROM e WHERE e.day < (SELECT max(day) FROM e)
                                   AND e.user_id = f.user_id AND e.event_type = f.event_type AND e.hour = f.hour)
 """
+
+
+def _cards_sql() -> str:
+    from hirescope.operators import html as H
+    words = inlist(R.KNOWN_WORK_MODES + R.KNOWN_JOB_TYPES)
+    hs = f"regexp_extract_all(c, {q(ANCHOR)}, 1)"
+    ts = f"list_transform(regexp_extract_all(c, {q(ANCHOR)}, 2), lambda t: trim(regexp_replace(t, '{TAGRX}', '', 'g')))"
+    nodes = f"list_filter(list_transform(regexp_extract_all(c, {q(H.TEXT_NODE)}, 1), lambda t: trim(t)), lambda t: t <> '')"
+    prim = f"ts[list_filter(range(1, len(hs) + 1), lambda i: contains(hs[i], '/jobs/c/') OR contains(hs[i], '/company/'))[1]]"
+    gen = (f"ts[list_filter(range(1, len(hs) + 1), lambda i: NOT contains(hs[i], '/jobs/p/') AND ts[i] <> '' "
+           f"AND NOT (lower(ts[i]) IN {words}))[1]]")
+    company = f"nullif(regexp_replace(coalesce({prim}, {gen}), '\\s*-\\s*$', ''), '')"
+    span_loc = _tag(f"regexp_extract(c, {q(chr(40) + '?is' + chr(41) + '(<span[^>]*class=\"[^\"]*[Ll]ocation[^\"]*\"[^>]*>.*?</span>)')}, 1)", "span")
+    short = f"list_filter(nodes, lambda t: length(t) < 60 AND NOT regexp_matches(t, {q(H._YEARS)}))"
+    location = f"coalesce({span_loc}, nullif(array_to_string(list_slice({short}, 1, 2), ', '), ''), 'Egypt')"
+    span_xp = _tag(f"regexp_extract(c, {q('(?is)(<span[^>]*class=\"[^\"]*(?:xp|exp|Exp|experience)[^\"]*\"[^>]*>.*?</span>)')}, 1)", "span")
+    node_xp = f"list_filter(nodes, lambda t: regexp_matches(t, {q(H._YEARS)}) AND length(t) < 50)[1]"
+    posted = (f"coalesce(nullif(regexp_extract(c, {q(chr(40) + '?is' + chr(41) + '<time[^>]*datetime=\"([^\"]*)\"')}, 1), ''), "
+              f"{_tag('c', 'time')}, nullif(regexp_extract(c, {q(H._RELATIVE)}, 1), ''), "
+              f"nullif(regexp_extract(c, {q(H._MONTH_DATE)}, 1), ''))")
+    at = f"regexp_extract_all(c, {q(ANCHOR_ATTRS)}, 1)"
+    tt = f"list_transform(regexp_extract_all(c, {q(ANCHOR_ATTRS)}, 2), lambda t: trim(regexp_replace(t, '{TAGRX}', '', 'g')))"
+    skills = (f"len(list_filter(range(1, len({at}) + 1), lambda i: regexp_matches({at}[i], {q(H.SKILL_ANCHOR)}) "
+              f"AND ({tt})[i] <> ''))")
+    empty = f"regexp_matches(c, {q(chr(40) + '?is' + chr(41) + 'class=\"[^\"]*empty[^\"]*\"|<h[1-6][^>]*>[^<]*no (?:jobs|results)')})"
+    return f"""
+    SELECT page_id, {company} AS company, {location} AS location, coalesce({span_xp}, {node_xp}) AS experience,
+           {posted} AS posted, {skills} AS n_skill_tags, {empty} AS no_results
+    FROM (SELECT page_id, c, {hs} AS hs, {ts} AS ts, {nodes} AS nodes
+          FROM (SELECT page_id, regexp_replace(html, '{NOISE}', '', 'g') AS c FROM pages))"""
+
+
+ORACLE["page_card_fallbacks"] = _cards_sql()

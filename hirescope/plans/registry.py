@@ -54,6 +54,7 @@ QUERIES = {
     "page_fields": web.page_fields,
     "page_links": web.page_links,
     "page_url_parts": web.page_url_parts,
+    "page_card_fallbacks": web.page_card_fallbacks,
     "doc_text_profile": web.doc_text_profile,
     "conversation_last_lines": web.conversation_last_lines,
     "doc_rule_labels": web.doc_rule_labels,

@@ -61,3 +61,18 @@ def part_company_types(spark: SparkSession, sf: str) -> DataFrame:
     return (p.select(P.classify_company_type("p_name").alias("company_type"),
                      count_contained(F.lower("p_name"), R.STARTUP_KEYWORDS).alias("startup_score"))
             .groupBy("company_type", "startup_score").agg(F.count(F.lit(1)).alias("n")))
+
+
+def page_card_fallbacks(spark: SparkSession, sf: str) -> DataFrame:
+    """H3/H4/H5/H7/H8 generic fallbacks over whole pages (no card markup in
+    this data set, so the fallback paths are what runs)."""
+    p = spread(table(spark, sf, "pages").select("page_id", "html"))
+    clean = H.strip_noise("html")
+    c = p.select("page_id", clean.alias("c"))
+    return c.select("page_id",
+                    H.card_company("c", R.KNOWN_WORK_MODES + R.KNOWN_JOB_TYPES).alias("company"),
+                    H.card_location("c").alias("location"),
+                    H.card_experience("c").alias("experience"),
+                    H.card_posted("c").alias("posted"),
+                    F.size(H.card_skills("c")).alias("n_skill_tags"),
+                    H.no_results("c").alias("no_results"))
