@@ -769,7 +769,7 @@ def _notebook_location_sql() -> str:
     e AS (SELECT pos, url, CASE v {gfix} ELSE v END AS governorate,
                  coalesce({initcap(f"replace({dist_hit}, '-', ' ')")}, district) AS district FROM d),
     f AS (SELECT pos, url, governorate, district, coalesce((CASE district {cfix} END), governorate) AS city FROM e),
-    g AS (SELECT pos, governorate, district,
+    g AS (SELECT pos, governorate, governorate IN {inlist(R.EGYPT_GOVERNORATES)} AND NOT (governorate IN {inlist(R.INTERNATIONAL_CITIES)}) AS gov_allowed, district,
                  CASE WHEN {strip("coalesce(city, 'None')")} IN {inlist(R.EGYPT_GOVERNORATES)} THEN {strip("coalesce(city, 'None')")}
                       ELSE coalesce({gov_hit}, {q(R.CITY_DROP_SENTINEL)}) END AS city FROM f)
     SELECT * FROM g WHERE city <> {q(R.CITY_DROP_SENTINEL)}"""
@@ -862,3 +862,5 @@ def _cards_sql() -> str:
 
 
 ORACLE["page_card_fallbacks"] = _cards_sql()
+
+ORACLE["skill_count_sql"] = ORACLE["skill_count_per_job"]

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from hirescope.functions import parse as P
 from hirescope.functions.skills import clean_skills_list, list_to_text
 from hirescope.functions.text import collapse_ws, py_strip, slugify
-from hirescope.operators.dedup import keep_last
+from hirescope.operators.dedup import keep_first, keep_last
 from hirescope.sources.tables import spread, table
 
 HOST = "https://wuzzuf.net"
@@ -363,16 +363,19 @@ def notebook_categories_skills(spark, sf):
 def notebook_location_refine(spark, sf):
     """F26 -> F37 -> F38 -> F39 -> F40 -> P11: governorate / district from the
     location text, refined from the URL, rows without an Egyptian city dropped."""
+    from hirescope.functions import rules as R
     from hirescope.functions import slug as S
     r = raw_postings(spark, sf)
     loc = P.split_location("location")
     hier = S.location_hierarchy(loc["city"])
     t = r.select("pos", "url", hier["governorate"].alias("governorate"), hier["district"].alias("district"))
     t = t.withColumn("governorate", S.governorate_from_url("governorate", "url"))
+    t = t.withColumn("gov_allowed", F.col("governorate").isin(R.EGYPT_GOVERNORATES)
+                     & ~F.col("governorate").isin(R.INTERNATIONAL_CITIES))
     t = t.withColumn("district", S.district_from_url("url", "district"))
     t = t.withColumn("city", S.city_from_district("district", "governorate"))
     t = t.withColumn("city", S.final_city_check("city", "url"))
-    return t.filter(F.col("city") != "To Drop").select("pos", "governorate", "district", "city")
+    return t.filter(F.col("city") != "To Drop").select("pos", "governorate", "gov_allowed", "district", "city")
 
 
 def audit_profile(spark, sf):
@@ -415,3 +418,29 @@ def warehouse_load_shape(spark, sf):
     c = c.withColumns({"posted_date": F.col("posted_date").cast("string"),
                        "scrape_date": F.col("scrape_date").cast("string")})
     return c.toDF(*[x.upper() for x in c.columns])
+
+
+def skill_count_sql(spark, sf):
+    """The statistics script's first query, run as SQL over the
+    star models exposed as (uniquely named) temp views."""
+    import uuid
+    s = _star(spark, sf)
+    tag = uuid.uuid4().hex[:8]
+    for name in ("dim_job", "bridge_job_skills"):
+        s[name].createOrReplaceTempView(f"{name}_{tag}")
+    return spark.sql(f"""
+        SELECT j.job_id, j.experience_level, j.job_category, COUNT(DISTINCT b.skill_id) AS skill_count
+        FROM dim_job_{tag} j JOIN bridge_job_skills_{tag} b ON j.job_id = b.job_id
+        GROUP BY j.job_id, j.experience_level, j.job_category""")
+
+
+def combine_sources(json_postings: DataFrame, csv_postings: DataFrame) -> DataFrame:
+    """JSON- and CSV-sourced raw postings aligned by name
+    (missing columns null) and de-duplicated by URL, first source wins."""
+    j = json_postings.withColumn("_src", F.lit(0))
+    c = csv_postings.withColumn("_src", F.lit(1))
+    u = j.unionByName(c, allowMissingColumns=True)
+    if "pos" not in u.columns:
+        u = u.withColumn("pos", F.lit(0))
+    order = ["_src", "pos"]
+    return keep_first(u, ["url"], order).drop("_src")

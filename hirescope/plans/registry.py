@@ -24,6 +24,7 @@ QUERIES = {
     "job_skill_metrics": postings.skill_metrics,
     "category_metrics": postings.category_metrics,
     "skill_count_per_job": postings.skill_count,
+    "skill_count_sql": postings.skill_count_sql,
     "skill_category_crosstab": postings.skill_category,
     "star_integrity": postings.integrity,
     "latest_event_per_user": events.latest_event_per_user,

@@ -96,3 +96,30 @@ def test_stream_equals_batch(spark, tmp):
     key = ["job_url", "job_title", "experience_level", "posted_date"]
     assert sorted(map(tuple, streamed.select(key).collect())) == sorted(map(tuple, batch.select(key).collect()))
     assert streamed.count() == 3
+
+
+def test_stage_report_observe_lookup_combine(spark, tmp):
+    from hirescope.operators.joins import lookup, map_table
+    from hirescope.operators.quality import gate_summary
+    from hirescope.plans.postings import combine_sources
+    df = spark.createDataFrame([(1, "Maadi"), (2, "Giza"), (3, None)], "id long, d string")
+    assert sinks.staged_write(spark, df, "stage_jobs_t") == 3
+    sinks.drop_table(spark, "stage_jobs_t")
+    assert not spark.catalog.tableExists("stage_jobs_t")
+    counted, obs = sinks.observe_counts(df, "c")
+    counted.write.format("noop").mode("overwrite").save()
+    assert obs.get["rows"] == 3
+    checks = spark.createDataFrame([("a", 0, True), ("b", 2, False)], "check string, failing long, passed boolean")
+    summary = sinks.write_quality_report(checks, f"{tmp}/report", "x.parquet").first()
+    assert (summary.checks_passed, summary.checks_failed, summary.status, summary.failures) == (1, 1, "FAILED", ["b"])
+    assert gate_summary(checks).first().status == "FAILED"
+    m = map_table(spark, {"Maadi": "Cairo", "Dokki": "Giza"})
+    got = {r.id: r.city for r in lookup(df, "d", m, "key", "value", "city").collect()}
+    assert got == {1: "Cairo", 2: "Giza", 3: None}
+    got = {r.id: r.city for r in lookup(df, "d", m, "key", "value", "city", max_broadcast_rows=1).collect()}
+    assert got == {1: "Cairo", 2: "Giza", 3: None}
+    j = spark.createDataFrame([("u1", "A", 1), ("u2", "B", 2)], "url string, title string, pos long")
+    c = spark.createDataFrame([("u2", "B-csv", "x"), ("u3", "C", "y")], "url string, title string, salary string")
+    out = {r.url: r.title for r in combine_sources(j, c).collect()}
+    assert out == {"u1": "A", "u2": "B", "u3": "C"}
+    assert "salary" in combine_sources(j, c).columns
