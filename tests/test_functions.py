@@ -139,3 +139,15 @@ def test_helpers(spark):
     assert ev(spark, surrogate_key(F.col("x")), None) == hashlib.md5(b"_dbt_utils_surrogate_key_null_").hexdigest()
     r = ev(spark, S.location_hierarchy(F.col("x")), "maadi")
     assert (r[0], r[1]) == ("Cairo", "Maadi")
+
+
+def test_helpers_more(spark):
+    from hirescope.functions.text import title_case, url_encode_blank20
+    sd = dt.date(2024, 1, 10)
+    df = spark.createDataFrame([("garbage", sd), ("2 days ago", sd)], "x string, d date")
+    got = [r[0] for r in df.select(P.relative_posted_date("x", "d", fallback="null")).collect()]
+    assert got == [None, dt.date(2024, 1, 8)]
+    assert ev(spark, url_encode_blank20(F.col("x")), "data engineer & ml") == "data%20engineer%20%26%20ml"
+    assert ev(spark, title_case(F.col("x")), "vertex technologies") == "Vertex Technologies"
+    assert ev(spark, P.iso_to_date(F.col("x")), "2026-05-14T10:49:31.351741+00:00") == dt.date(2026, 5, 14)
+    assert ev(spark, P.iso_to_date(F.col("x")), "") is None
