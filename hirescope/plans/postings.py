@@ -174,9 +174,24 @@ def staged(spark: SparkSession, sf: str) -> DataFrame:
     return star.stg_jobs(cleaned_postings(spark, sf))
 
 
+def materialized_stage(spark: SparkSession, sf: str) -> DataFrame:
+    """The staging table, computed once and cut from its lineage.
+
+    Star models read staging several times, each consumer pruning different
+    columns, so Spark cannot reuse one exchange and would re-run the cleaning
+    chain per branch.  A reliable checkpoint into the shared
+    ``spark.checkpoint.dir`` (survives executor loss; never a local one) makes
+    every model read the same stored rows -- as the production flow does
+    with its cleaned Parquet file.
+    """
+    from hirescope.session import checkpoint_dir
+    checkpoint_dir(spark)
+    return staged(spark, sf).checkpoint(eager=True)
+
+
 def _star(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
     from hirescope.plans import star
-    return star.build_star(staged(spark, sf))
+    return star.build_star(materialized_stage(spark, sf))
 
 
 def stg_report(spark, sf):
@@ -243,7 +258,7 @@ def quality_checks(spark, sf):
     """Q1-Q11 over the cleaned postings; as-of = the batch scrape date."""
     from hirescope.functions import rules as R
     from hirescope.operators.quality import quality_gate
-    c = cleaned_postings(spark, sf).withColumnRenamed("skills", "skills_list")
+    c = cleaned_postings(spark, sf).withColumnRenamed("skills", "skills_list").checkpoint(eager=True)
     as_of = c.select(F.max("scrape_date")).scalar()
     return quality_gate(
         c, as_of, R.GATE_REQUIRED_COLUMNS, R.GATE_CRITICAL_COLUMNS, "job_url",

@@ -18,6 +18,8 @@ _DEFAULTS = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
+    # checkpoint files of DataFrames that are garbage-collected are removed
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     # 128 MiB splits keep scan tasks a comfortable size at any scale factor.
     "spark.sql.files.maxPartitionBytes": str(128 * 1024 * 1024),
 }
