@@ -23,21 +23,30 @@ def map_label(c, mapping: dict, null_value: str) -> Column:
     return F.when(_c(c).isNull(), F.lit(null_value)).otherwise(F.coalesce(F.try_element_at(_map(mapping), s), s))
 
 
-def _first_hit(cities: list[str], cond) -> Column:
-    return F.try_element_at(F.filter(F.array(*[F.lit(x) for x in cities]), cond), F.lit(1))
+def first_listed(text, items: list[str], pred) -> Column:
+    """First item of a fixed, ordered list for which ``pred(text, item)`` holds.
+
+    The row's text enters the lambda as a ``zip_with`` *input*
+    (``array_repeat``), so it is evaluated once per row.  Referencing it as an
+    outer column inside the lambda would let the optimizer inline its whole
+    producer there and re-evaluate it for every list item.
+    """
+    arr = F.array(*[F.lit(x) for x in items])
+    z = F.zip_with(arr, F.array_repeat(text, len(items)), lambda it, t: F.when(pred(t, it), it))
+    return F.try_element_at(F.filter(z, lambda x: x.isNotNull()), F.lit(1))
 
 
 def location_from_url(url) -> Column:
     """struct(city, country) from the slug; listed order decides."""
     u = F.lower(_c(url))
-    eg = _first_hit(R.URL_EGYPT_CITIES, lambda c: u.contains(F.concat(F.lit("-"), c, F.lit("-egypt")))
-                    | u.contains(F.concat(F.lit("-"), c, F.lit(",-egypt"))))
+    eg = first_listed(u, R.URL_EGYPT_CITIES, lambda t, c: t.contains(F.concat(F.lit("-"), c, F.lit("-egypt")))
+                      | t.contains(F.concat(F.lit("-"), c, F.lit(",-egypt"))))
     eg_name = F.initcap(F.replace(eg, F.lit("-"), F.lit(" ")))
     eg_name = F.coalesce(F.try_element_at(_map(R.URL_CITY_NAME_FIXES), eg_name), eg_name)
-    sa = _first_hit(R.URL_SAUDI_CITIES, lambda c: u.contains(F.concat(F.lit("-"), c, F.lit("-saudi")))
-                    | u.contains(F.concat(F.lit("-"), c, F.lit("-sa"))))
-    ae = _first_hit(R.URL_UAE_CITIES, lambda c: u.contains(F.concat(F.lit("-"), c, F.lit("-uae")))
-                    | u.contains(F.concat(F.lit("-"), c, F.lit("-united"))))
+    sa = first_listed(u, R.URL_SAUDI_CITIES, lambda t, c: t.contains(F.concat(F.lit("-"), c, F.lit("-saudi")))
+                      | t.contains(F.concat(F.lit("-"), c, F.lit("-sa"))))
+    ae = first_listed(u, R.URL_UAE_CITIES, lambda t, c: t.contains(F.concat(F.lit("-"), c, F.lit("-uae")))
+                      | t.contains(F.concat(F.lit("-"), c, F.lit("-united"))))
     city = (F.when(u.isNull() | (u == ""), "Unknown")
             .when(u.contains("-egypt"), F.coalesce(eg_name, F.lit("Unknown")))
             .when(u.contains("-saudi-arabia") | u.contains("-sa"), F.coalesce(F.initcap(sa), F.lit("Unknown")))
@@ -118,7 +127,7 @@ def governorate_from_url(current, url) -> Column:
 def district_from_url(url, current) -> Column:
     """first listed district found in the URL (title-cased), else keep."""
     u = F.lower(F.coalesce(_c(url).cast("string"), F.lit("None")))
-    hit = F.try_element_at(F.filter(F.array(*[F.lit(d) for d in R.URL_DISTRICTS]), lambda d: u.contains(d)), F.lit(1))
+    hit = first_listed(u, R.URL_DISTRICTS, lambda t, d: t.contains(d))
     return F.coalesce(F.initcap(F.replace(hit, F.lit("-"), F.lit(" "))), _c(current))
 
 
@@ -133,6 +142,5 @@ def final_city_check(city, url) -> Column:
     the URL, else the drop sentinel."""
     c = py_strip(F.coalesce(_c(city).cast("string"), F.lit("None")))
     u = F.lower(F.coalesce(_c(url).cast("string"), F.lit("None")))
-    hit = F.try_element_at(F.filter(F.array(*[F.lit(g) for g in R.EGYPT_GOVERNORATES]),
-                                    lambda g: u.contains(F.lower(g))), F.lit(1))
+    hit = first_listed(u, R.EGYPT_GOVERNORATES, lambda t, g: t.contains(F.lower(g)))
     return F.when(c.isin(R.EGYPT_GOVERNORATES), c).otherwise(F.coalesce(hit, F.lit(R.CITY_DROP_SENTINEL)))
