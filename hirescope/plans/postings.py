@@ -52,6 +52,12 @@ def _pick(values: list[str], idx) -> F.Column:
     return F.element_at(F.array(*[F.lit(v) for v in values]), (idx % len(values)).cast("int") + 1)
 
 
+def _slug(v: str) -> str:
+    """Constant-folded ``text.slugify(_, '-')`` for the fixed text lists."""
+    import re
+    return re.sub(r"[^a-z0-9]+", "-", v.lower()).strip("-")
+
+
 def raw_postings(spark: SparkSession, sf: str) -> DataFrame:
     """Raw-shaped postings (the 11 scraper fields + a position column)."""
     o = spread(table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderdate"))
@@ -65,8 +71,8 @@ def raw_postings(spark: SparkSession, sf: str) -> DataFrame:
         F.concat_ws("\n", title, F.concat_ws(" - ", company, location), tail))
     skills = F.slice(F.array(*[F.lit(s) for s in SKILL_POOL]), (k % len(SKILL_POOL)).cast("int") + 1,
                      (k % 7).cast("int"))
-    job_id = F.concat_ws("-", pair.cast("string"), slugify(_pick(TITLES, pair), "-"),
-                         slugify(_pick(COMPANIES, pair), "-"), slugify(location, "-"))
+    job_id = F.concat_ws("-", pair.cast("string"), _pick([_slug(t) for t in TITLES], pair),
+                         _pick([_slug(c) for c in COMPANIES], pair), _pick([_slug(x) for x in LOCATIONS], pair))
     scraped = F.concat(F.date_format(F.date_add(F.to_date("o_orderdate"), (k % 5).cast("int")),
                                      "yyyy-MM-dd'T'HH:mm:ss"), F.lit("+00:00"))
     return o.select(
