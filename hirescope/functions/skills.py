@@ -43,16 +43,18 @@ def clean_skills_list(arr, bullet: str = "drop", vocabulary: bool = True,
         s = F.transform(s, lambda x: py_strip(F.regexp_replace(x, r"^[·•✔]\s*", "")))
         markers = [m for m in markers if m not in BULLETS]
 
+    # Higher-order-function bodies are interpreted (no codegen): there one
+    # compiled regex per keyword list beats a chain of ``contains`` nodes.
     def keep(x):
         low = F.lower(x)
         ok = ((F.length(x) <= R.SKILL_MAX_LEN)
-              & ~contains_any(x, markers)
+              & ~contains_any(x, markers, max_terms=0)
               & ~low.isin(list(noise))
               & (count_contained(low, R.SKILL_TITLE_WORDS) < 2))
         if min_len:
             ok = ok & (F.length(x) >= min_len)
         if vocabulary:
-            ok = ok & contains_any(low, R.TECH_SKILLS_VOCAB)
+            ok = ok & contains_any(low, R.TECH_SKILLS_VOCAB, max_terms=0)
         return ok
 
     return F.filter(s, keep)
