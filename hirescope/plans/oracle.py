@@ -418,11 +418,11 @@ FROM orders WHERE o_orderpriority IS NOT NULL GROUP BY 1
 """
 ORACLE["part_cooccurrence"] = """
 WITH b AS (SELECT DISTINCT l_orderkey, l_partkey FROM lineitem),
-f AS (SELECT l_partkey FROM b GROUP BY 1 HAVING count(*) >= 2),
-bb AS (SELECT * FROM b WHERE l_partkey IN (SELECT l_partkey FROM f))
+t AS (SELECT l_partkey FROM b GROUP BY 1 ORDER BY count(*) DESC, l_partkey LIMIT 20),
+bb AS (SELECT * FROM b WHERE l_partkey IN (SELECT l_partkey FROM t))
 SELECT x.l_partkey AS part_a, y.l_partkey AS part_b, count(*) AS n_orders
 FROM bb x JOIN bb y ON x.l_orderkey = y.l_orderkey AND x.l_partkey < y.l_partkey
-GROUP BY 1, 2 HAVING count(*) >= 2
+GROUP BY 1, 2
 """
 
 # ------------------------------------------------------------------- pages

@@ -129,21 +129,19 @@ def priority_funnel(spark: SparkSession, sf: str) -> DataFrame:
     return M.value_counts(o, "o_orderpriority")
 
 
-def part_cooccurrence(spark: SparkSession, sf: str, min_support: int = 2) -> DataFrame:
-    """How many orders contain both parts of a pair, for pairs
-    with support >= ``min_support``.
-
-    Exact pruning first (Apriori: a pair cannot be more frequent than either
-    part), then a self-join of the (order, part) bridge on the order key with
-    a < b.  Baskets are de-duplicated, so a basket contributes at most
-    |distinct parts|^2/2 pairs; AQE skew-join splits a hot basket's partition
-    across tasks.
+def part_cooccurrence(spark: SparkSession, sf: str, k: int = 20) -> DataFrame:
+    """Co-occurrence matrix of the k most frequent parts -- for
+    every pair among them, the number of orders containing both.
+
+    Baskets are de-duplicated and cut to the top-k parts first (a k-row list,
+    a proven broadcast bound), so a basket contributes at most k(k-1)/2
+    pairs however large it is; the pair counts are a partial+final aggregate.
     """
     li = table(spark, sf, "lineitem").select("l_orderkey", "l_partkey").distinct()
-    freq = li.groupBy("l_partkey").agg(F.count(F.lit(1)).alias("c")).filter(F.col("c") >= min_support)
-    b = li.join(freq.select("l_partkey"), "l_partkey", "left_semi")
+    top = (li.groupBy("l_partkey").agg(F.count(F.lit(1)).alias("c"))
+           .orderBy(F.desc("c"), "l_partkey").limit(k).select("l_partkey"))
+    b = li.join(F.broadcast(top), "l_partkey", "left_semi")
     a = b.select(F.col("l_orderkey").alias("k"), F.col("l_partkey").alias("part_a"))
     c = b.select(F.col("l_orderkey").alias("k"), F.col("l_partkey").alias("part_b"))
     pairs = a.join(c, "k").filter(F.col("part_a") < F.col("part_b"))
-    return (pairs.groupBy("part_a", "part_b").agg(F.count(F.lit(1)).alias("n_orders"))
-            .filter(F.col("n_orders") >= min_support))
+    return pairs.groupBy("part_a", "part_b").agg(F.count(F.lit(1)).alias("n_orders"))
