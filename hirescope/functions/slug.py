@@ -144,3 +144,75 @@ def final_city_check(city, url) -> Column:
     u = F.lower(F.coalesce(_c(url).cast("string"), F.lit("None")))
     hit = first_listed(u, R.EGYPT_GOVERNORATES, lambda t, g: t.contains(F.lower(g)))
     return F.when(c.isin(R.EGYPT_GOVERNORATES), c).otherwise(F.coalesce(hit, F.lit(R.CITY_DROP_SENTINEL)))
+
+
+def with_company_drafts(df, url: str, title: str):
+    """The four draft company-from-URL rules (the applied one is F36).
+
+    Adds ``company_v1`` (drop location / job tokens, strip trailing digits),
+    ``company_v2`` (after the first job word, before the last location),
+    ``company_v3`` (after the first token holding a title word among tokens
+    2-6, else tokens 2-4), ``company_final`` and ``company_v4`` (after the
+    last job word before the last location).  Token arrays are materialized
+    once; positions come from ``array_position`` over flag arrays, and every
+    lambda body uses only its parameters and literals.
+    """
+    def flags(words):
+        return F.transform("_lw", lambda t: t.isin(list(words)))
+
+    d = df.withColumn("_p", F.split(F.element_at(F.split(F.col(url), "/"), -1), "-"))
+    d = d.withColumns({"_lw": F.transform("_p", lambda t: F.lower(t)), "_n": F.size("_p")})
+    d = d.withColumn("_loc", flags(R.URL_DRAFT_LOCATIONS))
+    d = d.withColumn("_L", F.when(F.array_contains("_loc", True),
+                                  F.col("_n") - F.array_position(F.reverse("_loc"), True) + 1))
+    span = F.greatest(F.col("_L") - 2, F.lit(0))          # positions 2 .. L-1
+
+    def first_in(words):                                    # 1-based j or null
+        p = F.array_position(F.slice(flags(words), 2, span), True)
+        return F.when(p > 0, p + 1)
+
+    def last_in(words):
+        p = F.array_position(F.reverse(F.slice(flags(words), 2, span)), True)
+        return F.when(p > 0, F.col("_L") - p)
+
+    def between(start_j, end_excl):                         # tokens [start_j, end_excl)
+        ln = end_excl - start_j
+        return F.when(ln > 0, F.slice("_p", start_j, F.greatest(ln, F.lit(1)))).otherwise(F.array().cast("array<string>"))
+
+    def name(arr, fixes=()):
+        out = F.initcap(F.array_join(arr, " "))
+        for a, b in fixes:
+            out = F.replace(out, F.lit(a), F.lit(b))
+        return out
+
+    bad = F.col(url).isNull() | (F.col(url) == "")
+    # v1: every token after the id that is neither a location nor a job word
+    z = F.arrays_zip(F.col("_p").alias("p"), F.col("_lw").alias("w"), F.col("_loc").alias("l"),
+                     F.sequence(F.lit(1), F.greatest(F.col("_n"), F.lit(1))).alias("j"))
+    keep = F.transform(F.filter(z, lambda e: (e["j"] >= 2) & ~e["l"] & ~e["w"].isin(R.URL_DRAFT_JOB_WORDS_V1)),
+                       lambda e: e["p"])
+    v1 = py_strip(F.regexp_replace(name(keep), r"\d+$", ""))
+    d = d.withColumn("company_v1", F.when(bad | (v1 == ""), "Unknown").otherwise(v1))
+    # v2 / final / v4
+    j2 = first_in(R.URL_DRAFT_JOB_WORDS_V2)
+    c2 = name(between(F.coalesce(j2 + 1, F.lit(2)), F.col("_L")))
+    jf = last_in(R.URL_DRAFT_JOB_WORDS_FINAL)
+    cf = name(between(F.coalesce(jf + 1, F.lit(2)), F.col("_L")), R.URL_DRAFT_WORD_FIXES)
+    j4 = last_in(R.URL_DRAFT_JOB_WORDS_V4)
+    c4 = name(between(F.coalesce(j4 + 1, F.lit(2)), F.col("_L")), R.URL_DRAFT_WORD_FIXES)
+    no_loc = bad | F.col("_L").isNull()
+    d = d.withColumns({
+        "company_v2": F.when(no_loc | (c2 == ""), "Unknown").otherwise(c2),
+        "company_final": F.when(no_loc | (cf == ""), "Unknown").otherwise(cf),
+        "company_v4": F.when(no_loc | (F.length(c4) <= 1), "Unknown").otherwise(c4)})
+    # v3: title words matched as substrings of tokens 2 .. min(L-1, 6)
+    tw = F.filter(F.split(F.lower(F.coalesce(F.col(title).cast("string"), F.lit(""))), r"\s+"), lambda w: w != "")
+    d = d.withColumn("_tw", tw)
+    hit = F.zip_with("_lw", F.array_repeat("_tw", F.col("_n")), lambda t, ws: F.exists(ws, lambda w: t.contains(w)))
+    p3 = F.array_position(F.slice(hit, 2, F.greatest(F.least(F.col("_L") - 1, F.lit(6)) - 1, F.lit(0))), True)
+    j3 = F.when((F.size("_tw") > 0) & (p3 > 0), p3 + 1)
+    first_try = name(between(j3 + 1, F.col("_L")))
+    fallback = name(between(F.lit(2), F.least(F.lit(4), F.col("_L") - 1) + 1))
+    v3 = F.when(j3.isNotNull() & (first_try != ""), first_try).otherwise(fallback)
+    d = d.withColumn("company_v3", F.when(no_loc | (v3 == ""), "Unknown").otherwise(v3))
+    return d.drop("_p", "_lw", "_n", "_loc", "_L", "_tw")

@@ -864,3 +864,54 @@ def _cards_sql() -> str:
 ORACLE["page_card_fallbacks"] = _cards_sql()
 
 ORACLE["skill_count_sql"] = ORACLE["skill_count_per_job"]
+
+
+def _company_drafts_sql() -> str:
+    def flags(words):
+        return f"list_transform(lw, lambda t: t IN {inlist(words)})"
+
+    def first_in(words):
+        p = f"coalesce(list_position(list_slice({flags(words)}, 2, L - 1), true), 0)"
+        return f"(CASE WHEN {p} > 0 THEN {p} + 1 END)"
+
+    def last_in(words):
+        p = f"coalesce(list_position(list_reverse(list_slice({flags(words)}, 2, L - 1)), true), 0)"
+        return f"(CASE WHEN {p} > 0 THEN L - {p} END)"
+
+    def between(s, e):
+        return f"(CASE WHEN ({e}) - ({s}) > 0 THEN list_slice(p, {s}, ({e}) - 1) ELSE [] END)"
+
+    def name(arr, fixes=()):
+        out = initcap(f"array_to_string({arr}, ' ')")
+        for a, b in fixes:
+            out = f"replace({out}, {q(a)}, {q(b)})"
+        return out
+    v1_tokens = (f"list_transform(list_filter(range(2, n + 1), lambda j: NOT loc[j] AND NOT (lw[j] IN "
+                 f"{inlist(R.URL_DRAFT_JOB_WORDS_V1)})), lambda j: p[j])")
+    v1 = strip(f"regexp_replace({name(v1_tokens)}, '\\d+$', '')")
+    c2 = name(between(f"coalesce({first_in(R.URL_DRAFT_JOB_WORDS_V2)} + 1, 2)", "L"))
+    cf = name(between(f"coalesce({last_in(R.URL_DRAFT_JOB_WORDS_FINAL)} + 1, 2)", "L"), R.URL_DRAFT_WORD_FIXES)
+    c4 = name(between(f"coalesce({last_in(R.URL_DRAFT_JOB_WORDS_V4)} + 1, 2)", "L"), R.URL_DRAFT_WORD_FIXES)
+    j3 = ("(CASE WHEN len(tw) > 0 THEN list_filter(range(2, least(L - 1, 6) + 1), "
+          "lambda j: len(list_filter(tw, lambda w: contains(lw[j], w))) > 0)[1] END)")
+    first_try = name(between(f"{j3} + 1", "L"))
+    fallback = name(between("2", "least(4, L - 1) + 1"))
+    v3 = f"CASE WHEN {j3} IS NOT NULL AND {first_try} <> '' THEN {first_try} ELSE {fallback} END"
+    bad = "(url IS NULL OR url = '')"
+    no_loc = f"({bad} OR L IS NULL)"
+    return f"""
+    WITH a AS (SELECT pos, url, title, string_split(string_split(url, '/')[-1], '-') AS p FROM ({RAW_SQL})),
+    b AS (SELECT *, list_transform(p, lambda t: lower(t)) AS lw, len(p) AS n,
+                 list_filter(regexp_split_to_array(lower(coalesce(title, '')), '\\s+'), lambda w: w <> '') AS tw FROM a),
+    c AS (SELECT *, list_transform(lw, lambda t: t IN {inlist(R.URL_DRAFT_LOCATIONS)}) AS loc FROM b),
+    d AS (SELECT *, CASE WHEN list_contains(loc, true) THEN n - list_position(list_reverse(loc), true) + 1 END AS L FROM c)
+    SELECT pos,
+      CASE WHEN {bad} OR {v1} = '' THEN 'Unknown' ELSE {v1} END AS company_v1,
+      CASE WHEN {no_loc} OR {c2} = '' THEN 'Unknown' ELSE {c2} END AS company_v2,
+      CASE WHEN {no_loc} OR {cf} = '' THEN 'Unknown' ELSE {cf} END AS company_final,
+      CASE WHEN {no_loc} OR length({c4}) <= 1 THEN 'Unknown' ELSE {c4} END AS company_v4,
+      CASE WHEN {no_loc} OR ({v3}) = '' THEN 'Unknown' ELSE {v3} END AS company_v3
+    FROM d"""
+
+
+ORACLE["notebook_company_drafts"] = _company_drafts_sql()

@@ -465,3 +465,10 @@ def combine_sources(json_postings: DataFrame, csv_postings: DataFrame) -> DataFr
         u = u.withColumn("pos", F.lit(0))
     order = ["_src", "pos"]
     return keep_first(u, ["url"], order).drop("_src")
+
+
+def notebook_company_drafts(spark, sf):
+    """F31-F35 over the raw postings' URLs and titles."""
+    from hirescope.functions import slug as S
+    r = raw_postings(spark, sf).select("pos", "url", "title")
+    return S.with_company_drafts(r, "url", "title").drop("url", "title")

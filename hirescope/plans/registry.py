@@ -13,6 +13,7 @@ QUERIES = {
     "skill_slice": docs.skill_slice,
     "cleaned_postings": postings.cleaned_postings_report,
     "notebook_fields": postings.notebook_fields,
+    "notebook_company_drafts": postings.notebook_company_drafts,
     "notebook_categories_skills": postings.notebook_categories_skills,
     "notebook_location_refine": postings.notebook_location_refine,
     "stg_jobs": postings.stg_report,

@@ -151,3 +151,20 @@ def test_helpers_more(spark):
     assert ev(spark, title_case(F.col("x")), "vertex technologies") == "Vertex Technologies"
     assert ev(spark, P.iso_to_date(F.col("x")), "2026-05-14T10:49:31.351741+00:00") == dt.date(2026, 5, 14)
     assert ev(spark, P.iso_to_date(F.col("x")), "") is None
+
+
+def test_company_drafts(spark):
+    df = spark.createDataFrame([
+        ("https://wuzzuf.net/jobs/p/f3fi6wjnx9o9-middle-data-engineer-vertex-technologies-cairo-egypt",
+         "Middle Data Engineer"),
+        ("https://wuzzuf.net/jobs/p/abc-sales-rep-acme-and-sons-of-x-giza-egypt", "Sales Rep"),
+        ("https://x/y", None)], "url string, title string")
+    rows = S.with_company_drafts(df, "url", "title").collect()
+    a, b, c = rows
+    assert (a.company_v1, a.company_v2, a.company_v3, a.company_final, a.company_v4) == (
+        "Middle Vertex Technologies", "Vertex Technologies Cairo", "Data Engineer Vertex Technologies Cairo",
+        "Vertex Technologies Cairo", "Vertex Technologies Cairo")
+    assert (b.company_v1, b.company_v2, b.company_v3, b.company_final, b.company_v4) == (
+        "Rep Acme And Sons Of X", "Sales Rep Acme And Sons Of X Giza", "Rep Acme And Sons Of X Giza",
+        "Rep Acme Sons X Giza", "Sales Rep Acme Sons X Giza")
+    assert {c.company_v1, c.company_v2, c.company_v3, c.company_final, c.company_v4} == {"Unknown"}
