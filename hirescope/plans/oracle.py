@@ -703,7 +703,9 @@ def _notebook_sql() -> str:
       {loc_city} AS loc_city, {loc_country} AS loc_country, {company} AS company_clean,
       {label('job_type', R.JOB_TYPE_MAP, R.JOB_TYPE_NULL)} AS job_type_label,
       {label(tail, R.WORKPLACE_MAP, R.WORKPLACE_NULL)} AS workplace_label,
-      {url_city} AS url_city, {url_country} AS url_country, {url_company} AS url_company,
+      {url_city} AS url_city, {url_country} AS url_country,
+      CASE WHEN ({url_city}) <> 'Unknown' THEN ({url_city}) || ', ' || ({url_country}) ELSE 'Unknown' END AS location_raw,
+      {url_company} AS url_company,
       coalesce({gov}, {cur}) AS governorate, CASE WHEN {gov} IS NOT NULL THEN {cur} ELSE {q(R.DISTRICT_MAIN)} END AS district,
       {wt1} AS work_type_title, {wt2} AS work_type_any,
       array_to_string(CASE WHEN {idx} > 0 THEN list_slice({arr}, 1, {idx}) ELSE [] END, ',') AS peeled_location,

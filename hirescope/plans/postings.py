@@ -87,7 +87,8 @@ def raw_postings(spark: SparkSession, sf: str) -> DataFrame:
 def notebook_fields(spark: SparkSession, sf: str) -> DataFrame:
     """Notebook cleaning variants over the raw postings: F6/F7 experience
     parsers with F8 banding, F26 location split, F27 company clean, F28 label
-    maps, F29 location from URL, F36 company from URL, F37 district lookup,
+    maps, F29 location from URL (+ F30 rebuilt location text), F36 company
+    from URL, F37 district lookup,
     F41/F42 work type, F53 location-tail peeling."""
     from hirescope.functions import rules as R
     from hirescope.functions import slug as S
@@ -110,6 +111,8 @@ def notebook_fields(spark: SparkSession, sf: str) -> DataFrame:
         S.map_label("job_type", R.JOB_TYPE_MAP, R.JOB_TYPE_NULL).alias("job_type_label"),
         S.map_label(tail, R.WORKPLACE_MAP, R.WORKPLACE_NULL).alias("workplace_label"),
         ul["city"].alias("url_city"), ul["country"].alias("url_country"),
+        F.when(ul["city"] != "Unknown", F.concat_ws(", ", ul["city"], ul["country"]))
+        .otherwise("Unknown").alias("location_raw"),
         "url_company",
         hier["governorate"].alias("governorate"), hier["district"].alias("district"),
         P.work_type_from_text("title", "url").alias("work_type_title"),
