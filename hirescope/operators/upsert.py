@@ -61,27 +61,42 @@ def incremental_slice(source: DataFrame, existing: DataFrame, col: str, strict:
     return source.filter(cond | mark.isNull())
 
 
-def write_version(df: DataFrame, base: str, version: int | str, mode: str = "errorifexists") -> str:
-    """Write a merged table to ``base/v=<version>`` (never in place)."""
+def _log_path(base: str) -> str:
+    return f"{base.rstrip('/')}/_versions"
+
+
+def committed_versions(spark: SparkSession, base: str) -> DataFrame | None:
+    """The commit log of a versioned table (None before the first commit)."""
+    from pyspark.errors import AnalysisException
+    try:
+        return spark.read.schema("version STRING, path STRING").json(_log_path(base))
+    except AnalysisException:
+        return None
+
+
+def write_version(df: DataFrame, base: str, version: int | str) -> str:
+    """Write a merged table to ``base/v=<version>`` (never in place), then
+    append one row to the ``_versions`` commit log.  Readers only see
+    versions in the log, so a job killed mid-write leaves no visible partial
+    table, and a re-run overwrites its own uncommitted folder."""
+    spark = df.sparkSession
     path = f"{base.rstrip('/')}/v={version}"
-    df.write.mode(mode).parquet(path)
+    df.write.mode("overwrite").parquet(path)
+    spark.createDataFrame([(str(version), path)], "version STRING, path STRING") \
+        .coalesce(1).write.mode("append").json(_log_path(base))
     return path
 
 
+def is_committed(spark: SparkSession, base: str, version: int | str) -> bool:
+    log = committed_versions(spark, base)
+    return log is not None and not log.filter(F.col("version") == str(version)).isEmpty()
+
+
 def latest_version(spark: SparkSession, base: str) -> str | None:
-    """The newest complete version folder under ``base`` (``_SUCCESS`` present)."""
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    p = jvm.org.apache.hadoop.fs.Path(base)
-    fs = p.getFileSystem(conf)
-    if not fs.exists(p):
+    """Path of the newest committed version (versions are zero-padded ids,
+    so the string maximum is the latest)."""
+    log = committed_versions(spark, base)
+    if log is None:
         return None
-    best = None
-    for st in fs.listStatus(p):
-        name = st.getPath().getName()
-        if name.startswith("v=") and fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
-            v = name[2:]
-            key = (len(v), v)
-            if best is None or key > best[0]:
-                best = (key, st.getPath().toString())
-    return best[1] if best else None
+    row = log.agg(F.max_by("path", "version").alias("p")).first()
+    return row["p"] if row else None

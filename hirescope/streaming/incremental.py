@@ -2,10 +2,10 @@
 
 ``readStream`` picks up new wrapped-JSON files; each micro-batch is cleaned
 with the same Column helpers as the batch job and merged into the postings
-table by URL.  The table is versioned by ``batchId`` under the shared
-checkpoint folder: a replayed batch (after a driver or executor loss) finds
-its version already complete and skips, so the sink is idempotent, and the
-checkpoint keeps the file offsets.
+table by URL.  The table is versioned by ``batchId``: each micro-batch writes ``v=<batchId>`` and
+then appends to the table's ``_versions`` commit log.  A replayed batch (after
+a driver or executor loss) finds its version committed and skips, so the sink
+is idempotent; the stream checkpoint keeps the file offsets.
 """
 
 from __future__ import annotations
@@ -13,30 +13,24 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hirescope.operators.upsert import latest_version, merge_by_key
+from hirescope.operators.upsert import is_committed, latest_version, merge_by_key, write_version
 from hirescope.plans.postings import clean_postings, normalize_raw
 from hirescope.sources.raw import RAW_DOC, explode_jobs
 
 
-def _version_exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path, "_SUCCESS")
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
-
-
 def upsert_batch(target_base: str, scrape_date_mode: str = "row"):
     """foreachBatch function: clean the batch, merge into the latest version."""
     def run(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        out = f"{target_base.rstrip('/')}/v={batch_id:012d}"
-        if _version_exists(spark, out):
+        version = f"{batch_id:012d}"
+        if is_committed(spark, target_base, version):
             return
         cleaned = clean_postings(normalize_raw(explode_jobs(batch.withColumn("file", F.input_file_name()))),
                                  scrape_date_mode=scrape_date_mode)
         prev = latest_version(spark, target_base)
         merged = cleaned if prev is None else merge_by_key(spark.read.parquet(prev), cleaned, ["job_url"],
                                                            ["scrape_date"])
-        merged.write.mode("overwrite").parquet(out)
+        write_version(merged, target_base, version)
     return run
 
 

@@ -123,3 +123,19 @@ def test_stage_report_observe_lookup_combine(spark, tmp):
     out = {r.url: r.title for r in combine_sources(j, c).collect()}
     assert out == {"u1": "A", "u2": "B", "u3": "C"}
     assert "salary" in combine_sources(j, c).columns
+
+
+def test_replayed_batch_is_skipped(spark, tmp):
+    from hirescope.operators.upsert import committed_versions
+    src = os.path.join(tmp, "landing")
+    os.makedirs(src)
+    _write(f"{src}/day1.json", _doc("data engineer", [_job(1), _job(2)]))
+    base = os.path.join(tmp, "table")
+    batch = spark.read.schema(RAW.RAW_DOC).option("multiLine", True).json(src)
+    run = incremental.upsert_batch(base)
+    run(batch, 0)
+    run(batch, 0)          # replay after a failure: already committed -> no-op
+    run(batch, 1)          # next batch merges into v0 -> same keys, no growth
+    log = committed_versions(spark, base)
+    assert sorted(r.version for r in log.collect()) == ["000000000000", "000000000001"]
+    assert incremental.current_table(spark, base).count() == 2
