@@ -19,12 +19,12 @@ def date_parts(d) -> list[Column]:
     """day, month, year, quarter, ISO week, Sunday=0 weekday, full names."""
     d = F.col(d) if isinstance(d, str) else d
     return [
-        F.dayofmonth(d).alias("day"),
-        F.month(d).alias("month"),
-        F.year(d).alias("year"),
-        F.quarter(d).alias("quarter"),
-        F.weekofyear(d).alias("week_of_year"),
-        (F.dayofweek(d) - 1).alias("day_of_week"),
+        F.dayofmonth(d).cast("bigint").alias("day"),
+        F.month(d).cast("bigint").alias("month"),
+        F.year(d).cast("bigint").alias("year"),
+        F.quarter(d).cast("bigint").alias("quarter"),
+        F.weekofyear(d).cast("bigint").alias("week_of_year"),
+        (F.dayofweek(d) - 1).cast("bigint").alias("day_of_week"),
         F.date_format(d, "MMMM").alias("month_name"),
         F.date_format(d, "EEEE").alias("day_name"),
     ]

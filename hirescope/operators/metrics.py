@@ -40,7 +40,7 @@ def top_k_per_group(df: DataFrame, group: str, value_col: str, by: str, k: int)
     (group, value), so a window partition is bounded by the number of
     distinct values in a group, not by raw rows."""
     w = Window.partitionBy(group).orderBy(F.desc(by), F.asc(value_col))
-    return df.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
+    return df.withColumn("rank", F.row_number().over(w).cast("bigint")).filter(F.col("rank") <= k)
 
 
 def element_frequency(df: DataFrame, array_col: str, name: str = "element") -> DataFrame:

@@ -107,7 +107,7 @@ def top_values_per_group(df: DataFrame, group: str, col: str, k: int = 5) -> Dat
     from pyspark.sql import Window
     c = df.groupBy(group, col).agg(F.count(F.lit(1)).alias("count"))
     w = Window.partitionBy(group).orderBy(F.desc("count"), F.asc(col))
-    return c.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
+    return c.withColumn("rank", F.row_number().over(w).cast("bigint")).filter(F.col("rank") <= k)
 
 
 def model_tests(tables: Mapping[str, DataFrame], not_null: Sequence[tuple[str, str]],

@@ -105,7 +105,7 @@ def new_vs_known_pairs(spark: SparkSession, sf: str) -> DataFrame:
     """Within the last day's batch keep the first event of each
     (user, type, hour) key, then keep only keys never seen before that day
     (left-anti against the known history)."""
-    e = _events(spark, sf).withColumns({"day": F.to_date("ts"), "hour": F.hour("ts")})
+    e = _events(spark, sf).withColumns({"day": F.to_date("ts"), "hour": F.hour("ts").cast("bigint")})
     last = e.select(F.max("day")).scalar()
     keys = ["user_id", "event_type", "hour"]
     batch = e.filter(F.col("day") == last)

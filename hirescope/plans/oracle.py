@@ -196,7 +196,7 @@ def _postings_sql() -> str:
 
 POSTINGS = _postings_sql()
 ORACLE["cleaned_postings"] = f"""
-SELECT * EXCLUDE (skills), to_json(skills) AS skills_list FROM ({POSTINGS})
+SELECT * EXCLUDE (skills), CAST(to_json(skills) AS VARCHAR) AS skills_list FROM ({POSTINGS})
 """
 
 STG = f"""
@@ -208,7 +208,7 @@ SELECT {sk('job_url')} AS job_id, trim(job_title) AS job_title, trim(lower(job_c
   posted_date, scrape_date, date_diff('day', posted_date, scrape_date) AS days_on_market
 FROM ({POSTINGS}) WHERE job_url IS NOT NULL
 """
-ORACLE["stg_jobs"] = f"SELECT * EXCLUDE (skills), to_json(skills) AS skills FROM ({STG})"
+ORACLE["stg_jobs"] = f"SELECT * EXCLUDE (skills), CAST(to_json(skills) AS VARCHAR) AS skills FROM ({STG})"
 ORACLE["dim_job"] = f"SELECT job_id, job_title, job_category, experience_level, scrape_date FROM ({STG})"
 DIM_COMPANY = f"""
 SELECT {sk('company_name')} AS company_id, company_name, company_type FROM (
@@ -309,7 +309,7 @@ SELECT event_type, count(*) AS new_unique FROM (
 WHERE rn = 1 GROUP BY event_type
 """
 ORACLE["event_props"] = """
-SELECT event_type, sum(TRY_CAST(json_extract_string(props, '$.k') AS BIGINT)) AS sum_k,
+SELECT event_type, CAST(sum(TRY_CAST(json_extract_string(props, '$.k') AS BIGINT)) AS BIGINT) AS sum_k,
        count(TRY_CAST(json_extract_string(props, '$.k') AS BIGINT)) AS n_k, count(*) AS n
 FROM events GROUP BY event_type
 """
@@ -391,7 +391,7 @@ k AS (SELECT o_orderpriority, sum(n) AS cs FROM c GROUP BY 1), t AS (SELECT sum(
 allcells AS (SELECT r.p_brand, k.o_orderpriority, r.rs * k.cs / t.nn AS e, coalesce(c.n, 0) AS o
              FROM r CROSS JOIN k CROSS JOIN t LEFT JOIN c ON c.p_brand = r.p_brand AND c.o_orderpriority = k.o_orderpriority)
 SELECT round(sum((o - e) ^ 2 / e), 4) AS chi2,
-       ((SELECT count(*) FROM r) - 1) * ((SELECT count(*) FROM k) - 1) AS dof, (SELECT nn FROM t) AS n FROM allcells
+       ((SELECT count(*) FROM r) - 1) * ((SELECT count(*) FROM k) - 1) AS dof, CAST((SELECT nn FROM t) AS BIGINT) AS n FROM allcells
 """
 ORACLE["weekly_velocity"] = """
 SELECT year(date_trunc('week', CAST(o_orderdate AS DATE))) AS week_year, weekofyear(CAST(o_orderdate AS DATE)) AS week_of_year,

@@ -89,8 +89,8 @@ def weekly_velocity(spark: SparkSession, sf: str) -> DataFrame:
     """Postings per ISO week."""
     o = table(spark, sf, "orders").select("o_orderdate")
     d = F.to_date("o_orderdate")
-    return (o.groupBy(F.year(F.date_trunc("week", d)).alias("week_year"),
-                      F.weekofyear(d).alias("week_of_year"))
+    return (o.groupBy(F.year(F.date_trunc("week", d)).cast("bigint").alias("week_year"),
+                      F.weekofyear(d).cast("bigint").alias("week_of_year"))
             .agg(F.count(F.lit(1)).alias("postings")))
 
 
@@ -111,7 +111,7 @@ def days_to_ship(spark: SparkSession, sf: str) -> DataFrame:
     li = table(spark, sf, "lineitem").select("l_orderkey", "l_shipdate")
     o = table(spark, sf, "orders").select("o_orderkey", "o_orderdate")
     j = li.join(o, li.l_orderkey == o.o_orderkey)
-    return (j.groupBy(F.datediff(F.to_date("l_shipdate"), F.to_date("o_orderdate")).alias("days_on_market"))
+    return (j.groupBy(F.datediff(F.to_date("l_shipdate"), F.to_date("o_orderdate")).cast("bigint").alias("days_on_market"))
             .agg(F.count(F.lit(1)).alias("n")))
 
 

@@ -45,7 +45,7 @@ def stg_jobs(raw: DataFrame, country: str = DEFAULT_COUNTRY) -> DataFrame:
                 F.trim("city").alias("city"),
                 F.lit(country).alias("country"),
                 "posted_date", "scrape_date",
-                F.datediff("scrape_date", "posted_date").alias("days_on_market")))
+                F.datediff("scrape_date", "posted_date").cast("bigint").alias("days_on_market")))
 
 
 def dim_job(stg: DataFrame) -> DataFrame:

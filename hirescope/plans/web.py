@@ -31,9 +31,9 @@ def doc_text_profile(spark: SparkSession, sf: str) -> DataFrame:
     d = spread(table(spark, sf, "documents").select("doc_id", "lang", "text"))
     clean = collapse_ws("text")
     lines = F.filter(F.split("text", "\n"), lambda x: F.trim(x) != "")
-    out = d.select("doc_id", F.trim(F.lower("lang")).alias("lang"), F.length(clean).alias("clean_len"),
-                   F.size(lines).alias("n_lines"),
-                   F.length(P.last_line("text", prefix=None)).alias("last_line_len"))
+    out = d.select("doc_id", F.trim(F.lower("lang")).alias("lang"), F.length(clean).cast("bigint").alias("clean_len"),
+                   F.size(lines).cast("bigint").alias("n_lines"),
+                   F.length(P.last_line("text", prefix=None)).cast("bigint").alias("last_line_len"))
     return out.filter(F.col("clean_len") > 2)
 
 
@@ -74,5 +74,5 @@ def page_card_fallbacks(spark: SparkSession, sf: str) -> DataFrame:
                     H.card_location("c").alias("location"),
                     H.card_experience("c").alias("experience"),
                     H.card_posted("c").alias("posted"),
-                    F.size(H.card_skills("c")).alias("n_skill_tags"),
+                    F.size(H.card_skills("c")).cast("bigint").alias("n_skill_tags"),
                     H.no_results("c").alias("no_results"))
