@@ -238,15 +238,13 @@ def category_metrics(spark, sf):
 def skill_count(spark, sf):
     """M12."""
     from hirescope.plans import star
-    s = _star(spark, sf)
-    return star.skill_count_frame(s["dim_job"], s["bridge_job_skills"])
+    return star.skill_count_frame(materialized_stage(spark, sf))
 
 
 def skill_category(spark, sf):
     """M13 as counts per (skill, category) -- the long-form crosstab."""
     from hirescope.plans import star
-    s = _star(spark, sf)
-    pairs = star.skill_category_pairs(s["bridge_job_skills"], s["dim_skills"], s["dim_job"])
+    pairs = star.skill_category_pairs(materialized_stage(spark, sf))
     return pairs.groupBy("skill_name", "job_category").agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -344,21 +342,22 @@ def postings_by(col):
 def top_skills_per_level(spark, sf, k: int = 3):
     """Top-k skills per seniority level."""
     from hirescope.operators.metrics import top_k_per_group
-    s = _star(spark, sf)
-    per = (s["bridge_job_skills"].join(s["dim_skills"], "skill_id")
-           .join(s["dim_job"].select("job_id", "experience_level"), "job_id")
+    from hirescope.plans import star
+    per = (star.skill_pairs_with(materialized_stage(spark, sf), "experience_level")
            .groupBy("experience_level", "skill_name").agg(F.count(F.lit(1)).alias("n_jobs")))
     return top_k_per_group(per, "experience_level", "skill_name", "n_jobs", k)
 
 
 def skill_roadmap(spark, sf):
     """Share of a level's postings that ask for each skill."""
-    s = _star(spark, sf)
-    jobs = s["dim_job"].select("job_id", "experience_level")
-    lvl = jobs.groupBy("experience_level").agg(F.count(F.lit(1)).alias("level_jobs"))
-    per = (s["bridge_job_skills"].join(s["dim_skills"], "skill_id").join(jobs, "job_id")
+    from hirescope.plans import star
+    stg = materialized_stage(spark, sf)
+    lvl = stg.groupBy("experience_level").agg(F.count(F.lit(1)).alias("level_jobs"))
+    per = (star.skill_pairs_with(stg, "experience_level")
            .groupBy("experience_level", "skill_name").agg(F.count(F.lit(1)).alias("n_jobs")))
-    return (per.join(lvl, "experience_level")
+    # one row per level; levels come from the four-value classifier (F9), a
+    # proven bound, so the level table is broadcast
+    return (per.join(F.broadcast(lvl), "experience_level")
             .withColumn("share_pct", F.round(F.col("n_jobs").cast("double") * 100.0 / F.col("level_jobs"), 2)))
 
 

@@ -117,11 +117,17 @@ def skill_metrics(pairs: DataFrame, fact: DataFrame) -> DataFrame:
         demand_bucket(F.round(pct, 2)).alias("demand_category"))
 
 
-def category_metrics(fact: DataFrame, jobs: DataFrame) -> DataFrame:
+def category_metrics(stg: DataFrame) -> DataFrame:
     """M11 (A4-A6): per category x level: count, mean min years, remote share,
-    share of all postings."""
-    total = fact.select(F.count(F.lit(1)).cast("double")).scalar()
-    j = fact.join(jobs.select("job_id", "job_category", "experience_level"), "job_id")
+    share of all postings.
+
+    The model joins fact to dim_job on job_id; both are projections of the
+    same de-duplicated staging rows keyed by md5(job_url), so that join is
+    1:1 and the aggregate reads staging directly -- no shuffle join of two
+    posting-sized tables.
+    """
+    total = stg.select(F.count(F.lit(1)).cast("double")).scalar()
+    j = stg
     return (j.groupBy("job_category", "experience_level").agg(
         F.count("job_id").alias("job_count"),
         F.round(F.avg("min_experience"), 1).alias("avg_min_experience"),
@@ -129,17 +135,26 @@ def category_metrics(fact: DataFrame, jobs: DataFrame) -> DataFrame:
         F.round(F.count("job_id").cast("double") * 100.0 / total, 2).alias("market_demand_index")))
 
 
-def skill_count_frame(jobs: DataFrame, bridge: DataFrame) -> DataFrame:
-    """Skills per job with level and category (bridge rows are distinct
-    per (job, skill), so COUNT(DISTINCT) is a plain count)."""
-    per = bridge.groupBy("job_id").agg(F.count(F.lit(1)).alias("skill_count"))
-    return jobs.select("job_id", "experience_level", "job_category").join(per, "job_id")
+def skill_count_frame(stg: DataFrame) -> DataFrame:
+    """Distinct skills per job with level and category.  The bridge
+    holds each row's de-duplicated skill array exploded, so the per-job count
+    is the array size -- computed in place, no group-by and no join; jobs
+    without skills drop out as in the inner join."""
+    n = F.size(normalized_skills("skills")).cast("bigint")
+    return (stg.select("job_id", "experience_level", "job_category", n.alias("skill_count"))
+            .filter(F.col("skill_count") > 0))
+
+
+def skill_pairs_with(stg: DataFrame, *cols: str) -> DataFrame:
+    """(job, skill) rows carrying job attributes -- bridge ⋈ dim_skills ⋈
+    dim_job without the joins (skill_id = md5(name), job attributes are on
+    the same staging row)."""
+    return stg.select("job_id", *cols, F.explode(normalized_skills("skills")).alias("skill_name"))
 
 
-def skill_category_pairs(bridge: DataFrame, skills: DataFrame, jobs: DataFrame) -> DataFrame:
+def skill_category_pairs(stg: DataFrame) -> DataFrame:
     """One row per job-skill with the job's category."""
-    return (bridge.join(skills, "skill_id").join(jobs.select("job_id", "job_category"), "job_id")
-            .select("skill_name", "job_category"))
+    return skill_pairs_with(stg, "job_category").select("skill_name", "job_category")
 
 
 def build_star(stg: DataFrame) -> dict[str, DataFrame]:
@@ -154,5 +169,5 @@ def build_star(stg: DataFrame) -> dict[str, DataFrame]:
         "stg_jobs": stg, "dim_job": jobs, "dim_company": comp, "dim_location": loc,
         "dim_date": dates, "dim_skills": skills, "bridge_job_skills": bridge, "fact_jobs": fact,
         "mart_job_metrics": skill_metrics(pairs, fact),
-        "category_metrics": category_metrics(fact, jobs),
+        "category_metrics": category_metrics(stg),
     }
