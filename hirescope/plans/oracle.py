@@ -237,6 +237,7 @@ LEFT JOIN ({DIM_LOCATION}) lo ON stg.city = lo.city
 LEFT JOIN ({DIM_DATE}) da ON stg.posted_date = da.full_date
 """
 ORACLE["fact_jobs"] = FACT
+ORACLE["fact_jobs_joined"] = FACT
 PAIRS = f"""
 SELECT DISTINCT job_id, skill_name FROM (
   SELECT job_id, trim(lower(s)) AS skill_name FROM (SELECT job_id, unnest(skills) AS s FROM ({STG})))

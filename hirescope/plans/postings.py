@@ -227,6 +227,11 @@ def fact_jobs(spark, sf):
     return _star(spark, sf)["fact_jobs"]
 
 
+def fact_jobs_joined(spark, sf):
+    """The fact table through its four left joins (same rows as fact_jobs)."""
+    return _star(spark, sf)["fact_jobs_joined"]
+
+
 def skill_metrics(spark, sf):
     return _star(spark, sf)["mart_job_metrics"]
 

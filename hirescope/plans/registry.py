@@ -22,6 +22,7 @@ QUERIES = {
     "dim_location": postings.dim_location,
     "dim_date": postings.dim_date,
     "fact_jobs": postings.fact_jobs,
+    "fact_jobs_joined": postings.fact_jobs_joined,
     "job_skill_metrics": postings.skill_metrics,
     "category_metrics": postings.category_metrics,
     "skill_count_per_job": postings.skill_count,

@@ -91,9 +91,25 @@ def bridge_job_skills(pairs: DataFrame) -> DataFrame:
     return pairs.select("job_id", surrogate_key("skill_name").alias("skill_id"))
 
 
-def fact_jobs(stg: DataFrame, companies: DataFrame, locations: DataFrame, dates: DataFrame) -> DataFrame:
-    """M8 (J1): left joins to the dims; dim_job shares the key, so it needs
-    no join at all (fact.job_id = md5(job_url) = dim_job.job_id)."""
+def fact_jobs(stg: DataFrame) -> DataFrame:
+    """M8 with keys derived in place: every dimension key is md5 of a staging
+    column, and each dimension holds exactly the non-null values of that
+    column (one row per company name; city -> (city, constant country); one
+    row per date), so the left joins of J1 resolve to ``md5(col)`` where the
+    column is non-null, else null.  A map-only projection -- no joins, no
+    shuffle, whatever the skew of company or city."""
+    def key(*cols):
+        present = F.col(cols[0]).isNotNull()
+        return F.when(present, surrogate_key(*cols))
+    return stg.select(surrogate_key("job_url").alias("fact_id"), "job_id",
+                      key("company_name").alias("company_id"), key("city", "country").alias("location_id"),
+                      key("posted_date").alias("date_id"),
+                      "min_experience", "max_experience", "job_type", "work_type", "job_url")
+
+
+def fact_jobs_joined(stg: DataFrame, companies: DataFrame, locations: DataFrame, dates: DataFrame) -> DataFrame:
+    """M8 (J1) as the model writes it: left joins to the dims; dim_job shares
+    the key, so it needs no join at all (fact.job_id = md5(job_url))."""
     f = (stg.join(companies.select("company_name", "company_id"), "company_name", "left")
          .join(locations.select("city", "location_id"), "city", "left")
          .join(dates.select(F.col("full_date").alias("posted_date"), "date_id"), "posted_date", "left"))
@@ -162,12 +178,13 @@ def build_star(stg: DataFrame) -> dict[str, DataFrame]:
     pairs = job_skill_pairs(stg)
     comp, loc, dates = dim_company(stg), dim_location(stg), dim_date(stg)
     jobs = dim_job(stg)
-    fact = fact_jobs(stg, comp, loc, dates)
+    fact = fact_jobs(stg)
     skills = dim_skills(pairs)
     bridge = bridge_job_skills(pairs)
     return {
         "stg_jobs": stg, "dim_job": jobs, "dim_company": comp, "dim_location": loc,
         "dim_date": dates, "dim_skills": skills, "bridge_job_skills": bridge, "fact_jobs": fact,
+        "fact_jobs_joined": fact_jobs_joined(stg, comp, loc, dates),
         "mart_job_metrics": skill_metrics(pairs, fact),
         "category_metrics": category_metrics(stg),
     }
