@@ -171,8 +171,11 @@ def relative_posted_date(raw, scrape_date, fallback="scrape") -> Column:
 
 
 def iso_to_date(c) -> Column:
-    """ISO-8601 text with zone -> date (invalid / blank -> null)."""
-    return F.to_date(F.try_to_timestamp(_c(c)))
+    """ISO-8601 text with zone -> the calendar date *as written* (its
+    own offset, like ``fromisoformat(...).date()``), independent of the
+    session time zone; invalid / blank -> null."""
+    col = _c(c)
+    return F.when(F.try_to_timestamp(col).isNotNull(), F.try_to_date(F.substring(col, 1, 10), "yyyy-MM-dd"))
 
 
 # ------------------------------------------------------------- work type
