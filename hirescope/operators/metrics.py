@@ -25,7 +25,9 @@ def value_counts(df: DataFrame, cols: Sequence[str] | str, dropna: bool = True,
     src = df.dropna(subset=cols) if dropna else df
     out = src.groupBy(*cols).agg(F.count(F.lit(1)).alias("count"))
     if share:
-        total = src.select(F.count(F.lit(1))).scalar()
+        # total = sum of the group counts: the subquery aggregates the same
+        # grouped exchange as the main plan (reused), not the input again
+        total = out.select(F.sum("count")).scalar()
         out = out.withColumn("share_pct", pct(F.col("count"), total))
     return out
 
