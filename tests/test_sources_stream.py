@@ -139,3 +139,30 @@ def test_replayed_batch_is_skipped(spark, tmp):
     log = committed_versions(spark, base)
     assert sorted(r.version for r in log.collect()) == ["000000000000", "000000000001"]
     assert incremental.current_table(spark, base).count() == 2
+
+
+def test_daily_run_end_to_end(spark, tmp):
+    from hirescope.plans.daily import GateFailed, run_daily
+    src = os.path.join(tmp, "raw")
+    os.makedirs(src)
+    _write(f"{src}/day1.json", _doc("data engineer", [_job(i) for i in range(12)]))
+    base = os.path.join(tmp, "wh")
+    r1 = run_daily(spark, f"{src}/day1.json", base, "20260514")
+    assert (r1["scraped"], r1["cleaned"], r1["affected"], r1["total"]) == (12, 12, 12, 12)
+    _write(f"{src}/day2.json", _doc("data engineer", [_job(i, title="Senior Data Engineer",
+                                                            scraped="2026-05-15T09:00:00+00:00")
+                                                       for i in range(8, 20)]))
+    r2 = run_daily(spark, f"{src}/day2.json", base, "20260515")
+    assert (r2["affected"], r2["total"]) == (12, 20)
+    facts = spark.read.parquet(f"{base}/marts/fact_jobs")
+    assert facts.count() == 20
+    metrics = spark.read.parquet(f"{base}/marts/mart_job_metrics")
+    assert {r.skill_name for r in metrics.collect()} == {"sql", "apache spark"}
+    assert spark.read.json(f"{base}/reports/20260515/summary").first().status == "PASSED"
+    try:                                     # too few rows for the gate -> the run stops
+        _write(f"{src}/day3.json", _doc("data engineer", [_job(99)]))
+        run_daily(spark, f"{src}/day3.json", base, "20260516")
+        raise AssertionError("gate should fail")
+    except GateFailed:
+        pass
+    assert spark.read.json(f"{base}/reports/20260516/summary").first().status == "FAILED"
