@@ -135,3 +135,18 @@ def gammaincc(a: float, x: float) -> float:
 def chi2_sf(x: float, dof: float) -> float:
     """Survival function of the chi-square distribution."""
     return gammaincc(dof / 2.0, x / 2.0)
+
+
+# ------------------------------------------------------- tests with p-values
+def anova_test(df: DataFrame, group: str, value: str) -> dict:
+    """A18 as reported: F, p and degrees of freedom (one aggregate row reaches
+    the driver)."""
+    r = anova_oneway(df, group, value).first()
+    return {"f_stat": r.f_stat, "p_value": f_sf(r.f_stat, r.df_between, r.df_within),
+            "df_between": r.df_between, "df_within": r.df_within, "n": r.n}
+
+
+def chi2_test(cells: DataFrame, row: str, col: str, count: str = "n") -> dict:
+    """A20 as reported: chi-square, p and dof."""
+    r = chi_square(cells, row, col, count).first()
+    return {"chi2": r.chi2, "p_value": chi2_sf(r.chi2, r.dof), "dof": r.dof, "n": r.n}

@@ -145,3 +145,13 @@ def part_cooccurrence(spark: SparkSession, sf: str, k: int = 20) -> DataFrame:
     c = b.select(F.col("l_orderkey").alias("k"), F.col("l_partkey").alias("part_b"))
     pairs = a.join(c, "k").filter(F.col("part_a") < F.col("part_b"))
     return pairs.groupBy("part_a", "part_b").agg(F.count(F.lit(1)).alias("n_orders"))
+
+
+def hypothesis_tests(spark: SparkSession, sf: str) -> dict:
+    """The statistics report: ANOVA of parts per order by priority, Pearson of
+    postings vs mean parts per segment, chi-square of top-20 brands x priority."""
+    o = table(spark, sf, "orders").select("o_orderkey", "o_orderpriority")
+    per = o.join(_order_parts(spark, sf), o.o_orderkey == F.col("l_orderkey"))
+    return {"anova": S.anova_test(per, "o_orderpriority", "skill_count"),
+            "pearson_r": segment_correlation(spark, sf).first().r,
+            "chi_square": S.chi2_test(brand_priority_cells(spark, sf), "p_brand", "o_orderpriority")}

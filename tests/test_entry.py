@@ -39,3 +39,18 @@ def test_query_matches_oracle(spark, con, name):
     cols = [d[0] for d in res.description]
     assert sorted(df.columns) == sorted(cols)
     assert C.digest(df.columns, rows)[0] == C.digest(cols, res.fetchall())[0]
+
+
+def test_result_types_match_oracle(spark, con):
+    names = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR", "date": "DATE",
+             "boolean": "BOOLEAN", "timestamp_ntz": "TIMESTAMP", "float": "FLOAT"}
+    bad = []
+    for name, fn in E.queries().items():
+        sql = E.oracle_sql().get(name)
+        if sql is None:
+            continue
+        st = {f.name: f.dataType.simpleString() for f in fn(spark, SF_SMALL).schema.fields}
+        rel = con.sql(sql)
+        dt = {c: str(t) for c, t in zip(rel.columns, rel.types)}
+        bad += [(name, c, t, dt.get(c)) for c, t in st.items() if names.get(t, t) != dt.get(c)]
+    assert bad == []

@@ -95,3 +95,12 @@ def test_star_invariants(spark):
     assert all(r.failures == 0 for r in postings.integrity(spark, SF_SMALL).collect())
     cleaned = postings.cleaned_postings(spark, SF_SMALL)
     assert cleaned.count() == cleaned.select("job_url").distinct().count()
+
+
+def test_hypothesis_report(spark):
+    from hirescope.plans.reports import hypothesis_tests
+    rep = hypothesis_tests(spark, SF_SMALL)
+    a, c = rep["anova"], rep["chi_square"]
+    assert a["df_between"] == 4 and 0.0 <= a["p_value"] <= 1.0
+    assert 0.0 <= c["p_value"] <= 1.0 and c["dof"] > 0
+    assert -1.0 <= rep["pearson_r"] <= 1.0
