@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from hirescope.functions import rules as R
-from hirescope.functions.text import _c, contains_any, nonempty_or_null, py_strip, rule_chain
+from hirescope.functions.text import _c, contains_any, count_contained, nonempty_or_null, py_strip, rule_chain
 
 
 # ---------------------------------------------------------------- location
@@ -211,7 +211,6 @@ def classify_company_type(name) -> Column:
     unknown = n.isNull() | F.lower(py_strip(n)).isin(R.COMPANY_UNKNOWN_NAMES)
     override = F.try_element_at(
         F.create_map(*[F.lit(x) for kv in R.COMPANY_OVERRIDES.items() for x in kv]), n)
-    from hirescope.functions.text import count_contained
     score = count_contained(low, R.STARTUP_KEYWORDS)
     words = F.size(F.filter(F.split(py_strip(n), r"\s+"), lambda w: w != ""))
     return (F.when(unknown, "Unknown")

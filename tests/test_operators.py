@@ -104,3 +104,12 @@ def test_hypothesis_report(spark):
     assert a["df_between"] == 4 and 0.0 <= a["p_value"] <= 1.0
     assert 0.0 <= c["p_value"] <= 1.0 and c["dof"] > 0
     assert -1.0 <= rep["pearson_r"] <= 1.0
+
+
+def test_audit_profile_approx(spark):
+    from hirescope.operators.quality import audit_profile
+    df = spark.range(1000).selectExpr("id", "id % 7 AS k", "CAST(NULL AS STRING) AS s")
+    exact = {r.column_name: r for r in audit_profile(df).collect()}
+    approx = {r.column_name: r for r in audit_profile(df, exact=False).collect()}
+    assert exact["k"].distinct_count == 7 and exact["s"].null_count == 1000
+    assert abs(approx["id"].distinct_count - 1000) <= 30 and approx["k"].distinct_count == 7
