@@ -113,3 +113,20 @@ def test_audit_profile_approx(spark):
     approx = {r.column_name: r for r in audit_profile(df, exact=False).collect()}
     assert exact["k"].distinct_count == 7 and exact["s"].null_count == 1000
     assert abs(approx["id"].distinct_count - 1000) <= 30 and approx["k"].distinct_count == 7
+
+
+def test_upsert_bucketed_rewrites_only_touched(spark, tmp_path):
+    import os
+    path = str(tmp_path / "t")
+    base = spark.range(200).selectExpr("CAST(id AS STRING) AS k", "'old' AS v", "0L AS o")
+    upsert.upsert_bucketed(spark, path, base, "k", 16, ["o"])
+    before = {d: os.listdir(os.path.join(path, d)) for d in os.listdir(path) if d.startswith("key_bucket=")}
+    delta = spark.createDataFrame([("3", "new", 1), ("500", "new", 1)], "k string, v string, o long")
+    touched = upsert.upsert_bucketed(spark, path, delta, "k", 16, ["o"])
+    after = {d: os.listdir(os.path.join(path, d)) for d in os.listdir(path) if d.startswith("key_bucket=")}
+    untouched = [d for d in before if int(d.split("=")[1]) not in touched]
+    assert untouched and all(before[d] == after[d] for d in untouched)
+    got = {r.k: r.v for r in spark.read.parquet(path).collect()}
+    assert len(got) == 201 and got["3"] == "new" and got["500"] == "new" and got["4"] == "old"
+    upsert.upsert_bucketed(spark, path, delta, "k", 16, ["o"])          # replay: same table
+    assert spark.read.parquet(path).count() == 201
