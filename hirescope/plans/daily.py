@@ -20,7 +20,10 @@ from pyspark.sql import functions as F
 
 from hirescope.functions import rules as R
 from hirescope.operators.quality import quality_gate
-from hirescope.operators.upsert import latest_version, merge_by_key, merge_counts, write_version
+from pyspark.errors import AnalysisException
+
+from hirescope.operators.upsert import (BUCKET_COL, latest_version, merge_by_key, merge_counts,
+                                        upsert_bucketed, write_version)
 from hirescope.plans import star
 from hirescope.plans.postings import clean_postings
 from hirescope.session import checkpoint_dir
@@ -34,8 +37,14 @@ class GateFailed(RuntimeError):
 
 def run_daily(spark: SparkSession, raw_paths: str | Sequence[str], base: str, version: str,
               scrape_date_mode: str = "batch", fail_on_gate: bool = True,
-              gate_bounds: tuple[int, int] = (R.GATE_MIN_ROWS, R.GATE_MAX_ROWS)) -> dict:
-    """Run one day; returns the stage counts (scraped, cleaned, affected, total)."""
+              gate_bounds: tuple[int, int] = (R.GATE_MIN_ROWS, R.GATE_MAX_ROWS),
+              n_buckets: int | None = None) -> dict:
+    """Run one day; returns the stage counts (scraped, cleaned, affected, total).
+
+    ``n_buckets`` switches the postings table from versioned full rewrites to
+    the key-bucketed layout, where a day's upsert reads and replaces only the
+    buckets its rows hash to (the large-table / small-delta case).
+    """
     checkpoint_dir(spark)
     raw, scraped = observe_counts(load_raw_json(spark, raw_paths), "scraped")
     cleaned = clean_postings(raw, scrape_date_mode=scrape_date_mode).checkpoint(eager=True)
@@ -53,6 +62,21 @@ def run_daily(spark: SparkSession, raw_paths: str | Sequence[str], base: str, ve
     if fail_on_gate and summary["checks_failed"]:
         raise GateFailed(f"quality gate failed: {summary['failures']}")
 
+    if n_buckets:
+        table = f"{base}/postings_bucketed"
+        try:
+            before = spark.read.parquet(table).drop(BUCKET_COL)
+        except AnalysisException:
+            before = None
+        if before is None:
+            affected = n_clean
+        else:
+            c = merge_counts(before, cleaned, ["job_url"]).first()
+            affected = c.updated_count + c.appended_count
+        upsert_bucketed(spark, table, cleaned, "job_url", n_buckets, ["scrape_date"])
+        stored = spark.read.parquet(table).drop(BUCKET_COL)
+        return _build_marts(spark, stored, base, scraped.get["rows"], n_clean, affected, table)
+
     table = f"{base}/postings"
     prev = latest_version(spark, table)
     if prev is None:
@@ -61,12 +85,17 @@ def run_daily(spark: SparkSession, raw_paths: str | Sequence[str], base: str, ve
         target = spark.read.parquet(prev)
         c = merge_counts(target, cleaned, ["job_url"]).first()
         merged, affected = merge_by_key(target, cleaned, ["job_url"], ["scrape_date"]), c.updated_count + c.appended_count
-    merged, total = observe_counts(merged, "total")
     path = write_version(merged, table, version)
+    return _build_marts(spark, spark.read.parquet(path), base, scraped.get["rows"], n_clean, affected, path)
+
 
-    stg = star.stg_jobs(spark.read.parquet(path))
+def _build_marts(spark, stored, base, scraped, n_clean, affected, path) -> dict:
+    """Models from the committed postings table (never from the raw input)."""
+    stg, total = observe_counts(star.stg_jobs(stored), "total")
+    stg.write.mode("overwrite").parquet(f"{base}/marts/stg_jobs")
+    stg = spark.read.parquet(f"{base}/marts/stg_jobs")
     for name, df in star.build_star(stg).items():
         if name != "stg_jobs":
             df.write.mode("overwrite").parquet(f"{base}/marts/{name}")
-    return {"scraped": scraped.get["rows"], "cleaned": n_clean, "affected": affected,
+    return {"scraped": scraped, "cleaned": n_clean, "affected": affected,
             "total": total.get["rows"], "version_path": path}

@@ -166,3 +166,21 @@ def test_daily_run_end_to_end(spark, tmp):
     except GateFailed:
         pass
     assert spark.read.json(f"{base}/reports/20260516/summary").first().status == "FAILED"
+
+
+def test_daily_run_bucketed_equals_versioned(spark, tmp):
+    from hirescope.plans.daily import run_daily
+    src = os.path.join(tmp, "raw")
+    os.makedirs(src)
+    _write(f"{src}/d1.json", _doc("data engineer", [_job(i) for i in range(12)]))
+    _write(f"{src}/d2.json", _doc("data engineer", [_job(i, title="Senior Data Engineer",
+                                                          scraped="2026-05-15T09:00:00+00:00") for i in range(8, 20)]))
+    outs = {}
+    for mode, nb in (("v", None), ("b", 8)):
+        base = os.path.join(tmp, mode)
+        run_daily(spark, f"{src}/d1.json", base, "1", n_buckets=nb)
+        r = run_daily(spark, f"{src}/d2.json", base, "2", n_buckets=nb)
+        assert (r["affected"], r["total"]) == (12, 20)
+        outs[mode] = sorted(map(tuple, spark.read.parquet(f"{base}/marts/fact_jobs")
+                                .select("job_url", "company_id", "date_id").collect()))
+    assert outs["v"] == outs["b"]
