@@ -70,7 +70,6 @@ def with_company_from_url(df, url: str, title: str, out: str = "url_company"):
     ``aggregate``) -- never as outer references inside a lambda, which would
     re-evaluate them per element.
     """
-    from pyspark.sql import DataFrame  # noqa: F401
     u = F.col(url)
     tslug = F.regexp_replace(F.regexp_replace(F.lower(F.coalesce(F.col(title).cast("string"), F.lit("None"))),
                                               "[^a-z0-9]+", "-"), "^-+|-+$", "")

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from hirescope.functions import parse as P
 from hirescope.functions.skills import clean_skills_list, list_to_text
-from hirescope.functions.text import collapse_ws, py_strip, slugify
+from hirescope.functions.text import collapse_ws, py_strip
 from hirescope.operators.dedup import keep_first, keep_last
 from hirescope.sources.tables import spread, table
 
