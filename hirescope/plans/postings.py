@@ -142,23 +142,24 @@ def clean_postings(df: DataFrame, scrape_date_mode: str = "batch", bullet: str =
     aggregate), never a collect.
     """
     t = df.withColumn("job_title", collapse_ws(F.coalesce(F.col("job_title"), F.lit("None"))))
-    t = t.filter(F.length("job_title") > 2)
-    t = t.filter(P.egypt_only("job_url", "city"))
+    t = t.filter((F.length("job_title") > 2) & P.egypt_only("job_url", "city"))
     exp = P.parse_experience_years("experience_raw")
     t = t.withColumns({"min_experience": exp["min_experience"], "max_experience": exp["max_experience"]})
-    t = t.withColumn("experience_level",
-                     P.classify_experience_level("job_title", "min_experience", "experience_raw"))
     if scrape_date_mode == "batch":
         first = (t.filter(F.col("scraped_at").isNotNull())
                  .select(F.min_by("scraped_at", "pos")).scalar())
         sd = F.coalesce(P.iso_to_date(first), F.current_date())
     else:
         sd = F.coalesce(P.iso_to_date("scraped_at"), F.current_date())
-    t = t.withColumn("scrape_date", sd)
-    t = t.withColumn("posted_date", P.relative_posted_date("posted_date", "scrape_date"))
-    t = t.withColumn("skills", clean_skills_list("skills_list", bullet=bullet))
-    t = t.withColumn("job_category", P.classify_job_category("job_title"))
-    t = t.withColumn("company_type", P.classify_company_type("company_name"))
+    # one projection for the independent derivations (fewer plan re-analyses)
+    t = t.withColumns({
+        "experience_level": P.classify_experience_level("job_title", "min_experience", "experience_raw"),
+        "scrape_date": sd,
+        "posted_date": P.relative_posted_date("posted_date", sd),
+        "skills": clean_skills_list("skills_list", bullet=bullet),
+        "job_category": P.classify_job_category("job_title"),
+        "company_type": P.classify_company_type("company_name"),
+    })
     t = keep_last(t, ["job_url"], ["scraped_at", "pos"])
     return t.select("job_title", "company_name", "job_type", "skills", "job_category", "posted_date",
                     "job_url", "city", "work_type", "min_experience", "max_experience",
