@@ -7,38 +7,53 @@ import tempfile
 
 from pyspark.sql import SparkSession
 
-# Settings every job in the package relies on.  They are only *defaults*: a
-# cluster submit that already sets a key keeps its own value.
-_DEFAULTS = {
+# Runtime SQL settings every job relies on.  They are *defaults*: a value
+# set explicitly at submit time (present in the SparkConf) is kept.
+_RUNTIME_DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.localShuffleReader.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # 128 MiB splits keep scan tasks a comfortable size at any scale factor.
+    "spark.sql.files.maxPartitionBytes": str(128 * 1024 * 1024),
+}
+# Context-level settings (fixed when the context starts): no UI server, and
+# checkpoint files of garbage-collected DataFrames are removed.
+_STATIC_DEFAULTS = {
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
-    # checkpoint files of DataFrames that are garbage-collected are removed
     "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
-    # 128 MiB splits keep scan tasks a comfortable size at any scale factor.
-    "spark.sql.files.maxPartitionBytes": str(128 * 1024 * 1024),
 }
 
 
 def get_spark(app: str = "hirescope", master: str | None = None,
               shuffle_partitions: int | None = None,
               extra: dict[str, str] | None = None) -> SparkSession:
-    """Return (or create) the session with the package defaults applied."""
+    """Return (or create) the session with the package defaults applied.
+
+    ``shuffle_partitions`` and ``extra`` are explicit requests and always win.
+    """
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
-    for k, v in _DEFAULTS.items():
+    for k, v in _STATIC_DEFAULTS.items():
         builder = builder.config(k, v)
-    if shuffle_partitions:
-        builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     for k, v in (extra or {}).items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
+    submitted = spark.sparkContext.getConf()
+    for k, v in _RUNTIME_DEFAULTS.items():
+        if not submitted.contains(k) and k not in (extra or {}):
+            spark.conf.set(k, v)
+    if shuffle_partitions:
+        spark.conf.set("spark.sql.shuffle.partitions", str(shuffle_partitions))
+    for k, v in (extra or {}).items():
+        try:
+            spark.conf.set(k, v)
+        except Exception:  # noqa: BLE001 -- static keys were applied by the builder
+            pass
     spark.sparkContext.setLogLevel("ERROR")
     checkpoint_dir(spark)
     return spark
