@@ -7,7 +7,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hirescope.llm import simhash
+from hirescope.llm import simhash, suffix_dedup
 from hirescope.sources.tables import table
 
 
@@ -17,8 +17,17 @@ def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents without the 100-byte strings that start earlier in the corpus."""
+    out = suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"))
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
+    return out.select("doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"),
+                      F.sha2("kept", 256).alias("kept_sha256"))
+
+
 QUERIES = {
     "op7_simhash": op7_simhash,
+    "op10_suffix_dedup": op10_suffix_dedup,
 }
 
 ORACLE: dict[str, str] = {}
