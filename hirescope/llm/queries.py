@@ -7,10 +7,28 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hirescope.llm import simhash, suffix_dedup
+from hirescope.llm import simhash, suffix_dedup, toxicity
 from hirescope.sources.tables import table
 
 
+#: Share of the ids that learning never sees: crc32(id as text) mod 4 = 2.
+TOXIC_HELD_OUT = "crc32(cast(doc_id as string)) % 4 = 2"
+TOXIC_AT = 0.3
+
+
+def toxicity_model(docs: DataFrame, labels: DataFrame) -> toxicity.Model:
+    return toxicity.learn(docs, labels.where(f"not ({TOXIC_HELD_OUT})"))
+
+
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of all documents, learned from the labels outside the held-out share."""
+    docs = table(spark, sf_dir, "documents")
+    out = toxicity.score(docs, toxicity_model(docs, table(spark, sf_dir, "labels")))
+    return out.select("doc_id", F.expr(TOXIC_HELD_OUT).alias("held_out"), "score",
+                      F.when(F.col("score") >= TOXIC_AT, 1).otherwise(0).alias("predicted"),
+                      F.size("matches").cast("long").alias("n_matches"))
+
+
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate groups of all documents by SimHash and anchor points."""
     out = simhash.near_duplicates(table(spark, sf_dir, "documents"))
@@ -26,6 +44,7 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_toxicity": op2_toxicity,
     "op7_simhash": op7_simhash,
     "op10_suffix_dedup": op10_suffix_dedup,
 }
