@@ -7,7 +7,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hirescope.llm import simhash, suffix_dedup, toxicity
+from hirescope.llm import decontaminate, packing, simhash, suffix_dedup, toxicity
 from hirescope.sources.tables import table
 
 
@@ -29,12 +29,22 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.size("matches").cast("long").alias("n_matches"))
 
 
+def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents as pieces of token sequences of at most 1024 ids."""
+    return packing.pack(table(spark, sf_dir, "documents"), with_ids=False)
+
+
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate groups of all documents by SimHash and anchor points."""
     out = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     return out.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that hold items of the benchmark, one row per pair."""
+    return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents without the 100-byte strings that start earlier in the corpus."""
     out = suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"))
@@ -45,7 +55,9 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op2_toxicity": op2_toxicity,
+    "op5_packing": op5_packing,
     "op7_simhash": op7_simhash,
+    "op8_decontamination": op8_decontamination,
     "op10_suffix_dedup": op10_suffix_dedup,
 }
 

@@ -233,7 +233,9 @@ def links(distinct: DataFrame, max_bits: int = 4, segments: tuple[Segment, ...]
                     yield pa.RecordBatch.from_arrays([pa.array(anchor.view(np.int64)), pa.array(fp.view(np.int64))],
                                                      names=["anchor", "fp"])
 
-    sent = (distinct.select("fp").mapInArrow(reach, "anchor long, fp long").join(hot, "anchor", "left")
+    # Each fingerprint becomes some two hundred rows: don't let the planner join small partitions here.
+    tasks = int(distinct.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    sent = (distinct.select("fp").repartition(tasks, "fp").mapInArrow(reach, "anchor long, fp long").join(hot, "anchor", "left")
             .select("anchor", "fp", F.coalesce("n_blocks", F.lit(1)).cast("long").alias("n_blocks"))
             .select("anchor", "fp", "n_blocks",
                     F.explode(F.sequence(F.lit(0).cast("long"), F.col("n_blocks") - 1)).alias("block")))
