@@ -4,10 +4,12 @@ from __future__ import annotations
 
 import gc
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from hirescope.session import checkpoint_dir
 
@@ -50,3 +52,38 @@ def text_batches(batches: Iterator[pa.RecordBatch], columns: tuple[int, ...], te
                 rows, size = [[] for _ in columns], 0
     if rows[0]:
         yield rows
+
+
+def map_texts(docs: DataFrame, text_col: str, carry: list[str], fields: str,
+              make: Callable[[], Callable[..., list[pa.Array]]], extra: tuple[str, ...] = (),
+              limit: int = 4 << 20) -> DataFrame:
+    """Apply a Python function to the texts of ``docs`` without losing the rows.
+
+    ``make()`` runs once per task and returns a function of a list of texts
+    (and a list for each ``extra`` column) that gives one Arrow array per
+    field of the DDL ``fields``.  Returns these fields and a struct ``row`` of
+    the ``carry`` columns, so names can't clash and no join back is needed.
+    """
+    source = docs.select(F.col(text_col).cast("string").alias("text"), *extra,
+                         F.struct(*[F.col(c) for c in carry]).alias("row"))
+    schema = StructType.fromDDL(fields)
+    names = schema.names + ["row"]
+    schema = schema.add("row", source.schema["row"].dataType)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        work = make()
+        for batch in batches:
+            at = 0
+            while at < batch.num_rows:
+                texts, size, end = [], 0, at
+                while end < batch.num_rows and size < limit:
+                    part = batch.column(0).slice(end, 64).to_pylist()
+                    texts += part
+                    size += sum(len(x) for x in part if x)
+                    end = min(end + 64, batch.num_rows)
+                cut = batch.slice(at, end - at)
+                lists = [cut.column(i + 1).to_pylist() for i in range(len(extra))]
+                yield pa.RecordBatch.from_arrays([*work(texts, *lists), cut.column(len(extra) + 1)], names=names)
+                at = end
+
+    return source.mapInArrow(run, schema)

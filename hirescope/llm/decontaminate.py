@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hirescope.llm.common import text_batches
+from hirescope.llm.common import map_texts, text_batches
 
 _WORD = re.compile(r"\w+")
 _SENTENCE = re.compile(r"(?<=[.!?])\s+")
@@ -187,61 +187,64 @@ def candidates(index: Index, texts: list[list[str]], min_cosine: float, block: i
             yield t, i, begin * block, min((int(s[w]) - int(f[w]) + begin) * block, int(sizes[t])), float(near[w, i])
 
 
-def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                 item_col: str = "item_id", item_text: str = "text", answer_col: str | None = None, rank: int = 64,
-                 min_cosine: float = 0.6, block: int = 12, span: int = 3, near_verbatim: float = 0.7,
-                 paraphrase: float = 0.5, answer_share: float = 0.8) -> DataFrame:
-    """Documents that hold a benchmark item, word for word or paraphrased.
+_MATCH = "matches array<struct<item_id:long,cosine:double,lcs:double,answer:double>>"
 
-    Returns one row per document row and item found: ``doc_id, item_id,
-    cosine`` (of the closest window), ``lcs`` (share of the item's words in
-    the longest common subsequence with the text around the candidate
-    windows), ``answer`` (the same of the answer's words).  A pair counts if
-    ``lcs >= near_verbatim``, or if ``lcs >= paraphrase`` and ``answer >=
+
+def search(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", carry: tuple[str, ...] = ("doc_id",),
+           item_col: str = "item_id", item_text: str = "text", answer_col: str | None = None, rank: int = 64,
+           min_cosine: float = 0.6, block: int = 12, span: int = 3, near_verbatim: float = 0.7,
+           paraphrase: float = 0.5, answer_share: float = 0.8) -> DataFrame:
+    """Find the benchmark's items in documents, word for word or paraphrased.
+
+    Returns one row per document row: ``matches`` with one entry per item
+    found, and ``row``, a struct of the ``carry`` columns.  An entry has
+    ``item_id, cosine`` (of the closest window), ``lcs`` (share of the item's
+    words in the longest common subsequence with the text around the candidate
+    windows) and ``answer`` (the same of the answer's words).  An item counts
+    if ``lcs >= near_verbatim``, or if ``lcs >= paraphrase`` and ``answer >=
     answer_share``; items of under eight words must be found whole.
 
     The benchmark is the stated query set: it, its vocabulary and its vectors
     are sent to every task.  Every window of every document is scored; there
     is no limit on candidates.  Empty or null texts hold nothing; items
-    without words are never found; null ids are kept; repeated rows repeat.
+    without words are never found; repeated rows repeat, repeated items don't.
     """
-    source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     answer = F.col(answer_col).cast("string") if answer_col else F.lit(None).cast("string")
     bench = benchmark.select(F.col(item_col).cast("long").alias("item_id"),
                              F.col(item_text).cast("string").alias("text"), answer.alias("answer")).distinct()
-    index = build_index(source, bench, rank)
-    shared = docs.sparkSession.sparkContext.broadcast(index)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    shared = docs.sparkSession.sparkContext.broadcast(
+        build_index(docs.select(F.col(text_col).cast("string").alias("text")), bench, rank))
+
+    def judged(index: Index, words: list[list[str]]) -> list[list[dict]]:
+        spans: dict[tuple[int, int], list] = {}
+        for t, i, lo, hi, cosine in candidates(index, words, min_cosine, block, span):
+            n = len(index.items[i].words)
+            lo, hi = max(0, lo - n), min(len(words[t]), hi + n)
+            have = spans.setdefault((t, i), [])
+            if have and lo <= have[-1][1]:
+                have[-1][1], have[-1][2] = max(hi, have[-1][1]), max(cosine, have[-1][2])
+            else:
+                have.append([lo, hi, cosine])
+        found: list[list[dict]] = [[] for _ in words]
+        for (t, i), parts in spans.items():
+            item, best = index.items[i], None
+            n = len(item.words)
+            for lo, hi, cosine in parts:
+                region = words[t][lo:hi]
+                share = common_subsequence(item.words, region) / n
+                if n < 8:
+                    share = float(any(region[j:j + n] == item.words for j in range(len(region) - n + 1)))
+                known = common_subsequence(item.answer, region) / max(1, len(item.answer))
+                if share >= near_verbatim or (share >= paraphrase and known >= answer_share):
+                    best = max(best or (0.0, 0.0, 0.0), (share, known, cosine))
+            if best:
+                found[t].append({"item_id": item.item_id, "cosine": best[2], "lcs": best[0], "answer": best[1]})
+        return found
+
+    def make():
         index = shared.value
-        for ids, texts in text_batches(batches, (0, 1), 1, 2 << 20):
-            words = [words_of(t) for t in texts]
-            spans: dict[tuple[int, int], list] = {}
-            for t, i, lo, hi, cosine in candidates(index, words, min_cosine, block, span):
-                n = len(index.items[i].words)
-                lo, hi = max(0, lo - n), min(len(words[t]), hi + n)
-                have = spans.setdefault((t, i), [])
-                if have and lo <= have[-1][1]:
-                    have[-1][1], have[-1][2] = max(hi, have[-1][1]), max(cosine, have[-1][2])
-                else:
-                    have.append([lo, hi, cosine])
-            rows = []
-            for (t, i), parts in spans.items():
-                item, best = index.items[i], None
-                for lo, hi, cosine in parts:
-                    region = words[t][lo:hi]
-                    share = common_subsequence(item.words, region) / len(item.words)
-                    if len(item.words) < 8:
-                        n = len(item.words)
-                        share = float(any(region[j:j + n] == item.words for j in range(len(region) - n + 1)))
-                    known = common_subsequence(item.answer, region) / max(1, len(item.answer))
-                    if share >= near_verbatim or (share >= paraphrase and known >= answer_share):
-                        best = max(best or (0.0, 0.0, 0.0), (share, known, cosine))
-                if best:
-                    rows.append((ids[t], item.item_id, best[2], best[0], best[1]))
-            cols = list(zip(*rows)) if rows else [()] * 5
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int64())]
-                + [pa.array(c, pa.float64()) for c in cols[2:]], names=["doc_id", "item_id", "cosine", "lcs", "answer"])
-
-    return source.mapInArrow(run, "doc_id long, item_id long, cosine double, lcs double, answer double")
+        kind = pa.list_(pa.struct([("item_id", pa.int64()), ("cosine", pa.float64()), ("lcs", pa.float64()),
+                                   ("answer", pa.float64())]))
+        return lambda texts: [pa.array(judged(index, [words_of(t) for t in texts]), kind)]
+
+    return map_texts(docs, text_col, list(carry), _MATCH, make, limit=2 << 20)

@@ -24,9 +24,10 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity of all documents, learned from the labels outside the held-out share."""
     docs = table(spark, sf_dir, "documents")
     out = toxicity.score(docs, toxicity_model(docs, table(spark, sf_dir, "labels")))
-    return out.select("doc_id", F.expr(TOXIC_HELD_OUT).alias("held_out"), "score",
-                      F.when(F.col("score") >= TOXIC_AT, 1).otherwise(0).alias("predicted"),
-                      F.size("matches").cast("long").alias("n_matches"))
+    return out.select("row.doc_id", "score", "matches").select(
+        "doc_id", F.expr(TOXIC_HELD_OUT).alias("held_out"), "score",
+        F.when(F.col("score") >= TOXIC_AT, 1).otherwise(0).alias("predicted"),
+        F.size("matches").cast("long").alias("n_matches"))
 
 
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -42,14 +43,15 @@ def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents that hold items of the benchmark, one row per pair."""
-    return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    out = decontaminate.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return out.select("row.doc_id", F.explode("matches").alias("m")).select("doc_id", "m.*")
 
 
 def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents without the 100-byte strings that start earlier in the corpus."""
     out = suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"))
     removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
-    return out.select("doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"),
+    return out.select("row.doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"),
                       F.sha2("kept", 256).alias("kept_sha256"))
 
 

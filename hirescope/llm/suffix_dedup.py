@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hirescope.llm.common import materialise, text_batches
+from hirescope.llm.common import map_texts, materialise, text_batches
 from hirescope.llm.polyhash import PrefixHash, mix
 
 LENGTH = 100
@@ -412,10 +412,11 @@ def _compare(length: int, at_once: int = 32 << 20):
     return run
 
 
-def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Apply each row's spans to its text."""
+def _cut(as_text: bool):
+    """Apply each text's spans to it."""
     spans_type = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
-    for ids, texts, given in text_batches(batches, (0, 1, 2), 1):
+
+    def work(texts, given):
         sizes, spans, kept = [], [], []
         for text, want in zip(texts, given):
             raw = (text or "").encode()
@@ -432,15 +433,16 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             sizes.append(len(raw))
             spans.append([{"start": s, "end": e} for s, e in runs])
             kept.append(b"".join(parts) + raw[at:] if runs else raw)
-        yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(sizes, pa.int64()),
-                                          pa.array(spans, spans_type), pa.array(kept, pa.binary())],
-                                         names=["doc_id", "n_bytes", "spans", "kept"])
+        return [pa.array(sizes, pa.int64()), pa.array(spans, spans_type),
+                pa.array([x.decode(errors="ignore") for x in kept], pa.string()) if as_text
+                else pa.array(kept, pa.binary())]
+    return work
 
 
-def _source(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+def _source(docs: DataFrame, id_col: str, text_col: str, carry: tuple[str, ...] = ()) -> DataFrame:
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), text.alias("text")).select(
-        F.coalesce("doc_id", F.lit(_NO_ID)).alias("did"), F.hash("text").alias("th"), "text", "doc_id")
+    return docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(_NO_ID)).alias("did"), F.hash(text).alias("th"),
+                       text.alias("text"), *([F.struct(*carry).alias("row")] if carry else []))
 
 
 def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH,
@@ -467,13 +469,15 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH,
-                   k: int = KGRAM, limits: Limits = Limits()) -> DataFrame:
+                   k: int = KGRAM, limits: Limits = Limits(), carry: tuple[str, ...] = ("doc_id",),
+                   as_text: bool = False) -> DataFrame:
     """Remove every byte covered by a ``length``-byte string that also starts
     earlier; strings are judged on the input.
 
-    Returns one row per input row: ``doc_id, n_bytes, spans`` (maximal removed
-    byte ranges, ascending) and ``kept`` (the remaining bytes, concatenated;
-    a cut may fall inside a UTF-8 sequence).
+    Returns one row per input row: ``n_bytes, spans`` (maximal removed byte
+    ranges, ascending), ``kept`` (the remaining bytes, concatenated; a cut may
+    fall inside a UTF-8 sequence; ``as_text``: as a string without the rest of
+    a character so cut) and ``row``, a struct of the ``carry`` columns.
 
     Null texts count as empty.  Rows without an id come after all others, as
     one document.  Rows that repeat an id are the same document given more
@@ -483,5 +487,11 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     """
     spans = repeated_spans(docs, id_col, text_col, length, k, limits)
     by_doc = spans.groupBy("did", "th").agg(F.collect_list(F.struct("a", "b")).alias("cut"))
-    return (_source(docs, id_col, text_col).join(by_doc, ["did", "th"], "left").select("doc_id", "text", "cut")
-            .mapInArrow(_cut, "doc_id long, n_bytes long, spans array<struct<start:long,end:long>>, kept binary"))
+    whole = _source(docs, id_col, text_col, carry).join(by_doc, ["did", "th"], "left").select("text", "cut", "row")
+    names = [f"row.{c}" for c in carry]
+    flat = whole.select("text", "cut", *[F.col(n).alias(f"c{i}") for i, n in enumerate(names)])
+    out = map_texts(flat, "text", [f"c{i}" for i in range(len(carry))],
+                    "n_bytes long, spans array<struct<start:long,end:long>>, kept " + ("string" if as_text else "binary"),
+                    lambda: _cut(as_text), extra=("cut",))
+    return out.select("n_bytes", "spans", "kept",
+                      F.struct(*[F.col(f"row.c{i}").alias(c) for i, c in enumerate(carry)]).alias("row"))

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hirescope.llm.common import materialise, text_batches
+from hirescope.llm.common import map_texts, materialise, text_batches
 
 _TOKEN = re.compile(r"\w+")
 _QUOTED = re.compile(r"\"[^\"\n]{1,400}\"|“[^”\n]{1,400}”|«[^»\n]{1,400}»|„[^“\n]{1,400}“")
@@ -314,26 +314,27 @@ def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
 _MATCH = "array<struct<term:string,start:long,end:long,edits:int,factor:double>>"
 
 
-def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc_id, score, matches`` per row; every whole text is read once.
+def score(docs: DataFrame, model: Model, text_col: str = "text", carry: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+    """``score, matches, row`` per row; every whole text is read once.
 
     ``matches`` has the term, the code point range, the number of edits and
-    the context factor of each match.  Null and empty texts have no match and
-    get the score of a document without any.  Repeated rows repeat.
+    the context factor of each match; ``row`` is a struct of the ``carry``
+    columns.  Null and empty texts have no match and get the score of a
+    document without any.  Repeated rows repeat.
     """
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def make():
         memo = _Memo(Lexicon(model.entries))
         kind = pa.list_(pa.struct([("term", pa.string()), ("start", pa.int64()), ("end", pa.int64()),
                                    ("edits", pa.int32()), ("factor", pa.float64())]))
-        for ids, texts in text_batches(batches, (0, 1), 1):
+
+        def work(texts):
             got = [matches(t or "", memo) for t in texts]
             # The model is fitted on one factor per term and kind of match.
             scores = [model.score(n, [(e, d, 0, 0, f) for (e, d), f in {(h[0], h[1]): h[4] for h in hits}.items()])
                       for n, hits in got]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(ids, pa.int64()), pa.array(scores, pa.float64()),
-                 pa.array([[{"term": model.entries[e][0], "start": s, "end": t, "edits": d, "factor": f}
-                            for e, d, s, t, f in hits] for _, hits in got], kind)], names=["doc_id", "score", "matches"])
+            found = [[{"term": model.entries[e][0], "start": s, "end": t, "edits": d, "factor": f}
+                      for e, d, s, t, f in hits] for _, hits in got]
+            return [pa.array(scores, pa.float64()), pa.array(found, kind)]
+        return work
 
-    return (docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-            .mapInArrow(run, f"doc_id long, score double, matches {_MATCH}"))
+    return map_texts(docs, text_col, list(carry), f"score double, matches {_MATCH}", make)
