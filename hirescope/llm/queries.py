@@ -7,7 +7,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hirescope.llm import decontaminate, packing, simhash, suffix_dedup, toxicity
+from hirescope.llm import decontaminate, order_minhash, packing, simhash, suffix_dedup, toxicity
 from hirescope.sources.tables import table
 
 
@@ -30,6 +30,15 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.size("matches").cast("long").alias("n_matches"))
 
 
+def op4_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order MinHash of all documents, of their edited texts and their likeness."""
+    out = order_minhash.compare_with_edits(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_chars", "edited_sha256",
+                      order_minhash.as_text(F.col("entries")).alias("fingerprint"),
+                      order_minhash.as_text(F.col("edited_entries")).alias("edited_fingerprint"),
+                      "near_edited", "near_next")
+
+
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents as pieces of token sequences of at most 1024 ids."""
     return packing.pack(table(spark, sf_dir, "documents"), with_ids=False)
@@ -57,6 +66,7 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op2_toxicity": op2_toxicity,
+    "op4_order_minhash": op4_order_minhash,
     "op5_packing": op5_packing,
     "op7_simhash": op7_simhash,
     "op8_decontamination": op8_decontamination,
