@@ -7,7 +7,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hirescope.llm import decontaminate, order_minhash, packing, simhash, suffix_dedup, toxicity
+from hirescope.llm import decontaminate, langid, order_minhash, packing, simhash, suffix_dedup, toxicity
 from hirescope.sources.tables import table
 
 
@@ -25,7 +25,7 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     out = toxicity.score(docs, toxicity_model(docs, table(spark, sf_dir, "labels")))
     return out.select("row.doc_id", "score", "matches").select(
-        "doc_id", F.expr(TOXIC_HELD_OUT).alias("held_out"), "score",
+        "doc_id", F.expr(f"coalesce({TOXIC_HELD_OUT}, false)").alias("held_out"), "score",
         F.when(F.col("score") >= TOXIC_AT, 1).otherwise(0).alias("predicted"),
         F.size("matches").cast("long").alias("n_matches"))
 
@@ -56,6 +56,18 @@ def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("row.doc_id", F.explode("matches").alias("m")).select("doc_id", "m.*")
 
 
+#: Share of the ids that learning never sees: crc32(id as text) mod 5 = 0.
+LANG_HELD_OUT = "crc32(cast(doc_id as string)) % 5 = 0"
+
+
+def op9_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of all documents, learned from those outside the held-out share."""
+    docs = table(spark, sf_dir, "documents")
+    model = langid.learn(docs.where(f"not ({LANG_HELD_OUT})"))
+    out = langid.predict(docs, model).select("row.doc_id", "lang", "score")
+    return out.select("doc_id", F.expr(f"coalesce({LANG_HELD_OUT}, false)").alias("held_out"), F.col("lang").alias("lang_pred"), "score")
+
+
 def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents without the 100-byte strings that start earlier in the corpus."""
     out = suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"))
@@ -70,6 +82,7 @@ QUERIES = {
     "op5_packing": op5_packing,
     "op7_simhash": op7_simhash,
     "op8_decontamination": op8_decontamination,
+    "op9_langid": op9_langid,
     "op10_suffix_dedup": op10_suffix_dedup,
 }
 
