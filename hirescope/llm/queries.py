@@ -7,7 +7,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hirescope.llm import decontaminate, langid, order_minhash, packing, simhash, suffix_dedup, toxicity
+from hirescope.llm import decontaminate, langid, order_minhash, packing, simhash, suffix_dedup, toxicity, wrapper
 from hirescope.sources.tables import table
 
 
@@ -44,6 +44,12 @@ def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), with_ids=False)
 
 
+def op6_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of all pages by wrapper induction."""
+    out = wrapper.extract(table(spark, sf_dir, "pages"))
+    return out.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate groups of all documents by SimHash and anchor points."""
     out = simhash.near_duplicates(table(spark, sf_dir, "documents"))
@@ -80,6 +86,7 @@ QUERIES = {
     "op2_toxicity": op2_toxicity,
     "op4_order_minhash": op4_order_minhash,
     "op5_packing": op5_packing,
+    "op6_html_extraction": op6_html_extraction,
     "op7_simhash": op7_simhash,
     "op8_decontamination": op8_decontamination,
     "op9_langid": op9_langid,
