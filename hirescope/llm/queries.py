@@ -7,10 +7,20 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hirescope.llm import decontaminate, langid, order_minhash, packing, simhash, suffix_dedup, toxicity, wrapper
+from hirescope.llm import (decontaminate, langid, lm_score, order_minhash, packing, simhash, sql, substring_dedup,
+                           suffix_dedup, toxicity, wrapper)
 from hirescope.sources.tables import table
 
 
+def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents without the lines that occur earlier in the corpus."""
+    out = substring_dedup.remove_repeated_lines(table(spark, sf_dir, "documents"))
+    chars = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
+    spans = F.array_join(F.transform("spans", lambda s: F.concat_ws("-", s["start"], s["end"])), ",")
+    return out.select("row.doc_id", "n_lines", F.size("spans").cast("long").alias("n_removed"),
+                      chars.alias("removed_chars"), spans.alias("spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
 #: Share of the ids that learning never sees: crc32(id as text) mod 4 = 2.
 TOXIC_HELD_OUT = "crc32(cast(doc_id as string)) % 4 = 2"
 TOXIC_AT = 0.3
@@ -30,6 +40,14 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.size("matches").cast("long").alias("n_matches"))
 
 
+def op3_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cross-entropy difference of all documents; the target are those labelled of good quality."""
+    docs = table(spark, sf_dir, "documents")
+    good = table(spark, sf_dir, "labels").where("quality = 1").select("doc_id")
+    return lm_score.score(docs, lm_score.learn(docs, good)).select(
+        "row.doc_id", "n_tokens", "target_loss", "background_loss", "score")
+
+
 def op4_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Order MinHash of all documents, of their edited texts and their likeness."""
     out = order_minhash.compare_with_edits(table(spark, sf_dir, "documents"))
@@ -83,7 +101,9 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_substring_dedup": op1_substring_dedup,
     "op2_toxicity": op2_toxicity,
+    "op3_lm_score": op3_lm_score,
     "op4_order_minhash": op4_order_minhash,
     "op5_packing": op5_packing,
     "op6_html_extraction": op6_html_extraction,
@@ -93,4 +113,4 @@ QUERIES = {
     "op10_suffix_dedup": op10_suffix_dedup,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {"op1_substring_dedup": sql.OP1_SUBSTRING_DEDUP}
