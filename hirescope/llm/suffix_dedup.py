@@ -45,7 +45,7 @@ class Limits:
     """Working-memory bounds; results don't depend on them."""
 
     #: Bytes hashed at a time.  Positions are packed into the low 24 bits of a key.
-    piece: int = 4 << 20
+    piece: int = 1 << 20
     #: Different units of one k-gram that a map piece, and a reducer, brings together.
     piece_group: int = 256
     task_group: int = 4096
@@ -149,7 +149,7 @@ def _pieces(ids, hashes, texts, length, limits):
 
 def _map_units(length: int, k: int, limits: Limits):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for ids, hashes, texts in text_batches(batches, (0, 1, 2), 2, 6 << 20):
+        for ids, hashes, texts in text_batches(batches, (0, 1, 2), 2, 4 << 20):
             for part in _pieces(ids, hashes, texts, length, limits):
                 buf = np.frombuffer(b"".join(x[3] for x in part), np.uint8)
                 ends = np.cumsum([len(x[3]) for x in part])
@@ -384,7 +384,7 @@ def repeated_windows(kh, did, th, pos, b, ctx: list[bytes], length: int):
     return _runs(*(np.concatenate(x).astype(np.int64) for x in zip(*out)))
 
 
-def _compare(length: int, at_once: int = 32 << 20):
+def _compare(length: int, at_once: int = 4 << 20):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows: list[list] = [[], [], [], [], [], []]
         for batch in batches:
