@@ -142,19 +142,21 @@ def classify_experience_level(title, min_exp, raw) -> Column:
 
 # ------------------------------------------------------------ posted date
 def last_line(c, prefix: str | None = "posted ") -> Column:
-    """last non-blank line of multi-line text (prefix added if absent)."""
+    """last non-blank line of multi-line text; the prefix is added unless
+    its word stands anywhere in the line."""
     col = _c(c)
     lines = F.filter(F.transform(F.split(col, "\n"), lambda x: py_strip(x)), lambda x: x != "")
     last = F.try_element_at(lines, F.lit(-1))
     if prefix:
-        last = F.when(F.lower(last).startswith(prefix), last).otherwise(F.concat(F.lit(prefix), last))
+        last = F.when(F.lower(last).contains(prefix.strip()), last).otherwise(F.concat(F.lit(prefix), last))
     return F.when(col.contains("\n"), last).otherwise(col)
 
 
 def relative_posted_date(raw, scrape_date, fallback="scrape") -> Column:
-    """hours -> 0, days, weeks*7, months*30 days before the scrape date;
-    else yyyy-M-d, d/M/yyyy, M/d/yyyy; else the scrape date (or null)."""
-    s = F.lower(py_strip(F.coalesce(_c(raw), F.lit("None"))))
+    """F12, then F10/F11: of multi-line text the last line; hours -> 0, days,
+    weeks*7, months*30 days before the scrape date; else yyyy-M-d, d/M/yyyy,
+    M/d/yyyy; else the scrape date (or null)."""
+    s = F.lower(py_strip(F.coalesce(last_line(raw, None), F.lit("None"))))
     sd = _c(scrape_date)
 
     def num(unit):

@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from hirescope.functions import rules as R
-from hirescope.functions.text import _c, contains_any, count_contained, literal_alternation, py_strip
+from hirescope.functions.text import _c, contains_any, count_contained, literal_alternation, matches_any, py_strip
 
 BULLETS = ["·", "•", "✔"]
 
@@ -27,13 +27,13 @@ def is_tech_skill(skill) -> Column:
     return contains_any(F.lower(_c(skill)), R.TECH_SKILLS_VOCAB)
 
 
-def clean_skills_list(arr, bullet: str = "drop", vocabulary: bool = True,
+def clean_skills_list(arr, bullet: str = "strip", vocabulary: bool = True,
                       markers=None, min_len: int = 0, noise=None) -> Column:
     """F13 (and F18 via ``markers`` / ``vocabulary=False``).
 
     Per element: strip; drop if longer than 50, holding a sentence marker, a
     noise word, or >= 2 title words; optionally keep only tech vocabulary.
-    ``bullet='strip'`` removes a leading bullet instead of dropping the skill.
+    A leading bullet is removed; ``bullet='drop'`` drops such a skill instead.
     """
     markers = R.SKILL_SENTENCE_MARKERS if markers is None else markers
     noise = R.SKILL_NOISE if noise is None else noise
@@ -48,13 +48,13 @@ def clean_skills_list(arr, bullet: str = "drop", vocabulary: bool = True,
     def keep(x):
         low = F.lower(x)
         ok = ((F.length(x) <= R.SKILL_MAX_LEN)
-              & ~contains_any(x, markers, max_terms=0)
+              & ~matches_any(x, markers)
               & ~low.isin(list(noise))
               & (count_contained(low, R.SKILL_TITLE_WORDS) < 2))
         if min_len:
             ok = ok & (F.length(x) >= min_len)
         if vocabulary:
-            ok = ok & contains_any(low, R.TECH_SKILLS_VOCAB, max_terms=0)
+            ok = ok & matches_any(low, R.TECH_SKILLS_VOCAB)
         return ok
 
     return F.filter(s, keep)

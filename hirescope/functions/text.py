@@ -23,22 +23,21 @@ def literal_alternation(keywords: Iterable[str]) -> str:
     return "|".join(parts) if parts else "(?!)"
 
 
-def contains_any(c, keywords: Iterable[str], max_terms: int = 300) -> Column:
-    """True when the string holds any keyword as a substring (null -> false).
-
-    Up to ``max_terms`` keywords compile to a short-circuit OR of
-    ``contains`` (a byte search per keyword -- faster than a regex
-    alternation, which tries every alternative at every position, above all
-    when hits are rare); larger lists use one quoted alternation.  Inside
-    lambda bodies (interpreted, no codegen) pass ``max_terms=0``: there the
-    single compiled regex is cheaper.
-    """
+def matches_any(c, keywords: Iterable[str]) -> Column:
+    """``contains_any`` as one quoted regex alternation: for lambda bodies,
+    which are interpreted, so that one compiled regex beats a chain of nodes."""
+    terms = [k for k in dict.fromkeys(keywords) if k != ""]
+    return F.coalesce(_c(c).rlike(literal_alternation(terms)), F.lit(False)) if terms else F.lit(False)
+
+
+def contains_any(c, keywords: Iterable[str]) -> Column:
+    """True when the string holds any keyword as a substring (null -> false):
+    a short-circuit OR of ``contains`` (a byte search per keyword, faster in
+    generated code than an alternation tried at every position)."""
     terms = [k for k in dict.fromkeys(keywords) if k != ""]
     col = _c(c)
     if not terms:
         return F.lit(False)
-    if len(terms) > max_terms:
-        return F.coalesce(col.rlike(literal_alternation(terms)), F.lit(False))
     hit = None
     for k in terms:
         h = col.contains(k)

@@ -1,8 +1,9 @@
 """Deduplication.
 
-Keep-first / keep-last are aggregates (``min_by`` / ``max_by`` over a struct
-of all columns), not sorts or windows: they combine map-side, so a key that
-holds a third of all rows is reduced to one row per task before the shuffle.
+Keep-first / keep-last rank the rows of a key and keep rank one.  Columns that
+nobody reads are pruned through the window, and Spark's window group limit
+keeps one row per key and task before the shuffle, so a key that holds a third
+of all rows is reduced before it moves.
 """
 
 from __future__ import annotations
@@ -11,24 +12,23 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 
-def _pick(df: DataFrame, keys: Sequence[str], order: Sequence[str], agg) -> DataFrame:
+def _pick(df: DataFrame, keys: Sequence[str], order) -> DataFrame:
     rest = [c for c in df.columns if c not in keys]
-    row = F.struct(*[F.col(c) for c in rest])
-    ordering = F.struct(*[F.col(c) for c in order])
-    out = df.groupBy(*keys).agg(agg(row, ordering).alias("_row"))
-    return out.select(*keys, *[F.col("_row")[c].alias(c) for c in rest])
+    ranked = df.withColumn("_rank", F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
+    return ranked.filter("_rank = 1").select(*keys, *rest)
 
 
 def keep_last(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
     """Per key, the row with the greatest ``order`` tuple."""
-    return _pick(df, keys, order, F.max_by)
+    return _pick(df, keys, [F.col(c).desc_nulls_last() for c in order])
 
 
 def keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
     """Per key, the row with the smallest ``order`` tuple."""
-    return _pick(df, keys, order, F.min_by)
+    return _pick(df, keys, [F.col(c).asc_nulls_first() for c in order])
 
 
 def duplicated_rows(df: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -6,23 +6,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def is_bounded(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows.  The probe reads at most
-    ``max_rows + 1`` rows (a limit pushed into the scan), never the whole input."""
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
 def lookup(df: DataFrame, col: str, table: DataFrame, key: str, value: str, out: str,
-           fallback: Column | None = None, max_broadcast_rows: int = 100_000) -> DataFrame:
+           fallback: Column | None = None) -> DataFrame:
     """Dictionary lookup against a table-form map with a fallback.
 
-    The map is broadcast only after its size is checked; a larger map is
-    joined normally (shuffle / AQE) so a growing rule table can never blow
-    executor memory.  Keys are de-duplicated first so the lookup cannot fan out.
+    No hint: Spark broadcasts the map if its measured size allows and shuffles
+    otherwise.  Keys are de-duplicated first so the lookup cannot fan out.
     """
     m = table.select(F.col(key).alias("_lk"), F.col(value).alias("_lv")).dropDuplicates(["_lk"])
-    if is_bounded(m, max_broadcast_rows):
-        m = F.broadcast(m)
     j = df.join(m, df[col] == F.col("_lk"), "left")
     dflt = F.col(col) if fallback is None else fallback
     return j.withColumn(out, F.coalesce(F.col("_lv"), dflt)).drop("_lk", "_lv")

@@ -42,13 +42,14 @@ def _stack(wide: DataFrame, names: Sequence[str], value_alias: str, name_alias:
 def quality_gate(df: DataFrame, as_of, required: Sequence[str], critical: Sequence[str], key: str,
                  accepted: Mapping[str, Sequence[str]], url_col: str, url_prefix: str,
                  date_col: str, max_span_days: int, list_col: str, max_empty_pct: float,
-                 min_rows: int, max_rows: int) -> DataFrame:
+                 min_rows: int, max_rows: int | None = None) -> DataFrame:
     """Q1-Q11: every check of the runtime gate in ONE aggregate pass.
 
     Returns one row per check: ``check, failing, passed`` where ``failing``
     counts offending rows (or the offending value for range checks).  Null
     counts as invalid for accepted-value checks.  ``as_of`` is a Column
-    (literal or scalar subquery) so re-runs are reproducible.
+    (literal or scalar subquery) so re-runs are reproducible.  ``max_rows``
+    None sets no upper bound.
     """
     missing = [c for c in required if c not in df.columns]
     aggs = [F.count(F.lit(1)).alias("_rows")]
@@ -64,7 +65,7 @@ def quality_gate(df: DataFrame, as_of, required: Sequence[str], critical: Sequen
     aggs.append(F.count_if(empty).alias("_empty"))
     a = df.agg(*aggs)
     a = a.select("*",
-                 F.when((F.col("_rows") >= min_rows) & (F.col("_rows") <= max_rows), 0)
+                 F.when((F.col("_rows") >= min_rows) & (F.lit(max_rows is None) | (F.col("_rows") <= (max_rows or 0))), 0)
                  .otherwise(F.col("_rows")).alias("row_count"),
                  F.lit(len(missing)).alias("required_columns"),
                  F.when(F.col("_span") > max_span_days, F.col("_span"))

@@ -12,22 +12,28 @@ import math
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 
 def anova_oneway(df: DataFrame, group: str, value: str) -> DataFrame:
     """One-way ANOVA F statistic of ``value`` across ``group``.
 
-    SSB = sum n_g (mean_g - mean)^2 ; SSW = sum (sum x^2 - n_g mean_g^2).
+    Each group gives its count, mean and sum of squared deviations, which stay
+    accurate where raw sums of squares would cancel.  Null with fewer than two
+    groups, without spare rows or without spread inside the groups.
     Returns one row: f_stat, df_between, df_within, n.
     """
-    g = df.groupBy(group).agg(F.count(value).alias("n"), F.sum(F.col(value).cast("double")).alias("s"),
-                              F.sum(F.col(value).cast("double") ** 2).alias("ss"))
-    tot = g.agg(F.sum("n").alias("N"), F.sum("s").alias("S"), F.count(F.lit(1)).alias("k"),
-                F.sum(F.col("s") ** 2 / F.col("n")).alias("between_raw"), F.sum("ss").alias("SS"))
-    ssb = F.col("between_raw") - F.col("S") ** 2 / F.col("N")
-    ssw = F.col("SS") - F.col("between_raw")
+    x = F.col(value).cast("double")
+    g = (df.groupBy(group).agg(F.count(value).alias("n"), F.avg(x).alias("m"), F.var_pop(x).alias("v"))
+         .filter("n > 0"))
+    w = Window.partitionBy(F.lit(1))  # one row per group
+    g = g.withColumn("grand", F.sum(F.col("n") * F.col("m")).over(w) / F.sum("n").over(w))
+    tot = g.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("N"), F.count(F.lit(1)).alias("k"),
+                F.sum(F.col("n") * (F.col("m") - F.col("grand")) ** 2).alias("ssb"),
+                F.sum(F.col("n") * F.col("v")).alias("ssw"))
     return tot.select(
-        F.round((ssb / (F.col("k") - 1)) / (ssw / (F.col("N") - F.col("k"))), 6).alias("f_stat"),
+        F.round(F.try_divide(F.try_divide(F.col("ssb"), F.col("k") - 1),
+                             F.try_divide(F.col("ssw"), F.col("N") - F.col("k"))), 6).alias("f_stat"),
         (F.col("k") - 1).alias("df_between"), (F.col("N") - F.col("k")).alias("df_within"),
         F.col("N").alias("n"))
 
@@ -41,8 +47,8 @@ def chi_square(cells: DataFrame, row: str, col: str, count: str = "n") -> DataFr
     """Chi-square statistic of independence from long-form cell counts.
 
     chi2 = N * (sum_ij o_ij^2 / (r_i c_j) - 1); only non-zero cells are
-    needed, margins are aggregates.  dof = (R-1)(C-1).  (Yates' correction
-    applies only when dof = 1, which a top-20 table never has.)
+    needed, margins are aggregates.  dof = (R-1)(C-1).  With dof = 1 Yates'
+    correction is applied, as SciPy does: every |o - e| less 0.5 (or itself).
     """
     r = cells.groupBy(row).agg(F.sum(count).alias("_r"))
     c = cells.groupBy(col).agg(F.sum(count).alias("_c"))
@@ -50,10 +56,22 @@ def chi_square(cells: DataFrame, row: str, col: str, count: str = "n") -> DataFr
     return j.agg(
         F.sum(F.col(count).cast("double") ** 2 / (F.col("_r").cast("double") * F.col("_c"))).alias("_q"),
         F.sum(count).alias("n"), F.count_distinct(row).alias("_R"), F.count_distinct(col).alias("_C"),
-    ).select(F.round(F.col("n") * (F.col("_q") - 1), 4).alias("chi2"),
+        F.first("_r").alias("_r1"), F.first("_c").alias("_c1"), F.first(count).alias("_o1"),
+    ).select(F.when((F.col("_R") == 2) & (F.col("_C") == 2), _yates()).otherwise(
+        F.round(F.col("n") * (F.col("_q") - 1), 4)).alias("chi2"),
              ((F.col("_R") - 1) * (F.col("_C") - 1)).alias("dof"), "n")
 
 
+def _yates():
+    """Corrected chi-square of a 2 x 2 table from one cell and its margins: the
+    deviation from the expected count is the same in all four cells."""
+    n, r, c = (F.col(x).cast("double") for x in ("n", "_r1", "_c1"))
+    e = r * c / n
+    gap = F.abs(F.col("_o1") - e)
+    less = F.greatest(gap - F.lit(0.5), F.lit(0.0))
+    return F.round(less ** 2 * (n / (r * c) + n / ((n - r) * c) + n / (r * (n - c)) + n / ((n - r) * (n - c))), 4)
+
+
 def pearson(df: DataFrame, x: str, y: str) -> DataFrame:
     """Pearson correlation (Spark's ``corr`` is a one-pass aggregate)."""
     return df.agg(F.round(F.corr(F.col(x).cast("double"), F.col(y).cast("double")), 6).alias("r"),
@@ -142,7 +160,7 @@ def anova_test(df: DataFrame, group: str, value: str) -> dict:
     """A18 as reported: F, p and degrees of freedom (one aggregate row reaches
     the driver)."""
     r = anova_oneway(df, group, value).first()
-    return {"f_stat": r.f_stat, "p_value": f_sf(r.f_stat, r.df_between, r.df_within),
+    return {"f_stat": r.f_stat, "p_value": None if r.f_stat is None else f_sf(r.f_stat, r.df_between, r.df_within),
             "df_between": r.df_between, "df_within": r.df_within, "n": r.n}
 
 

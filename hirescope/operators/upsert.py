@@ -2,15 +2,22 @@
 
 A MERGE by key is expressed as ``target LEFT ANTI source  UNION  source``:
 two scans, one shuffle on the key (AQE turns it into a broadcast when the
-delta is small, which is the normal daily case).  The merged result is
-written to a *new* versioned folder and only then exposed, so a failed or
-re-run job never leaves a half-written table (idempotent per version).
+delta is small, which is the normal daily case).
+
+Tables are versioned.  Every write goes to a fresh folder; a commit adds one
+entry to the table's log, numbered in sequence and naming its parent.  A
+folder in the log is never written again: a committed version is not written
+twice, an attempt that dies leaves a folder nobody reads, and of two writers
+that started from the same parent only the first commits.
 """
 
 from __future__ import annotations
 
+import json
+import uuid
 from collections.abc import Sequence
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -40,15 +47,21 @@ def merge_counts(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> D
         F.count(F.lit(1)).alias("total_rows"))
 
 
-def fieldwise_update(existing: DataFrame, new: DataFrame, key: str) -> DataFrame:
-    """``existing[id].update(job)`` -- a full outer join where every field
-    takes the new value when present, else the old one."""
-    cols = [c for c in existing.columns if c != key]
-    e = existing.select(key, *[F.col(c).alias(f"_o_{c}") for c in cols])
-    n = new.select(key, *[F.col(c).alias(f"_n_{c}") for c in cols if c in new.columns])
+def fieldwise_update(existing: DataFrame, new: DataFrame, key: str, order: Sequence[str] | None = None) -> DataFrame:
+    """``existing[id].update(job)`` -- a full outer join on the key where a
+    new row replaces every field it brings, nulls included; fields it does not
+    bring keep their value, fields only it has are added (null elsewhere).
+    Several new rows of a key count as one, the last by ``order``."""
+    src = keep_last(new, [key], order) if order else new.dropDuplicates([key])
+    cols = [c for c in existing.columns if c != key] + [c for c in new.columns if c not in existing.columns]
+    e = existing.select(key, *[F.col(c).alias(f"_o_{c}") for c in cols if c in existing.columns])
+    n = src.select(key, F.lit(True).alias("_given"), *[F.col(c).alias(f"_n_{c}") for c in cols if c in new.columns])
     j = e.join(n, key, "full_outer")
-    return j.select(key, *[F.coalesce(F.col(f"_n_{c}"), F.col(f"_o_{c}")).alias(c) if c in new.columns
-                           else F.col(f"_o_{c}").alias(c) for c in cols])
+
+    def field(c: str):
+        old = F.col(f"_o_{c}") if c in existing.columns else F.lit(None)
+        return F.when(F.col("_given"), F.col(f"_n_{c}")).otherwise(old) if c in new.columns else old
+    return j.select(key, *[field(c).alias(c) for c in cols])
 
 
 def incremental_slice(source: DataFrame, existing: DataFrame, col: str, strict: bool = False) -> DataFrame:
@@ -61,44 +74,86 @@ def incremental_slice(source: DataFrame, existing: DataFrame, col: str, strict:
     return source.filter(cond | mark.isNull())
 
 
+class CommitConflict(RuntimeError):
+    """Somebody else committed since this write read its parent."""
+
+
+def _fs(spark: SparkSession, path: str):
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    fs, p = _fs(spark, path)
+    return fs.exists(p)
+
+
+_LOG = "seq LONG, version STRING, parent LONG, path STRING, bucket INT, n_buckets INT"
+
+
 def _log_path(base: str) -> str:
     return f"{base.rstrip('/')}/_versions"
 
 
-def committed_versions(spark: SparkSession, base: str) -> DataFrame | None:
-    """The commit log of a versioned table (None before the first commit)."""
-    from pyspark.errors import AnalysisException
-    try:
-        return spark.read.schema("version STRING, path STRING").json(_log_path(base))
-    except AnalysisException:
-        return None
+def committed_versions(spark: SparkSession, base: str) -> DataFrame:
+    """The commit log of a versioned table (empty before the first commit)."""
+    if not path_exists(spark, _log_path(base)):
+        return spark.createDataFrame([], _LOG)
+    return spark.read.schema(_LOG).json(f"{_log_path(base)}/*.json")
 
 
-def write_version(df: DataFrame, base: str, version: int | str) -> str:
-    """Write a merged table to ``base/v=<version>`` (never in place), then
-    append one row to the ``_versions`` commit log.  Readers only see
-    versions in the log, so a job killed mid-write leaves no visible partial
-    table, and a re-run overwrites its own uncommitted folder."""
+def head(spark: SparkSession, base: str) -> int:
+    """Sequence number of the last commit; 0 before the first."""
+    return committed_versions(spark, base).agg(F.coalesce(F.max("seq"), F.lit(0))).first()[0]
+
+
+def is_committed(spark: SparkSession, base: str, version: int | str) -> bool:
+    return not committed_versions(spark, base).filter(F.col("version") == str(version)).isEmpty()
+
+
+def _commit(spark: SparkSession, base: str, version: int | str, parent: int, entries: list[dict]) -> int:
+    """Add entry ``parent + 1`` to the log.  The entry's file is created only
+    if it is not there yet, so of two writers one fails."""
+    seq = parent + 1
+    text = "".join(json.dumps({"seq": seq, "version": str(version), "parent": parent, **e}) + "\n" for e in entries)
+    fs, p = _fs(spark, f"{_log_path(base)}/{seq:012d}.json")
+    try:
+        out = fs.create(p, False)
+    except Py4JJavaError as e:
+        if fs.exists(p):
+            raise CommitConflict(f"{base}: commit {seq} was made by another writer") from e
+        raise
+    out.write(bytearray(text.encode()))
+    out.close()
+    return seq
+
+
+def write_version(df: DataFrame, base: str, version: int | str, parent: int | None = None) -> str:
+    """Write a table to a fresh folder and commit it; returns its path.
+
+    ``parent`` is the ``head`` that ``df`` was built from: if the log has moved
+    on, ``CommitConflict`` is raised and nothing becomes visible.  A version
+    that is committed already is left as it is and its path returned."""
     spark = df.sparkSession
-    path = f"{base.rstrip('/')}/v={version}"
-    df.write.mode("overwrite").parquet(path)
-    spark.createDataFrame([(str(version), path)], "version STRING, path STRING") \
-        .coalesce(1).write.mode("append").json(_log_path(base))
+    done = committed_versions(spark, base).filter(F.col("version") == str(version)).first()
+    if done:
+        return done["path"]
+    parent = head(spark, base) if parent is None else parent
+    path = f"{base.rstrip('/')}/v={version}-{uuid.uuid4().hex[:12]}"
+    df.write.parquet(path)
+    _commit(spark, base, version, parent, [{"path": path}])
     return path
 
 
-def is_committed(spark: SparkSession, base: str, version: int | str) -> bool:
-    log = committed_versions(spark, base)
-    return log is not None and not log.filter(F.col("version") == str(version)).isEmpty()
+def commit_folder(spark: SparkSession, base: str, version: int | str, path: str) -> None:
+    """Commit a folder that is written already (several tables at once)."""
+    _commit(spark, base, version, head(spark, base), [{"path": path}])
 
 
 def latest_version(spark: SparkSession, base: str) -> str | None:
-    """Path of the newest committed version (versions are zero-padded ids,
-    so the string maximum is the latest)."""
-    log = committed_versions(spark, base)
-    if log is None:
-        return None
-    row = log.agg(F.max_by("path", "version").alias("p")).first()
+    """Path of the last committed version."""
+    row = committed_versions(spark, base).agg(F.max_by("path", "seq").alias("p")).first()
     return row["p"] if row else None
 
 
@@ -109,31 +164,66 @@ def key_bucket(key: str, n_buckets: int):
     return F.pmod(F.xxhash64(F.col(key)), F.lit(n_buckets)).cast("int")
 
 
-def upsert_bucketed(spark: SparkSession, path: str, source: DataFrame, key: str, n_buckets: int,
-                    order: Sequence[str] | None = None) -> list[int]:
+def _bucket_paths(spark: SparkSession, base: str) -> dict[int, str]:
+    """The folder of each bucket's last commit (at most ``n_buckets``)."""
+    log = committed_versions(spark, base).filter("bucket IS NOT NULL")
+    return {r["bucket"]: r["path"] for r in log.groupBy("bucket").agg(F.max_by("path", "seq").alias("path")).collect()}
+
+
+def read_bucketed(spark: SparkSession, base: str, buckets: Sequence[int] | None = None) -> DataFrame | None:
+    """The committed rows of a bucketed table, or of some of its buckets; None
+    if there are none."""
+    paths = [p for b, p in sorted(_bucket_paths(spark, base).items()) if buckets is None or b in set(buckets)]
+    return spark.read.parquet(*paths) if paths else None
+
+
+def upsert_bucketed(spark: SparkSession, base: str, source: DataFrame, key: str, n_buckets: int,
+                    order: Sequence[str] | None = None, version: int | str | None = None) -> dict:
     """J5 at scale on plain Parquet: rewrite only the key buckets the delta touches.
 
-    The table is partitioned by ``pmod(xxhash64(key), n_buckets)``.  The
-    touched bucket ids (at most ``n_buckets`` small ints) select target
-    partitions by static pruning; those are merged with the delta, the
-    result is cut from its lineage with ``checkpoint()`` (the job must not
-    read the files it overwrites) and written back with dynamic partition
-    overwrite -- untouched buckets are never read or rewritten.  The merge is
-    idempotent per bucket, so re-running after a partial failure converges.
-    Returns the rewritten bucket ids.
+    Rows are dealt over ``pmod(xxhash64(key), n_buckets)`` buckets; the number
+    is part of the table's log and must not change.  The touched buckets are
+    read from their last committed folders, merged and written to fresh ones;
+    one commit then makes all of them visible together.  A committed
+    ``version`` is not applied again.  Returns the touched buckets and the
+    counts of updated and appended keys within them.
     """
-    from pyspark.errors import AnalysisException
-    src = source.withColumn(BUCKET_COL, key_bucket(key, n_buckets))
-    touched = sorted(r[0] for r in src.select(BUCKET_COL).distinct().collect())
-    try:
-        target = spark.read.parquet(path)
-    except AnalysisException:
-        target = None
-    if target is None:
-        merged = src
-    else:
-        part = target.filter(F.col(BUCKET_COL).isin(touched))
-        merged = merge_by_key(part, src.select(*part.columns), [key], order).checkpoint(eager=True)
-    (merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(BUCKET_COL).parquet(path))
-    return touched
+    version = uuid.uuid4().hex if version is None else version
+    log = committed_versions(spark, base)
+    known = log.agg(F.max("n_buckets")).first()[0]
+    if known is not None and known != n_buckets:
+        raise ValueError(f"{base} has {known} buckets, not {n_buckets}")
+    if not log.filter(F.col("version") == str(version)).isEmpty():
+        return {"buckets": [], "updated": 0, "appended": 0}
+    parent = head(spark, base)
+    src = keep_last(source, [key], order) if order else source.dropDuplicates([key])
+    src = src.withColumn(BUCKET_COL, key_bucket(key, n_buckets))
+    per = src.groupBy(BUCKET_COL).agg(F.count(F.lit(1)).alias("n")).collect()  # at most n_buckets rows
+    touched = sorted(r[BUCKET_COL] for r in per)
+    given = sum(r["n"] for r in per)
+    if not touched:
+        return {"buckets": [], "updated": 0, "appended": 0}
+    before = read_bucketed(spark, base, touched)
+    merged, updated = src, 0
+    if before is not None:
+        updated = before.join(src.select(key), key, "left_semi").count()
+        old = before.withColumn(BUCKET_COL, key_bucket(key, n_buckets))
+        merged = old.join(src.select(key), key, "left_anti").unionByName(src.select(*old.columns))
+    folder = f"{base.rstrip('/')}/data/{version}-{uuid.uuid4().hex[:12]}"
+    merged.repartition(BUCKET_COL).write.partitionBy(BUCKET_COL).parquet(folder)
+    _commit(spark, base, version, parent, [{"path": f"{folder}/{BUCKET_COL}={b}", "bucket": b, "n_buckets": n_buckets}
+                                           for b in touched])
+    return {"buckets": touched, "updated": updated, "appended": given - updated}
+
+
+def expire(spark: SparkSession, base: str, keep: int) -> list[str]:
+    """Delete the folders that only commits before the last ``keep`` refer to."""
+    log = committed_versions(spark, base)
+    last = head(spark, base)
+    current = set(_bucket_paths(spark, base).values())
+    old = [r["path"] for r in log.filter(F.col("seq") <= last - keep).select("path").distinct().collect()]
+    gone = [p for p in old if p not in current]
+    for path in gone:
+        fs, p = _fs(spark, path)
+        fs.delete(p, True)
+    return gone

@@ -7,12 +7,15 @@ re-run step starts from committed data:
 
 * cleaned rows are checkpointed once (gate and load read the same rows);
 * the gate report is written before the run is stopped on failure;
-* the upsert writes a new version and commits it to the table's log;
-* marts are built from the committed version, never from the raw input.
+* the upsert writes a new version and commits it to the table's log; a day
+  that is committed already is not loaded again, so a retry goes on from there;
+* marts are built from the committed version into a folder of their own and
+  committed together, so readers see one day's marts or another's, never a mix.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import SparkSession
@@ -20,14 +23,12 @@ from pyspark.sql import functions as F
 
 from hirescope.functions import rules as R
 from hirescope.operators.quality import quality_gate
-from pyspark.errors import AnalysisException
-
-from hirescope.operators.upsert import (BUCKET_COL, latest_version, merge_by_key, merge_counts,
-                                        upsert_bucketed, write_version)
+from hirescope.operators.upsert import (commit_folder, head, is_committed, latest_version, merge_by_key,
+                                        merge_counts, read_bucketed, upsert_bucketed, write_version)
 from hirescope.plans import star
 from hirescope.plans.postings import clean_postings
 from hirescope.session import checkpoint_dir
-from hirescope.sources.raw import load_raw_json
+from hirescope.sources.raw import corrupt_documents, load_raw_json, read_raw_documents
 from hirescope.sources.sinks import observe_counts, write_quality_report
 
 
@@ -36,23 +37,27 @@ class GateFailed(RuntimeError):
 
 
 def run_daily(spark: SparkSession, raw_paths: str | Sequence[str], base: str, version: str,
-              scrape_date_mode: str = "batch", fail_on_gate: bool = True,
-              gate_bounds: tuple[int, int] = (R.GATE_MIN_ROWS, R.GATE_MAX_ROWS),
-              n_buckets: int | None = None) -> dict:
-    """Run one day; returns the stage counts (scraped, cleaned, affected, total).
+              scrape_date_mode: str = "row", fail_on_gate: bool = True,
+              gate_bounds: tuple[int, int | None] = (R.GATE_MIN_ROWS, None),
+              n_buckets: int | None = None, bullet: str = "strip", as_of=None) -> dict:
+    """Run one day; returns the stage counts (scraped, cleaned, affected, total,
+    quarantined: files that could not be read, kept under ``quarantine``).
 
     ``n_buckets`` switches the postings table from versioned full rewrites to
     the key-bucketed layout, where a day's upsert reads and replaces only the
     buckets its rows hash to (the large-table / small-delta case).
     """
     checkpoint_dir(spark)
+    bad, unread = observe_counts(corrupt_documents(read_raw_documents(spark, raw_paths)), "unread")
+    bad.write.mode("overwrite").json(f"{base}/quarantine/{version}")
     raw, scraped = observe_counts(load_raw_json(spark, raw_paths), "scraped")
-    cleaned = clean_postings(raw, scrape_date_mode=scrape_date_mode).checkpoint(eager=True)
+    cleaned = clean_postings(raw, scrape_date_mode=scrape_date_mode, bullet=bullet,
+                             as_of=as_of).checkpoint(eager=True)
     n_clean = cleaned.count()
 
-    as_of = cleaned.select(F.max("scrape_date")).scalar()
+    latest = cleaned.select(F.max("scrape_date")).scalar()
     checks = quality_gate(
-        cleaned.withColumnRenamed("skills", "skills_list"), as_of, R.GATE_REQUIRED_COLUMNS,
+        cleaned.withColumnRenamed("skills", "skills_list"), latest, R.GATE_REQUIRED_COLUMNS,
         R.GATE_CRITICAL_COLUMNS, "job_url",
         {"experience_level": R.VALID_EXPERIENCE_LEVELS, "work_type": R.VALID_WORK_TYPES,
          "company_type": R.VALID_COMPANY_TYPES},
@@ -63,39 +68,43 @@ def run_daily(spark: SparkSession, raw_paths: str | Sequence[str], base: str, ve
         raise GateFailed(f"quality gate failed: {summary['failures']}")
 
     if n_buckets:
-        table = f"{base}/postings_bucketed"
-        try:
-            before = spark.read.parquet(table).drop(BUCKET_COL)
-        except AnalysisException:
-            before = None
-        if before is None:
-            affected = n_clean
-        else:
-            c = merge_counts(before, cleaned, ["job_url"]).first()
-            affected = c.updated_count + c.appended_count
-        upsert_bucketed(spark, table, cleaned, "job_url", n_buckets, ["scrape_date"])
-        stored = spark.read.parquet(table).drop(BUCKET_COL)
-        return _build_marts(spark, stored, base, scraped.get["rows"], n_clean, affected, table)
-
-    table = f"{base}/postings"
-    prev = latest_version(spark, table)
-    if prev is None:
-        merged, affected = cleaned, n_clean
+        path = f"{base}/postings_bucketed"
+        done = upsert_bucketed(spark, path, cleaned, "job_url", n_buckets, ["scrape_date"], version)
+        affected, stored = done["updated"] + done["appended"], read_bucketed(spark, path)
     else:
-        target = spark.read.parquet(prev)
-        c = merge_counts(target, cleaned, ["job_url"]).first()
-        merged, affected = merge_by_key(target, cleaned, ["job_url"], ["scrape_date"]), c.updated_count + c.appended_count
-    path = write_version(merged, table, version)
-    return _build_marts(spark, spark.read.parquet(path), base, scraped.get["rows"], n_clean, affected, path)
+        table = f"{base}/postings"
+        if is_committed(spark, table, version):
+            affected, path = 0, write_version(cleaned, table, version)
+        else:
+            parent, prev = head(spark, table), latest_version(spark, table)
+            merged, affected = cleaned, n_clean
+            if prev is not None:
+                target = spark.read.parquet(prev)
+                c = merge_counts(target, cleaned, ["job_url"]).first()
+                affected = c.updated_count + c.appended_count
+                merged = merge_by_key(target, cleaned, ["job_url"], ["scrape_date"])
+            path = write_version(merged, table, version, parent)
+        stored = spark.read.parquet(path)
+    done = _build_marts(spark, stored, base, version, scraped.get["rows"], n_clean, affected, path)
+    return done | {"quarantined": unread.get["rows"]}
+
+
+def marts_path(spark: SparkSession, base: str) -> str | None:
+    """Folder of the marts committed last."""
+    return latest_version(spark, f"{base}/marts")
 
 
-def _build_marts(spark, stored, base, scraped, n_clean, affected, path) -> dict:
+def _build_marts(spark, stored, base, version, scraped, n_clean, affected, path) -> dict:
     """Models from the committed postings table (never from the raw input)."""
+    marts = f"{base}/marts"
+    folder = f"{marts}/build={version}-{uuid.uuid4().hex[:12]}"
     stg, total = observe_counts(star.stg_jobs(stored), "total")
-    stg.write.mode("overwrite").parquet(f"{base}/marts/stg_jobs")
-    stg = spark.read.parquet(f"{base}/marts/stg_jobs")
+    stg.write.parquet(f"{folder}/stg_jobs")
+    stg = spark.read.parquet(f"{folder}/stg_jobs")
     for name, df in star.build_star(stg).items():
         if name != "stg_jobs":
-            df.write.mode("overwrite").parquet(f"{base}/marts/{name}")
+            df.write.parquet(f"{folder}/{name}")
+    if not is_committed(spark, marts, version):
+        commit_folder(spark, marts, version, folder)
     return {"scraped": scraped, "cleaned": n_clean, "affected": affected,
             "total": total.get["rows"], "version_path": path}

@@ -98,7 +98,7 @@ def case_rules(x: str, rules, default: str) -> str:
 RAW_SQL = ""
 
 
-def _postings_sql() -> str:
+def _postings_sql(bullet: str = "strip") -> str:
     from hirescope.plans import postings as PT
     k = "o_orderkey"
     title = f"{lst(PT.TITLES)}[({k} % {len(PT.TITLES)}) + 1]"
@@ -151,7 +151,8 @@ def _postings_sql() -> str:
     yrs = " ".join(f"WHEN min_experience <= {b} THEN {q(l)}" for b, l in R.LEVEL_YEAR_BANDS)
     level = f"""CASE {lvl_arms} {yrs} WHEN min_experience IS NOT NULL THEN {q(R.LEVEL_YEAR_TOP)}
       WHEN {contains_any('lower(experience_raw)', R.LEVEL_RAW_JUNIOR_HINTS)} THEN 'junior' ELSE {q(R.LEVEL_DEFAULT)} END"""
-    p = f"lower({strip('posted_raw')})"
+    lines = f"list_filter(list_transform(string_split(posted_raw, chr(10)), lambda x: {strip('x')}), lambda x: x <> '')"
+    p = f"lower(CASE WHEN contains(posted_raw, chr(10)) THEN ({lines})[-1] ELSE {strip('posted_raw')} END)"
 
     def n_of(unit):
         return f"CAST(regexp_extract({p}, '(\\d+)\\s+{unit}', 1) AS INTEGER)"
@@ -162,10 +163,14 @@ def _postings_sql() -> str:
       ELSE coalesce(CAST(coalesce(try_strptime({p}, '%Y-%m-%d'), try_strptime({p}, '%d/%m/%Y'),
                                   try_strptime({p}, '%m/%d/%Y')) AS DATE), sd) END"""
     words = " + ".join(f"CAST(contains(lower(x), {q(w)}) AS INTEGER)" for w in dict.fromkeys(R.SKILL_TITLE_WORDS))
-    skill_ok = (f"length(x) <= {R.SKILL_MAX_LEN} AND NOT {contains_any('x', R.SKILL_SENTENCE_MARKERS)} "
+    marks = R.SKILL_SENTENCE_MARKERS if bullet == "drop" else [m for m in R.SKILL_SENTENCE_MARKERS if m not in ("·", "•", "✔")]
+    skill_ok = (f"length(x) <= {R.SKILL_MAX_LEN} AND NOT {contains_any('x', marks)} "
                 f"AND lower(x) NOT IN {inlist(R.SKILL_NOISE)} AND ({words}) < 2 "
                 f"AND {contains_any('lower(x)', R.TECH_SKILLS_VOCAB)}")
-    skills = (f"list_filter(list_transform(skills_list, lambda x: {strip(chr(99)+'oalesce(x, ' + q('None') + ')')}), "
+    plain = strip(chr(99) + 'oalesce(x, ' + q('None') + ')')
+    if bullet == "strip":
+        plain = strip(f"regexp_replace({plain}, '^[·•✔][ \\t\\n\\x0B\\f\\r]*', '')")
+    skills = (f"list_filter(list_transform(skills_list, lambda x: {plain}), "
               f"lambda x: {skill_ok})")
     cat = case_rules("lower(job_title)", R.CATEGORY_RULES, R.CATEGORY_DEFAULT)
     ovr = " ".join(f"WHEN {q(a)} THEN {q(b)}" for a, b in R.COMPANY_OVERRIDES.items())
@@ -198,6 +203,9 @@ POSTINGS = _postings_sql()
 ORACLE["cleaned_postings"] = f"""
 SELECT * EXCLUDE (skills), CAST(to_json(skills) AS VARCHAR) AS skills_list FROM ({POSTINGS})
 """
+ORACLE["cleaned_skills_without_bullets"] = f"""
+SELECT job_url, CAST(to_json(skills) AS VARCHAR) AS skills_list FROM ({_postings_sql("drop")})
+"""
 
 STG = f"""
 SELECT {sk('job_url')} AS job_id, trim(job_title) AS job_title, trim(lower(job_category)) AS job_category,
@@ -414,15 +422,14 @@ JOIN customer c ON p.o_custkey = c.c_custkey ORDER BY postings DESC, c_name LIMI
 """
 ORACLE["priority_funnel"] = """
 SELECT o_orderpriority, count(*) AS count,
-  round(count(*)::DOUBLE * 100.0 / (SELECT count(*) FROM orders WHERE o_orderpriority IS NOT NULL), 2) AS share_pct
-FROM orders WHERE o_orderpriority IS NOT NULL GROUP BY 1
+  round(count(*)::DOUBLE * 100.0 / (SELECT count(*) FROM orders WHERE o_orderpriority IS NOT NULL), 2) AS share_pct,
+  round(sum(count(*)) OVER (ORDER BY o_orderpriority)::DOUBLE * 100.0 / sum(count(*)) OVER ()::DOUBLE, 2) AS running_share_pct
+FROM orders WHERE o_orderpriority IS NOT NULL GROUP BY 1 ORDER BY 1
 """
 ORACLE["part_cooccurrence"] = """
-WITH b AS (SELECT DISTINCT l_orderkey, l_partkey FROM lineitem),
-t AS (SELECT l_partkey FROM b GROUP BY 1 ORDER BY count(*) DESC, l_partkey LIMIT 20),
-bb AS (SELECT * FROM b WHERE l_partkey IN (SELECT l_partkey FROM t))
+WITH b AS (SELECT DISTINCT l_orderkey, l_partkey FROM lineitem)
 SELECT x.l_partkey AS part_a, y.l_partkey AS part_b, count(*) AS n_orders
-FROM bb x JOIN bb y ON x.l_orderkey = y.l_orderkey AND x.l_partkey < y.l_partkey
+FROM b x JOIN b y ON x.l_orderkey = y.l_orderkey AND x.l_partkey < y.l_partkey
 GROUP BY 1, 2
 """
 
@@ -430,6 +437,15 @@ GROUP BY 1, 2
 NOISE = r"(?is)<script.*?</script>|<style.*?</style>|<!--.*?-->"
 ANCHOR = r'(?is)<a\s[^>]*?href="([^"]*)"[^>]*>(.*?)</a>'
 ANCHOR_ATTRS = r'(?is)<a\s([^>]*)>(.*?)</a>'
+LINK = r"""(?is)<a\s[^>]*?href=("[^"]*"|'[^']*')[^>]*>(.*?)</a>"""
+# The card rules, written here on their own.
+CARD_TEXT = r">([^<>]+)<"
+CARD_SPAN = r"(?is)<span[^>]*>([^<]*)</span>"
+CARD_YEARS = r"(?i)[0-9]+.*y(r|ear)"
+CARD_AGO = r"(?i)([0-9]+\s+(?:month|week|day|hour)s?\s+ago)"
+CARD_MONTH_DAY = (r"(?i)((?:" + "|".join("jan feb mar apr may jun jul aug sep oct nov dec".split())
+                  + r")[a-z]*\.?\s+[0-9]{1,2},?\s+[0-9]{4})")
+CARD_SKILL_LINK = r'class="[^"]*[Tt]ag|href="[^"]*(skills|filters\[skill\]|filters%5Bskill)'
 TAGRX = r"(?s)<[^>]*>"
 ASCII_WS = r"[ \t\n\x0B\f\r]"
 
@@ -450,11 +466,21 @@ SELECT page_id, {_tag('c', 'title')} AS title, {_tag('c', 'h1')} AS h1,
 FROM (SELECT page_id, regexp_replace(html, '{NOISE}', '', 'g') AS c FROM pages)
 """
 ORACLE["page_links"] = f"""
-SELECT page_id, CASE WHEN starts_with(h, 'http') THEN h ELSE host || h END AS href,
-       trim(regexp_replace(t, '{TAGRX}', '', 'g')) AS anchor_text
-FROM (SELECT page_id, regexp_extract(url, '^(https?://[^/?#]+)', 1) AS host,
-             unnest(regexp_extract_all(c, '{ANCHOR}', 1)) AS h, unnest(regexp_extract_all(c, '{ANCHOR}', 2)) AS t
-      FROM (SELECT page_id, url, regexp_replace(html, '{NOISE}', '', 'g') AS c FROM pages))
+WITH a AS (
+  SELECT page_id, url, unnest(regexp_extract_all(c, {q(LINK)}, 1)) AS quoted, unnest(regexp_extract_all(c, {q(LINK)}, 2)) AS t
+  FROM (SELECT page_id, url, regexp_replace(html, '{NOISE}', '', 'g') AS c FROM pages)),
+b AS (SELECT *, trim(substr(quoted, 2, length(quoted) - 2)) AS h, split_part(split_part(url, '#', 1), '?', 1) AS page,
+             split_part(url, ':', 1) AS scheme FROM a),
+r AS (SELECT page_id, t, CASE
+    WHEN h = '' OR h[1] = '#' THEN NULL
+    WHEN lower(h) LIKE 'http://%' OR lower(h) LIKE 'https://%' THEN h
+    WHEN h[1:2] = '//' THEN scheme || ':' || h
+    WHEN regexp_matches(h, '^[a-zA-Z][-+.a-zA-Z0-9]*:') THEN NULL
+    WHEN h[1] = '/' THEN scheme || '://' || split_part(page, '/', 3) || h
+    WHEN h[1] = '?' THEN page || h
+    WHEN len(string_split(page, '/')) > 3 THEN left(page, length(page) - length(string_split(page, '/')[-1])) || h
+    ELSE page || '/' || h END AS href FROM b)
+SELECT page_id, href, trim(regexp_replace(t, '{TAGRX}', '', 'g')) AS anchor_text FROM r WHERE href IS NOT NULL
 """
 ORACLE["page_url_parts"] = f"""
 SELECT page_id,
@@ -835,28 +861,30 @@ SELECT * FROM f WHERE NOT EXISTS (SELECT 1 FROM e WHERE e.day < (SELECT max(day)
 
 
 def _cards_sql() -> str:
-    from hirescope.operators import html as H
     words = inlist(R.KNOWN_WORK_MODES + R.KNOWN_JOB_TYPES)
     hs = f"regexp_extract_all(c, {q(ANCHOR)}, 1)"
     ts = f"list_transform(regexp_extract_all(c, {q(ANCHOR)}, 2), lambda t: trim(regexp_replace(t, '{TAGRX}', '', 'g')))"
-    nodes = f"list_filter(list_transform(regexp_extract_all(c, {q(H.TEXT_NODE)}, 1), lambda t: trim(t)), lambda t: t <> '')"
+    nodes = f"list_filter(list_transform(regexp_extract_all(c, {q(CARD_TEXT)}, 1), lambda t: trim(t)), lambda t: t <> '')"
     prim = f"ts[list_filter(range(1, len(hs) + 1), lambda i: contains(hs[i], '/jobs/c/') OR contains(hs[i], '/company/'))[1]]"
     gen = (f"ts[list_filter(range(1, len(hs) + 1), lambda i: NOT contains(hs[i], '/jobs/p/') AND ts[i] <> '' "
            f"AND NOT (lower(ts[i]) IN {words}))[1]]")
     company = f"nullif(regexp_replace(coalesce({prim}, {gen}), '\\s*-\\s*$', ''), '')"
     span_loc = _tag(f"regexp_extract(c, {q(chr(40) + '?is' + chr(41) + '(<span[^>]*class=\"[^\"]*[Ll]ocation[^\"]*\"[^>]*>.*?</span>)')}, 1)", "span")
-    short = f"list_filter(nodes, lambda t: length(t) < 60 AND NOT regexp_matches(t, {q(H._YEARS)}))"
+    spans = f"list_filter(list_transform(regexp_extract_all(c, {q(CARD_SPAN)}, 1), lambda t: trim(t)), lambda t: t <> '')"
+    short = f"list_filter({spans}, lambda t: length(t) < 60 AND NOT regexp_matches(t, {q(CARD_YEARS)}))"
     location = f"coalesce({span_loc}, nullif(array_to_string(list_slice({short}, 1, 2), ', '), ''), 'Egypt')"
     span_xp = _tag(f"regexp_extract(c, {q('(?is)(<span[^>]*class=\"[^\"]*(?:xp|exp|Exp|experience)[^\"]*\"[^>]*>.*?</span>)')}, 1)", "span")
-    node_xp = f"list_filter(nodes, lambda t: regexp_matches(t, {q(H._YEARS)}) AND length(t) < 50)[1]"
+    node_xp = f"list_filter(nodes, lambda t: regexp_matches(t, {q(CARD_YEARS)}) AND length(t) < 50)[1]"
     posted = (f"coalesce(nullif(regexp_extract(c, {q(chr(40) + '?is' + chr(41) + '<time[^>]*datetime=\"([^\"]*)\"')}, 1), ''), "
-              f"{_tag('c', 'time')}, nullif(regexp_extract(c, {q(H._RELATIVE)}, 1), ''), "
-              f"nullif(regexp_extract(c, {q(H._MONTH_DATE)}, 1), ''))")
+              f"{_tag('c', 'time')}, nullif(regexp_extract(c, {q(CARD_AGO)}, 1), ''), "
+              f"nullif(regexp_extract(c, {q(CARD_MONTH_DAY)}, 1), ''))")
     at = f"regexp_extract_all(c, {q(ANCHOR_ATTRS)}, 1)"
     tt = f"list_transform(regexp_extract_all(c, {q(ANCHOR_ATTRS)}, 2), lambda t: trim(regexp_replace(t, '{TAGRX}', '', 'g')))"
-    skills = (f"len(list_filter(range(1, len({at}) + 1), lambda i: regexp_matches({at}[i], {q(H.SKILL_ANCHOR)}) "
+    skills = (f"len(list_filter(range(1, len({at}) + 1), lambda i: regexp_matches({at}[i], {q(CARD_SKILL_LINK)}) "
               f"AND ({tt})[i] <> ''))")
-    empty = f"regexp_matches(c, {q(chr(40) + '?is' + chr(41) + 'class=\"[^\"]*empty[^\"]*\"|<h[1-6][^>]*>[^<]*no (?:jobs|results)')})"
+    shown = (r'(?is)<h[1-6][^>]*>[^<]*(\b0 jobs|no (vacancies|results|jobs))'
+             r'|class="[^"]*(noResults|emptyState|no-results|empty-state)[^"]*"')
+    empty = f"(NOT contains(c, '/jobs/p/') AND regexp_matches(c, {q(shown)}))"
     return f"""
     SELECT page_id, {company} AS company, {location} AS location, coalesce({span_xp}, {node_xp}) AS experience,
            {posted} AS posted, {skills} AS n_skill_tags, {empty} AS no_results

@@ -11,14 +11,14 @@ has real duplicates to resolve.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hirescope.functions import parse as P
 from hirescope.functions.skills import clean_skills_list, list_to_text
 from hirescope.functions.text import collapse_ws, py_strip
 from hirescope.operators.dedup import keep_first, keep_last
-from hirescope.sources.tables import spread, table
+from hirescope.sources.tables import table
 
 HOST = "https://wuzzuf.net"
 
@@ -60,7 +60,7 @@ def _slug(v: str) -> str:
 
 def raw_postings(spark: SparkSession, sf: str) -> DataFrame:
     """Raw-shaped postings (the 11 scraper fields + a position column)."""
-    o = spread(table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderdate"))
+    o = table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
     k = F.col("o_orderkey")
     pair = F.floor(k / 2)
     title = _pick(TITLES, k)
@@ -132,35 +132,37 @@ def normalize_raw(raw: DataFrame) -> DataFrame:
         P.extract_work_type("location", "job_type").alias("work_type"), "scraped_at")
 
 
-def clean_postings(df: DataFrame, scrape_date_mode: str = "batch", bullet: str = "drop") -> DataFrame:
-    """M1: the production cleaning chain as one narrow projection chain plus
-    one aggregation (the URL dedup).
+def clean_postings(df: DataFrame, scrape_date_mode: str = "row", bullet: str = "strip", as_of=None) -> DataFrame:
+    """M1: filter, keep the last row per URL, then derive.
 
-    ``scrape_date_mode='batch'`` uses the scrape time of the first row (by
-    position) for every row, as the original does; ``'row'`` uses each row's
-    own scrape time.  The batch value is a scalar subquery (one min_by
-    aggregate), never a collect.
+    The rules read the surviving row only, so they run once per kept posting,
+    and a consumer that needs few columns has the other rules pruned.
+
+    The scrape date is ``as_of`` (a date or Column) if given; else each row's
+    own scrape time (``'row'``), or that of the batch's first row by position
+    (``'batch'``, a scalar subquery over two pruned columns).  Without any
+    scrape time it is null; the wall clock is never read.
     """
     t = df.withColumn("job_title", collapse_ws(F.coalesce(F.col("job_title"), F.lit("None"))))
     t = t.filter((F.length("job_title") > 2) & P.egypt_only("job_url", "city"))
-    exp = P.parse_experience_years("experience_raw")
-    t = t.withColumns({"min_experience": exp["min_experience"], "max_experience": exp["max_experience"]})
-    if scrape_date_mode == "batch":
-        first = (t.filter(F.col("scraped_at").isNotNull())
-                 .select(F.min_by("scraped_at", "pos")).scalar())
-        sd = F.coalesce(P.iso_to_date(first), F.current_date())
+    if as_of is not None:
+        sd = (as_of if isinstance(as_of, Column) else F.lit(as_of)).cast("date")
+    elif scrape_date_mode == "batch":
+        first = t.filter(F.col("scraped_at").isNotNull()).select(F.min_by("scraped_at", "pos")).scalar()
+        sd = P.iso_to_date(first)
     else:
-        sd = F.coalesce(P.iso_to_date("scraped_at"), F.current_date())
-    # one projection for the independent derivations (fewer plan re-analyses)
+        sd = P.iso_to_date("scraped_at")
+    t = keep_last(t, ["job_url"], ["scraped_at", "pos"])
+    exp = P.parse_experience_years("experience_raw")
+    t = t.withColumns({"min_experience": exp["min_experience"], "max_experience": exp["max_experience"],
+                       "scrape_date": sd})
     t = t.withColumns({
         "experience_level": P.classify_experience_level("job_title", "min_experience", "experience_raw"),
-        "scrape_date": sd,
-        "posted_date": P.relative_posted_date("posted_date", sd),
+        "posted_date": P.relative_posted_date("posted_date", "scrape_date"),
         "skills": clean_skills_list("skills_list", bullet=bullet),
         "job_category": P.classify_job_category("job_title"),
         "company_type": P.classify_company_type("company_name"),
     })
-    t = keep_last(t, ["job_url"], ["scraped_at", "pos"])
     return t.select("job_title", "company_name", "job_type", "skills", "job_category", "posted_date",
                     "job_url", "city", "work_type", "min_experience", "max_experience",
                     "experience_level", "scrape_date", "company_type")
@@ -168,7 +170,13 @@ def clean_postings(df: DataFrame, scrape_date_mode: str = "batch", bullet: str =
 
 def cleaned_postings(spark: SparkSession, sf: str) -> DataFrame:
     """M1 over the derived raw postings (skills kept as array)."""
-    return clean_postings(normalize_raw(raw_postings(spark, sf)))
+    return clean_postings(normalize_raw(raw_postings(spark, sf)), scrape_date_mode="batch")
+
+
+def cleaned_skills_without_bullets(spark: SparkSession, sf: str) -> DataFrame:
+    """M1 skills under the stricter rule that drops bulleted skills."""
+    c = clean_postings(normalize_raw(raw_postings(spark, sf)), scrape_date_mode="batch", bullet="drop")
+    return c.select("job_url", list_to_text("skills").alias("skills_list"))
 
 
 def cleaned_postings_report(spark: SparkSession, sf: str) -> DataFrame:
@@ -204,28 +212,34 @@ def _star(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
     return star.build_star(materialized_stage(spark, sf))
 
 
+def _model(spark: SparkSession, sf: str, name: str) -> DataFrame:
+    """One star model that reads staging once: nothing to store in between."""
+    from hirescope.plans import star
+    return star.build_star(staged(spark, sf))[name]
+
+
 def stg_report(spark, sf):
     return staged(spark, sf).withColumn("skills", list_to_text("skills"))
 
 
 def dim_job(spark, sf):
-    return _star(spark, sf)["dim_job"]
+    return _model(spark, sf, "dim_job")
 
 
 def dim_company(spark, sf):
-    return _star(spark, sf)["dim_company"]
+    return _model(spark, sf, "dim_company")
 
 
 def dim_location(spark, sf):
-    return _star(spark, sf)["dim_location"]
+    return _model(spark, sf, "dim_location")
 
 
 def dim_date(spark, sf):
-    return _star(spark, sf)["dim_date"]
+    return _model(spark, sf, "dim_date")
 
 
 def fact_jobs(spark, sf):
-    return _star(spark, sf)["fact_jobs"]
+    return _model(spark, sf, "fact_jobs")
 
 
 def fact_jobs_joined(spark, sf):
@@ -244,13 +258,13 @@ def category_metrics(spark, sf):
 def skill_count(spark, sf):
     """M12."""
     from hirescope.plans import star
-    return star.skill_count_frame(materialized_stage(spark, sf))
+    return star.skill_count_frame(staged(spark, sf))
 
 
 def skill_category(spark, sf):
     """M13 as counts per (skill, category) -- the long-form crosstab."""
     from hirescope.plans import star
-    pairs = star.skill_category_pairs(materialized_stage(spark, sf))
+    pairs = star.skill_category_pairs(staged(spark, sf))
     return pairs.groupBy("skill_name", "job_category").agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -349,7 +363,7 @@ def top_skills_per_level(spark, sf, k: int = 3):
     """Top-k skills per seniority level."""
     from hirescope.operators.metrics import top_k_per_group
     from hirescope.plans import star
-    per = (star.skill_pairs_with(materialized_stage(spark, sf), "experience_level")
+    per = (star.skill_pairs_with(staged(spark, sf), "experience_level")
            .groupBy("experience_level", "skill_name").agg(F.count(F.lit(1)).alias("n_jobs")))
     return top_k_per_group(per, "experience_level", "skill_name", "n_jobs", k)
 
@@ -378,7 +392,7 @@ def notebook_categories_skills(spark, sf):
 
     def j(a):
         return F.array_join(F.array_sort(a), "|")
-    late = clean_skills_list(parse_list_literal(F.to_json("skills")), vocabulary=False,
+    late = clean_skills_list(parse_list_literal(F.to_json("skills")), bullet="drop", vocabulary=False,
                              markers=R.SKILL_MARKERS_LATE, noise=R.SKILL_NOISE_LATE)
     return r.select(
         "pos", wide.alias("category_wide"), std.alias("category_std"),

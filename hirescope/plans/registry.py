@@ -68,6 +68,8 @@ QUERIES = {
     "raw_top_locations": postings.raw_top_locations,
     "model_tests": postings.model_tests,
     "kpis": postings.kpis,
+    "hypothesis_tests": reports.hypothesis_test_rows,
+    "cleaned_skills_without_bullets": postings.cleaned_skills_without_bullets,
     "postings_by_company_type": postings.postings_by("company_type"),
     "postings_by_city": postings.postings_by("city"),
     "postings_by_job_category": postings.postings_by("job_category"),

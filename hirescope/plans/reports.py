@@ -68,16 +68,16 @@ def segment_correlation(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def brand_priority_cells(spark: SparkSession, sf: str, k: int = 20) -> DataFrame:
-    """J8 + A16: (brand, priority) counts restricted to the k most frequent
-    brands.  The top-k list is k rows (a proven bound), joined as a semi-join."""
+    """J8 + A16: (brand, priority) counts of the k most frequent brands.  The
+    cells are counted once; the brands are ranked from the few cells."""
     li = table(spark, sf, "lineitem").select("l_orderkey", "l_partkey")
     p = table(spark, sf, "part").select("p_partkey", "p_brand")
     o = table(spark, sf, "orders").select("o_orderkey", "o_orderpriority")
     pairs = li.join(p, li.l_partkey == p.p_partkey).join(o, li.l_orderkey == o.o_orderkey)
-    top = (pairs.groupBy("p_brand").agg(F.count(F.lit(1)).alias("c"))
-           .orderBy(F.desc("c"), "p_brand").limit(k).select("p_brand"))
-    kept = pairs.join(F.broadcast(top), "p_brand", "left_semi")
-    return kept.groupBy("p_brand", "o_orderpriority").agg(F.count(F.lit(1)).alias("n"))
+    cells = pairs.groupBy("p_brand", "o_orderpriority").agg(F.count(F.lit(1)).alias("n"))
+    total = cells.withColumn("c", F.sum("n").over(Window.partitionBy("p_brand")))
+    ranked = total.withColumn("r", F.dense_rank().over(Window.orderBy(F.desc("c"), "p_brand")))  # rows: brands x priorities
+    return ranked.filter(F.col("r") <= k).select("p_brand", "o_orderpriority", "n")
 
 
 def brand_priority_chi_square(spark: SparkSession, sf: str) -> DataFrame:
@@ -124,29 +124,37 @@ def top_customers(spark: SparkSession, sf: str, k: int = 10) -> DataFrame:
 
 
 def priority_funnel(spark: SparkSession, sf: str) -> DataFrame:
-    """Postings per level, ordered, with running share."""
+    """Postings per level, ordered by level, with the running share."""
     o = table(spark, sf, "orders").select("o_orderpriority")
-    return M.value_counts(o, "o_orderpriority")
-
-
-def part_cooccurrence(spark: SparkSession, sf: str, k: int = 20) -> DataFrame:
-    """Co-occurrence matrix of the k most frequent parts -- for
-    every pair among them, the number of orders containing both.
-
-    Baskets are de-duplicated and cut to the top-k parts first (a k-row list,
-    a proven broadcast bound), so a basket contributes at most k(k-1)/2
-    pairs however large it is; the pair counts are a partial+final aggregate.
-    """
-    li = table(spark, sf, "lineitem").select("l_orderkey", "l_partkey").distinct()
-    top = (li.groupBy("l_partkey").agg(F.count(F.lit(1)).alias("c"))
-           .orderBy(F.desc("c"), "l_partkey").limit(k).select("l_partkey"))
-    b = li.join(F.broadcast(top), "l_partkey", "left_semi")
-    a = b.select(F.col("l_orderkey").alias("k"), F.col("l_partkey").alias("part_a"))
-    c = b.select(F.col("l_orderkey").alias("k"), F.col("l_partkey").alias("part_b"))
-    pairs = a.join(c, "k").filter(F.col("part_a") < F.col("part_b"))
+    w = Window.orderBy("o_orderpriority")  # one row per level
+    return (M.value_counts(o, "o_orderpriority")
+            .withColumn("running_share_pct", F.round(
+                F.sum("count").over(w) * 100.0 / F.sum("count").over(w.rowsBetween(Window.unboundedPreceding,
+                                                                                   Window.unboundedFollowing)), 2))
+            .orderBy("o_orderpriority"))
+
+
+def part_cooccurrence(spark: SparkSession, sf: str) -> DataFrame:
+    """For every pair of parts, the number of orders with both.
+
+    An order has a handful of lines, so the pairs grow with the line items;
+    their counts are combined per task before the shuffle."""
+    li = table(spark, sf, "lineitem").select("l_orderkey", "l_partkey")
+    baskets = li.groupBy("l_orderkey").agg(F.sort_array(F.collect_set("l_partkey")).alias("parts"))
+    first = baskets.select("parts", F.posexplode("parts").alias("i", "part_a"))
+    rest = F.slice("parts", F.col("i") + 2, F.greatest(F.size("parts") - F.col("i") - 1, F.lit(0)))
+    pairs = first.select("part_a", F.explode(rest).alias("part_b"))
     return pairs.groupBy("part_a", "part_b").agg(F.count(F.lit(1)).alias("n_orders"))
 
 
+def hypothesis_test_rows(spark: SparkSession, sf: str) -> DataFrame:
+    """A18 / A20 with their p-values, one row per test."""
+    t = hypothesis_tests(spark, sf)
+    rows = [("anova", t["anova"]["f_stat"], t["anova"]["p_value"], t["anova"]["df_between"]),
+            ("chi_square", t["chi_square"]["chi2"], t["chi_square"]["p_value"], t["chi_square"]["dof"])]
+    return spark.createDataFrame(rows, "test string, statistic double, p_value double, dof long")
+
+
 def hypothesis_tests(spark: SparkSession, sf: str) -> dict:
     """The statistics report: ANOVA of parts per order by priority, Pearson of
     postings vs mean parts per segment, chi-square of top-20 brands x priority."""

@@ -10,15 +10,15 @@ from hirescope.functions import parse as P
 from hirescope.functions import rules as R
 from hirescope.functions.text import collapse_ws, contains_any, count_contained
 from hirescope.operators import html as H
-from hirescope.sources.tables import spread, table
+from hirescope.sources.tables import table
 
 
 def page_fields(spark: SparkSession, sf: str) -> DataFrame:
-    return H.page_fields(spread(table(spark, sf, "pages").select("page_id", "url", "html")))
+    return H.page_fields(table(spark, sf, "pages").select("page_id", "url", "html"))
 
 
 def page_links(spark: SparkSession, sf: str) -> DataFrame:
-    return H.page_links(spread(table(spark, sf, "pages").select("page_id", "url", "html")))
+    return H.page_links(table(spark, sf, "pages").select("page_id", "url", "html"))
 
 
 def page_url_parts(spark: SparkSession, sf: str) -> DataFrame:
@@ -28,7 +28,7 @@ def page_url_parts(spark: SparkSession, sf: str) -> DataFrame:
 def doc_text_profile(spark: SparkSession, sf: str) -> DataFrame:
     """Collapsed length, non-blank line count, last line
     length; rows whose cleaned text is <= 2 chars are dropped."""
-    d = spread(table(spark, sf, "documents").select("doc_id", "lang", "text"))
+    d = table(spark, sf, "documents").select("doc_id", "lang", "text")
     clean = collapse_ws("text")
     lines = F.filter(F.split("text", "\n"), lambda x: F.trim(x) != "")
     out = d.select("doc_id", F.trim(F.lower("lang")).alias("lang"), F.length(clean).cast("bigint").alias("clean_len"),
@@ -47,7 +47,7 @@ def conversation_last_lines(spark: SparkSession, sf: str) -> DataFrame:
 def doc_rule_labels(spark: SparkSession, sf: str) -> DataFrame:
     """F21 / P9 / F14 over whole documents: category rule chain, relevance
     and tech-vocabulary hits, counted per (lang, category, relevant, tech)."""
-    d = spread(table(spark, sf, "documents").select("lang", "text"))
+    d = table(spark, sf, "documents").select("lang", "text")
     low = F.lower("text")
     lab = d.select("lang", P.classify_job_category("text").alias("job_category"),
                    contains_any(low, R.TECH_TITLE_KEYWORDS).alias("relevant"),
@@ -66,7 +66,7 @@ def part_company_types(spark: SparkSession, sf: str) -> DataFrame:
 def page_card_fallbacks(spark: SparkSession, sf: str) -> DataFrame:
     """H3/H4/H5/H7/H8 generic fallbacks over whole pages (no card markup in
     this data set, so the fallback paths are what runs)."""
-    p = spread(table(spark, sf, "pages").select("page_id", "html"))
+    p = table(spark, sf, "pages").select("page_id", "html")
     clean = H.strip_noise("html")
     c = p.select("page_id", clean.alias("c"))
     return c.select("page_id",

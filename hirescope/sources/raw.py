@@ -47,6 +47,12 @@ def read_raw_documents(spark: SparkSession, paths: str | Sequence[str]) -> DataF
             .withColumn("file", F.col("_metadata.file_name")))
 
 
+def corrupt_documents(docs: DataFrame) -> DataFrame:
+    """The files that could not be read, with their text, for a quarantine."""
+    return (docs.filter(F.col("_corrupt_record").isNotNull() & F.col("jobs").isNull())
+            .select("file", "_corrupt_record"))
+
+
 def explode_jobs(docs: DataFrame) -> DataFrame:
     """S1 body: one row per job with the raw field names (defaults applied to
     missing values) and a ``pos`` ordering struct (file, index in file)."""

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations"]
@@ -15,24 +14,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Re-spread a scan that yields fewer splits than task slots.
-
-    Scan parallelism normally comes from the file layout (at cluster scale a
-    table has thousands of row groups and this is a no-op).  When a
-    CPU-heavy per-row step (tokenizing, regex over HTML) sits on an input
-    that arrived as one or two splits, a round-robin repartition lets every
-    core work.  Projections and filters still push below it to the scan.
-    """
-    slots = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < slots:
-        # The always-true predicate depends on the partition id, so Catalyst
-        # cannot push later row filters (regexes) below it into the single
-        # scan task: they run after the re-spread, on every core.
-        return df.repartition(slots).filter(F.spark_partition_id() >= 0)
-    return df
-
-
 def register_views(spark: SparkSession, sf_dir: str, names=TABLES) -> None:
     """Expose tables by name for ``spark.sql`` / ``spark.table``."""
     for n in names:

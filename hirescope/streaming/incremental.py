@@ -1,11 +1,11 @@
 """Incremental arrival of raw posting files -> clean -> dedup -> upsert.
 
 ``readStream`` picks up new wrapped-JSON files; each micro-batch is cleaned
-with the same Column helpers as the batch job and merged into the postings
-table by URL.  The table is versioned by ``batchId``: each micro-batch writes ``v=<batchId>`` and
-then appends to the table's ``_versions`` commit log.  A replayed batch (after
-a driver or executor loss) finds its version committed and skips, so the sink
-is idempotent; the stream checkpoint keeps the file offsets.
+with the same Column helpers as the batch job and merged into the bucketed
+postings table by URL, so a batch reads and rewrites only the buckets its rows
+hash to.  A commit is named by the stream's id (kept in its checkpoint) and the
+batch id: a batch replayed after a loss is not applied twice, and a stream
+that starts anew with another checkpoint is not mistaken for the old one.
 """
 
 from __future__ import annotations
@@ -13,24 +13,20 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hirescope.operators.upsert import is_committed, latest_version, merge_by_key, write_version
+from hirescope.operators.upsert import read_bucketed, upsert_bucketed
 from hirescope.plans.postings import clean_postings, normalize_raw
 from hirescope.sources.raw import RAW_DOC, explode_jobs
 
 
-def upsert_batch(target_base: str, scrape_date_mode: str = "row"):
-    """foreachBatch function: clean the batch, merge into the latest version."""
+def upsert_batch(target_base: str, checkpoint: str, scrape_date_mode: str = "row", n_buckets: int = 64):
+    """foreachBatch function: clean the batch, merge it into its buckets."""
     def run(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        version = f"{batch_id:012d}"
-        if is_committed(spark, target_base, version):
-            return
+        stream = spark.read.option("multiLine", True).json(f"{checkpoint.rstrip('/')}/metadata").first()["id"]
         cleaned = clean_postings(normalize_raw(explode_jobs(batch.withColumn("file", F.input_file_name()))),
                                  scrape_date_mode=scrape_date_mode)
-        prev = latest_version(spark, target_base)
-        merged = cleaned if prev is None else merge_by_key(spark.read.parquet(prev), cleaned, ["job_url"],
-                                                           ["scrape_date"])
-        write_version(merged, target_base, version)
+        upsert_bucketed(spark, target_base, cleaned, "job_url", n_buckets, ["scrape_date"],
+                        f"{stream}-{batch_id:012d}")
     return run
 
 
@@ -41,11 +37,10 @@ def start(spark: SparkSession, source_dir: str, target_base: str, checkpoint: st
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     docs = reader.json(source_dir)
-    w = docs.writeStream.foreachBatch(upsert_batch(target_base)).option("checkpointLocation", checkpoint)
+    w = docs.writeStream.foreachBatch(upsert_batch(target_base, checkpoint)).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")
     return w.start()
 
 
 def current_table(spark: SparkSession, target_base: str) -> DataFrame | None:
-    v = latest_version(spark, target_base)
-    return spark.read.parquet(v) if v else None
+    return read_bucketed(spark, target_base)

@@ -75,7 +75,8 @@ def test_posted_date(spark):
     cases = {"5 days ago": dt.date(2024, 1, 5), "2 weeks ago": dt.date(2023, 12, 27),
              "1 month ago": dt.date(2023, 12, 11), "3 hours ago": sd, "2024-01-05": dt.date(2024, 1, 5),
              "15/03/2024": dt.date(2024, 3, 15), "03/25/2024": dt.date(2024, 3, 25), "yesterday": sd,
-             "Title 24 hours\nCo - Cairo\n3 days ago": sd}
+             "Title 24 hours\nCo - Cairo\n3 days ago": dt.date(2024, 1, 7),
+             "title\ncompany\n2024-01-05": dt.date(2024, 1, 5)}
     df = spark.createDataFrame([(k, sd) for k in cases], "x string, d date")
     got = dict(df.select("x", P.relative_posted_date("x", "d")).collect())
     assert got == cases
@@ -84,14 +85,15 @@ def test_posted_date(spark):
 def test_last_line(spark):
     assert ev(spark, P.last_line(F.col("x")), "A\nB - C\n 29 days ago ") == "posted 29 days ago"
     assert ev(spark, P.last_line(F.col("x")), "single line") == "single line"
+    assert ev(spark, P.last_line(F.col("x")), "A\nReposted 3 days ago") == "Reposted 3 days ago"
 
 
 def test_skills_vocabulary(spark):
     arr = ["Apache Spark", "scikit-learn", "Stakeout", "QuickBooks", "· Python", "English",
            "Senior Data Engineer", "x" * 51, "Power BI"]
-    got = ev(spark, clean_skills_list(F.col("x")), arr, "x array<string>")
+    got = ev(spark, clean_skills_list(F.col("x"), bullet="drop"), arr, "x array<string>")
     assert got == ["Apache Spark", "scikit-learn", "Power BI"]
-    got = ev(spark, clean_skills_list(F.col("x"), bullet="strip"), arr, "x array<string>")
+    got = ev(spark, clean_skills_list(F.col("x")), arr, "x array<string>")
     assert "Python" in got
 
 

@@ -3,6 +3,7 @@
 import math
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from hirescope.operators import dedup, stats, upsert
@@ -116,17 +117,46 @@ def test_audit_profile_approx(spark):
 
 
 def test_upsert_bucketed_rewrites_only_touched(spark, tmp_path):
-    import os
     path = str(tmp_path / "t")
     base = spark.range(200).selectExpr("CAST(id AS STRING) AS k", "'old' AS v", "0L AS o")
-    upsert.upsert_bucketed(spark, path, base, "k", 16, ["o"])
-    before = {d: os.listdir(os.path.join(path, d)) for d in os.listdir(path) if d.startswith("key_bucket=")}
-    delta = spark.createDataFrame([("3", "new", 1), ("500", "new", 1)], "k string, v string, o long")
-    touched = upsert.upsert_bucketed(spark, path, delta, "k", 16, ["o"])
-    after = {d: os.listdir(os.path.join(path, d)) for d in os.listdir(path) if d.startswith("key_bucket=")}
-    untouched = [d for d in before if int(d.split("=")[1]) not in touched]
-    assert untouched and all(before[d] == after[d] for d in untouched)
-    got = {r.k: r.v for r in spark.read.parquet(path).collect()}
+    upsert.upsert_bucketed(spark, path, base, "k", 16, ["o"], "a")
+    before = upsert._bucket_paths(spark, path)
+    delta = spark.createDataFrame([("3", "new", 1), ("500", "new", 1), ("500", "older", 0)], "k string, v string, o long")
+    done = upsert.upsert_bucketed(spark, path, delta, "k", 16, ["o"], "b")
+    after = upsert._bucket_paths(spark, path)
+    assert (done["updated"], done["appended"]) == (1, 1)
+    assert {b for b in after if after[b] != before.get(b)} == set(done["buckets"])
+    got = {r.k: r.v for r in upsert.read_bucketed(spark, path).collect()}
     assert len(got) == 201 and got["3"] == "new" and got["500"] == "new" and got["4"] == "old"
-    upsert.upsert_bucketed(spark, path, delta, "k", 16, ["o"])          # replay: same table
-    assert spark.read.parquet(path).count() == 201
+    assert upsert.upsert_bucketed(spark, path, delta, "k", 16, ["o"], "b")["buckets"] == []   # replay
+    assert upsert.read_bucketed(spark, path).count() == 201
+    with pytest.raises(ValueError):                                                           # another layout
+        upsert.upsert_bucketed(spark, path, delta, "k", 4, ["o"], "c")
+    assert upsert.read_bucketed(spark, path).count() == 201
+    assert upsert.expire(spark, path, 0) != [] and upsert.read_bucketed(spark, path).count() == 201
+
+
+def test_versions_are_never_overwritten(spark, tmp_path):
+    import os
+    base = str(tmp_path / "t")
+    one, two = spark.range(5), spark.range(9)
+    first = upsert.write_version(one, base, "9")
+    assert upsert.write_version(two, base, "9") == first and spark.read.parquet(first).count() == 5
+    parent = upsert.head(spark, base)
+    second = upsert.write_version(two, base, "10", parent)            # "10" < "9" as text
+    assert upsert.latest_version(spark, base) == second
+    with pytest.raises(upsert.CommitConflict):                        # another writer was faster
+        upsert.write_version(one, base, "11", parent)
+    assert upsert.latest_version(spark, base) == second and not upsert.is_committed(spark, base, "11")
+    one.write.parquet(f"{base}/v=12-crashed")                         # written, never committed
+    assert upsert.latest_version(spark, base) == second
+    assert upsert.write_version(one, base, "12") != f"{base}/v=12-crashed"
+    assert os.path.exists(f"{base}/v=12-crashed")
+
+
+def test_fieldwise_update(spark):
+    old = spark.createDataFrame([(1, "a", "x"), (2, "b", "y")], "id long, p string, q string")
+    new = spark.createDataFrame([(2, None, "n", 1), (2, "late", None, 2), (3, "c", "m", 1)],
+                                "id long, p string, r string, o int")
+    got = {r.id: (r.p, r.q, r.r) for r in upsert.fieldwise_update(old, new, "id", ["o"]).collect()}
+    assert got == {1: ("a", "x", None), 2: ("late", "y", None), 3: ("c", None, "m")}
