@@ -113,13 +113,13 @@ def compare_with_edits(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     """
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     raw = docs.select(F.col(id_col).cast("long").alias("doc_id"), text.alias("text"))
-    src = raw.select(F.coalesce("doc_id", F.lit(_NO_ID)).alias("k"), F.xxhash64("text").alias("th"), "text",
-                     F.length("text").cast("long").alias("n"))
-    ring = materialise(neighbours(src.groupBy("k").agg(F.max("n").alias("n"))))
+    # The same three columns wherever texts meet other rows, so that they are shuffled once.
+    src = raw.select(F.coalesce("doc_id", F.lit(_NO_ID)).alias("k"), F.xxhash64("text").alias("th"), "text")
+    ring = materialise(neighbours(src.groupBy("k").agg(F.max(F.length("text").cast("long")).alias("n"))))
     gift = (src.join(ring.select("k", "prev_k", "prev_n"), "k")
             .select(F.col("prev_k").alias("k"), "th", F.expr("left(text, cast(prev_n div 2 as int))").alias("head"))
             .groupBy("k").agg(F.min_by("head", "th").alias("head")))
-    both = (src.join(gift, "k").dropDuplicates(["k", "th"])
+    both = (src.join(gift, "k").dropDuplicates(["k", "th"]).withColumn("n", F.length("text").cast("long"))
             .withColumn("edited", F.concat(F.expr("left(text, cast(n - n div 2 as int))"),
                                            F.expr("left(head, cast(n div 2 as int))"))))
     sides = both.select("k", "th", F.explode(F.array(
