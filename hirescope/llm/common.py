@@ -33,7 +33,7 @@ def materialise(df: DataFrame) -> DataFrame:
 
 
 def text_batches(batches: Iterator[pa.RecordBatch], columns: tuple[int, ...], text: int,
-                 limit: int = 16 << 20) -> Iterator[list[list]]:
+                 limit: int = 4 << 20) -> Iterator[list[list]]:
     """Re-cut Arrow batches into lists of Python rows of about ``limit`` text
     characters, so that working memory does not depend on the row count of a
     batch.  ``columns`` picks the columns, ``text`` is the index within them."""

@@ -13,8 +13,10 @@ counts more.  A logistic model over a document's evidence gives the score.
 
 from __future__ import annotations
 
+import heapq
 import math
 import re
+import zlib
 from collections import Counter, defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -47,8 +49,8 @@ def edits_allowed(term: str, stem: bool) -> int:
 class Lexicon:
     """Trie of the entries, and the automaton product over it."""
 
-    def __init__(self, entries: list[tuple[str, bool]]):
-        self.entries = entries
+    def __init__(self, entries: list[tuple[str, bool]], most_states: int = 20_000):
+        self.entries, self.most_states = entries, most_states
         self.children: list[dict[str, int]] = [{}]
         self.word: list[int] = [-1]
         self.stem: list[int] = [-1]
@@ -64,6 +66,10 @@ class Lexicon:
                 node = self.children[node][ch]
                 self.room[node] = max(self.room[node], allowed)
             (self.stem if is_stem else self.word)[node] = number
+        self.forget()
+
+    def forget(self) -> None:
+        """Drop the states determinised so far."""
         self._ids: dict[frozenset, int] = {}
         self._sets: list[frozenset] = []
         self.next: list[dict[str, int]] = []
@@ -117,6 +123,8 @@ class Lexicon:
 
     def match(self, token: str) -> tuple[int, int] | None:
         """(entry, edits) of the closest entry, or None."""
+        if len(self._sets) > self.most_states:
+            self.forget()
         state, best = 0, None
         for ch in token:
             target = self.next[state].get(ch)
@@ -214,7 +222,7 @@ def _term_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             names=["term", "stem", "t", "c"])
 
 
-def choose_entries(rows, n_toxic: int, n_clean: int, min_gain: float = 20.0, min_lift: float = 4.0):
+def choose_entries(rows, n_toxic: int, n_clean: int, min_gain: float, min_lift: float = 4.0):
     """Lexicon entries with their log-odds weights from (term, stem, t, c) rows."""
     good = {}
     for term, stem, t, c in rows:
@@ -241,6 +249,38 @@ def choose_entries(rows, n_toxic: int, n_clean: int, min_gain: float = 20.0, min
     return out
 
 
+def sketch(words: set[str], size: int = 64) -> list[int]:
+    """The least hashes of a document's words."""
+    return heapq.nsmallest(size, {zlib.crc32(w.encode()) for w in words})
+
+
+def apart(sketches: list[list[int]], alike: float = 0.5, rare: int = 100) -> list[int]:
+    """Group numbers of documents: those whose sketches agree in half of their
+    hashes are copies of each other.  Hashes that more than ``rare`` documents
+    hold say nothing and are left out."""
+    where: dict[int, list[int]] = defaultdict(list)
+    for d, found in enumerate(sketches):
+        for e in found:
+            where[e].append(d)
+    size, shared = Counter(), Counter()
+    for held in where.values():
+        if len(held) <= rare:
+            size.update(held)
+            shared.update((a, b) for i, a in enumerate(held) for b in held[i + 1:])
+    root = list(range(len(sketches)))
+
+    def find(i: int) -> int:
+        while root[i] != i:
+            root[i] = i = root[root[i]]
+        return i
+
+    for (a, b), n in shared.items():
+        if n >= alike * (size[a] + size[b] - n):
+            x, y = sorted((find(a), find(b)))
+            root[y] = x
+    return [find(i) for i in range(len(sketches))]
+
+
 def _fit(x: np.ndarray, y: np.ndarray, ridge: float = 1.0, rounds: int = 30) -> np.ndarray:
     """Ridge logistic regression by Newton steps; the constant is not shrunk much."""
     penalty = np.full(x.shape[1], ridge)
@@ -256,7 +296,7 @@ def _fit(x: np.ndarray, y: np.ndarray, ridge: float = 1.0, rounds: int = 30) ->
 
 
 def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-          label_col: str = "toxic", max_labelled: int = 20_000, max_entries: int = 4096) -> Model:
+          label_col: str = "toxic", max_labelled: int = 20_000, max_entries: int = 4096, min_gain: float = 20.0) -> Model:
     """Lexicon and weights from labelled documents (label 1: toxic).
 
     At most ``max_labelled`` labelled documents are used, those of the least
@@ -282,8 +322,30 @@ def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
             .where(F.col("t") >= 3).where((F.col("t") + 0.5) * (n_clean + 1) > 4 * (F.col("c") + 0.5) * (n_toxic + 1))
             .orderBy(F.desc(F.col("t") - F.col("c") * (n_toxic / n_clean)), "term", "stem")
             .limit(10 * max_entries).collect())
-    chosen = choose_entries([tuple(r) for r in rows], n_toxic, n_clean)
-    entries = sorted(chosen, key=lambda k: (-chosen[k], k))[:max_entries]
+    chosen = choose_entries([tuple(r) for r in rows], n_toxic, n_clean, min_gain)
+    order = sorted(chosen, key=lambda k: (-chosen[k], k))[:max_entries]
+
+    def holding(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at = {e: i for i, e in enumerate(order)}
+        for (part,) in text_batches(batches, (0,), 0):
+            found, sketches = [], []
+            for text in part:
+                words = set(_TOKEN.findall((text or "").lower()))
+                keys = {(w, False) for w in words} | {(w[:n], True) for w in words for n in STEM if len(w) > n}
+                found.append([at[k] for k in keys if k in at])
+                sketches.append(sketch(words))
+            yield pa.RecordBatch.from_arrays([pa.array(found, pa.list_(pa.int32())),
+                                              pa.array(sketches, pa.list_(pa.int64()))], names=["e", "s"])
+
+    toxic = train.where("y = 1").select("text").mapInArrow(holding, "e array<int>, s array<long>").collect()
+    # Words that only recur because a toxic document has copies fall out.
+    holders: dict[int, set[int]] = defaultdict(set)
+    for group, r in zip(apart([r["s"] for r in toxic]), toxic):
+        for e in r["e"]:
+            holders[e].add(group)
+    clean_with = {(r["term"], r["stem"]): r["c"] for r in rows}
+    entries = [e for i, e in enumerate(order)
+               if _gain(len(holders[i]), clean_with[e], n_toxic, n_clean) >= min_gain]
     exact = [chosen[e] for e in entries]
 
     def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
