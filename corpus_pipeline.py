@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from hirescope.llm import decontaminate, packing, queries, simhash, suffix_dedup, toxicity
 from hirescope.llm.common import materialise
-from hirescope.sources.tables import table
+from hirescope.llm.queries import table
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

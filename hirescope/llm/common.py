@@ -3,17 +3,34 @@
 from __future__ import annotations
 
 import gc
+import os
+import shutil
+import tempfile
 import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from hirescope.session import checkpoint_dir
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Give this package to the executors' Python workers, once per
+    application, so that a job needs no ``--py-files``."""
+    sc = spark.sparkContext
+    if sc.applicationId not in _SHIPPED:
+        root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+        name = os.path.join(tempfile.mkdtemp(prefix="hirescope-"), "hirescope_package")
+        sc.addPyFile(shutil.make_archive(name, "zip", root, "hirescope"))
+        _SHIPPED.add(sc.applicationId)
+
+
 def materialise(df: DataFrame) -> DataFrame:
     """Cut the lineage: write ``df`` to the shared folder and read it back.
 

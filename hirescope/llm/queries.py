@@ -9,7 +9,13 @@ from pyspark.sql import functions as F
 
 from hirescope.llm import (decontaminate, langid, lm_score, order_minhash, packing, simhash, sql, substring_dedup,
                            suffix_dedup, toxicity, wrapper)
-from hirescope.sources.tables import table
+from hirescope.llm.common import ship_package
+from hirescope.sources import tables
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship_package(spark)
+    return tables.table(spark, sf_dir, name)
 
 
 def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
