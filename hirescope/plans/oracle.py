@@ -406,6 +406,7 @@ ORACLE["weekly_velocity"] = """
 SELECT year(date_trunc('week', CAST(o_orderdate AS DATE))) AS week_year, weekofyear(CAST(o_orderdate AS DATE)) AS week_of_year,
        count(*) AS postings FROM orders GROUP BY 1, 2
 """
+ORACLE["daily_velocity"] = "SELECT CAST(o_orderdate AS DATE) AS day, count(*) AS postings FROM orders GROUP BY 1"
 ORACLE["monthly_share_change"] = """
 SELECT month, share_pct, postings, round(share_pct - lag(share_pct) OVER (ORDER BY month), 2) AS change_pct FROM (
   SELECT CAST(date_trunc('month', o_orderdate) AS DATE) AS month,
@@ -582,27 +583,28 @@ ORACLE["raw_top_locations"] = f"""
 SELECT * FROM (SELECT keyword, location, count, row_number() OVER (PARTITION BY keyword ORDER BY count DESC, location) AS rank
   FROM (SELECT keyword, location, count(*) AS count FROM ({RAW_SQL}) GROUP BY 1, 2)) WHERE rank <= 5
 """
+ORACLE["raw_top_companies"] = f"""
+SELECT * FROM (SELECT keyword, company, count, row_number() OVER (PARTITION BY keyword ORDER BY count DESC, company) AS rank
+  FROM (SELECT keyword, company, count(*) AS count FROM ({RAW_SQL}) GROUP BY 1, 2)) WHERE rank <= 5
+"""
+ORACLE["missing_counts"] = " UNION ALL ".join(
+    f"SELECT {q(c)} AS field, sum(missing_{c})::BIGINT AS missing FROM ({ORACLE['raw_completeness']})" for c in R.RAW_REQUIRED_FIELDS)
 MART = ORACLE["job_skill_metrics"]
 DIM_SKILLS = f"SELECT {sk('skill_name')} AS skill_id, skill_name FROM (SELECT DISTINCT skill_name FROM ({PAIRS}))"
 BRIDGE = f"SELECT job_id, {sk('skill_name')} AS skill_id FROM ({PAIRS})"
-_T = {"fact_jobs": FACT, "dim_job": f"SELECT job_id, experience_level FROM ({STG})", "dim_company": DIM_COMPANY,
-      "dim_location": DIM_LOCATION, "dim_date": DIM_DATE, "dim_skills": DIM_SKILLS, "bridge_job_skills": BRIDGE,
-      "mart_job_metrics": MART}
+_T = {"fact_jobs": FACT, "dim_job": f"SELECT job_id, job_title, experience_level FROM ({STG})",
+      "dim_company": DIM_COMPANY, "dim_location": DIM_LOCATION, "dim_date": DIM_DATE, "dim_skills": DIM_SKILLS,
+      "bridge_job_skills": BRIDGE, "mart_job_metrics": MART, "stg_jobs": STG}
 _tests = []
-for t, c in [("fact_jobs", "fact_id"), ("fact_jobs", "job_id"), ("fact_jobs", "job_url"), ("dim_company", "company_id"),
-             ("dim_company", "company_name"), ("dim_location", "location_id"), ("dim_date", "date_id"),
-             ("dim_skills", "skill_id"), ("bridge_job_skills", "job_id"), ("bridge_job_skills", "skill_id"),
-             ("mart_job_metrics", "skill_name")]:
-    _tests.append(f"SELECT 'not_null_{t}_{c}' AS test, count(*) FILTER ({c} IS NULL) AS failures FROM ({_T[t]})")
-for t, c in [("fact_jobs", "fact_id"), ("dim_job", "job_id"), ("dim_company", "company_id"), ("dim_location", "location_id"),
-             ("dim_date", "date_id"), ("dim_skills", "skill_id"), ("dim_skills", "skill_name"), ("mart_job_metrics", "skill_name")]:
-    _tests.append(f"SELECT 'unique_{t}_{c}', count(*) FROM (SELECT {c} FROM ({_T[t]}) WHERE {c} IS NOT NULL GROUP BY 1 HAVING count(*) > 1)")
-for t, c, v in [("dim_job", "experience_level", R.VALID_EXPERIENCE_LEVELS), ("fact_jobs", "work_type", R.VALID_WORK_TYPES),
-                ("dim_company", "company_type", R.VALID_COMPANY_TYPES),
-                ("mart_job_metrics", "demand_category", ["High Demand", "Medium Demand", "Niche"])]:
+for _cols_of in (R.MODEL_NOT_NULL, R.EXTRA_NOT_NULL):
+    for t, cs in _cols_of.items():
+        _tests += [f"SELECT 'not_null_{t}_{c}' AS test, count(*) FILTER ({c} IS NULL) AS failures FROM ({_T[t]})" for c in cs]
+for t, cs in R.MODEL_UNIQUE.items():
+    _tests += [f"SELECT 'unique_{t}_{c}', count(*) FROM (SELECT {c} FROM ({_T[t]}) WHERE {c} IS NOT NULL GROUP BY 1 "
+               f"HAVING count(*) > 1)" for c in cs]
+for t, c, v in R.MODEL_ACCEPTED + R.EXTRA_ACCEPTED:
     _tests.append(f"SELECT 'accepted_values_{t}_{c}', count(*) FILTER ({c} IS NOT NULL AND {c} NOT IN {inlist(v)}) FROM ({_T[t]})")
-for t, c, d, pk in [("fact_jobs", "company_id", "dim_company", "company_id"), ("fact_jobs", "location_id", "dim_location", "location_id"),
-                    ("fact_jobs", "date_id", "dim_date", "date_id"), ("bridge_job_skills", "skill_id", "dim_skills", "skill_id")]:
+for t, c, d, pk in R.MODEL_RELATIONSHIPS + R.EXTRA_RELATIONSHIPS:
     _tests.append(f"SELECT 'relationships_{t}_{c}', count(*) FROM ({_T[t]}) x WHERE {c} IS NOT NULL AND {c} NOT IN (SELECT {pk} FROM ({_T[d]}))")
 ORACLE["model_tests"] = "\nUNION ALL ".join(_tests)
 ORACLE["kpis"] = f"""
@@ -624,6 +626,10 @@ ORACLE["top_skills_per_level"] = f"""
 SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY experience_level ORDER BY n_jobs DESC, skill_name) AS rank
   FROM ({LEVEL_SKILL})) WHERE rank <= 3
 """
+ORACLE["top_skills_per_category"] = f"""
+SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY job_category ORDER BY n_jobs DESC, skill_name) AS rank
+  FROM ({LEVEL_SKILL.replace("experience_level", "job_category")})) WHERE rank <= 3
+"""
 ORACLE["skill_roadmap"] = f"""
 SELECT s.experience_level, s.skill_name, s.n_jobs, l.level_jobs,
   round(s.n_jobs::DOUBLE * 100.0 / l.level_jobs, 2) AS share_pct

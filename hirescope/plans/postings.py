@@ -316,27 +316,39 @@ def raw_top_locations(spark, sf):
 
 
 def model_tests(spark, sf):
-    """Q12 over the star schema."""
+    """Q12 over the star schema: every declared test, and some of our own."""
     from hirescope.functions import rules as R
     from hirescope.operators.quality import model_tests as mt
-    s = _star(spark, sf)
-    return mt(s,
-              not_null=[("fact_jobs", "fact_id"), ("fact_jobs", "job_id"), ("fact_jobs", "job_url"),
-                        ("dim_company", "company_id"), ("dim_company", "company_name"),
-                        ("dim_location", "location_id"), ("dim_date", "date_id"), ("dim_skills", "skill_id"),
-                        ("bridge_job_skills", "job_id"), ("bridge_job_skills", "skill_id"),
-                        ("mart_job_metrics", "skill_name")],
-              unique=[("fact_jobs", "fact_id"), ("dim_job", "job_id"), ("dim_company", "company_id"),
-                      ("dim_location", "location_id"), ("dim_date", "date_id"), ("dim_skills", "skill_id"),
-                      ("dim_skills", "skill_name"), ("mart_job_metrics", "skill_name")],
-              accepted=[("dim_job", "experience_level", R.VALID_EXPERIENCE_LEVELS),
-                        ("fact_jobs", "work_type", R.VALID_WORK_TYPES),
-                        ("dim_company", "company_type", R.VALID_COMPANY_TYPES),
-                        ("mart_job_metrics", "demand_category", ["High Demand", "Medium Demand", "Niche"])],
-              relationships=[("fact_jobs", "company_id", "dim_company", "company_id"),
-                             ("fact_jobs", "location_id", "dim_location", "location_id"),
-                             ("fact_jobs", "date_id", "dim_date", "date_id"),
-                             ("bridge_job_skills", "skill_id", "dim_skills", "skill_id")])
+
+    def pairs(*groups):
+        return [(t, c) for g in groups for t, cols in g.items() for c in cols]
+    return mt(_star(spark, sf), not_null=pairs(R.MODEL_NOT_NULL, R.EXTRA_NOT_NULL), unique=pairs(R.MODEL_UNIQUE),
+              accepted=R.MODEL_ACCEPTED + R.EXTRA_ACCEPTED, relationships=R.MODEL_RELATIONSHIPS + R.EXTRA_RELATIONSHIPS)
+
+
+def raw_top_companies(spark, sf):
+    """Top-5 companies per keyword file."""
+    from hirescope.operators.quality import top_values_per_group
+    return top_values_per_group(raw_postings(spark, sf), "keyword", "company", 5)
+
+
+def missing_counts(spark, sf):
+    """Missing values per field over all files, most missing first."""
+    from hirescope.functions import rules as R
+    per = raw_completeness(spark, sf)
+    total = per.agg(*[F.sum(f"missing_{c}").alias(f"missing_{c}") for c in R.RAW_REQUIRED_FIELDS])
+    fields = ", ".join(f"'{c}', missing_{c}" for c in R.RAW_REQUIRED_FIELDS)
+    return (total.selectExpr(f"stack({len(R.RAW_REQUIRED_FIELDS)}, {fields}) AS (field, missing)")
+            .orderBy(F.desc("missing"), "field"))
+
+
+def top_skills_per_category(spark, sf, k: int = 3):
+    """Top-k skills per job category."""
+    from hirescope.operators.metrics import top_k_per_group
+    from hirescope.plans import star
+    per = (star.skill_pairs_with(staged(spark, sf), "job_category")
+           .groupBy("job_category", "skill_name").agg(F.count(F.lit(1)).alias("n_jobs")))
+    return top_k_per_group(per, "job_category", "skill_name", "n_jobs", k)
 
 
 def kpis(spark, sf):

@@ -68,6 +68,10 @@ QUERIES = {
     "raw_top_locations": postings.raw_top_locations,
     "model_tests": postings.model_tests,
     "kpis": postings.kpis,
+    "raw_top_companies": postings.raw_top_companies,
+    "missing_counts": postings.missing_counts,
+    "top_skills_per_category": postings.top_skills_per_category,
+    "daily_velocity": reports.daily_velocity,
     "hypothesis_tests": reports.hypothesis_test_rows,
     "cleaned_skills_without_bullets": postings.cleaned_skills_without_bullets,
     "postings_by_company_type": postings.postings_by("company_type"),

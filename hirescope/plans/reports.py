@@ -94,6 +94,12 @@ def weekly_velocity(spark: SparkSession, sf: str) -> DataFrame:
             .agg(F.count(F.lit(1)).alias("postings")))
 
 
+def daily_velocity(spark: SparkSession, sf: str) -> DataFrame:
+    """Postings per day."""
+    o = table(spark, sf, "orders").select("o_orderdate")
+    return o.groupBy(F.to_date("o_orderdate").alias("day")).agg(F.count(F.lit(1)).alias("postings"))
+
+
 def monthly_share_change(spark: SparkSession, sf: str) -> DataFrame:
     """Monthly share of one status (the remote share analogue) and its
     change from the previous month.  The window runs over the monthly

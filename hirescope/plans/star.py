@@ -107,10 +107,12 @@ def fact_jobs(stg: DataFrame) -> DataFrame:
                       "min_experience", "max_experience", "job_type", "work_type", "job_url")
 
 
-def fact_jobs_joined(stg: DataFrame, companies: DataFrame, locations: DataFrame, dates: DataFrame) -> DataFrame:
-    """M8 (J1) as the model writes it: left joins to the dims; dim_job shares
-    the key, so it needs no join at all (fact.job_id = md5(job_url))."""
-    f = (stg.join(companies.select("company_name", "company_id"), "company_name", "left")
+def fact_jobs_joined(stg: DataFrame, companies: DataFrame, locations: DataFrame, dates: DataFrame,
+                     jobs: DataFrame) -> DataFrame:
+    """M8 (J1) as the model writes it: left joins to the four dimensions."""
+    keyed = stg.withColumn("_job", F.col("job_id")).drop("job_id")
+    f = (keyed.join(jobs.select("job_id"), F.col("_job") == F.col("job_id"), "left")
+         .join(companies.select("company_name", "company_id"), "company_name", "left")
          .join(locations.select("city", "location_id"), "city", "left")
          .join(dates.select(F.col("full_date").alias("posted_date"), "date_id"), "posted_date", "left"))
     return f.select(surrogate_key("job_url").alias("fact_id"), "job_id", "company_id", "location_id", "date_id",
@@ -184,7 +186,7 @@ def build_star(stg: DataFrame) -> dict[str, DataFrame]:
     return {
         "stg_jobs": stg, "dim_job": jobs, "dim_company": comp, "dim_location": loc,
         "dim_date": dates, "dim_skills": skills, "bridge_job_skills": bridge, "fact_jobs": fact,
-        "fact_jobs_joined": fact_jobs_joined(stg, comp, loc, dates),
+        "fact_jobs_joined": fact_jobs_joined(stg, comp, loc, dates, stg.select("job_id")),
         "mart_job_metrics": skill_metrics(pairs, fact),
         "category_metrics": category_metrics(stg),
     }
