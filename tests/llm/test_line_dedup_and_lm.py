@@ -77,3 +77,16 @@ def test_target_like_text_scores_higher(docs_of, spark):
     got = {r.row.doc_id: r.score for r in L.score(docs_of(docs), L.learn(docs_of(docs), target)).collect()}
     assert min(got[i] for i in range(60, 120) if i % 3 == 0) > max(got[i] for i in range(60, 120) if i % 3)
     assert L.score(docs_of([]), L.learn(docs_of([]), target)).count() == 0
+
+
+def test_sql_oracle(spark):
+    import duckdb
+
+    from hirescope.llm import queries as Q
+    sf = "/root/testdata/sf0.001"
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{sf}/documents.parquet')")
+    rel = con.sql(Q.ORACLE["op1_substring_dedup"])
+    df = Q.op1_substring_dedup(spark, sf)
+    assert df.columns == rel.columns
+    assert sorted(map(tuple, df.collect())) == sorted(rel.fetchall())
