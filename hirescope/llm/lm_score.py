@@ -130,7 +130,8 @@ def learn(docs: DataFrame, target: DataFrame, id_col: str = "doc_id", text_col:
     vocab = {w: i for i, w in enumerate(sorted(r["word"] for r in top))}
     chosen = target.select(F.col(id_col).cast("long").alias("id")).where("id is not null").distinct().withColumn(
         "flag", F.lit(1))
-    marked = texts.join(chosen, "id", "left").select("text", F.coalesce("flag", F.lit(0)).alias("flag"))
+    # Always a merge join: the list of target ids grows with the corpus.
+    marked = texts.join(chosen.hint("merge"), "id", "left").select("text", F.coalesce("flag", F.lit(0)).alias("flag"))
     counts = (marked.mapInArrow(_pair_counts(vocab, shape), "kind int, key int, target long, background long")
               .groupBy("kind", "key").agg(F.sum("target").alias("target"), F.sum("background").alias("background"))
               .toArrow())
