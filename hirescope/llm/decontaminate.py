@@ -231,6 +231,9 @@ def search(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", carry:
             n = len(item.words)
             for lo, hi, cosine in parts:
                 region = words[t][lo:hi]
+                # No common subsequence is longer than the item's words that occur at all.
+                if sum(map(set(region).__contains__, item.words)) < min(paraphrase, near_verbatim) * n:
+                    continue
                 share = common_subsequence(item.words, region) / n
                 if n < 8:
                     share = float(any(region[j:j + n] == item.words for j in range(len(region) - n + 1)))
