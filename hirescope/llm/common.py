@@ -17,6 +17,7 @@ from pyspark.sql.types import StructType
 from hirescope.session import checkpoint_dir
 
 
+_BATCH, _ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch", 1000
 _SHIPPED: set[str] = set()
 
 
@@ -81,6 +82,10 @@ def map_texts(docs: DataFrame, text_col: str, carry: list[str], fields: str,
     field of the DDL ``fields``.  Returns these fields and a struct ``row`` of
     the ``carry`` columns, so names can't clash and no join back is needed.
     """
+    # Rows carry whole documents, twice: Spark's 10000 rows a batch would be far too many.
+    conf = docs.sparkSession.conf
+    if int(conf.get(_BATCH)) > _ROWS:
+        conf.set(_BATCH, str(_ROWS))
     source = docs.select(F.col(text_col).cast("string").alias("text"), *extra,
                          F.struct(*[F.col(c) for c in carry]).alias("row"))
     schema = StructType.fromDDL(fields)
