@@ -7,8 +7,9 @@
    orthogonalisations run on the driver.
 3. Every window of every document is folded into the latent space; windows
    whose cosine with an item reaches ``min_cosine`` are candidates.
-4. A candidate counts if the longest common subsequence of words covers most
-   of the item, or about half of it and the item's answer as well.
+4. A candidate counts if, in a stretch of one and a half times the item's
+   length, the longest common subsequence of words covers most of the item, or
+   about half of it and the item's answer as well.
 """
 
 from __future__ import annotations
@@ -66,6 +67,53 @@ def common_subsequence(item: list[str], text: list[str]) -> int:
     return n - row.bit_count()
 
 
+def _answer_share(answer: list[str], text: list[str]) -> float:
+    """Share of the answer found in order within twice its length."""
+    m = len(answer)
+    if not m or common_subsequence(answer, text) == 0:
+        return 0.0
+    step = max(1, m // 2)
+    return max(common_subsequence(answer, text[a:a + 2 * m])
+               for a in range(0, max(1, len(text) - 2 * m + step), step)) / m
+
+
+def closest(item: Item, text: list[str], lo: int, hi: int, near_verbatim: float, paraphrase: float,
+            answer_share: float) -> tuple[float, float] | None:
+    """(share of the item, share of its answer) of the best stretch of
+    ``text[lo:hi]`` that holds the item, or None.
+
+    A stretch is one and a half item lengths, moved by a quarter of one, so
+    the text's length has no say in what is found by chance; the answer may
+    stand up to twice its length outside.
+    """
+    n, around, region = len(item.words), 2 * len(item.answer), text[lo:hi]
+    # No common subsequence is longer than the item's words that occur at all, or than that of the whole region.
+    least = min(paraphrase, near_verbatim) * n
+    own, there = set(item.words), set(region)
+    if sum(map(there.__contains__, item.words)) < least:
+        return None
+    if n < 8:
+        at = [a for a in range(len(region) - n + 1) if region[a:a + n] == item.words]
+        stretches = [(a, a + n) for a in at]
+    else:
+        if common_subsequence(item.words, region) < least:
+            return None
+        size, step = n + (n + 1) // 2, max(1, n // 4)
+        stretches = [(a, min(a + size, len(region))) for a in range(0, max(1, len(region) - size + step), step)]
+    hits = np.cumsum([0, *map(own.__contains__, region)])
+    best = None
+    for a, b in stretches:
+        if hits[b] - hits[a] < least:
+            continue
+        share = common_subsequence(item.words, region[a:b]) / n
+        if share < min(paraphrase, near_verbatim) or (best and share < best[0]):
+            continue
+        known = _answer_share(item.answer, text[max(0, lo + a - around):lo + b + around])
+        if share >= near_verbatim or (share >= paraphrase and known >= answer_share):
+            best = max(best or (0.0, 0.0), (share, known))
+    return best
+
+
 def _document_counts(vocab: dict[str, int]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts, rows, keys = np.zeros(len(vocab) + 1, np.int64), 0, vocab.keys()
@@ -199,8 +247,10 @@ def search(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", carry:
     Returns one row per document row: ``matches`` with one entry per item
     found, and ``row``, a struct of the ``carry`` columns.  An entry has
     ``item_id, cosine`` (of the closest window), ``lcs`` (share of the item's
-    words in the longest common subsequence with the text around the candidate
-    windows) and ``answer`` (the same of the answer's words).  An item counts
+    words in the longest common subsequence with the best stretch, of one and
+    a half item lengths, around the candidate windows) and ``answer`` (the same
+    of the answer's words, within twice the answer's length in or next to that
+    stretch).  An item counts
     if ``lcs >= near_verbatim``, or if ``lcs >= paraphrase`` and ``answer >=
     answer_share``; items of under eight words must be found whole.
 
@@ -228,18 +278,10 @@ def search(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", carry:
         found: list[list[dict]] = [[] for _ in words]
         for (t, i), parts in spans.items():
             item, best = index.items[i], None
-            n = len(item.words)
             for lo, hi, cosine in parts:
-                region = words[t][lo:hi]
-                # No common subsequence is longer than the item's words that occur at all.
-                if sum(map(set(region).__contains__, item.words)) < min(paraphrase, near_verbatim) * n:
-                    continue
-                share = common_subsequence(item.words, region) / n
-                if n < 8:
-                    share = float(any(region[j:j + n] == item.words for j in range(len(region) - n + 1)))
-                known = common_subsequence(item.answer, region) / max(1, len(item.answer))
-                if share >= near_verbatim or (share >= paraphrase and known >= answer_share):
-                    best = max(best or (0.0, 0.0, 0.0), (share, known, cosine))
+                held = closest(item, words[t], lo, hi, near_verbatim, paraphrase, answer_share)
+                if held:
+                    best = max(best or (0.0, 0.0, 0.0), (*held, cosine))
             if best:
                 found[t].append({"item_id": item.item_id, "cosine": best[2], "lcs": best[0], "answer": best[1]})
         return found

@@ -74,6 +74,19 @@ def test_candidate_recall_against_brute_force(spark, docs_of):
     assert true and len(true & near) >= 0.9 * len(true)
 
 
+def test_long_clean_document_is_not_found(spark, docs_of):
+    """The items' words in any order, over and over: no stretch holds an item."""
+    rng = random.Random(11)
+    _, items, _ = corpus(11)
+    words = items[3][1].replace(".", "").split()
+    long = [w for _ in range(400) for w in rng.sample(words, len(words))]
+    item = items[3][1].split()
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    rows = D.search(docs_of([(1, " ".join(long)), (2, " ".join(long + item + long))]), bench).collect()
+    assert D.common_subsequence(words, long) == len(words)
+    assert {r.row.doc_id: [m.item_id for m in r.matches] for r in rows} == {1: [], 2: [3]}
+
+
 def test_basis_spans_the_leading_directions(spark):
     _, items, _ = corpus(7)
     bench = spark.createDataFrame(items, "item_id long, text string")
