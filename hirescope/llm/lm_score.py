@@ -1,167 +1,195 @@
 """Cross-entropy difference scoring with matched n-gram models.
 
-A target and a background model share one vocabulary: the corpus' most
-frequent words, all others as one unknown word.  Both are interpolated bigram
-models whose counts cover every document.  Bigram counts live in a hashed
-table of a fixed number of cells, so that what is sent to the tasks does not
-grow with the corpus.  A document's score is the mean, over its tokens, of the
-background loss less the target loss: above zero it resembles the target.
+A target and a background model share one vocabulary: every word of the
+corpus.  Both are interpolated bigram models whose counts cover every document
+and are kept as one Spark table of word, context and pair counts, keyed by 62
+bits of a hash.  Documents are scored in chunks: a chunk asks for the counts of
+its different words and pairs, which are joined to it, so neither the driver
+nor a task holds the models.  A document's score is the mean, over its tokens,
+of the background loss less the target loss: above zero it resembles the
+target.
 """
 
 from __future__ import annotations
 
+import hashlib
 import re
-from collections import Counter
+from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
-from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
-from hirescope.llm.common import map_texts, text_batches
+from hirescope.llm.common import materialise, text_batches
 
 _TOKEN = re.compile(r"\w+|[^\w\s]")
+_WORD, _CONTEXT, _PAIR = range(3)
+_CHUNK = 2 << 20
 
 
 @dataclass(frozen=True)
 class Shape:
-    """Sizes of the models; ``weight`` is the bigram's share in the mixture."""
+    """``weight`` is the bigram's share in the mixture.  A caller may bound the
+    models: to the most frequent words (``vocabulary``, all others are one
+    unknown word), and to pair counts hashed into ``cells``."""
 
-    vocabulary: int = 1 << 15
-    cells: int = 1 << 21
+    vocabulary: int | None = None
+    cells: int | None = None
     weight: float = 0.6
 
 
-def _ids(text: str | None, vocab: dict[str, int], unknown: int) -> np.ndarray:
-    words = _TOKEN.findall((text or "").lower())
-    return np.fromiter(map(vocab.get, words, repeat(unknown)), np.int64, len(words))
-
-
-def _cells(ids: np.ndarray, start: int, shape: Shape) -> tuple[np.ndarray, np.ndarray]:
-    """Context of each token, and the cell of the pair."""
-    before = np.empty_like(ids)
-    before[:1] = start
-    before[1:] = ids[:-1]
-    h = (before.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) ^ (ids.astype(np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F))
-    h = (h ^ (h >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
-    return before, ((h >> np.uint64(32)) % np.uint64(shape.cells)).astype(np.int64)
+@dataclass(frozen=True)
+class Chunk:
+    """The different pairs of some texts; ``pair`` gives each token's."""
+
+    sizes: np.ndarray  # tokens per text
+    pair: np.ndarray
+    words: np.ndarray  # keys of word, context and pair, per different pair
+    contexts: np.ndarray
+    pairs: np.ndarray
+
+
+def _key(h: np.ndarray, kind: int) -> np.ndarray:
+    return ((h << np.uint64(2)) | np.uint64(kind)).view(np.int64)
+
+
+def _chunk(texts: list[str | None], vocab: frozenset[str] | None, shape: Shape) -> Chunk:
+    number: defaultdict[str, int] = defaultdict()
+    number.default_factory = number.__len__
+    number[" "] = 0  # before a text's first token; no token is a blank
+    parts = []
+    for text in texts:
+        found = _TOKEN.findall((text or "").lower())
+        if vocab is not None:
+            found = [w if w in vocab else "" for w in found]
+        parts.append(np.fromiter(map(number.__getitem__, found), np.int64, len(found)))
+    sizes = np.array([len(p) for p in parts], np.int64)
+    ids = np.concatenate([*parts, np.zeros(0, np.int64)])
+    before = np.concatenate([np.zeros(1, np.int64), ids])[:-1]
+    before[(np.cumsum(sizes) - sizes)[sizes > 0]] = 0
+    codes, pair = np.unique(before * len(number) + ids, return_inverse=True)
+    h = np.array([int.from_bytes(hashlib.blake2b(w.encode(), digest_size=8).digest(), "little") for w in number],
+                 np.uint64)
+    first, second = h[codes // len(number)], h[codes % len(number)]
+    both = (first * np.uint64(0x9E3779B97F4A7C15)) ^ (second * np.uint64(0xC2B2AE3D27D4EB4F))
+    both = (both ^ (both >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
+    both = both ^ (both >> np.uint64(32))
+    if shape.cells:
+        both = both % np.uint64(shape.cells)
+    return Chunk(sizes, pair, _key(second, _WORD), _key(first, _CONTEXT), _key(both, _PAIR))
 
 
 def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    counts: Counter = Counter()
-
-    def out():
-        return pa.RecordBatch.from_arrays([pa.array(list(counts.keys()), pa.string()),
-                                           pa.array(list(counts.values()), pa.int64())], names=["word", "n"])
-    for (texts,) in text_batches(batches, (0,), 0, 4 << 20):
+    for (texts,) in text_batches(batches, (0,), 0):
+        counts: defaultdict[str, int] = defaultdict(int)
         for text in texts:
-            counts.update(_TOKEN.findall((text or "").lower()))
-        if len(counts) > 1_000_000:
-            yield out()
-            counts.clear()
-    yield out()
+            for w in _TOKEN.findall((text or "").lower()):
+                counts[w] += 1
+        yield pa.RecordBatch.from_arrays([pa.array(list(counts.keys()), pa.string()),
+                                          pa.array(list(counts.values()), pa.int64())], names=["word", "n"])
 
 
-def _pair_counts(vocab: dict[str, int], shape: Shape):
-    """Rows (kind, key, target, background): kind 0 counts words, 1 contexts, 2 cells."""
-    size = (shape.vocabulary + 2, shape.vocabulary + 2, shape.cells)
-
+def _counts(vocab: frozenset[str] | None, shape: Shape):
+    """Rows (key, target, background), added up per chunk."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tables = [np.zeros((2, n), np.int64) for n in size]
-        unknown = len(vocab)
-        for texts, target in text_batches(batches, (0, 1), 0, 4 << 20):
-            for flag in (0, 1):
-                part = [_ids(t, vocab, unknown) for t, y in zip(texts, target) if y == flag]
-                part = [p for p in part if len(p)]
-                if not part:
-                    continue
-                pairs = [_cells(p, unknown + 1, shape) for p in part]
-                for table, keys in zip(tables, (part, [p[0] for p in pairs], [p[1] for p in pairs])):
-                    table[flag] += np.bincount(np.concatenate(keys), minlength=table.shape[1])
-        for kind, table in enumerate(tables):
-            at = np.flatnonzero(table[0] | table[1])
-            for lo in range(0, len(at), 200_000):
-                k = at[lo:lo + 200_000]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(k), kind, np.int32)), pa.array(k.astype(np.int32)), pa.array(table[1][k]),
-                     pa.array(table[0][k] + table[1][k])], names=["kind", "key", "target", "background"])
+        for texts, target in text_batches(batches, (0, 1), 0, 4 * _CHUNK):
+            chunk = _chunk(texts, vocab, shape)
+            size = len(chunk.pairs)
+            every = np.bincount(chunk.pair, minlength=size)
+            own = np.bincount(chunk.pair, np.repeat(np.array(target, float), chunk.sizes), minlength=size)
+            for keys in (chunk.words, chunk.contexts, chunk.pairs):
+                key, at = np.unique(keys, return_inverse=True)
+                t, b = (np.bincount(at, n, minlength=len(key)).astype(np.int64) for n in (own, every))
+                yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(t), pa.array(b)], names=["key", "t", "b"])
     return run
 
 
 @dataclass(frozen=True)
 class Models:
-    vocab: dict[str, int]
+    vocab: frozenset[str] | None  # None: every word
     shape: Shape
-    words: np.ndarray  # log-free probabilities, 2 x (vocabulary + 2): target, background
-    contexts: np.ndarray  # counts, 2 x (vocabulary + 2)
-    cells: np.ndarray  # counts, 2 x cells
-
-    def losses(self, text: str | None) -> tuple[int, float, float]:
-        """Tokens, and mean loss (nats) under target and background."""
-        unknown = len(self.vocab)
-        ids = _ids(text, self.vocab, unknown)
-        if not len(ids):
-            return 0, 0.0, 0.0
-        before, cell = _cells(ids, unknown + 1, self.shape)
-        out = []
-        for m in (0, 1):
-            seen = self.contexts[m][before]
-            # A cell may hold several pairs: no pair is more frequent than its context.
-            pair = np.minimum(self.cells[m][cell], seen) / np.maximum(seen, 1)
-            share = np.where(seen > 0, self.shape.weight, 0.0)
-            out.append(float(-np.log(share * pair + (1 - share) * self.words[m][ids]).mean()))
-        return len(ids), out[0], out[1]
+    counts: DataFrame  # key, t (target), b (background)
+    tokens: tuple[int, int]  # of target and background
+    size: int  # words, and one for all that were never seen
 
 
 def learn(docs: DataFrame, target: DataFrame, id_col: str = "doc_id", text_col: str = "text",
           shape: Shape = Shape()) -> Models:
     """Models from all documents; ``target(id)`` names those of the target.
 
-    Counts are taken over every document; the driver and the tasks get the
-    ``shape.vocabulary`` most frequent words and one number per word and cell.
-    Without target documents the target model is uniform over its words.
+    Counts are taken over every document, word and pair, and written as a
+    table; the driver gets three totals (and the words, where the caller bounds
+    the vocabulary).  Without target documents the target model is uniform
+    over its words.
     """
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    top = (texts.select("text").mapInArrow(_word_counts, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
-           .orderBy(F.desc("n"), "word").limit(shape.vocabulary).collect())
-    vocab = {w: i for i, w in enumerate(sorted(r["word"] for r in top))}
+    vocab = None
+    if shape.vocabulary is not None:
+        top = (texts.select("text").mapInArrow(_word_counts, "word string, n long").groupBy("word")
+               .agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "word").limit(shape.vocabulary).collect())
+        vocab = frozenset(r["word"] for r in top)
     chosen = target.select(F.col(id_col).cast("long").alias("id")).where("id is not null").distinct().withColumn(
         "flag", F.lit(1))
     # Always a merge join: the list of target ids grows with the corpus.
     marked = texts.join(chosen.hint("merge"), "id", "left").select("text", F.coalesce("flag", F.lit(0)).alias("flag"))
-    counts = (marked.mapInArrow(_pair_counts(vocab, shape), "kind int, key int, target long, background long")
-              .groupBy("kind", "key").agg(F.sum("target").alias("target"), F.sum("background").alias("background"))
-              .toArrow())
-    kind, key = (counts.column(c).to_numpy() for c in ("kind", "key"))
-    values = np.stack([counts.column(c).to_numpy() for c in ("target", "background")])
-    tables = []
-    for number, size in enumerate((len(vocab) + 1, len(vocab) + 2, shape.cells)):
-        table, mine = np.zeros((2, size), np.float32), kind == number
-        at = key[mine]
-        inside = at < size
-        table[:, at[inside]] = values[:, mine][:, inside]
-        tables.append(table)
-    words = (tables[0] + 1) / (tables[0] + 1).sum(axis=1, keepdims=True)
-    return Models(vocab, shape, words, tables[1], tables[2])
+    counts = materialise(marked.mapInArrow(_counts(vocab, shape), "key long, t long, b long")
+                         .groupBy("key").agg(F.sum("t").alias("t"), F.sum("b").alias("b")))
+    n = counts.where(F.col("key").bitwiseAND(F.lit(3)) == _WORD).agg(
+        F.sum("t").alias("t"), F.sum("b").alias("b"), F.count(F.lit(1)).alias("words")).first()
+    words = n["words"] if vocab is None else len(vocab)
+    return Models(vocab, shape, counts, (n["t"] or 0, n["b"] or 0), words + 1)
+
+
+def _looked_up(keys: np.ndarray, table: tuple[np.ndarray, ...]) -> np.ndarray:
+    """2 x keys: counts in target and background, zero where there is none."""
+    known, *counts = table
+    if not len(known):
+        return np.zeros((2, len(keys)))
+    at = np.minimum(np.searchsorted(known, keys), len(known) - 1)
+    return np.where(known[at] == keys, np.stack(counts)[:, at], 0)
 
 
 def score(docs: DataFrame, models: Models, text_col: str = "text", carry: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """``n_tokens, target_loss, background_loss, score, row`` per row; whole
     texts are read.  ``score`` is the background loss less the target loss per
-    token; texts without a token get zeros.  Repeated rows repeat."""
-    shared = docs.sparkSession.sparkContext.broadcast(models)  # of the fixed size of models.shape
-
-    def make():
-        models = shared.value
-
-        def work(texts):
-            n, target, background = zip(*[models.losses(t) for t in texts])
-            return [pa.array(n, pa.int64()), pa.array(target, pa.float64()), pa.array(background, pa.float64()),
-                    pa.array(np.array(background) - np.array(target))]
-        return work
+    token; texts without a token get zeros.  Repeated rows repeat.
 
-    return map_texts(docs, text_col, list(carry),
-                     "n_tokens long, target_loss double, background_loss double, score double", make)
+    Rows are dealt by a hash to chunks of about two million characters, whose
+    number follows the corpus.
+    """
+    vocab, shape, tokens, size = models.vocab, models.shape, models.tokens, models.size
+    source = docs.select(F.col(text_col).cast("string").alias("text"),
+                         F.struct(*[F.col(c) for c in carry]).alias("row"))
+    chars = source.agg(F.sum(F.length("text"))).first()[0] or 0
+    source = source.withColumn("chunk", F.pmod(F.xxhash64("text", "row"), F.lit(chars // _CHUNK + 1)))
+
+    def ask(table: pa.Table) -> pa.Table:
+        chunk = _chunk(table.column("text").to_pylist(), vocab, shape)
+        keys = np.unique(np.concatenate([chunk.words, chunk.contexts, chunk.pairs]))
+        return pa.table({"chunk": np.full(len(keys), table.column("chunk")[0].as_py(), np.int64), "key": keys})
+
+    def judge(table: pa.Table, told: pa.Table) -> pa.Table:
+        chunk = _chunk(table.column("text").to_pylist(), vocab, shape)
+        known = told.sort_by("key")
+        known = tuple(known.column(c).to_numpy() for c in ("key", "t", "b"))
+        words, contexts, pairs = (_looked_up(k, known) for k in (chunk.words, chunk.contexts, chunk.pairs))
+        text_of, n = np.repeat(np.arange(len(chunk.sizes)), chunk.sizes), len(chunk.sizes)
+        losses = []
+        for m in (0, 1):
+            # A cell may hold several pairs: no pair is more frequent than its context.
+            pair = np.minimum(pairs[m], contexts[m]) / np.maximum(contexts[m], 1)
+            share = np.where(contexts[m] > 0, shape.weight, 0.0)
+            loss = -np.log(share * pair + (1 - share) * (words[m] + 1) / (tokens[m] + size))
+            losses.append(np.bincount(text_of, loss[chunk.pair], minlength=n) / np.maximum(chunk.sizes, 1))
+        return pa.table({"n_tokens": chunk.sizes, "target_loss": losses[0], "background_loss": losses[1],
+                         "score": losses[1] - losses[0], "row": table.column("row")})
+
+    schema = StructType.fromDDL("n_tokens long, target_loss double, background_loss double, score double")
+    schema = schema.add("row", source.schema["row"].dataType)
+    asked = source.select("text", "chunk").groupBy("chunk").applyInArrow(ask, "chunk long, key long")
+    told = asked.join(models.counts.hint("merge"), "key").select("chunk", "key", "t", "b")
+    return source.groupBy("chunk").cogroup(told.groupBy("chunk")).applyInArrow(judge, schema)

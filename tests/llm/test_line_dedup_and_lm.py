@@ -69,6 +69,22 @@ def test_scores_match_plain_counting(docs_of, spark):
         assert math.isclose(got[i].score, got[i].background_loss - got[i].target_loss, rel_tol=1e-9)
 
 
+def test_every_word_and_pair_is_counted(docs_of, spark):
+    """More words than any fixed vocabulary: the rare ones keep their counts."""
+    words = ["w%d" % i for i in range(40_000)]
+    docs = [(i, " ".join(words[i * 1000:(i + 1) * 1000])) for i in range(40)] + [(40, "w7 w8 w39999")]
+    models = L.learn(docs_of(docs), spark.createDataFrame([(0,)], "doc_id long"))
+    got = {r.row.doc_id: r for r in L.score(docs_of(docs), models).collect()}
+    size, total = 40_001, (1000, 40_003)
+
+    def loss(m, parts):
+        return -sum(math.log(0.6 * p + 0.4 * (n + 1) / (total[m] + size) if seen else (n + 1) / (total[m] + size))
+                    for p, n, seen in parts) / len(parts)
+    # Share of the pair, count of the word, whether the context was seen.
+    assert math.isclose(got[40].target_loss, loss(0, [(0, 1, True), (1, 1, True), (0, 0, True)]), rel_tol=1e-9)
+    assert math.isclose(got[40].background_loss, loss(1, [(1 / 41, 2, True), (1, 2, True), (1 / 2, 2, True)]), rel_tol=1e-9)
+
+
 def test_target_like_text_scores_higher(docs_of, spark):
     rng = random.Random(2)
     good, other = ["g%d" % i for i in range(80)], ["b%d" % i for i in range(80)]
