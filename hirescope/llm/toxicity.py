@@ -177,6 +177,15 @@ def matches(text: str, memo: _Memo, window: int = 8) -> tuple[int, list[tuple[in
     return len(words), out
 
 
+def evidence(hits) -> list[tuple[int, int, float, float]]:
+    """(entry, edits, largest factor, sum of factors) of all matches."""
+    out: dict[tuple[int, int], tuple[float, float]] = {}
+    for entry, edits, _, _, factor in hits:
+        most, total = out.get((entry, edits), (0.0, 0.0))
+        out[entry, edits] = max(most, factor), total + factor
+    return [(*key, *value) for key, value in sorted(out.items())]
+
+
 @dataclass(frozen=True)
 class Model:
     entries: list[tuple[str, bool]]
@@ -184,16 +193,17 @@ class Model:
     fuzzy: list[float]
     coef: list[float]
 
-    def features(self, n_words: int, hits) -> list[float]:
+    def features(self, n_words: int, found) -> list[float]:
+        """Features of a document's ``evidence``."""
         best: dict[int, float] = defaultdict(float)
-        for entry, edits, _, _, factor in hits:
+        for entry, edits, factor, _ in found:
             best[entry] = max(best[entry], (self.fuzzy if edits else self.exact)[entry] * factor)
         total = sum(best.values())
-        strong = sum(factor for entry, edits, _, _, factor in hits if (self.fuzzy if edits else self.exact)[entry] > 0)
+        strong = sum(factors for entry, edits, _, factors in found if (self.fuzzy if edits else self.exact)[entry] > 0)
         return [1.0, math.log1p(total), max(best.values(), default=0.0), math.log1p(100 * strong / max(1, n_words))]
 
-    def score(self, n_words: int, hits) -> float:
-        z = sum(a * b for a, b in zip(self.coef, self.features(n_words, hits)))
+    def score(self, n_words: int, found) -> float:
+        z = sum(a * b for a, b in zip(self.coef, self.features(n_words, found)))
         return 1 / (1 + math.exp(-max(-30.0, min(30.0, z))))
 
 
@@ -350,16 +360,17 @@ def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
 
     def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         memo = _Memo(Lexicon(entries))
-        kind = pa.list_(pa.struct([("entry", pa.int32()), ("edits", pa.int32()), ("factor", pa.float64())]))
+        kind = pa.list_(pa.struct([("entry", pa.int32()), ("edits", pa.int32()), ("factor", pa.float64()),
+                                   ("factors", pa.float64())]))
         for part, ys in text_batches(batches, (0, 1), 0):
             got = [matches(t or "", memo) for t in part]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(ys, pa.int32()), pa.array([g[0] for g in got], pa.int64()),
-                 pa.array([[{"entry": e, "edits": d, "factor": f} for (e, d), f in
-                            sorted(Counter({(h[0], h[1]): h[4] for h in g[1]}).items())] for g in got], kind),
+                 pa.array([[{"entry": e, "edits": d, "factor": f, "factors": n} for e, d, f, n in evidence(g[1])]
+                           for g in got], kind),
                  pa.array([len(g[1]) for g in got], pa.int64())], names=["y", "n", "hits", "k"])
 
-    seen = train.mapInArrow(found, "y int, n long, hits array<struct<entry:int,edits:int,factor:double>>, k long").collect()
+    seen = train.mapInArrow(found, "y int, n long, hits array<struct<entry:int,edits:int,factor:double,factors:double>>, k long").collect()
     near = [[2.5, 0.5] for _ in entries]  # a misspelling is taken for the term until documents say otherwise
     for r in seen:
         for h in {h["entry"] for h in r["hits"] if h["edits"]}:
@@ -367,7 +378,7 @@ def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     fuzzy = [max(0.0, min(0.8 * w, math.log(t / (n_toxic + 1)) - math.log(c / (n_clean + 1))))
              for w, (t, c) in zip(exact, near)]
     model = Model(entries, exact, fuzzy, [0.0] * 4)
-    x = np.array([model.features(r["n"], [(h["entry"], h["edits"], 0, 0, h["factor"]) for h in r["hits"]])
+    x = np.array([model.features(r["n"], [tuple(h) for h in r["hits"]])
                   for r in seen])
     coef = _fit(x, np.array([r["y"] for r in seen], float))
     return Model(entries, exact, fuzzy, coef.tolist())
@@ -391,9 +402,7 @@ def score(docs: DataFrame, model: Model, text_col: str = "text", carry: tuple[st
 
         def work(texts):
             got = [matches(t or "", memo) for t in texts]
-            # The model is fitted on one factor per term and kind of match.
-            scores = [model.score(n, [(e, d, 0, 0, f) for (e, d), f in {(h[0], h[1]): h[4] for h in hits}.items()])
-                      for n, hits in got]
+            scores = [model.score(n, evidence(hits)) for n, hits in got]
             found = [[{"term": model.entries[e][0], "start": s, "end": t, "edits": d, "factor": f}
                       for e, d, s, t, f in hits] for _, hits in got]
             return [pa.array(scores, pa.float64()), pa.array(found, kind)]

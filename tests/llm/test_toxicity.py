@@ -45,6 +45,18 @@ def test_context():
     assert T.matches("An IDIOT, an idoit", memo)[1] == [(0, 0, 3, 8, 1.0), (0, 1, 13, 18, 1.0)]
 
 
+def test_every_match_counts(docs_of):
+    """An open use is not hidden by a quoted one after it."""
+    far = " filler" * 20
+    used, quoted = "you idiot" + far, 'the "idiot" film' + far
+    model = T.Model([("idiot", False)], [3.0], [1.0], [-3.0, 2.0, 1.0, 1.0])
+    texts = [used + " " + quoted, quoted + " " + used, quoted + " " + quoted, used + " " + used]
+    got = {r.doc_id: r.score for r in T.score(docs_of(list(enumerate(texts))), model).select("row.doc_id", "score").collect()}
+    assert got[2] < got[0] == got[1] < got[3]
+    hits = T.matches(used + " " + quoted, T._Memo(T.Lexicon(model.entries)))[1]
+    assert T.evidence(hits) == [(0, 0, 1.15, 1.4)]
+
+
 @pytest.fixture(scope="module")
 def labelled(spark):
     rng = random.Random(3)
