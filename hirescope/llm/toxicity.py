@@ -13,6 +13,7 @@ counts more.  A logistic model over a document's evidence gives the score.
 
 from __future__ import annotations
 
+import hashlib
 import heapq
 import math
 import re
@@ -264,31 +265,31 @@ def sketch(words: set[str], size: int = 64) -> list[int]:
     return heapq.nsmallest(size, {zlib.crc32(w.encode()) for w in words})
 
 
-def apart(sketches: list[list[int]], alike: float = 0.5, rare: int = 100) -> list[int]:
+def apart(sketches: list[list[int]], alike: float = 0.5) -> list[int]:
     """Group numbers of documents: those whose sketches agree in half of their
-    hashes are copies of each other.  Hashes that more than ``rare`` documents
-    hold say nothing and are left out."""
+    hashes are copies of each other, and so are copies of copies.  Groups are
+    of any size; a document is compared with all that are in no group yet."""
     where: dict[int, list[int]] = defaultdict(list)
     for d, found in enumerate(sketches):
         for e in found:
             where[e].append(d)
-    size, shared = Counter(), Counter()
-    for held in where.values():
-        if len(held) <= rare:
-            size.update(held)
-            shared.update((a, b) for i, a in enumerate(held) for b in held[i + 1:])
-    root = list(range(len(sketches)))
-
-    def find(i: int) -> int:
-        while root[i] != i:
-            root[i] = i = root[root[i]]
-        return i
-
-    for (a, b), n in shared.items():
-        if n >= alike * (size[a] + size[b] - n):
-            x, y = sorted((find(a), find(b)))
-            root[y] = x
-    return [find(i) for i in range(len(sketches))]
+    holding = {e: np.array(held) for e, held in where.items()}
+    size = np.array([len(x) for x in sketches], np.int64)
+    group = np.full(len(sketches), -1)
+    for first in range(len(sketches)):
+        if group[first] >= 0:
+            continue
+        group[first], todo = first, [first]
+        while todo:
+            d = todo.pop()
+            for e in sketches[d]:
+                holding[e] = holding[e][group[holding[e]] < 0]
+            others, shared = np.unique(np.concatenate([np.zeros(0, np.int64), *[holding[e] for e in sketches[d]]]),
+                                       return_counts=True)
+            copies = others[shared >= alike * (size[others] + size[d] - shared)]
+            group[copies] = first
+            todo.extend(copies.tolist())
+    return group.tolist()
 
 
 def _fit(x: np.ndarray, y: np.ndarray, ridge: float = 1.0, rounds: int = 30) -> np.ndarray:
@@ -338,16 +339,20 @@ def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     def holding(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at = {e: i for i, e in enumerate(order)}
         for (part,) in text_batches(batches, (0,), 0):
-            found, sketches = [], []
+            found, sketches, digests = [], [], []
             for text in part:
                 words = set(_TOKEN.findall((text or "").lower()))
                 keys = {(w, False) for w in words} | {(w[:n], True) for w in words for n in STEM if len(w) > n}
                 found.append([at[k] for k in keys if k in at])
                 sketches.append(sketch(words))
+                digests.append(hashlib.md5(" ".join(sorted(words)).encode(), usedforsecurity=False).digest())
             yield pa.RecordBatch.from_arrays([pa.array(found, pa.list_(pa.int32())),
-                                              pa.array(sketches, pa.list_(pa.int64()))], names=["e", "s"])
+                                              pa.array(sketches, pa.list_(pa.int64())),
+                                              pa.array(digests, pa.binary())], names=["e", "s", "d"])
 
-    toxic = train.where("y = 1").select("text").mapInArrow(holding, "e array<int>, s array<long>").collect()
+    # One row per set of words: exact copies hold the same entries.
+    toxic = (train.where("y = 1").select("text").mapInArrow(holding, "e array<int>, s array<long>, d binary")
+             .groupBy("d").agg(F.first("e").alias("e"), F.first("s").alias("s")).orderBy("d").collect())
     # Words that only recur because a toxic document has copies fall out.
     holders: dict[int, set[int]] = defaultdict(set)
     for group, r in zip(apart([r["s"] for r in toxic]), toxic):

@@ -86,6 +86,33 @@ def test_learns_terms_and_scores(spark, labelled, docs_of):
     assert by[1, 0] == by[2, 0] == by[None, 0] < 0.3 <= by[3, 2] and len(rows) == 5
 
 
+def test_copies_are_one_holder_however_many():
+    """Groups of near copies of any size, against comparing all pairs."""
+    rng = random.Random(5)
+    words = ["w%d" % i for i in range(2000)]
+    base = [rng.sample(words, 80) for _ in range(4)]
+    docs = [set(base[i % 3][:76] + rng.sample(words, 4)) for i in range(450)] + [set(base[3])] * 150
+    docs += [set(rng.sample(words, 80)) for _ in range(60)]
+    sketches = [T.sketch(d) for d in docs]
+    root = list(range(len(docs)))
+    for a, b in itertools.combinations(range(len(docs)), 2):
+        x, y = set(sketches[a]), set(sketches[b])
+        if root[a] != root[b] and len(x & y) >= 0.5 * len(x | y):
+            lo, hi = sorted((root[a], root[b]))
+            root = [lo if r == hi else r for r in root]
+    assert T.apart(sketches) == root and len(set(root)) == 64
+    assert T.apart([[], [], [1]]) == [0, 1, 2]
+
+
+def test_many_toxic_copies_teach_no_filler(spark, labelled):
+    docs, labels = labelled
+    copy = "halunke " + " ".join("filler%s" % c for c in "abcdefghij")
+    more = spark.createDataFrame([(1000 + i, copy) for i in range(150)], "doc_id long, text string")
+    model = T.learn(docs.union(more), labels.union(spark.createDataFrame(
+        [(1000 + i, 1) for i in range(150)], "doc_id long, toxic int")))
+    assert model.entries and not [e for e, _ in model.entries if e.startswith("fill")]
+
+
 def test_without_labels_of_one_kind(labelled, docs_of):
     docs, labels = labelled
     clean = T.learn(docs, labels.where("toxic = 0"))
