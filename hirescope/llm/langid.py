@@ -81,8 +81,9 @@ def learn(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", id_co
           per_language: int = 1500, landmarks: int = 64, max_languages: int = 256, ridge: float = 1e-2) -> Model | None:
     """Model from labelled documents.
 
-    Bounds: for each of at most ``max_languages`` languages (the most
-    frequent) the ``per_language`` labelled texts with a letter of least
+    Every language that occurs is learned; more than ``max_languages`` are an
+    error, since the driver solves for all of them at once.  Bounds: for each
+    language the ``per_language`` labelled texts with a letter of least
     ``xxhash64(id, text)`` are used, and the first ``landmarks`` of these as
     landmarks; their kernel values come to the driver.  Null labels are
     ignored; without any label there is no model.
@@ -90,7 +91,9 @@ def learn(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", id_co
     given = (docs.select(F.col(text_col).cast("string").alias("text"), F.col(lang_col).cast("string").alias("lang"),
                          F.xxhash64(F.col(id_col), F.col(text_col)).alias("h"))
              .where(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}")))
-    counts = given.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(max_languages).collect()
+    counts = given.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(max_languages + 1).collect()
+    if len(counts) > max_languages:
+        raise ValueError(f"more than max_languages={max_languages} languages are labelled")
     languages = sorted(r["lang"] for r in counts)
     if not languages:
         return None

@@ -1,6 +1,7 @@
 import random
 
 import numpy as np
+import pytest
 
 from hirescope.llm import langid as L
 
@@ -52,6 +53,13 @@ def test_without_labels(spark):
     assert L.predict(df.limit(0), None).count() == 0
 
 
+def test_no_language_is_left_out_silently(spark):
+    df, _ = table(spark)
+    assert L.learn(df, per_language=20, landmarks=5, max_languages=3).languages == sorted(SYLLABLES)
+    with pytest.raises(ValueError, match="max_languages=2"):
+        L.learn(df, per_language=20, landmarks=5, max_languages=2)
+
+
 def test_ridge_solves_the_kernel_problem():
     rng = random.Random(4)
     by = {lang: [prose(rng, lang, 15) for _ in range(12)] for lang in ("xa", "xb")}
