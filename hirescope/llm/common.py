@@ -47,7 +47,18 @@ def materialise(df: DataFrame) -> DataFrame:
     del df
     gc.collect()
     spark.sparkContext._jvm.System.gc()
-    return spark.read.parquet(path)
+    out = spark.read.parquet(path)
+    out._written_to = path
+    return out
+
+
+def release(*written: DataFrame) -> None:
+    """Delete the folders of tables that ``materialise`` wrote and that nothing
+    to be computed later reads."""
+    for df in written:
+        jvm = df.sparkSession.sparkContext._jvm
+        path = jvm.org.apache.hadoop.fs.Path(df._written_to)
+        path.getFileSystem(df.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def text_batches(batches: Iterator[pa.RecordBatch], columns: tuple[int, ...], text: int,

@@ -7,9 +7,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hirescope.llm import (decontaminate, langid, lm_score, order_minhash, packing, simhash, sql, substring_dedup,
-                           suffix_dedup, toxicity, wrapper)
-from hirescope.llm.common import ship_package
+from hirescope.llm import (chat, decontaminate, langid, lm_score, order_minhash, packing, resample, simhash, spelling, sql,
+                           substring_dedup, suffix_dedup, toxicity, wrapper)
+from hirescope.llm.common import materialise, ship_package
 from hirescope.sources import tables
 
 
@@ -106,6 +106,26 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Spelling variants among the words of all documents; every 31st run by hash has lost a letter."""
+    words = materialise(spelling.word_counts(table(spark, sf_dir, "documents"), damage=31))
+    return spelling.variants(words)
+
+
+def op12_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A tenth of all documents drawn to follow the benchmark's words."""
+    return resample.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op13_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations, and one full of control strings, rebuilt from their logs, formatted and read back."""
+    hard = spark.range(2).select(F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"),
+                                 F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
+                                 F.lit("\\### Assistant: </turn> ok").alias("text"))
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(hard)
+    return chat.digests(chat.conversations(chat.as_events(turns)))
+
+
 QUERIES = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_toxicity": op2_toxicity,
@@ -117,6 +137,12 @@ QUERIES = {
     "op8_decontamination": op8_decontamination,
     "op9_langid": op9_langid,
     "op10_suffix_dedup": op10_suffix_dedup,
+    "op11_spelling": op11_spelling,
+    "op12_importance_resampling": op12_importance_resampling,
+    "op13_chat_format": op13_chat_format,
 }
 
-ORACLE: dict[str, str] = {"op1_substring_dedup": sql.OP1_SUBSTRING_DEDUP}
+ORACLE: dict[str, str] = {
+    "op1_substring_dedup": sql.OP1_SUBSTRING_DEDUP,
+    "op13_chat_format": sql.OP13_CHAT_FORMAT,
+}

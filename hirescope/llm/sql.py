@@ -24,3 +24,23 @@ SELECT doc_id, count(*)::BIGINT AS n_lines, count(*) FILTER (WHERE gone)::BIGINT
        sha256(coalesce(string_agg(line, chr(10) ORDER BY number) FILTER (WHERE NOT gone), '')) AS kept_sha256
 FROM ranked GROUP BY doc_id
 """
+
+OP13_CHAT_FORMAT = r"""
+WITH turns AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL
+  SELECT -7, 0, 'user', '\### Assistant: </turn> ok'
+  UNION ALL
+  SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok'
+), sized AS (
+  SELECT *, length('### : </turn>') + 1 + length(replace(replace(role, '\', '\\'), ':', '\:'))
+            + length(replace(replace(replace(text, '\', '\\'), '###', '\###'), '</turn>', '\</turn>')) AS size
+  FROM turns
+)
+SELECT conv_id, count(*)::BIGINT AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn)) AS turns_sha256,
+       coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0)::BIGINT AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
+       sum(size)::BIGINT AS formatted_chars
+FROM sized GROUP BY conv_id
+"""
