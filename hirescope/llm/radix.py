@@ -63,7 +63,7 @@ def ranks(rows: DataFrame, keys: list[Key], bits: int = 11, block_bits: int = 18
     at = materialise(rows.withColumn("radix_place", F.monotonically_increasing_id()))
     for digit in _digits(at, keys, bits):
         marked = at.select("*", F.shiftright("radix_place", block_bits).alias("radix_block"), digit.alias("radix_digit"))
-        counts = materialise(marked.groupBy("radix_block", "radix_digit").agg(F.count("*").alias("n")))
+        counts = marked.groupBy("radix_block", "radix_digit").agg(F.count("*").alias("n"))
         starts = counts.groupBy("radix_digit").agg(F.sum("n").alias("n")).select(
             "radix_digit", F.coalesce(F.sum("n").over(upto.orderBy("radix_digit")), F.lit(0)).alias("start"))
         before = F.coalesce(F.sum("n").over(upto.partitionBy("radix_digit").orderBy("radix_block")), F.lit(0))
@@ -72,6 +72,6 @@ def ranks(rows: DataFrame, keys: list[Key], bits: int = 11, block_bits: int = 18
         stable = F.row_number().over(Window.partitionBy("radix_block", "radix_digit").orderBy("radix_place")) - 1
         moved = materialise(marked.join(offsets, ["radix_block", "radix_digit"])
                             .select(*columns, (F.col("radix_offset") + stable).alias("radix_place")))
-        release(at, counts)
+        release(at)
         at = moved
     return at.select(*columns, (F.col("radix_place") + 1).alias(name))
