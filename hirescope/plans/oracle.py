@@ -888,9 +888,12 @@ def _cards_sql() -> str:
     tt = f"list_transform(regexp_extract_all(c, {q(ANCHOR_ATTRS)}, 2), lambda t: trim(regexp_replace(t, '{TAGRX}', '', 'g')))"
     skills = (f"len(list_filter(range(1, len({at}) + 1), lambda i: regexp_matches({at}[i], {q(CARD_SKILL_LINK)}) "
               f"AND ({tt})[i] <> ''))")
-    shown = (r'(?is)<h[1-6][^>]*>[^<]*(\b0 jobs|no (vacancies|results|jobs))'
-             r'|class="[^"]*(noResults|emptyState|no-results|empty-state)[^"]*"')
-    empty = f"(NOT contains(c, '/jobs/p/') AND regexp_matches(c, {q(shown)}))"
+    shown = r"""<(DIV|div)\s[^>]*class=["'][^"'>]*(NoResults|no-results|empty-state|EmptyState)"""
+    titled = ("len(list_filter(regexp_extract_all(c, '(?is)<h2(?:\\s[^>]*)?>(.*?)</h2>', 1), "
+              "lambda x: regexp_matches(x, '(?is)<a\\s[^>]*href=[^>]*/jobs/p/'))) > 0")
+    said = ("len(list_filter(regexp_extract_all(c, '(?is)<h[123](?:\\s[^>]*)?>(.*?)</h[123]>', 1), lambda x: "
+            f"regexp_matches(lower(regexp_replace(x, '{TAGRX}', '', 'g')), '0 jobs|no (vacancies|jobs|results) found'))) > 0")
+    empty = f"(NOT {titled} AND (regexp_matches(c, {q(shown)}) OR {said}))"
     return f"""
     SELECT page_id, {company} AS company, {location} AS location, coalesce({span_xp}, {node_xp}) AS experience,
            {posted} AS posted, {skills} AS n_skill_tags, {empty} AS no_results

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from hirescope.plans import docs, events, postings, reports, web
+from hirescope.plans import crawl, docs, events, oracle_crawl, postings, reports, web
 from hirescope.plans.oracle import ORACLE as _ORACLE
 
 QUERIES = {
@@ -85,6 +85,10 @@ QUERIES = {
     "sample_postings": postings.sample_postings,
     "warehouse_load_shape": postings.warehouse_load_shape,
     "new_vs_known_pairs": events.new_vs_known_pairs,
+    "page_postings": crawl.page_postings,
+    "page_quarantine": crawl.page_quarantine,
+    "page_details": crawl.page_details,
+    "page_headlines": crawl.page_headlines,
 }
 
-ORACLE = {k: v for k, v in _ORACLE.items() if k in QUERIES}
+ORACLE = {k: v for k, v in {**_ORACLE, **oracle_crawl.ORACLE}.items() if k in QUERIES}
