@@ -18,7 +18,7 @@ import uuid
 from collections.abc import Sequence
 
 from py4j.protocol import Py4JJavaError
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from hirescope.operators.dedup import keep_last
@@ -89,46 +89,83 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(p)
 
 
-_LOG = "seq LONG, version STRING, parent LONG, path STRING, bucket INT, n_buckets INT"
+_LOG = "seq LONG, version STRING, parent LONG, path STRING, label STRING, gone BOOLEAN"
+SNAPSHOT_EVERY = 50
 
 
 def _log_path(base: str) -> str:
     return f"{base.rstrip('/')}/_versions"
 
 
-def committed_versions(spark: SparkSession, base: str) -> DataFrame:
-    """The commit log of a versioned table (empty before the first commit)."""
-    if not path_exists(spark, _log_path(base)):
+def log_rows(spark: SparkSession, base: str) -> DataFrame:
+    """The commit log (empty before the first commit): the last folded snapshot
+    and the entries after it.  Empty entries are those of writers that died."""
+    fs, p = _fs(spark, _log_path(base))
+    if not fs.exists(p):
         return spark.createDataFrame([], _LOG)
-    return spark.read.schema(_LOG).json(f"{_log_path(base)}/*.json")
+    names = [(f.getPath().getName(), f.getLen()) for f in fs.listStatus(p)]
+    folded = max((n.split(".")[0] for n, _ in names if n.endswith(".snapshot")
+                  and path_exists(spark, f"{_log_path(base)}/{n}/_SUCCESS")), default="")
+    files = [n for n, size in names if n.endswith(".json") and size and n.split(".")[0] > folded]
+    paths = [f"{_log_path(base)}/{n}" for n in files + ([f"{folded}.snapshot"] if folded else [])]
+    return spark.read.schema(_LOG).json(paths) if paths else spark.createDataFrame([], _LOG)
+
+
+committed_versions = log_rows
 
 
 def head(spark: SparkSession, base: str) -> int:
     """Sequence number of the last commit; 0 before the first."""
-    return committed_versions(spark, base).agg(F.coalesce(F.max("seq"), F.lit(0))).first()[0]
+    return log_rows(spark, base).agg(F.coalesce(F.max("seq"), F.lit(0))).first()[0]
 
 
 def is_committed(spark: SparkSession, base: str, version: int | str) -> bool:
-    return not committed_versions(spark, base).filter(F.col("version") == str(version)).isEmpty()
+    return not log_rows(spark, base).filter(F.col("version") == str(version)).isEmpty()
+
 
+def commit_entry(spark: SparkSession, base: str, version: int | str, parent: int, entries: list[dict]) -> int:
+    """Add entry ``parent + 1`` to the log.
 
-def _commit(spark: SparkSession, base: str, version: int | str, parent: int, entries: list[dict]) -> int:
-    """Add entry ``parent + 1`` to the log.  The entry's file is created only
-    if it is not there yet, so of two writers one fails."""
+    It is written under a temporary name and renamed, which fails where the
+    entry is there already, so of two writers one fails and a reader never
+    sees half an entry.  An empty entry (of a writer that died while it wrote in
+    place) counts as not there.
+    """
     seq = parent + 1
     text = "".join(json.dumps({"seq": seq, "version": str(version), "parent": parent, **e}) + "\n" for e in entries)
-    fs, p = _fs(spark, f"{_log_path(base)}/{seq:012d}.json")
+    fs, final = _fs(spark, f"{_log_path(base)}/{seq:012d}.json")
+    jvm = spark.sparkContext._jvm
+    temporary = jvm.org.apache.hadoop.fs.Path(f"{_log_path(base)}/.{uuid.uuid4().hex}.tmp")
+    out = fs.create(temporary, False)
+    out.write(bytearray(text.encode()))
+    out.close()
+    rename = jvm.org.apache.hadoop.fs.Options.Rename
+    dead = fs.exists(final) and fs.getFileStatus(final).getLen() == 0
+    how = spark.sparkContext._gateway.new_array(rename, 1)
+    how[0] = rename.OVERWRITE if dead else rename.NONE
+    context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(final.toUri(), spark.sparkContext._jsc.hadoopConfiguration())
     try:
-        out = fs.create(p, False)
+        context.rename(fs.makeQualified(temporary), fs.makeQualified(final), how)
     except Py4JJavaError as e:
-        if fs.exists(p):
+        fs.delete(temporary, False)
+        if fs.exists(final):
             raise CommitConflict(f"{base}: commit {seq} was made by another writer") from e
         raise
-    out.write(bytearray(text.encode()))
-    out.close()
+    if seq % SNAPSHOT_EVERY == 0:
+        _fold(spark, base, seq)
     return seq
 
 
+def _fold(spark: SparkSession, base: str, seq: int) -> None:
+    """Write the log as one table: every version, and every path as its last entry left it."""
+    last = log_rows(spark, base).groupBy("path", "version").agg(F.max_by(F.struct("seq", "parent", "label", "gone"), "seq").alias("e"))
+    keep = F.row_number().over(Window.partitionBy("path").orderBy(F.col("e.seq").desc()))
+    rows = last.select("*", keep.alias("_n")).select(
+        "e.seq", "version", "e.parent", F.when((F.col("_n") == 1) & ~F.coalesce("e.gone", F.lit(False)), F.col("path")).alias("path"),
+        "e.label", "e.gone").distinct()
+    rows.write.mode("overwrite").json(f"{_log_path(base)}/{seq:012d}.snapshot")
+
+
 def write_version(df: DataFrame, base: str, version: int | str, parent: int | None = None) -> str:
     """Write a table to a fresh folder and commit it; returns its path.
 
@@ -136,94 +173,45 @@ def write_version(df: DataFrame, base: str, version: int | str, parent: int | No
     on, ``CommitConflict`` is raised and nothing becomes visible.  A version
     that is committed already is left as it is and its path returned."""
     spark = df.sparkSession
-    done = committed_versions(spark, base).filter(F.col("version") == str(version)).first()
+    log = log_rows(spark, base)
+    done = log.filter(F.col("version") == str(version)).first()
     if done:
+        if done["path"] is None or not log.where((F.col("path") == done["path"]) & F.col("gone")).isEmpty():
+            raise ValueError(f"{base}: version {version} has expired")
         return done["path"]
     parent = head(spark, base) if parent is None else parent
     path = f"{base.rstrip('/')}/v={version}-{uuid.uuid4().hex[:12]}"
     df.write.parquet(path)
-    _commit(spark, base, version, parent, [{"path": path}])
+    commit_entry(spark, base, version, parent, [{"path": path}])
     return path
 
 
-def commit_folder(spark: SparkSession, base: str, version: int | str, path: str) -> None:
-    """Commit a folder that is written already (several tables at once)."""
-    _commit(spark, base, version, head(spark, base), [{"path": path}])
+def commit_folder(spark: SparkSession, base: str, version: int | str, path: str, parent: int) -> None:
+    """Commit a folder that is written already (several tables at once), built
+    from commit ``parent``: of two builders of one parent the later fails."""
+    commit_entry(spark, base, version, parent, [{"path": path}])
 
 
 def latest_version(spark: SparkSession, base: str) -> str | None:
     """Path of the last committed version."""
-    row = committed_versions(spark, base).agg(F.max_by("path", "seq").alias("p")).first()
+    row = log_rows(spark, base).where("label is null and path is not null and not coalesce(gone, false)")
+    row = row.agg(F.max_by("path", "seq").alias("p")).first()
     return row["p"] if row else None
 
 
-BUCKET_COL = "key_bucket"
-
-
-def key_bucket(key: str, n_buckets: int):
-    return F.pmod(F.xxhash64(F.col(key)), F.lit(n_buckets)).cast("int")
-
-
-def _bucket_paths(spark: SparkSession, base: str) -> dict[int, str]:
-    """The folder of each bucket's last commit (at most ``n_buckets``)."""
-    log = committed_versions(spark, base).filter("bucket IS NOT NULL")
-    return {r["bucket"]: r["path"] for r in log.groupBy("bucket").agg(F.max_by("path", "seq").alias("path")).collect()}
-
-
-def read_bucketed(spark: SparkSession, base: str, buckets: Sequence[int] | None = None) -> DataFrame | None:
-    """The committed rows of a bucketed table, or of some of its buckets; None
-    if there are none."""
-    paths = [p for b, p in sorted(_bucket_paths(spark, base).items()) if buckets is None or b in set(buckets)]
-    return spark.read.parquet(*paths) if paths else None
-
-
-def upsert_bucketed(spark: SparkSession, base: str, source: DataFrame, key: str, n_buckets: int,
-                    order: Sequence[str] | None = None, version: int | str | None = None) -> dict:
-    """J5 at scale on plain Parquet: rewrite only the key buckets the delta touches.
-
-    Rows are dealt over ``pmod(xxhash64(key), n_buckets)`` buckets; the number
-    is part of the table's log and must not change.  The touched buckets are
-    read from their last committed folders, merged and written to fresh ones;
-    one commit then makes all of them visible together.  A committed
-    ``version`` is not applied again.  Returns the touched buckets and the
-    counts of updated and appended keys within them.
-    """
-    version = uuid.uuid4().hex if version is None else version
-    log = committed_versions(spark, base)
-    known = log.agg(F.max("n_buckets")).first()[0]
-    if known is not None and known != n_buckets:
-        raise ValueError(f"{base} has {known} buckets, not {n_buckets}")
-    if not log.filter(F.col("version") == str(version)).isEmpty():
-        return {"buckets": [], "updated": 0, "appended": 0}
-    parent = head(spark, base)
-    src = keep_last(source, [key], order) if order else source.dropDuplicates([key])
-    src = src.withColumn(BUCKET_COL, key_bucket(key, n_buckets))
-    per = src.groupBy(BUCKET_COL).agg(F.count(F.lit(1)).alias("n")).collect()  # at most n_buckets rows
-    touched = sorted(r[BUCKET_COL] for r in per)
-    given = sum(r["n"] for r in per)
-    if not touched:
-        return {"buckets": [], "updated": 0, "appended": 0}
-    before = read_bucketed(spark, base, touched)
-    merged, updated = src, 0
-    if before is not None:
-        updated = before.join(src.select(key), key, "left_semi").count()
-        old = before.withColumn(BUCKET_COL, key_bucket(key, n_buckets))
-        merged = old.join(src.select(key), key, "left_anti").unionByName(src.select(*old.columns))
-    folder = f"{base.rstrip('/')}/data/{version}-{uuid.uuid4().hex[:12]}"
-    merged.repartition(BUCKET_COL).write.partitionBy(BUCKET_COL).parquet(folder)
-    _commit(spark, base, version, parent, [{"path": f"{folder}/{BUCKET_COL}={b}", "bucket": b, "n_buckets": n_buckets}
-                                           for b in touched])
-    return {"buckets": touched, "updated": updated, "appended": given - updated}
-
-
 def expire(spark: SparkSession, base: str, keep: int) -> list[str]:
-    """Delete the folders that only commits before the last ``keep`` refer to."""
-    log = committed_versions(spark, base)
+    """Delete what no reader of the last ``keep`` commits needs: files that went
+    out of use before them, and folders of earlier versions.  The log says so first."""
+    log = log_rows(spark, base).where("path is not null")
     last = head(spark, base)
-    current = set(_bucket_paths(spark, base).values())
-    old = [r["path"] for r in log.filter(F.col("seq") <= last - keep).select("path").distinct().collect()]
-    gone = [p for p in old if p not in current]
-    for path in gone:
+    each = log.groupBy("path").agg(F.max("seq").alias("seq"), F.max_by("gone", "seq").alias("gone"), F.max_by("label", "seq").alias("label"))
+    old = each.where((F.col("seq") <= last - keep) & (F.coalesce("gone", F.lit(False)) | F.col("label").isNull())).collect()
+    current = latest_version(spark, base)
+    paths = [r["path"] for r in old if r["path"] != current]
+    folders = [r["path"] for r in old if r["label"] is None and not r["gone"] and r["path"] != current]
+    if folders:
+        commit_entry(spark, base, f"expire-{uuid.uuid4().hex}", last, [{"path": p, "gone": True} for p in folders])
+    for path in paths:
         fs, p = _fs(spark, path)
         fs.delete(p, True)
-    return gone
+    return paths

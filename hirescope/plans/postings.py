@@ -132,7 +132,8 @@ def normalize_raw(raw: DataFrame) -> DataFrame:
         P.extract_work_type("location", "job_type").alias("work_type"), "scraped_at")
 
 
-def clean_postings(df: DataFrame, scrape_date_mode: str = "row", bullet: str = "strip", as_of=None) -> DataFrame:
+def clean_postings(df: DataFrame, scrape_date_mode: str = "row", bullet: str = "strip", as_of=None,
+                   keep: tuple[str, ...] = ()) -> DataFrame:
     """M1: filter, keep the last row per URL, then derive.
 
     The rules read the surviving row only, so they run once per kept posting,
@@ -141,7 +142,8 @@ def clean_postings(df: DataFrame, scrape_date_mode: str = "row", bullet: str = "
     The scrape date is ``as_of`` (a date or Column) if given; else each row's
     own scrape time (``'row'``), or that of the batch's first row by position
     (``'batch'``, a scalar subquery over two pruned columns).  Without any
-    scrape time it is null; the wall clock is never read.
+    scrape time it is null; the wall clock is never read.  ``keep`` names columns
+    of ``df`` to return as well.
     """
     t = df.withColumn("job_title", collapse_ws(F.coalesce(F.col("job_title"), F.lit("None"))))
     t = t.filter((F.length("job_title") > 2) & P.egypt_only("job_url", "city"))
@@ -165,7 +167,7 @@ def clean_postings(df: DataFrame, scrape_date_mode: str = "row", bullet: str = "
     })
     return t.select("job_title", "company_name", "job_type", "skills", "job_category", "posted_date",
                     "job_url", "city", "work_type", "min_experience", "max_experience",
-                    "experience_level", "scrape_date", "company_type")
+                    "experience_level", "scrape_date", "company_type", *keep)
 
 
 def cleaned_postings(spark: SparkSession, sf: str) -> DataFrame:

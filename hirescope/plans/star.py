@@ -175,6 +175,55 @@ def skill_category_pairs(stg: DataFrame) -> DataFrame:
     return skill_pairs_with(stg, "job_category").select("skill_name", "job_category")
 
 
+# ------------------------------------------------ marts kept from partial sums
+def skill_state(applied: DataFrame, replaced: DataFrame | None) -> DataFrame:
+    """What a day changes in the postings per skill: those that came or changed
+    count, those they replace count against."""
+    new = job_skill_pairs(applied).select("skill_name", F.lit(1).alias("n"))
+    rows = new if replaced is None else new.unionByName(job_skill_pairs(replaced).select("skill_name", F.lit(-1).alias("n")))
+    return rows.groupBy("skill_name").agg(F.sum("n").alias("n")).where("n <> 0")
+
+
+def category_state(applied: DataFrame, replaced: DataFrame | None) -> DataFrame:
+    """What a day changes per category and level: postings, remote ones, and the
+    sum and number of least years."""
+    def signed(df: DataFrame, sign: int) -> DataFrame:
+        return df.select("job_category", "experience_level", F.lit(sign).alias("n"),
+                         F.when(F.col("work_type") == "Remote", sign).otherwise(0).alias("remote"),
+                         (sign * F.col("min_experience")).alias("years"), F.when(F.col("min_experience").isNotNull(), sign).alias("with_years"))
+    rows = signed(applied, 1) if replaced is None else signed(applied, 1).unionByName(signed(replaced, -1))
+    return fold_category(rows)
+
+
+def fold_skills(state: DataFrame) -> DataFrame:
+    return state.groupBy("skill_name").agg(F.sum("n").alias("n")).where("n <> 0")
+
+
+def fold_category(state: DataFrame) -> DataFrame:
+    return state.groupBy("job_category", "experience_level").agg(
+        *[F.sum(F.coalesce(c, F.lit(0))).alias(c) for c in ("n", "remote", "years", "with_years")])
+
+
+def skill_metrics_of(skills: DataFrame, categories: DataFrame) -> DataFrame:
+    """M10 from the partial sums alone."""
+    total = categories.select(F.sum("n").cast("double")).scalar()
+    pct = F.col("n").cast("double") * 100.0 / total
+    return fold_skills(skills).select(
+        "skill_name", F.col("n").alias("jobs_requiring_skill"), F.round(pct, 2).alias("skill_demand_score"),
+        F.round(100.0 - pct, 2).alias("skill_rarity_score"), demand_bucket(F.round(pct, 2)).alias("demand_category"))
+
+
+def category_metrics_of(categories: DataFrame) -> DataFrame:
+    """M11 from the partial sums alone."""
+    total = categories.select(F.sum("n").cast("double")).scalar()
+    n = F.col("n").cast("double")
+    return fold_category(categories).where("n > 0").select(
+        "job_category", "experience_level", F.col("n").alias("job_count"),
+        F.round(F.when(F.col("with_years") > 0, F.col("years") / F.col("with_years")), 1).alias("avg_min_experience"),
+        F.round(F.col("remote").cast("double") / n * 100, 2).alias("remote_ratio"),
+        F.round(n * 100.0 / total, 2).alias("market_demand_index"))
+
+
 def build_star(stg: DataFrame) -> dict[str, DataFrame]:
     """All marts from one staging frame (callers persist / write as needed)."""
     pairs = job_skill_pairs(stg)

@@ -116,26 +116,6 @@ def test_audit_profile_approx(spark):
     assert abs(approx["id"].distinct_count - 1000) <= 30 and approx["k"].distinct_count == 7
 
 
-def test_upsert_bucketed_rewrites_only_touched(spark, tmp_path):
-    path = str(tmp_path / "t")
-    base = spark.range(200).selectExpr("CAST(id AS STRING) AS k", "'old' AS v", "0L AS o")
-    upsert.upsert_bucketed(spark, path, base, "k", 16, ["o"], "a")
-    before = upsert._bucket_paths(spark, path)
-    delta = spark.createDataFrame([("3", "new", 1), ("500", "new", 1), ("500", "older", 0)], "k string, v string, o long")
-    done = upsert.upsert_bucketed(spark, path, delta, "k", 16, ["o"], "b")
-    after = upsert._bucket_paths(spark, path)
-    assert (done["updated"], done["appended"]) == (1, 1)
-    assert {b for b in after if after[b] != before.get(b)} == set(done["buckets"])
-    got = {r.k: r.v for r in upsert.read_bucketed(spark, path).collect()}
-    assert len(got) == 201 and got["3"] == "new" and got["500"] == "new" and got["4"] == "old"
-    assert upsert.upsert_bucketed(spark, path, delta, "k", 16, ["o"], "b")["buckets"] == []   # replay
-    assert upsert.read_bucketed(spark, path).count() == 201
-    with pytest.raises(ValueError):                                                           # another layout
-        upsert.upsert_bucketed(spark, path, delta, "k", 4, ["o"], "c")
-    assert upsert.read_bucketed(spark, path).count() == 201
-    assert upsert.expire(spark, path, 0) != [] and upsert.read_bucketed(spark, path).count() == 201
-
-
 def test_versions_are_never_overwritten(spark, tmp_path):
     import os
     base = str(tmp_path / "t")
@@ -152,6 +132,32 @@ def test_versions_are_never_overwritten(spark, tmp_path):
     assert upsert.latest_version(spark, base) == second
     assert upsert.write_version(one, base, "12") != f"{base}/v=12-crashed"
     assert os.path.exists(f"{base}/v=12-crashed")
+    gone = upsert.expire(spark, base, 1)
+    assert first in gone and not os.path.exists(first) and upsert.latest_version(spark, base) not in gone
+    with pytest.raises(ValueError):                                   # its folder is no longer there
+        upsert.write_version(one, base, "9")
+
+
+def test_dead_writer_locks_nothing(spark, tmp_path):
+    base = str(tmp_path / "t")
+    upsert.write_version(spark.range(3), base, "1")
+    open(f"{base}/_versions/000000000002.json", "w").close()          # a writer died in between
+    second = upsert.write_version(spark.range(4), base, "2")
+    assert upsert.latest_version(spark, base) == second and upsert.head(spark, base) == 2
+
+
+def test_log_is_folded(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(upsert, "SNAPSHOT_EVERY", 3)
+    base = str(tmp_path / "t")
+    paths = [upsert.write_version(spark.range(i), base, str(i)) for i in range(5)]
+    assert upsert.head(spark, base) == 5 and upsert.latest_version(spark, base) == paths[-1]
+    assert upsert.write_version(spark.range(9), base, "1") == paths[1]
+    for i in range(5):                                                # entries before the snapshot aren't read
+        if i < 3:
+            open(f"{base}/_versions/{i + 1:012d}.json", "w").close()
+        assert upsert.is_committed(spark, base, str(i))
+    with pytest.raises(upsert.CommitConflict):
+        upsert.commit_folder(spark, base, "late", "x", 4)
 
 
 def test_fieldwise_update(spark):

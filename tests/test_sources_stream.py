@@ -175,19 +175,55 @@ def test_daily_run_end_to_end(spark, tmp):
     assert spark.read.json(f"{base}/reports/20260516/summary").first().status == "FAILED"
 
 
-def test_daily_run_bucketed_equals_versioned(spark, tmp):
-    from hirescope.plans.daily import marts_path, run_daily
+def test_daily_run_incremental_equals_versioned(spark, tmp):
+    from hirescope.operators import filetable
+    from hirescope.plans.daily import incremental_star, marts_path, run_daily
     src = os.path.join(tmp, "raw")
     os.makedirs(src)
+    later = {"title": "Senior Data Engineer", "scraped": "2026-05-15T09:00:00+00:00", "skills": ["SQL", "dbt", "Python"]}
     _write(f"{src}/d1.json", _doc("data engineer", [_job(i) for i in range(12)]))
-    _write(f"{src}/d2.json", _doc("data engineer", [_job(i, title="Senior Data Engineer",
-                                                          scraped="2026-05-15T09:00:00+00:00") for i in range(8, 20)]))
-    outs = {}
-    for mode, nb in (("v", None), ("b", 8)):
-        base = os.path.join(tmp, mode)
-        run_daily(spark, f"{src}/d1.json", base, "1", n_buckets=nb)
-        r = run_daily(spark, f"{src}/d2.json", base, "2", n_buckets=nb)
-        assert (r["affected"], r["total"]) == (12, 20)
-        outs[mode] = sorted(map(tuple, spark.read.parquet(f"{marts_path(spark, base)}/fact_jobs")
-                                .select("job_url", "company_id", "date_id").collect()))
-    assert outs["v"] == outs["b"]
+    _write(f"{src}/d2.json", _doc("data engineer", [_job(i, **later) for i in range(8, 20)]))
+    _write(f"{src}/d3.json", _doc("data engineer", [_job(i, location="Giza, Egypt, Remote", scraped="2026-05-16T09:00:00+00:00")
+                                                     for i in range(30, 41)]))
+    a, b = os.path.join(tmp, "v"), os.path.join(tmp, "i")
+    kept = []
+    for day, affected, total in (("1", 12, 12), ("2", 12, 20), ("3", 11, 31)):
+        before = set(filetable.live_files(spark, f"{b}/store", "stg_jobs"))
+        for base, mode in ((a, False), (b, True)):
+            r = run_daily(spark, f"{src}/d{day}.json", base, day, incremental=mode)
+            assert (r["affected"], r["total"]) == (affected, total)
+        kept.append(before <= set(filetable.live_files(spark, f"{b}/store", "stg_jobs")))
+        stored = incremental_star(spark, b)
+        for name in ("fact_jobs", "stg_jobs", "dim_skills", "dim_company", "mart_job_metrics", "category_metrics"):
+            want = spark.read.parquet(f"{marts_path(spark, a)}/{name}")
+            got = stored[name].select(want.columns)
+            assert sorted(map(str, got.collect())) == sorted(map(str, want.collect())), (day, name)
+    assert kept == [True, False, True]              # a day of new postings leaves all stored files as they are
+    again = run_daily(spark, f"{src}/d3.json", b, "3", incremental=True)
+    assert (again["affected"], again["total"]) == (0, 31)
+
+
+def test_stream_equals_batch_in_any_order(spark, tmp):
+    """Files that are late, repeated or out of order leave what a batch job over all of them gives."""
+    import random
+    src = os.path.join(tmp, "all")
+    os.makedirs(src)
+    rng = random.Random(4)
+    for n in range(6):
+        _write(f"{src}/f{n}.json", _doc("data engineer", [
+            _job(rng.randint(0, 9), title=f"Data Engineer {n}", scraped=f"2026-05-{10 + rng.randint(0, 4)}T10:00:00+00:00") for _ in range(5)]))
+    key = ["job_url", "job_title", "posted_date", "scrape_date"]
+    want = sorted(map(tuple, clean_postings(RAW.load_raw_json(spark, src)).select(key).collect()))
+    for seed in (1, 2):
+        order = [0, 1, 2, 3, 4, 5, 0, 3]
+        random.Random(seed).shuffle(order)
+        landing, base, ckpt = (os.path.join(tmp, f"{x}{seed}") for x in ("landing", "table", "ckpt"))
+        os.makedirs(landing)
+        for step, n in enumerate(order):
+            os.makedirs(f"{landing}/step{step}")
+            with open(f"{src}/f{n}.json") as f, open(f"{landing}/step{step}/f{n}.json", "w") as g:
+                g.write(f.read())
+            if step % 3 == 2 or step == len(order) - 1:
+                incremental.start(spark, f"{landing}/*", base, ckpt).awaitTermination(120)
+        got = incremental.current_table(spark, base)
+        assert sorted(map(tuple, got.select(key).collect())) == want
