@@ -522,6 +522,19 @@ SELECT lang, job_category, relevant, tech, count(*) AS n FROM (
     coalesce({contains_any('lower(text)', R.TECH_SKILLS_VOCAB)}, false) AS tech
   FROM documents) GROUP BY ALL
 """
+_lt = "lower(t)"
+_startup = " + ".join(f"CAST(contains({_lt}, {q(w.lower())}) AS INTEGER)" for w in dict.fromkeys(R.STARTUP_KEYWORDS))
+ORACLE["text_rule_labels"] = f"""
+WITH x AS (
+  SELECT 'part' AS source, p_name || ' ' || p_type AS t FROM part
+  UNION ALL SELECT 'customer', c_name || ' ' || c_mktsegment FROM customer
+  UNION ALL SELECT 'page', regexp_replace(url, '[-_/.?=&]+', ' ', 'g') FROM pages)
+SELECT source, {case_rules(_lt, R.CATEGORY_RULES_WIDE, 'none')} AS category, {case_rules(_lt, R.LEVEL_TITLE_RULES, 'none')} AS level,
+  CASE WHEN {contains_any(_lt, [k.lower() for k in R.KNOWN_MNCS])} THEN 'MNC'
+       WHEN {contains_any(_lt, [k.lower() for k in R.GOVERNMENT_KEYWORDS])} THEN 'Government' ELSE 'none' END AS company,
+  {contains_any(_lt, R.TECH_SKILLS_VOCAB)} AS tech, CAST({_startup} AS BIGINT) AS startup_words, count(*) AS n
+FROM x GROUP BY ALL
+"""
 _pn = "p_name"
 _score = " + ".join(f"CAST(contains(lower(coalesce({_pn}, '')), {q(w)}) AS INTEGER)" for w in dict.fromkeys(R.STARTUP_KEYWORDS))
 _ovr = " ".join(f"WHEN {q(a)} THEN {q(b)}" for a, b in R.COMPANY_OVERRIDES.items())

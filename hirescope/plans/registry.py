@@ -62,6 +62,7 @@ QUERIES = {
     "conversation_last_lines": web.conversation_last_lines,
     "doc_rule_labels": web.doc_rule_labels,
     "part_company_types": web.part_company_types,
+    "text_rule_labels": web.text_rule_labels,
     "quality_checks": postings.quality_checks,
     "null_profile": postings.null_profile,
     "raw_completeness": postings.raw_completeness,

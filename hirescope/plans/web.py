@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 
 from hirescope.functions import parse as P
 from hirescope.functions import rules as R
-from hirescope.functions.text import collapse_ws, contains_any, count_contained
+from hirescope.functions.ruleset import RuleSet, default_rules, packs
+from hirescope.functions.text import collapse_ws, count_contained
 from hirescope.operators import html as H
 from hirescope.sources.tables import table
 
@@ -45,16 +46,30 @@ def conversation_last_lines(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def doc_rule_labels(spark: SparkSession, sf: str) -> DataFrame:
-    """F21 / P9 / F14 over whole documents: category rule chain, relevance
-    and tech-vocabulary hits, counted per (lang, category, relevant, tech)."""
-    d = table(spark, sf, "documents").select("lang", "text")
-    low = F.lower("text")
-    lab = d.select("lang", P.classify_job_category("text").alias("job_category"),
-                   contains_any(low, R.TECH_TITLE_KEYWORDS).alias("relevant"),
-                   contains_any(low, R.TECH_SKILLS_VOCAB).alias("tech"))
+    """F21 / P9 / F14 over whole documents: category, relevance and tech
+    vocabulary from the rule table, one pass over each text, counted per
+    (lang, category, relevant, tech)."""
+    rules = packs(spark, "category", "relevant", "tech")
+    d = table(spark, sf, "documents").select("lang", rules.hits("text").alias("hits"))
+    lab = d.select("lang", rules.label("hits", "category", R.CATEGORY_DEFAULT).alias("job_category"),
+                   rules.any("hits", "relevant").alias("relevant"), rules.any("hits", "tech").alias("tech"))
     return lab.groupBy("lang", "job_category", "relevant", "tech").agg(F.count(F.lit(1)).alias("n"))
 
 
+def text_rule_labels(spark: SparkSession, sf: str) -> DataFrame:
+    """All rule packs over real texts of the tables: part names with their
+    types, customer names with their segments, page addresses as words."""
+    rules = RuleSet.of(default_rules(spark))
+    parts = table(spark, sf, "part").select(F.lit("part").alias("source"), F.concat_ws(" ", "p_name", "p_type").alias("t"))
+    customers = table(spark, sf, "customer").select(F.lit("customer").alias("source"), F.concat_ws(" ", "c_name", "c_mktsegment").alias("t"))
+    pages = table(spark, sf, "pages").select(F.lit("page").alias("source"), F.regexp_replace("url", "[-_/.?=&]+", " ").alias("t"))
+    h = parts.unionByName(customers).unionByName(pages).select("source", rules.hits("t").alias("hits"))
+    return h.groupBy("source", rules.label("hits", "category_wide", "none").alias("category"),
+                     rules.label("hits", "level", "none").alias("level"), rules.label("hits", "company", "none").alias("company"),
+                     rules.any("hits", "tech").alias("tech"), rules.count("hits", "startup").cast("bigint").alias("startup_words")
+                     ).agg(F.count(F.lit(1)).alias("n"))
+
+
 def part_company_types(spark: SparkSession, sf: str) -> DataFrame:
     """F25 over part names: company-type rules incl. the startup score."""
     p = table(spark, sf, "part").select("p_name")
