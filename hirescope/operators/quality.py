@@ -78,6 +78,23 @@ def quality_gate(df: DataFrame, as_of, required: Sequence[str], critical: Sequen
     return _stack(a, names, "failing").withColumn("passed", F.col("failing") == 0)
 
 
+def offenders(df: DataFrame, accepted: Mapping[str, Sequence[str]], k: int = 10) -> DataFrame:
+    """Q5-Q7: the ``k`` commonest values that each accepted-value check refuses:
+    ``check, value, n, rank`` (ties: the lesser value, null first).
+
+    One pass for all checks.  Counts are combined in every task before they
+    move, and only counted values are ranked, so a value that a third of all
+    rows hold is one row per task."""
+    from pyspark.sql import Window
+    cases = [F.when(~F.coalesce(F.col(c).isin(list(vals)), F.lit(False)),
+                    F.struct(F.lit(f"accepted_{c}").alias("check"), F.col(c).cast("string").alias("value")))
+             for c, vals in accepted.items()]
+    bad = df.select(F.explode(F.filter(F.array(*cases), lambda x: x.isNotNull())).alias("x")).select("x.*")
+    counted = bad.groupBy("check", "value").agg(F.count(F.lit(1)).alias("n"))
+    place = F.row_number().over(Window.partitionBy("check").orderBy(F.desc("n"), F.asc_nulls_first("value")))
+    return counted.withColumn("rank", place.cast("bigint")).where(F.col("rank") <= k)
+
+
 def gate_summary(checks: DataFrame) -> DataFrame:
     """Q11: passed / failed counts and overall status (one row)."""
     return checks.agg(F.count_if("passed").alias("checks_passed"), F.count_if(~F.col("passed")).alias("checks_failed")) \

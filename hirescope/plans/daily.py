@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hirescope.functions import rules as R
-from hirescope.operators.quality import quality_gate
+from hirescope.operators.quality import offenders, quality_gate
 from hirescope.operators import filetable
 from hirescope.operators.upsert import (commit_folder, head, is_committed, latest_version, merge_by_key,
                                         merge_counts, write_version)
@@ -61,14 +61,15 @@ def run_daily(spark: SparkSession, raw_paths: str | Sequence[str], base: str, ve
     n_clean = cleaned.count()
 
     latest = cleaned.select(F.max("scrape_date")).scalar()
+    accepted = {"experience_level": R.VALID_EXPERIENCE_LEVELS, "work_type": R.VALID_WORK_TYPES,
+                "company_type": R.VALID_COMPANY_TYPES}
     checks = quality_gate(
         cleaned.withColumnRenamed("skills", "skills_list"), latest, R.GATE_REQUIRED_COLUMNS,
-        R.GATE_CRITICAL_COLUMNS, "job_url",
-        {"experience_level": R.VALID_EXPERIENCE_LEVELS, "work_type": R.VALID_WORK_TYPES,
-         "company_type": R.VALID_COMPANY_TYPES},
+        R.GATE_CRITICAL_COLUMNS, "job_url", accepted,
         "job_url", R.GATE_URL_PREFIX, "posted_date", R.GATE_MAX_DATE_SPAN_DAYS, "skills_list",
         R.GATE_MAX_EMPTY_SKILLS_PCT, gate_bounds[0], gate_bounds[1])
     summary = write_quality_report(checks, f"{base}/reports/{version}", f"{base}/postings").first()
+    offenders(cleaned, accepted).write.mode("overwrite").json(f"{base}/reports/{version}/offenders")
     if fail_on_gate and summary["checks_failed"]:
         raise GateFailed(f"quality gate failed: {summary['failures']}")
 

@@ -968,3 +968,26 @@ def _company_drafts_sql() -> str:
 
 
 ORACLE["notebook_company_drafts"] = _company_drafts_sql()
+
+# ------------------------------------------------------------ round trips
+ORACLE["upsert_order_files"] = ORACLE["upsert_orders"]
+ORACLE["stream_postings"] = f"""
+SELECT job_url, job_title, company_name, job_category, experience_level, min_experience, city, work_type FROM ({POSTINGS})
+"""
+ORACLE["incremental_marts"] = f"""
+SELECT 'skill' AS mart, skill_name AS name, demand_category AS part, jobs_requiring_skill AS n, skill_demand_score AS share,
+       skill_rarity_score AS other FROM ({ORACLE["job_skill_metrics"]})
+UNION ALL
+SELECT 'category', job_category, experience_level, job_count, market_demand_index, remote_ratio FROM ({ORACLE["category_metrics"]})
+"""
+ORACLE["quality_offenders"] = f"""
+WITH bad AS (
+  SELECT 'accepted_job_type' AS "check", job_type AS value FROM ({RAW_SQL})
+    WHERE job_type IS NULL OR job_type NOT IN ('Full Time', 'Part Time', 'Internship')
+  UNION ALL SELECT 'accepted_company', company FROM ({RAW_SQL}) WHERE company IS NULL OR company NOT IN ('Samsung Egypt', 'ITIDA')
+  UNION ALL SELECT 'accepted_keyword', keyword FROM ({RAW_SQL})
+    WHERE keyword IS NULL OR keyword NOT IN ('data engineer', 'data analyst', 'machine learning', 'backend developer')
+  UNION ALL SELECT 'accepted_title', title FROM ({RAW_SQL}) WHERE title IS NULL OR title NOT IN ('IT')),
+counted AS (SELECT "check", value, count(*) AS n FROM bad GROUP BY ALL)
+SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY "check" ORDER BY n DESC, value NULLS FIRST) AS rank FROM counted) WHERE rank <= 10
+"""

@@ -297,6 +297,13 @@ def quality_checks(spark, sf):
         R.GATE_MAX_EMPTY_SKILLS_PCT, R.GATE_MIN_ROWS, R.GATE_MAX_ROWS)
 
 
+def quality_offenders(spark, sf):
+    """Q5-Q7 over the raw postings: what narrow checks refuse, and how often."""
+    from hirescope.operators.quality import offenders
+    return offenders(raw_postings(spark, sf), {
+        "job_type": ["Full Time", "Part Time", "Internship"], "company": ["Samsung Egypt", "ITIDA"], "keyword": KEYWORDS, "title": ["IT"]})
+
+
 def null_profile(spark, sf):
     """A13 over the cleaned postings."""
     from hirescope.operators.quality import null_counts

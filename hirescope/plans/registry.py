@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from hirescope.plans import crawl, docs, events, oracle_crawl, postings, reports, web
+from hirescope.plans import crawl, docs, events, oracle_crawl, postings, reports, stores, web
 from hirescope.plans.oracle import ORACLE as _ORACLE
 
 QUERIES = {
@@ -90,6 +90,10 @@ QUERIES = {
     "page_quarantine": crawl.page_quarantine,
     "page_details": crawl.page_details,
     "page_headlines": crawl.page_headlines,
+    "upsert_order_files": stores.upsert_order_files,
+    "incremental_marts": stores.incremental_marts,
+    "stream_postings": stores.stream_postings,
+    "quality_offenders": postings.quality_offenders,
 }
 
 ORACLE = {k: v for k, v in {**_ORACLE, **oracle_crawl.ORACLE}.items() if k in QUERIES}
