@@ -991,3 +991,34 @@ WITH bad AS (
 counted AS (SELECT "check", value, count(*) AS n FROM bad GROUP BY ALL)
 SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY "check" ORDER BY n DESC, value NULLS FIRST) AS rank FROM counted) WHERE rank <= 10
 """
+
+# M14 from the single rules above: what each source's row must hold, then the first source per URL.
+ORACLE["notebook_combined"] = f"""
+WITH r AS (
+  SELECT r.*, f.*, s.skills_final FROM ({RAW_SQL}) r
+  JOIN (SELECT * RENAME (pos AS fpos) FROM ({ORACLE["notebook_fields"]})) f ON r.pos = f.fpos
+  JOIN (SELECT pos AS spos, skills_final FROM ({ORACLE["notebook_categories_skills"]})) s ON r.pos = s.spos
+), u AS (
+  SELECT 0 AS src, pos, title AS job_title, company_clean AS company_name, location AS location_raw, loc_city AS city,
+    loc_country AS country, job_type, experience AS experience_raw, json_min AS min_experience, json_max AS max_experience,
+    json_level AS experience_level, skills_final AS skills_list, keyword AS job_category, posted_raw AS posted_date, url AS job_url,
+    'json_wuzzuf' AS data_source FROM r WHERE pos % 8 < 4
+  UNION ALL
+  SELECT 1, pos, title, 'Unknown', 'Unknown', 'Unknown', 'Unknown', job_type_label, experience, csv_min, csv_max, csv_level,
+    skills_final, keyword, posted_raw, url, 'csv_wuzzuf_jobs' FROM r WHERE pos % 2 = 1
+)
+SELECT * EXCLUDE (src, place) FROM (SELECT *, row_number() OVER (PARTITION BY job_url ORDER BY src, pos) AS place FROM u) WHERE place = 1
+"""
+
+_audit = "WITH p AS (" + ORACLE["cleaned_postings"] + ")"
+_audited = ["job_title", "company_name", "job_type", "job_category", "posted_date", "job_url", "city", "work_type", "min_experience",
+            "max_experience", "experience_level", "scrape_date", "company_type", "skills_list"]
+ORACLE["audit_report"] = _audit + f"""
+SELECT 'shape' AS section, 'rows' AS name, CAST(count(*) AS VARCHAR) AS value FROM p
+UNION ALL SELECT 'shape', 'columns', '{len(_audited)}'
+{''.join(f" UNION ALL SELECT 'nulls', '{c}', CAST(count(*) FILTER ({c} IS NULL) AS VARCHAR) FROM p" for c in _audited)}
+{''.join(f" UNION ALL SELECT 'dates', '{c} {w}', CAST({f}({c}) AS VARCHAR) FROM p" for c in ("posted_date", "scrape_date") for w, f in (("first", "min"), ("last", "max")))}
+{''.join(f" UNION ALL SELECT 'distribution of {c}', coalesce(v, '(null)'), CAST(n AS VARCHAR) FROM (SELECT {c} AS v, count(*) AS n FROM p GROUP BY 1 ORDER BY n DESC, v NULLS FIRST LIMIT 20)" for c in ("experience_level", "work_type", "company_type", "job_category"))}
+UNION ALL SELECT 'duplicates', 'rows', CAST((SELECT count(*) FROM p) - (SELECT count(*) FROM (SELECT DISTINCT * FROM p)) AS VARCHAR)
+UNION ALL SELECT 'duplicates', 'job_url', CAST(count(*) - count(DISTINCT job_url) AS VARCHAR) FROM p
+"""

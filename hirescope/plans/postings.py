@@ -515,3 +515,78 @@ def notebook_company_drafts(spark, sf):
     from hirescope.functions import slug as S
     r = raw_postings(spark, sf).select("pos", "url", "title")
     return S.with_company_drafts(r, "url", "title").drop("url", "title")
+
+
+def _projection_rules() -> dict:
+    """Named column rules that a projection table may use."""
+    from hirescope.functions import rules as R
+    from hirescope.functions import slug as S
+    from hirescope.functions.skills import clean_skills_policy, first_of_list_literal, parse_list_literal
+    rules = {"copy": lambda c: c, "clean_company": P.clean_company,
+             "job_type": lambda c: S.map_label(c, R.JOB_TYPE_MAP, R.JOB_TYPE_NULL),
+             "city": lambda c: P.split_location(c)["city"], "country": lambda c: P.split_location(c)["country"],
+             "skills": lambda c: clean_skills_policy(c, R.SKILL_REMOVE_ITEMS, bullet="strip"),
+             "skills_of_text": lambda c: clean_skills_policy(parse_list_literal(c), R.SKILL_REMOVE_ITEMS, bullet="strip"),
+             "first_of_text": first_of_list_literal}
+    for field in ("min_experience", "max_experience", "experience_level"):
+        rules[f"json_{field}"] = lambda c, f=field: P.parse_experience_patterns(c, P.JSON_EXPERIENCE_PATTERNS)[f]
+        rules[f"csv_{field}"] = lambda c, f=field: P.parse_experience_patterns(c, P.CSV_EXPERIENCE_PATTERNS, strip_bullet=False)[f]
+    return rules
+
+
+def notebook_projections(spark: SparkSession) -> DataFrame:
+    """Both notebook projections as one mapping table."""
+    from hirescope.functions import rules as R
+    from hirescope.operators.mapping import SCHEMA
+    rows = [(source, i, target, *R.NOTEBOOK_PROJECTIONS[source][target])
+            for source in R.NOTEBOOK_PROJECTIONS for i, target in enumerate(R.NOTEBOOK_PROJECTIONS[source])]
+    return spark.createDataFrame(rows, SCHEMA)
+
+
+def combine_projected(sources: dict[str, DataFrame], mapping: DataFrame, order: str = "pos") -> DataFrame:
+    """Each source through its projection, the union, and per URL
+    the row of the first source, then of the least ``order``."""
+    from hirescope.operators.mapping import compile_mapping, project
+    rules = _projection_rules()
+    columns = compile_mapping(mapping, rules)
+    parts = [project(df, columns[name], rules, (order,)).withColumn("_src", F.lit(i)) for i, (name, df) in enumerate(sources.items())]
+    union = parts[0]
+    for part in parts[1:]:
+        union = union.unionByName(part)
+    return keep_first(union, ["job_url"], ["_src", order]).drop("_src")
+
+
+def notebook_sources(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
+    """Two sources derived from the raw postings: JSON records, and the rows of
+    the CSV export, whose lists are text.  Some URLs are in both."""
+    raw = raw_postings(spark, sf)
+    quoted = F.concat(F.lit("['"), F.array_join("skills", "', '"), F.lit("']"))
+    csv = raw.where(F.col("pos") % 2 == 1).select(
+        "pos", F.col("url").alias("job_url"), F.concat(F.lit("['"), F.col("keyword"), F.lit("', 'other']")).alias("search_keywords"),
+        F.col("title").alias("job_title"), "posted_date", "job_type", "experience",
+        F.when(F.size("skills") > 0, quoted).otherwise("").alias("skills"))
+    return {"json": raw.where(F.col("pos") % 8 < 4), "csv": csv}
+
+
+def notebook_combined(spark: SparkSession, sf: str) -> DataFrame:
+    """M14 over two derived sources: projected, combined, first source kept."""
+    out = combine_projected(notebook_sources(spark, sf), notebook_projections(spark))
+    return out.withColumn("skills_list", F.array_join(F.array_sort("skills_list"), "|"))
+
+
+def audit_report(spark, sf):
+    """Q14: shape, nulls, distributions, date ranges and repeats of the cleaned postings."""
+    from hirescope.operators.profile import audit
+    return audit(cleaned_postings_report(spark, sf), "job_url", ["experience_level", "work_type", "company_type", "job_category"],
+                 ["posted_date", "scrape_date"])
+
+
+def audit_sketches(spark, sf):
+    """Q14, A10: one profile state per year of the orders, merged; estimates, so without an SQL twin."""
+    from hirescope.operators import profile
+    o = table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_totalprice", "o_orderpriority", F.to_date("o_orderdate").alias("o_orderdate"))
+    parts = [profile.state(o.where(F.year("o_orderdate") % 3 == y)) for y in range(3)]
+    states = parts[0]
+    for part in parts[1:]:
+        states = states.unionByName(part)
+    return profile.report(profile.merge(states))

@@ -94,6 +94,9 @@ QUERIES = {
     "incremental_marts": stores.incremental_marts,
     "stream_postings": stores.stream_postings,
     "quality_offenders": postings.quality_offenders,
+    "notebook_combined": postings.notebook_combined,
+    "audit_report": postings.audit_report,
+    "audit_sketches": postings.audit_sketches,
 }
 
 ORACLE = {k: v for k, v in {**_ORACLE, **oracle_crawl.ORACLE}.items() if k in QUERIES}
