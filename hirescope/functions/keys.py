@@ -28,8 +28,3 @@ def date_parts(d) -> list[Column]:
         F.date_format(d, "MMMM").alias("month_name"),
         F.date_format(d, "EEEE").alias("day_name"),
     ]
-
-
-def days_between(later, earlier) -> Column:
-    """DATEDIFF('day', earlier, later)."""
-    return F.datediff(later, earlier)

@@ -94,12 +94,6 @@ def list_to_text(arr) -> Column:
     return F.to_json(_c(arr))
 
 
-def skill_tokens_from_text(list_text) -> Column:
-    """F47 compat mode: strip brackets, split on comma, strip quotes, trim, lower."""
-    body = F.regexp_replace(_c(list_text), r"\[|\]", "")
-    return F.transform(F.split(body, ","), lambda v: F.trim(F.lower(F.trim(F.translate(v, "[]'", "")))))
-
-
 def normalized_skills(arr) -> Column:
     """F47 native mode: trim + lower every element, drop blanks / one-letter items,
     de-duplicate within the row (so later counts need no DISTINCT shuffle)."""
@@ -108,5 +102,5 @@ def normalized_skills(arr) -> Column:
 
 
 __all__ = ["parse_list_literal", "first_of_list_literal", "is_tech_skill", "clean_skills_list",
-           "clean_skills_regex", "clean_skills_policy", "list_to_text", "skill_tokens_from_text",
+           "clean_skills_regex", "clean_skills_policy", "list_to_text",
            "normalized_skills", "literal_alternation"]

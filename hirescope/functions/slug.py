@@ -10,7 +10,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from hirescope.functions import rules as R
-from hirescope.functions.text import _c, py_strip
+from hirescope.functions.text import _c, contains_any, py_strip
 
 
 def _map(d: dict) -> Column:
@@ -36,6 +36,9 @@ def first_listed(text, items: list[str], pred) -> Column:
     return F.try_element_at(F.filter(z, lambda x: x.isNotNull()), F.lit(1))
 
 
+_SA = "-sa($|[^a-z0-9])"     # the country code as a whole slug token
+
+
 def location_from_url(url) -> Column:
     """struct(city, country) from the slug; listed order decides."""
     u = F.lower(_c(url))
@@ -44,16 +47,17 @@ def location_from_url(url) -> Column:
     eg_name = F.initcap(F.replace(eg, F.lit("-"), F.lit(" ")))
     eg_name = F.coalesce(F.try_element_at(_map(R.URL_CITY_NAME_FIXES), eg_name), eg_name)
     sa = first_listed(u, R.URL_SAUDI_CITIES, lambda t, c: t.contains(F.concat(F.lit("-"), c, F.lit("-saudi")))
-                      | t.contains(F.concat(F.lit("-"), c, F.lit("-sa"))))
+                      | F.rlike(t, F.concat(F.lit("-"), c, F.lit(_SA))))
+    saudi = u.contains("-saudi-arabia") | u.rlike(_SA)
     ae = first_listed(u, R.URL_UAE_CITIES, lambda t, c: t.contains(F.concat(F.lit("-"), c, F.lit("-uae")))
                       | t.contains(F.concat(F.lit("-"), c, F.lit("-united"))))
     city = (F.when(u.isNull() | (u == ""), "Unknown")
             .when(u.contains("-egypt"), F.coalesce(eg_name, F.lit("Unknown")))
-            .when(u.contains("-saudi-arabia") | u.contains("-sa"), F.coalesce(F.initcap(sa), F.lit("Unknown")))
+            .when(saudi, F.coalesce(F.initcap(sa), F.lit("Unknown")))
             .when(u.contains("-united-arab-emirates") | u.contains("-uae"), F.coalesce(F.initcap(ae), F.lit("Unknown")))
             .otherwise("Unknown"))
     country = (F.when(u.isNull() | (u == ""), "Unknown").when(u.contains("-egypt"), "Egypt")
-               .when(u.contains("-saudi-arabia") | u.contains("-sa"), "Saudi Arabia")
+               .when(saudi, "Saudi Arabia")
                .when(u.contains("-united-arab-emirates") | u.contains("-uae"), "UAE"))
     for marker, name in R.URL_OTHER_COUNTRIES:
         country = country.when(u.contains(marker), name)
@@ -109,8 +113,32 @@ def location_hierarchy(city) -> Column:
 
 
 def seeded_flag(key, seed: int, probability: float) -> Column:
-    """repeatable pseudo-random flag per key (same rows at any partitioning)."""
-    return (F.pmod(F.xxhash64(_c(key), F.lit(seed)), F.lit(1000)) / 1000.0) < probability
+    """Repeatable pseudo-random flag per key: the same rows at any partitioning,
+    and in any engine, since it is read from the MD5 of seed and key."""
+    share = F.conv(F.substring(F.md5(F.concat_ws(":", F.lit(str(seed)), _c(key).cast("string"))), 1, 8), 16, 10).cast("long")
+    return F.coalesce(share < F.lit(int(probability * (1 << 32))), F.lit(False))
+
+
+def flexible_work_type(work_type, title, company, key, seed: int = 42) -> Column:
+    """a remote posting stays remote; of the others a tenth of those with a
+    data title turn remote, then three tenths of those with a technical title
+    or company turn hybrid; the rest is on site.  It makes labels up, so nothing
+    calls it unless asked."""
+    t, c = F.lower(F.coalesce(_c(title), F.lit(""))), F.lower(F.coalesce(_c(company), F.lit("")))
+    technical = contains_any(t, R.FLEXIBLE_WORDS) | contains_any(c, R.FLEXIBLE_WORDS)
+    return (F.when(_c(work_type) == "Remote", "Remote").when(t.contains("data") & seeded_flag(key, seed, 0.10), "Remote")
+            .when(technical & seeded_flag(key, seed + 1, 0.30), "Hybrid").otherwise("On-site"))
+
+
+def is_remote(work_type) -> Column:
+    """1 for a remote posting, else 0."""
+    return F.when(F.lower(py_strip(_c(work_type))) == "remote", 1).otherwise(0)
+
+
+def egyptian_governorates(df, column: str = "governorate"):
+    """P10: rows of a listed governorate that is none of the listed foreign cities."""
+    c = F.col(column)
+    return df.where(F.coalesce(c.isin(R.EGYPT_GOVERNORATES) & ~c.isin(R.INTERNATIONAL_CITIES), F.lit(False)))
 
 
 def governorate_from_url(current, url) -> Column:

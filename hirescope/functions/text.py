@@ -97,12 +97,6 @@ def first_nonempty(*cols) -> Column:
     return F.coalesce(*[nonempty_or_null(x) for x in cols])
 
 
-def is_placeholder(c, tokens: Sequence[str]) -> Column:
-    """null or one of the placeholder tokens counts as missing."""
-    col = _c(c)
-    return col.isNull() | col.isin(list(tokens))
-
-
 def title_case(c) -> Column:
     """``initcap`` (Python ``.title()`` differs after digits/hyphens)."""
     return F.initcap(_c(c))

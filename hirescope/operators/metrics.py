@@ -45,17 +45,6 @@ def top_k_per_group(df: DataFrame, group: str, value_col: str, by: str, k: int)
     return df.withColumn("rank", F.row_number().over(w).cast("bigint")).filter(F.col("rank") <= k)
 
 
-def element_frequency(df: DataFrame, array_col: str, name: str = "element") -> DataFrame:
-    """Frequency of every array element over all rows."""
-    return df.select(F.explode(array_col).alias(name)).groupBy(name).agg(F.count(F.lit(1)).alias("count"))
-
-
-def empty_list_pct(df: DataFrame, array_col: str) -> DataFrame:
-    """Percent of rows whose list is empty or null."""
-    e = F.when(F.coalesce(F.size(array_col), F.lit(0)) <= 0, 1).otherwise(0)
-    return df.agg(F.round(F.avg(e) * 100.0, 2).alias("empty_pct"))
-
-
 def repeatable_sample(df: DataFrame, key: str, n: int, seed: int = 42) -> DataFrame:
     """N rows chosen by a seeded hash of the key (same rows at any
     partitioning / re-run); a top-n by hash, not a global shuffle-sort."""

@@ -698,7 +698,7 @@ def _notebook_sql() -> str:
     u = "lower(url)"
 
     def first_city(cities, suffixes, names):
-        conds = " OR ".join(f"contains({u}, '-' || c || {q(sfx)})" for sfx in suffixes)
+        conds = " OR ".join(f"regexp_matches({u}, '-' || c || {q(sfx)})" for sfx in suffixes)
         c = f"list_filter({lst(cities)}, lambda c: {conds})[1]"
         arms = " ".join(f"WHEN {q(x)} THEN {q(names(x))}" for x in cities)
         return f"(CASE {c} {arms} END)"
@@ -707,9 +707,9 @@ def _notebook_sql() -> str:
         t = x.replace("-", " ").title()
         return R.URL_CITY_NAME_FIXES.get(t, R.URL_CITY_NAME_FIXES.get(" ".join(w[:1].upper() + w[1:] for w in x.replace('-', ' ').split(' ')), t))
     eg = first_city(R.URL_EGYPT_CITIES, ["-egypt", ",-egypt"], eg_name)
-    sa = first_city(R.URL_SAUDI_CITIES, ["-saudi", "-sa"], lambda x: x.title())
+    sa = first_city(R.URL_SAUDI_CITIES, ["-saudi", "-sa($|[^a-z0-9])"], lambda x: x.title())
     ae = first_city(R.URL_UAE_CITIES, ["-uae", "-united"], lambda x: x.title())
-    is_sa = f"(contains({u}, '-saudi-arabia') OR contains({u}, '-sa'))"
+    is_sa = f"(contains({u}, '-saudi-arabia') OR regexp_matches({u}, '-sa($|[^a-z0-9])'))"
     is_ae = f"(contains({u}, '-united-arab-emirates') OR contains({u}, '-uae'))"
     url_city = f"""CASE WHEN url IS NULL OR url = '' THEN 'Unknown'
       WHEN contains({u}, '-egypt') THEN coalesce({eg}, 'Unknown')
@@ -1022,3 +1022,41 @@ UNION ALL SELECT 'shape', 'columns', '{len(_audited)}'
 UNION ALL SELECT 'duplicates', 'rows', CAST((SELECT count(*) FROM p) - (SELECT count(*) FROM (SELECT DISTINCT * FROM p)) AS VARCHAR)
 UNION ALL SELECT 'duplicates', 'job_url', CAST(count(*) - count(DISTINCT job_url) AS VARCHAR) FROM p
 """
+
+_w = "['software', 'data', 'intelligence', 'systems', 'solutions', 'tech', 'digital']"
+
+
+def _drawn(seed: int, share: str) -> str:
+    return f"(('0x' || substr(md5('{seed}:' || job_url), 1, 8))::BIGINT < floor({share} * 4294967296))"
+
+
+ORACLE["notebook_work_types"] = f"""
+SELECT job_url, work_type, CAST(lower(trim(work_type)) = 'remote' AS INTEGER) AS is_remote,
+  CASE WHEN work_type = 'Remote' THEN 'Remote'
+    WHEN contains(lower(job_title), 'data') AND {_drawn(42, "0.10")} THEN 'Remote'
+    WHEN len(list_filter({_w}, lambda w: contains(lower(job_title), w) OR contains(lower(company_name), w))) > 0
+         AND {_drawn(43, "0.30")} THEN 'Hybrid'
+    ELSE 'On-site' END AS flexible_type
+FROM ({POSTINGS})
+"""
+ORACLE["notebook_governorates"] = f"""
+SELECT governorate, count(*) AS n FROM ({ORACLE["notebook_location_refine"]}) WHERE gov_allowed GROUP BY 1
+"""
+ORACLE["job_metrics_ordered"] = ORACLE["job_skill_metrics"]
+ORACLE["catalog_counts"] = " UNION ALL ".join(f"SELECT '{t}' AS table_name, count(*) AS n FROM {t}" for t in (
+    "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "embeddings", "pages",
+    "benchmark", "labels", "conversations"))
+_jobs = f"""SELECT url, title, company, job_type, experience, array_to_string(skills, '|') AS skills, posted_raw, scraped_at, keyword
+  FROM ({RAW_SQL})"""
+ORACLE["raw_json_roundtrip"] = f"""
+SELECT url AS job_url, title AS job_title, company AS company_name, job_type, experience AS experience_raw, skills, posted_raw AS posted_date,
+       scraped_at, keyword AS job_category FROM ({_jobs})
+"""
+ORACLE["raw_csv_roundtrip"] = f"""
+SELECT url AS job_url, title AS job_title, posted_raw AS posted_date, job_type, experience, skills, scraped_at, keyword FROM ({_jobs})
+"""
+ORACLE["gate_status"] = f"""
+SELECT count(*) FILTER (passed) AS checks_passed, count(*) FILTER (NOT passed) AS checks_failed,
+       CASE WHEN count(*) FILTER (NOT passed) = 0 THEN 'PASSED' ELSE 'FAILED' END AS status, (SELECT count(*) FROM ({POSTINGS})) AS n_stored
+FROM ({ORACLE["quality_checks"]})
+"""

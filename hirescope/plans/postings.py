@@ -590,3 +590,23 @@ def audit_sketches(spark, sf):
     for part in parts[1:]:
         states = states.unionByName(part)
     return profile.report(profile.merge(states))
+
+
+def notebook_work_types(spark, sf):
+    """The remote flag, and work types with the seeded relabelling."""
+    from hirescope.functions import slug as S
+    c = cleaned_postings(spark, sf)
+    return c.select("job_url", "work_type", S.is_remote("work_type").alias("is_remote"),
+                    S.flexible_work_type("work_type", "job_title", "company_name", "job_url").alias("flexible_type"))
+
+
+def notebook_governorates(spark, sf):
+    """P10 as a filter: postings per Egyptian governorate."""
+    from hirescope.functions.slug import egyptian_governorates
+    kept = egyptian_governorates(notebook_location_refine(spark, sf).drop("gov_allowed"))
+    return kept.groupBy("governorate").agg(F.count("*").alias("n"))
+
+
+def job_metrics_ordered(spark, sf):
+    """O1: the skill mart, ordered when it is read: most demanded first."""
+    return skill_metrics(spark, sf).orderBy(F.desc("skill_demand_score"), "skill_name")

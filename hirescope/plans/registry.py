@@ -95,6 +95,13 @@ QUERIES = {
     "stream_postings": stores.stream_postings,
     "quality_offenders": postings.quality_offenders,
     "notebook_combined": postings.notebook_combined,
+    "notebook_work_types": postings.notebook_work_types,
+    "notebook_governorates": postings.notebook_governorates,
+    "job_metrics_ordered": postings.job_metrics_ordered,
+    "catalog_counts": stores.catalog_counts,
+    "raw_json_roundtrip": stores.raw_json_roundtrip,
+    "raw_csv_roundtrip": stores.raw_csv_roundtrip,
+    "gate_status": stores.gate_status,
     "audit_report": postings.audit_report,
     "audit_sketches": postings.audit_sketches,
 }

@@ -23,7 +23,8 @@ def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> str:
     """Header CSV, complex columns as JSON text (CSV cannot hold arrays)."""
     cols = [F.to_json(F.col(f.name)).alias(f.name) if f.dataType.typeName() in ("array", "map", "struct")
             else F.col(f.name) for f in df.schema.fields]
-    df.select(*cols).write.mode(mode).option("header", True).csv(path)
+    df.select(*cols).write.mode(mode).option("header", True).option("escape", '"') \
+        .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)
     return path
 
 
@@ -80,18 +81,6 @@ def drop_table(spark: SparkSession, name: str) -> None:
     spark.sql(f"DROP TABLE IF EXISTS {name}")
 
 
-def materialize(df: DataFrame, name: str, kind: str = "view") -> DataFrame:
-    """``view`` (temp view), ``table`` (managed table, overwritten)."""
-    spark = df.sparkSession
-    if kind == "view":
-        df.createOrReplaceTempView(name)
-    elif kind == "table":
-        df.write.mode("overwrite").saveAsTable(name)
-    else:
-        raise ValueError(kind)
-    return spark.table(name)
-
-
 def observe_counts(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
     """Attach a row counter that is filled by the next action (no extra job)."""
     obs = Observation(name)
