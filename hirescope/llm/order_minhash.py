@@ -20,6 +20,8 @@ from hirescope.llm.common import materialise
 
 _NO_ID = 2**63 - 1
 _POS_BITS = 24
+#: Partitions of texts, in shares of the session's: rows of tokens take so many times the room of their text.
+_ROWS_A_TEXT = 6
 
 
 def fingerprints(texts: DataFrame, key: list[str], slots: int = 64, k: int = 2, token: int = 12) -> DataFrame:
@@ -113,12 +115,15 @@ def compare_with_edits(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     """
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     raw = docs.select(F.col(id_col).cast("long").alias("doc_id"), text.alias("text"))
-    # The same three columns wherever texts meet other rows, so that they are shuffled once.
-    src = raw.select(F.coalesce("doc_id", F.lit(_NO_ID)).alias("k"), F.xxhash64("text").alias("th"), "text")
+    # The same three columns wherever texts meet other rows, so that they are shuffled once; into
+    # small partitions, since every token of a text becomes a row that is sorted twice in its task.
+    tasks = _ROWS_A_TEXT * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    src = (raw.select(F.coalesce("doc_id", F.lit(_NO_ID)).alias("k"), F.xxhash64("text").alias("th"), "text")
+           .repartition(tasks, "k"))
     ring = materialise(neighbours(src.groupBy("k").agg(F.max(F.length("text").cast("long")).alias("n"))))
     gift = (src.join(ring.select("k", "prev_k", "prev_n"), "k")
             .select(F.col("prev_k").alias("k"), "th", F.expr("left(text, cast(prev_n div 2 as int))").alias("head"))
-            .groupBy("k").agg(F.min_by("head", "th").alias("head")))
+            .repartition(tasks, "k").groupBy("k").agg(F.min_by("head", "th").alias("head")))
     both = (src.join(gift, "k").dropDuplicates(["k", "th"]).withColumn("n", F.length("text").cast("long"))
             .withColumn("edited", F.concat(F.expr("left(text, cast(n - n div 2 as int))"),
                                            F.expr("left(head, cast(n div 2 as int))"))))
