@@ -52,6 +52,12 @@ def materialise(df: DataFrame) -> DataFrame:
     return out
 
 
+def free_shuffles(spark: SparkSession) -> None:
+    """Let the driver's garbage collector release the shuffle files of tables that nobody refers to."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def release(*written: DataFrame) -> None:
     """Delete the folders of tables that ``materialise`` wrote and that nothing
     to be computed later reads."""

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from hirescope.llm.common import materialise
+from hirescope.llm.common import free_shuffles, materialise
 
 _NO_ID = 2**63 - 1
 _POS_BITS = 24
@@ -98,33 +98,21 @@ def neighbours(ids: DataFrame) -> DataFrame:
             .select("k", "next_k", F.col("pv.k").alias("prev_k"), F.col("pv.n").alias("prev_n")))
 
 
-def compare_with_edits(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", slots: int = 64, k: int = 2,
-                       token: int = 12) -> DataFrame:
-    """Fingerprint every text, and its edited form: the last half of its code
-    points replaced by the beginning of the next document's text.
-
-    Returns one row per input row: ``doc_id, n_chars, edited_sha256, entries,
-    edited_entries, near_edited, near_next`` (likeness to the edited text and
-    to the next document).
-
-    The next document is the next larger id; after the largest comes the
-    smallest (a single document follows itself).  Null texts count as empty,
-    null ids come last, as one id.  Rows that repeat an id with another text
-    are fingerprinted each; their predecessor sees the one whose text hashes
-    lowest.  Texts of white space only have an empty fingerprint.
-    """
+def _printed(docs: DataFrame, id_col: str, text_col: str, slots: int, k: int, token: int) -> tuple[DataFrame, DataFrame]:
+    """The ring of ids, and per id ``k`` and hash ``th`` of a text: how many rows
+    hold it, its length, the edited text's digest and both fingerprints.  Both are written."""
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    raw = docs.select(F.col(id_col).cast("long").alias("doc_id"), text.alias("text"))
+    src = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(_NO_ID)).alias("k"), text.alias("text"))
+    ring = materialise(neighbours(src.groupBy("k").agg(F.max(F.length("text").cast("long")).alias("n"))))
     # The same three columns wherever texts meet other rows, so that they are shuffled once; into
     # small partitions, since every token of a text becomes a row that is sorted twice in its task.
     tasks = _ROWS_A_TEXT * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    src = (raw.select(F.coalesce("doc_id", F.lit(_NO_ID)).alias("k"), F.xxhash64("text").alias("th"), "text")
-           .repartition(tasks, "k"))
-    ring = materialise(neighbours(src.groupBy("k").agg(F.max(F.length("text").cast("long")).alias("n"))))
+    src = src.select("k", F.xxhash64("text").alias("th"), "text").repartition(tasks, "k")
     gift = (src.join(ring.select("k", "prev_k", "prev_n"), "k")
             .select(F.col("prev_k").alias("k"), "th", F.expr("left(text, cast(prev_n div 2 as int))").alias("head"))
             .repartition(tasks, "k").groupBy("k").agg(F.min_by("head", "th").alias("head")))
-    both = (src.join(gift, "k").dropDuplicates(["k", "th"]).withColumn("n", F.length("text").cast("long"))
+    both = (src.join(gift, "k").groupBy("k", "th").agg(F.first("text").alias("text"), F.first("head").alias("head"), F.count("*").alias("copies"))
+            .withColumn("n", F.length("text").cast("long"))
             .withColumn("edited", F.concat(F.expr("left(text, cast(n - n div 2 as int))"),
                                            F.expr("left(head, cast(n div 2 as int))"))))
     sides = both.select("k", "th", F.explode(F.array(
@@ -135,15 +123,33 @@ def compare_with_edits(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         F.flatten(F.collect_list(F.when(F.col("side") == s, F.col("entries")))).alias(c)
         for s, c in ((0, "entries"), (1, "edited_entries"))])
     none = F.array().cast("array<int>")
-    known = materialise(
-        both.select("k", "th", "n", F.sha2("edited", 256).alias("edited_sha256")).join(wide, ["k", "th"], "left")
-        .select("k", "th", "n", "edited_sha256", F.coalesce("entries", none).alias("entries"),
-                F.coalesce("edited_entries", none).alias("edited_entries")))
-    after = known.groupBy("k").agg(F.min_by("entries", "th").alias("next_entries"))
-    judged = (known.join(ring.select("k", "next_k"), "k")
-              .join(after.select(F.col("k").alias("next_k"), "next_entries"), "next_k")
-              .select("k", "th", F.col("n").alias("n_chars"), "edited_sha256", "entries", "edited_entries",
-                      likeness(F.col("entries"), F.col("edited_entries")).alias("near_edited"),
-                      likeness(F.col("entries"), F.col("next_entries")).alias("near_next")))
-    rows = raw.select("doc_id", F.coalesce("doc_id", F.lit(_NO_ID)).alias("k"), F.xxhash64("text").alias("th"))
-    return rows.join(judged, ["k", "th"]).drop("k", "th")
+    known = (both.select("k", "th", "copies", "n", F.sha2("edited", 256).alias("edited_sha256")).join(wide, ["k", "th"], "left")
+             .select("k", "th", "copies", "n", "edited_sha256", F.coalesce("entries", none).alias("entries"),
+                     F.coalesce("edited_entries", none).alias("edited_entries")))
+    return ring, materialise(known)
+
+
+def compare_with_edits(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", slots: int = 64, k: int = 2,
+                       token: int = 12) -> DataFrame:
+    """Fingerprint every text, and its edited form: the last half of its code
+    points replaced by the beginning of the next document's text.
+
+    Returns one row per input row: ``doc_id, n_chars, edited_sha256, entries,
+    edited_entries, near_edited, near_next`` (likeness to the edited text and
+    to the next document).
+
+    The next document is the next larger id; after the largest comes the
+    smallest (a single document follows itself).  Null texts count as empty,
+    null ids come last, as one id.  Rows that repeat an id with another text
+    are fingerprinted each; their predecessor sees the one whose text hashes
+    lowest.  Texts of white space only have an empty fingerprint.
+    """
+    ring, known = _printed(docs, id_col, text_col, slots, k, token)
+    free_shuffles(docs.sparkSession)   # the texts' shuffle files: from here on the written rows do
+    after = (known.select("k", "th", "entries").join(ring.select("k", "prev_k"), "k")
+             .select(F.col("prev_k").alias("k"), "th", "entries").groupBy("k").agg(F.min_by("entries", "th").alias("next_entries")))
+    judged = known.join(after, "k").select(
+        F.when(F.col("k") != _NO_ID, F.col("k")).alias("doc_id"), F.col("n").alias("n_chars"), "edited_sha256", "entries", "edited_entries",
+        likeness(F.col("entries"), F.col("edited_entries")).alias("near_edited"),
+        likeness(F.col("entries"), F.col("next_entries")).alias("near_next"), "copies")
+    return judged.select("*", F.explode(F.array_repeat(F.lit(0), F.col("copies").cast("int")))).drop("copies", "col")
