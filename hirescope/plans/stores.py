@@ -59,7 +59,7 @@ def raw_documents(spark: SparkSession, sf: str) -> DataFrame:
     """The raw postings as wrapped documents (``doc, metadata, jobs``), 2000 jobs each."""
     fields = ["job_id", "title", "company", "location", "job_type", "experience", "skills", "posted_date", "url", "scraped_at", "keyword"]
     rows = raw_postings(spark, sf).select(F.floor(F.col("pos") / JOBS_PER_DOCUMENT).alias("doc"), "pos", F.struct(*fields).alias("job"))
-    jobs = F.transform(F.array_sort(F.collect_list(F.struct("pos", "job"))), lambda x: x["job"])
+    jobs = F.transform(F.sort_array(F.collect_list(F.struct("pos", "job"))), lambda x: x["job"])
     return rows.groupBy("doc").agg(jobs.alias("jobs")).select(
         "doc", F.struct(F.lit("all").alias("keyword"), F.size("jobs").alias("total_jobs")).alias("metadata"), "jobs")
 
