@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 
 from hirescope.operators.dedup import keep_last
 from hirescope.operators.upsert import commit_entry, log_rows
-from hirescope.session import checkpoint_dir
+from hirescope.session import written
 
 ROWS_PER_FILE = 1 << 20
 
@@ -95,9 +95,8 @@ def plan_upsert(source: DataFrame, base: str, key: str, order: Sequence[str], ta
     deltas arrive, or on how often.  Rows with a null key are left out.
     """
     spark = source.sparkSession
-    checkpoint_dir(spark)
     cluster = cluster or [key]
-    src = keep_last(source.where(F.col(key).isNotNull()), [key], order).checkpoint(eager=True)
+    src = written(keep_last(source.where(F.col(key).isNotNull()), [key], order))
     low, high, given = src.agg(F.min(key), F.max(key), F.count("*")).first()
     if not given:
         return Change(applied=src)
@@ -110,7 +109,7 @@ def plan_upsert(source: DataFrame, base: str, key: str, order: Sequence[str], ta
     held = (stored.select(key, place.alias("_then"), F.element_at(F.split("_metadata.file_path", "/"), -1).alias("_file"))
             .join(src.select(key, place.alias("_now")), key))
     takes = F.col("_now") > F.col("_then") if newer_only else F.lit(True)
-    held = held.select(key, "_file", takes.alias("_takes")).checkpoint(eager=True)
+    held = written(held.select(key, "_file", takes.alias("_takes")))
     found = held.groupBy("_file").agg(F.count_if("_takes").alias("n"), F.count_if(~F.col("_takes")).alias("late")).collect()
     late = sum(r["late"] for r in found)
     touched = [named[r["_file"]] for r in found if r["n"]]

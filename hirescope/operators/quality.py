@@ -132,8 +132,9 @@ def model_tests(tables: Mapping[str, DataFrame], not_null: Sequence[tuple[str, s
                 unique: Sequence[tuple[str, str]], accepted: Sequence[tuple[str, str, Sequence[str]]],
                 relationships: Sequence[tuple[str, str, str, str]]) -> DataFrame:
     """Q12: declarative model tests -> one row per test with its failing-row
-    count.  not_null / accepted per table share one aggregate; unique is a
-    grouped count; relationships are left-anti joins."""
+    count.  not_null / accepted tests of a table share one aggregate; all unique
+    and relationship tests of all tables share another: keys are counted per
+    (test, key), on the tested side and on the side that must hold them."""
     rows = []
     by_table: dict[str, list] = {}
     for t, c in not_null:
@@ -144,15 +145,25 @@ def model_tests(tables: Mapping[str, DataFrame], not_null: Sequence[tuple[str, s
     for t, specs in by_table.items():
         wide = tables[t].agg(*[e.alias(n) for n, e in specs])
         rows.append(_stack(wide, [n for n, _ in specs], "failures", "test"))
+    # How often each key is tested and held, per test.
+    asked: dict[str, list[tuple[str, str, int, int]]] = {}
     for t, c in unique:
-        d = (tables[t].filter(F.col(c).isNotNull()).groupBy(c).agg(F.count(F.lit(1)).alias("_n"))
-             .filter("_n > 1").agg(F.count(F.lit(1)).alias("failures")))
-        rows.append(d.select(F.lit(f"unique_{t}_{c}").alias("test"), "failures"))
+        asked.setdefault(t, []).append((f"unique_{t}_{c}", c, 1, 1))
     for t, c, dim, pk in relationships:
-        o = (tables[t].select(F.col(c).alias("_k")).filter(F.col("_k").isNotNull())
-             .join(tables[dim].select(F.col(pk).alias("_k")), "_k", "left_anti")
-             .agg(F.count(F.lit(1)).alias("failures")))
-        rows.append(o.select(F.lit(f"relationships_{t}_{c}").alias("test"), "failures"))
+        asked.setdefault(t, []).append((f"relationships_{t}_{c}", c, 1, 0))
+        asked.setdefault(dim, []).append((f"relationships_{t}_{c}", pk, 0, 1))
+    keys = None
+    for t, specs in asked.items():
+        cells = F.array(*[F.struct(F.lit(n).alias("test"), F.col(c).cast("string").alias("key"), F.lit(a).alias("tested"),
+                                   F.lit(b).alias("held")) for n, c, a, b in specs])
+        part = tables[t].select(F.explode(cells).alias("x")).select("x.*").where("key is not null")
+        keys = part if keys is None else keys.unionByName(part)
+    if keys is not None:
+        per = keys.groupBy("test", "key").agg(F.sum("tested").alias("tested"), F.sum("held").alias("held"))
+        bad = F.when(F.col("test").startswith("unique_"), (F.col("tested") > 1).cast("long")).when(F.col("held") == 0, F.col("tested")).otherwise(0)
+        names = sorted({n for specs in asked.values() for n, *_ in specs})
+        wide = per.groupBy().agg(*[F.coalesce(F.sum(F.when(F.col("test") == n, bad)), F.lit(0)).alias(n) for n in names])
+        rows.append(_stack(wide, names, "failures", "test"))
     out = rows[0]
     for r in rows[1:]:
         out = out.unionByName(r)

@@ -5,7 +5,7 @@ gate that stops the run, MERGE into the postings table, model rebuild) as
 one Spark application.  Every hand-off is a stored table, so a failed or
 re-run step starts from committed data:
 
-* cleaned rows are checkpointed once (gate and load read the same rows);
+* cleaned rows are stored once (gate and load read the same rows);
 * the gate report is written before the run is stopped on failure;
 * the upsert writes a new version and commits it to the table's log; a day
   that is committed already is not loaded again, so a retry goes on from there;
@@ -33,7 +33,7 @@ from hirescope.operators.upsert import (commit_folder, head, is_committed, lates
                                         merge_counts, write_version)
 from hirescope.plans import star
 from hirescope.plans.postings import clean_postings
-from hirescope.session import checkpoint_dir
+from hirescope.session import written
 from hirescope.sources.raw import corrupt_documents, load_raw_json, read_raw_documents
 from hirescope.sources.sinks import observe_counts, write_quality_report
 
@@ -52,12 +52,10 @@ def run_daily(spark: SparkSession, raw_paths: str | Sequence[str], base: str, ve
     ``incremental`` keeps postings, staging and marts in a store that a day
     changes in part (``load_day``), instead of new versions of all of them.
     """
-    checkpoint_dir(spark)
     bad, unread = observe_counts(corrupt_documents(read_raw_documents(spark, raw_paths)), "unread")
     bad.write.mode("overwrite").json(f"{base}/quarantine/{version}")
     raw, scraped = observe_counts(load_raw_json(spark, raw_paths), "scraped")
-    cleaned = clean_postings(raw, scrape_date_mode=scrape_date_mode, bullet=bullet,
-                             as_of=as_of).checkpoint(eager=True)
+    cleaned = written(clean_postings(raw, scrape_date_mode=scrape_date_mode, bullet=bullet, as_of=as_of))
     n_clean = cleaned.count()
 
     latest = cleaned.select(F.max("scrape_date")).scalar()

@@ -18,6 +18,7 @@ from hirescope.functions import parse as P
 from hirescope.functions.skills import clean_skills_list, list_to_text
 from hirescope.functions.text import collapse_ws, py_strip
 from hirescope.operators.dedup import keep_first, keep_last
+from hirescope.session import written
 from hirescope.sources.tables import table
 
 HOST = "https://wuzzuf.net"
@@ -199,14 +200,11 @@ def materialized_stage(spark: SparkSession, sf: str) -> DataFrame:
 
     Star models read staging several times, each consumer pruning different
     columns, so Spark cannot reuse one exchange and would re-run the cleaning
-    chain per branch.  A reliable checkpoint into the shared
-    ``spark.checkpoint.dir`` (survives executor loss; never a local one) makes
-    every model read the same stored rows -- as the production flow does
-    with its cleaned Parquet file.
+    chain per branch.  Written to the shared ``spark.checkpoint.dir`` (survives
+    executor loss; never a local one), every model reads its columns of the same
+    stored rows -- as the production flow does with its cleaned Parquet file.
     """
-    from hirescope.session import checkpoint_dir
-    checkpoint_dir(spark)
-    return staged(spark, sf).checkpoint(eager=True)
+    return written(staged(spark, sf))
 
 
 def _star(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
@@ -287,7 +285,7 @@ def quality_checks(spark, sf):
     """Q1-Q11 over the cleaned postings; as-of = the batch scrape date."""
     from hirescope.functions import rules as R
     from hirescope.operators.quality import quality_gate
-    c = cleaned_postings(spark, sf).withColumnRenamed("skills", "skills_list").checkpoint(eager=True)
+    c = written(cleaned_postings(spark, sf).withColumnRenamed("skills", "skills_list"))
     as_of = c.select(F.max("scrape_date")).scalar()
     return quality_gate(
         c, as_of, R.GATE_REQUIRED_COLUMNS, R.GATE_CRITICAL_COLUMNS, "job_url",

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Runtime SQL settings every job relies on.  They are *defaults*: a value
 # set explicitly at submit time (present in the SparkConf) is kept.
@@ -74,3 +75,12 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(d)
     return d
+
+
+def written(df: DataFrame) -> DataFrame:
+    """``df`` written to the shared folder and read back: a lineage cut that
+    survives lost executors, and unlike a checkpoint is columnar, so every
+    reader scans only its columns, and has a size the planner knows."""
+    path = f"{checkpoint_dir(df.sparkSession).rstrip('/')}/stored-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
