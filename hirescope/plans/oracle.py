@@ -1060,3 +1060,35 @@ SELECT count(*) FILTER (passed) AS checks_passed, count(*) FILTER (NOT passed) A
        CASE WHEN count(*) FILTER (NOT passed) = 0 THEN 'PASSED' ELSE 'FAILED' END AS status, (SELECT count(*) FROM ({POSTINGS})) AS n_stored
 FROM ({ORACLE["quality_checks"]})
 """
+
+
+def _rule_arms_sql() -> str:
+    def cycled(words, place):
+        return f"{lst(words)}[({place} % {len(words)}) + 1]"
+    titles = [w for _, words in R.CATEGORY_RULES for w in words] + ["florist", "baker"]
+    levels = [w for _, words in R.LEVEL_TITLE_RULES for w in words] + [""] * 8
+    companies = R.KNOWN_MNCS + R.GOVERNMENT_KEYWORDS + R.STARTUP_KEYWORDS + list(R.COMPANY_OVERRIDES) + R.COMPANY_UNKNOWN_NAMES + ["Grain Mills"]
+    by_title = " ".join(f"WHEN {contains_any('lower(title)', kws)} THEN {q(label)}" for label, kws in R.LEVEL_TITLE_RULES)
+    by_years = " ".join(f"WHEN years <= {bound} THEN {q(label)}" for bound, label in R.LEVEL_YEAR_BANDS)
+    score = " + ".join(f"CAST(contains(lower(company), {q(w)}) AS INTEGER)" for w in dict.fromkeys(R.STARTUP_KEYWORDS))
+    override = " ".join(f"WHEN {q(a)} THEN {q(b)}" for a, b in R.COMPANY_OVERRIDES.items())
+    return f"""
+    WITH r AS (
+      SELECT concat_ws(' ', {cycled(levels, "(o_orderkey // 7)")}, {cycled(titles, "o_orderkey")}) AS title,
+        {cycled(companies, "o_orderkey")} || CASE o_orderkey % 5 WHEN 1 THEN ' Smart Group' WHEN 2 THEN ' of the four rivers' ELSE '' END AS company,
+        CASE WHEN o_orderkey % 3 <> 0 THEN ((o_orderkey // 11) % 10)::DOUBLE END AS years,
+        CASE WHEN o_orderkey % 2 = 0 THEN {cycled(R.LEVEL_RAW_JUNIOR_HINTS, "(o_orderkey // 2)")} ELSE '' END AS raw
+      FROM orders)
+    SELECT {case_rules("lower(title)", R.CATEGORY_RULES, R.CATEGORY_DEFAULT)} AS category,
+      CASE {by_title} {by_years} WHEN years IS NOT NULL THEN {q(R.LEVEL_YEAR_TOP)}
+           WHEN {contains_any("lower(raw)", R.LEVEL_RAW_JUNIOR_HINTS)} THEN 'junior' ELSE {q(R.LEVEL_DEFAULT)} END AS level,
+      CASE WHEN lower(trim(company)) IN {inlist(R.COMPANY_UNKNOWN_NAMES)} THEN 'Unknown'
+        WHEN company IN {inlist(R.COMPANY_OVERRIDES)} THEN (CASE company {override} END)
+        WHEN {contains_any("lower(company)", R.KNOWN_MNCS)} THEN 'MNC' WHEN {contains_any("lower(company)", R.GOVERNMENT_KEYWORDS)} THEN 'Government'
+        WHEN ({score}) >= 2 THEN 'Startup'
+        WHEN ({score}) = 1 AND len(list_filter(string_split(trim(company), ' '), lambda w: w <> '')) <= 3 THEN 'Startup' ELSE 'Corporate' END AS company_type,
+      {contains_any("lower(title)", R.TECH_TITLE_KEYWORDS)} AS relevant, count(*) AS n
+    FROM r GROUP BY ALL"""
+
+
+ORACLE["rule_arms"] = _rule_arms_sql()

@@ -63,6 +63,7 @@ QUERIES = {
     "doc_rule_labels": web.doc_rule_labels,
     "part_company_types": web.part_company_types,
     "text_rule_labels": web.text_rule_labels,
+    "rule_arms": web.rule_arms,
     "quality_checks": postings.quality_checks,
     "null_profile": postings.null_profile,
     "raw_completeness": postings.raw_completeness,

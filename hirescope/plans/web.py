@@ -91,3 +91,24 @@ def page_card_fallbacks(spark: SparkSession, sf: str) -> DataFrame:
                     H.card_posted("c").alias("posted"),
                     F.size(H.card_skills("c")).cast("bigint").alias("n_skill_tags"),
                     H.no_results("c").alias("no_results"))
+
+
+def _cycled(words: list[str], place) -> F.Column:
+    return F.element_at(F.array(*[F.lit(w) for w in words]), (place % len(words)).cast("int") + 1)
+
+
+def rule_arms(spark: SparkSession, sf: str) -> DataFrame:
+    """Every arm of the title and company rules: titles, companies, years and
+    experience texts run through all keywords in turn, one combination an order."""
+    k = F.col("o_orderkey")
+    titles = [w for _, words in R.CATEGORY_RULES for w in words] + ["florist", "baker"]
+    levels = [w for _, words in R.LEVEL_TITLE_RULES for w in words] + [""] * 8
+    companies = R.KNOWN_MNCS + R.GOVERNMENT_KEYWORDS + R.STARTUP_KEYWORDS + list(R.COMPANY_OVERRIDES) + R.COMPANY_UNKNOWN_NAMES + ["Grain Mills"]
+    r = table(spark, sf, "orders").select(
+        F.concat_ws(" ", _cycled(levels, F.floor(k / 7)), _cycled(titles, k)).alias("title"),
+        F.concat(_cycled(companies, k), F.when(k % 5 == 1, " Smart Group").when(k % 5 == 2, " of the four rivers").otherwise("")).alias("company"),
+        F.when(k % 3 != 0, (F.floor(k / 11) % 10).cast("double")).alias("years"),
+        F.when(k % 2 == 0, _cycled(R.LEVEL_RAW_JUNIOR_HINTS, F.floor(k / 2))).otherwise("").alias("raw"))
+    return r.groupBy(P.classify_job_category("title").alias("category"), P.classify_experience_level("title", "years", "raw").alias("level"),
+                     P.classify_company_type("company").alias("company_type"), P.is_relevant_title("title").alias("relevant")
+                     ).agg(F.count(F.lit(1)).alias("n"))
