@@ -34,6 +34,8 @@ from hirescope.operators.upsert import commit_entry, log_rows
 from hirescope.session import written
 
 ROWS_PER_FILE = 1 << 20
+#: Keys that a join may copy to every task; more are shuffled.
+SMALL_DELTA = 1 << 16
 
 
 @dataclass
@@ -72,6 +74,13 @@ def _write(df: DataFrame, base: str, table: str, cluster: Sequence[str], rows: i
     return [{"label": table, "path": p, "gone": False} for p in df.sparkSession.read.parquet(folder).inputFiles()]
 
 
+def _keys(df: DataFrame, rows: int) -> DataFrame:
+    """``df`` as a side of a join by key.  Its rows were counted, so the join needn't trust the
+    size of its files: of keys that compress well Spark would send a whole delta through
+    the driver to every task."""
+    return df if rows <= SMALL_DELTA else df.hint("merge")
+
+
 def plan_append(df: DataFrame, base: str, table: str, cluster: Sequence[str], rows_per_file: int = ROWS_PER_FILE) -> Change:
     """Add rows without looking at those there are."""
     return Change(_write(df, base, table, cluster, df.count(), rows_per_file))
@@ -107,22 +116,22 @@ def plan_upsert(source: DataFrame, base: str, key: str, order: Sequence[str], ta
     named = {p.rsplit("/", 1)[1]: p for p in files}
     stored = spark.read.parquet(*files).where(F.col(key).between(low, high))
     held = (stored.select(key, place.alias("_then"), F.element_at(F.split("_metadata.file_path", "/"), -1).alias("_file"))
-            .join(src.select(key, place.alias("_now")), key))
+            .join(_keys(src.select(key, place.alias("_now")), given), key))
     takes = F.col("_now") > F.col("_then") if newer_only else F.lit(True)
     held = written(held.select(key, "_file", takes.alias("_takes")))
     found = held.groupBy("_file").agg(F.count_if("_takes").alias("n"), F.count_if(~F.col("_takes")).alias("late")).collect()
     late = sum(r["late"] for r in found)
     touched = [named[r["_file"]] for r in found if r["n"]]
     updated = sum(r["n"] for r in found)
-    applied = src.join(held.where(~F.col("_takes")).select(key), key, "left_anti") if late else src
+    applied = src.join(_keys(held.where(~F.col("_takes")).select(key), late), key, "left_anti") if late else src
     n_new = given - late
     if not n_new:
         return Change(applied=applied, late=late)
     if not touched:
         return Change(_write(applied, base, table, cluster, n_new, rows_per_file), applied, None, 0, n_new, late)
     old = spark.read.parquet(*touched)
-    kept = old.join(applied.select(key), key, "left_anti")
-    replaced = old.join(applied.select(key), key, "left_semi")
+    kept = old.join(_keys(applied.select(key), given - late), key, "left_anti")
+    replaced = old.join(_keys(applied.select(key), given - late), key, "left_semi")
     made = _write(kept.unionByName(applied.select(*old.columns)), base, table, cluster, old.count() + n_new - updated, rows_per_file)
     gone = [{"label": table, "path": p, "gone": True} for p in touched]
     return Change(made + gone, applied, replaced, updated, n_new - updated, late, touched)

@@ -9,21 +9,26 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
 def relationship_failures(fact: DataFrame, rels: Mapping[str, tuple[DataFrame, str]]) -> DataFrame:
     """Per foreign key, the count of fact rows with a non-null key that is
-    missing from the dimension (left-anti join; dims are small and broadcast
-    by AQE from their measured size)."""
-    out = None
+    missing from the dimension.
+
+    One aggregate for all keys: how often a key is tested and held.  The fact
+    table is read once, equal keys are counted in every task before they move,
+    and no dimension, however large, is copied to the tasks."""
+    def cell(fk: str, column: str, tested: int) -> Column:
+        return F.struct(F.lit(fk).alias("fk"), F.col(column).cast("string").alias("key"), F.lit(tested).alias("tested"), F.lit(1 - tested).alias("held"))
+    keys = fact.select(F.explode(F.array(*[cell(fk, fk, 1) for fk in rels])).alias("x"))
     for fk, (dim, pk) in rels.items():
-        orphans = (fact.select(F.col(fk).alias("_k")).filter(F.col("_k").isNotNull())
-                   .join(dim.select(F.col(pk).alias("_k")), "_k", "left_anti"))
-        one = orphans.agg(F.count(F.lit(1)).alias("failures")).select(F.lit(fk).alias("relationship"), "failures")
-        out = one if out is None else out.unionByName(one)
-    return out
+        keys = keys.unionByName(dim.select(cell(fk, pk, 0).alias("x")))
+    per = (keys.select("x.*").where("key is not null").groupBy("fk", "key")
+           .agg(F.sum("tested").alias("tested"), F.max("held").alias("held")).where("held = 0"))
+    wide = per.groupBy().agg(*[F.coalesce(F.sum(F.when(F.col("fk") == fk, F.col("tested"))), F.lit(0)).alias(fk) for fk in rels])
+    return _stack(wide, list(rels), "failures", "relationship")
 
 
 def null_counts(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
