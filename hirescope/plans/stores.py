@@ -16,7 +16,7 @@ from hirescope.operators import filetable
 from hirescope.plans import daily
 from hirescope.plans.events import _upsert_sides
 from hirescope.plans.postings import clean_postings, cleaned_postings, normalize_raw, quality_checks, raw_postings
-from hirescope.session import checkpoint_dir
+from hirescope.session import checkpoint_dir, written
 from hirescope.sources import raw, sinks, tables
 
 ORDER = ("scraped_at", "pos")
@@ -69,7 +69,8 @@ def stream_postings(spark: SparkSession, sf: str) -> DataFrame:
     into the table in several micro-batches."""
     from hirescope.streaming import incremental
     base = _scratch(spark, "stream")
-    docs = raw_documents(spark, sf).repartition("doc")
+    # Both copies and their count come from documents put together once.
+    docs = written(raw_documents(spark, sf))
     for copy in ("a", "b"):
         docs.write.partitionBy("doc").json(f"{base}/landing/{copy}")
     files = docs.select(F.count("*")).first()[0]
