@@ -106,3 +106,29 @@ def test_sql_oracle(spark):
     df = Q.op1_substring_dedup(spark, sf)
     assert df.columns == rel.columns
     assert sorted(map(tuple, df.collect())) == sorted(rel.fetchall())
+
+
+def test_counts_are_packed_by_range_of_keys(docs_of, spark, monkeypatch):
+    """A row per range, not per key, under the 8 bytes that a bare key takes; chunks and ranges change no score."""
+    rng = random.Random(3)
+    docs = [(i, " ".join("w%d" % rng.randrange(20_000) for _ in range(500))) for i in range(60)] + [(60, None), (60, "w1"), (None, "w1")]
+    target = spark.createDataFrame([(i,) for i in range(0, 60, 3)], "doc_id long")
+
+    def scores():
+        models = L.learn(docs_of(docs), target)
+        out = L.score(docs_of(docs), models).select("row.doc_id", "n_tokens", "target_loss", "background_loss", "score")
+        return models, sorted(map(tuple, out.collect()), key=repr)
+    models, want = scores()
+    texts = [(t or "").split() for _, t in docs]
+    keys = {p for t in texts for p in [*zip([None, *t], t), *t, *((w,) for w in [None, *t][:len(t)])]}
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(models.counts._written_to)
+    size = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getContentSummary(path).getLength()
+    assert models.counts.count() == 1 and size < 8 * len(keys)
+    monkeypatch.setattr(L, "_CHUNK", 20_000)
+    models, got = scores()
+    assert models.counts.count() == models.ranges > 8 and got == want
+    # Far more is scored than was learned: a range's requests are dealt out.
+    few = L.learn(docs_of(docs[:5]), target)
+    got = {r.row.doc_id: r.score for r in L.score(docs_of(docs), few).collect()}
+    monkeypatch.undo()
+    assert got == {r.row.doc_id: r.score for r in L.score(docs_of(docs), few).collect()} and len(got) == 62
