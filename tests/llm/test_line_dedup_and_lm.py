@@ -37,6 +37,28 @@ def test_lines_equal_brute_force(docs_of):
     assert S.remove_repeated_lines(docs_of([])).count() == 0
 
 
+def test_partition_of_a_frequent_line_is_split(docs_of, spark):
+    rng = random.Random(4)
+    often = "this line stands in every document"
+    pairs = [(i, often + "\n" + " ".join("%x" % rng.getrandbits(40) for _ in range(6))) for i in range(4000)]
+    pairs += [(i + 4000, t) for i, t in pairs[::8]]
+    conf = {"spark.sql.shuffle.partitions": "20", "spark.sql.adaptive.coalescePartitions.enabled": "false",
+            "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+            **dict.fromkeys(["spark.sql.adaptive.advisoryPartitionSizeInBytes",
+                             "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes"], "16k")}
+    before = {k: spark.conf.get(k, None) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        out = S.remove_repeated_lines(docs_of(pairs, 20))
+        got = {r.row.doc_id: r.kept for r in out.collect()}
+        assert "skew=true" in out._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    assert got == {i: kept for i, (_, kept) in brute(pairs).items()}
+
+
 def test_scores_match_plain_counting(docs_of, spark):
     docs = [(1, "the cat sat"), (2, "the dog sat ."), (3, "a cat"), (4, None), (5, "")]
     shape = L.Shape(vocabulary=4, cells=1 << 16)
